@@ -45,14 +45,19 @@ def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
 
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
               open_records: bool = False, batch_id: int | None = None,
-              dedupe_version=None):
+              dedupe_version=None, persist: bool = False):
     """The lazy part of a load: (conformed, accepted rows, failed units,
     rejected batches).  ``accepted`` holds the target's columns plus
-    ``source_id`` and ``batch_id``."""
+    ``source_id`` and ``batch_id``.  With ``persist`` the conformed batch is
+    cached before the three plans that read it are built (one read of the
+    input; also what Spark requires before filtering raw JSON / CSV rows on
+    their corrupt-record column alone)."""
     opts = (opts or LoadOptions()).validate()
     conformed = conform_records(records, spec, opts, open_records)
     if "batch_id" not in conformed.columns:
         conformed = conformed.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
+    if persist:
+        conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
     good, failed = quarantine_units(conformed, max_broadcast_units=opts.max_broadcast_units)
     required = spec.required if opts.on_null_required == "keep" else ()
     key = spec.key if spec.unique_key and dedupe_version is None else ()
@@ -74,9 +79,11 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
     batch's good units to ``retry`` (transient) or ``failure``."""
     opts = (opts or LoadOptions()).validate()
     conformed, accepted, failed, rejected = plan_load(records, spec, opts, open_records,
-                                                      batch_id, dedupe_version)
-    conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
+                                                      batch_id, dedupe_version, persist=True)
     try:
+        # both verdict tables are small (one row per failed unit / batch)
+        failed = failed.persist(StorageLevel.MEMORY_AND_DISK)
+        failed.count()
         rejected = rejected.persist(StorageLevel.MEMORY_AND_DISK)
         n_rejected = rejected.count()
         outcome: BaseException | None = None

@@ -115,8 +115,21 @@ class JdbcTarget:
             w = w.option("queryTimeout", str(opts.timeout_seconds))
         return w
 
+    def check_exists(self, spark: SparkSession) -> None:
+        """Fail (naming the table) when the target does not exist: Spark's
+        JDBC append would otherwise create it."""
+        r = (spark.read.format("jdbc").option("url", self.url_)
+             .option("query", f"SELECT * FROM {self.table} WHERE 1=0"))
+        for k, v in self.properties.items():
+            r = r.option(k, v)
+        try:
+            r.load().schema
+        except Exception as e:  # noqa: BLE001
+            raise LookupError(f"Table not found: {self.table} ({str(e).splitlines()[0][:300]})") from e
+
     def append(self, df: DataFrame, opts=None) -> None:
         mode = opts.effective_mode if opts is not None else "single"
+        self.check_exists(df.sparkSession)
         if mode == "single":
             # one task, one JDBC batch, one commit.  repartition(1) is a
             # shuffle, so everything upstream of it stays parallel.
