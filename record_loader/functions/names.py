@@ -43,6 +43,38 @@ def normalize_name_col(c: Column, translation: str = "REMOVE_UNDERSCORE",
     raise ValueError(f"unknown translation {translation!r}")
 
 
+# Fixed value: separator used to normalise all keys of a record in one string
+# operation; field names never contain it.
+KEY_SEP = "\u0001"
+
+
+def normalized_keys(fields: Column, translation: str = "REMOVE_UNDERSCORE",
+                    pattern: str | None = None) -> Column:
+    """The normalised keys of a ``map<string,string>``, aligned with
+    ``map_values`` (duplicates kept, in entry order).
+
+    For ``REMOVE_UNDERSCORE`` / ``NONE`` the keys are joined into one string,
+    normalised with one ``upper`` / ``replace`` and split again: built-in
+    expressions only, so whole-stage codegen covers them.  A ``PATTERN``
+    could match across the separator, so it is applied per key."""
+    keys = F.map_keys(fields)
+    if translation == "NONE":
+        return keys
+    if translation == "REMOVE_UNDERSCORE":
+        joined = F.replace(F.upper(F.array_join(keys, KEY_SEP)), F.lit("_"), F.lit(""))
+        return F.when(F.size(keys) > 0, F.split(joined, KEY_SEP)).otherwise(
+            F.array().cast("array<string>"))
+    return F.transform(keys, lambda k: normalize_name_col(k, translation, pattern))
+
+
+def last_value_of(fields: Column, norm_keys: Column, key: str) -> Column:
+    """The value of the *last* entry whose normalised key is ``key``
+    (later fields win), or NULL when no entry has it."""
+    p = F.array_position(F.reverse(norm_keys), F.lit(key))
+    idx = (F.size(norm_keys) - p + 1).cast("int")
+    return F.when(p > 0, F.try_element_at(F.map_values(fields), idx))
+
+
 def normalize_keys_last_wins(fields: Column, translation: str = "REMOVE_UNDERSCORE",
                              pattern: str | None = None) -> Column:
     """Normalise the keys of a ``map<string,string>``; when two keys normalise

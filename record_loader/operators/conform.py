@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import coerce_value, null_to_default
-from ..functions.names import normalize_keys_last_wins, normalize_name, normalize_name_col
+from ..functions.names import (last_value_of, normalize_keys_last_wins, normalize_name,
+                               normalized_keys)
 from ..spec import LoadOptions, TargetSpec
 
 META_COLUMNS = ("source_id", "pos", "batch_id", "arrival", "target", "attempt")
@@ -131,11 +132,10 @@ def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
     opts = (opts or LoadOptions()).validate()
     meta = [m for m in _meta(df, keep) if m != fields]
     lookup = spec.lookup(opts.translation, opts.pattern)
-    norm = normalize_keys_last_wins(F.col(fields), opts.translation, opts.pattern)
-    staged = df.select(*[F.col(m) for m in meta], norm.alias("__f"),
+    staged = df.select(*[F.col(x) for x in meta], F.col(fields).alias("__f"),
+                       normalized_keys(F.col(fields), opts.translation, opts.pattern).alias("__k"),
                        *([F.col(CORRUPT)] if CORRUPT in df.columns else []))
-    m = F.col("__f")
-    keys = F.map_keys(m)
+    m, keys = F.col("__f"), F.col("__k")
     col_names = F.array(*[F.lit(n) for n in lookup])
 
     errors: list[Column] = [F.when(m.isNull(), F.lit("Malformed record"))]
@@ -155,7 +155,7 @@ def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
 
     out = []
     for n, col in lookup.items():
-        raw = F.try_element_at(m, F.lit(n))
+        raw = last_value_of(m, keys, n)
         value, err = coerce_value(raw, T.StringType(), col, opts, n)
         errors.append(err)
         value, err = _required_null(value, col, opts)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import normalize_keys_last_wins
+from ..functions.names import normalized_keys
 from ..spec import LoadOptions, TargetSpec
 from .conform import ERROR, META_COLUMNS
 
@@ -54,8 +54,8 @@ def match_report(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
     lookup = spec.lookup(opts.translation, opts.pattern)
     spec_df = spark.createDataFrame([(n, c.name) for n, c in lookup.items()],
                                     "norm string, column_name string")
-    norm = normalize_keys_last_wins(F.col(fields), opts.translation, opts.pattern)
-    entries = df.select(F.explode(F.map_keys(norm)).alias("norm"))
+    norm = F.array_distinct(normalized_keys(F.col(fields), opts.translation, opts.pattern))
+    entries = df.select(F.explode(norm).alias("norm"))
     field_counts = entries.groupBy("norm").agg(F.count(F.lit(1)).alias("n_records"))
     spec_df = spec_df.withColumnRenamed("norm", "__cnorm")
     joined = field_counts.join(spec_df, F.col("norm") == F.col("__cnorm"), "full_outer")

@@ -1,9 +1,21 @@
-"""One batch load, end to end: conform -> quarantine units -> enforce the
-target's constraints per batch -> (optional replacing merge) -> one bulk
-insert -> route every unit -> receipts.
-
-Everything up to the insert is one lazy Catalyst plan; the only driver-side
-step is catching the insert's outcome to route the batch's units (F4).
+"""One batch load, end to end: conform -> per-unit verdicts -> one bulk
+insert -> a route and receipt for every unit.
+
+Two passes over the records, whatever the options:
+
+1. **Verdict pass** — one partial aggregation of the conformed records by
+   unit: record count, the first failing record's error (unit quarantine)
+   and the first constraint violation among its rows.  Map-side combine
+   reduces a unit holding a third of all rows inside every task, so only
+   one row per (unit, task) is shuffled.  The result has one row per unit;
+   batch rejection, failed units and every unit's route derive from it
+   without touching the records again.
+2. **Insert pass** — the conformed records of the loadable units (a
+   semi-join against the unit table, broadcast when its size is checked to
+   be small) appended to the target as one insert.
+
+The conformed batch is persisted between the two passes, so both see the
+same snapshot of the input.
 """
 
 from __future__ import annotations
@@ -11,13 +23,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.batches import replacing_merge
 from ..operators.conform import ERROR, conform, conform_open
-from ..operators.routing import (UNKNOWN, enforce_constraints, is_transient,
-                                 quarantine_units)
+from ..operators.routing import UNKNOWN, bounded, is_transient
 from ..sinks.targets import bulk_insert
 from ..spec import LoadOptions, TargetSpec
 
@@ -34,6 +45,13 @@ class LoadResult:
     failed: DataFrame       # quarantined units (unit-level failures)
     rejected: DataFrame     # batches rejected by the target's constraints
     outcome: BaseException | None
+    n_units: int = 0
+
+    def release(self) -> None:
+        """Drop the cached per-unit tables (they are small, but a stream
+        makes one set per micro-batch)."""
+        for df in (self.units, self.failed, self.rejected):
+            df.unpersist()
 
 
 def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
@@ -43,28 +61,65 @@ def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
     return conform(records, spec, opts)
 
 
+def violation_reason(spec: TargetSpec, opts: LoadOptions) -> Column:
+    """The first constraint a row breaks (CHECK expressions, then NOT NULL
+    of required columns), or NULL."""
+    conds = [(~F.coalesce(F.expr(c), F.lit(True)), f"CHECK constraint violated: {c}") for c in spec.checks]
+    if opts.on_null_required == "keep":
+        conds += [(F.col(r).isNull(), f"NOT NULL constraint violated: {r}") for r in spec.required]
+    if not conds:
+        return F.lit(None).cast("string")
+    return F.coalesce(*[F.when(c, F.lit(m)) for c, m in conds])
+
+
+def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions) -> DataFrame:
+    """One row per (unit, batch): records, first error, first violation."""
+    bad = F.col(ERROR).isNotNull()
+    return conformed.groupBy("source_id", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.min_by(F.coalesce(F.col(ERROR), F.lit(UNKNOWN)), F.when(bad, F.col("pos"))).alias("error"),
+        F.min(violation_reason(spec, opts)).alias("violation"))
+
+
+def duplicate_key_batches(rows: DataFrame, key) -> DataFrame:
+    """Batches holding a key twice (opt-in: shuffles every row by key)."""
+    return (rows.groupBy("batch_id", *key).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > 1)
+            .groupBy("batch_id").agg(F.lit(f"duplicate key ({', '.join(key)})").alias("reason")))
+
+
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
               open_records: bool = False, batch_id: int | None = None,
               dedupe_version=None, persist: bool = False):
-    """The lazy part of a load: (conformed, accepted rows, failed units,
-    rejected batches).  ``accepted`` holds the target's columns plus
-    ``source_id`` and ``batch_id``.  With ``persist`` the conformed batch is
-    cached before the three plans that read it are built (one read of the
-    input; also what Spark requires before filtering raw JSON / CSV rows on
-    their corrupt-record column alone)."""
+    """The lazy plans of a load: (conformed, units, accepted, failed,
+    rejected).  ``units`` is the per-unit verdict table; ``accepted`` holds
+    the target's columns plus ``source_id`` / ``batch_id``."""
     opts = (opts or LoadOptions()).validate()
     conformed = conform_records(records, spec, opts, open_records)
     if "batch_id" not in conformed.columns:
         conformed = conformed.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
     if persist:
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    good, failed = quarantine_units(conformed, max_broadcast_units=opts.max_broadcast_units)
-    required = spec.required if opts.on_null_required == "keep" else ()
-    key = spec.key if spec.unique_key and dedupe_version is None else ()
-    accepted, rejected = enforce_constraints(good, spec.checks, required, key)
+    units = unit_verdicts(conformed, spec, opts)
+    if persist:
+        units = units.persist(StorageLevel.MEMORY_AND_DISK)
+    failed = units.where(F.col("error").isNotNull()).select("source_id", "batch_id", "error")
+    good_units = units.where(F.col("error").isNull())
+    rejected = (good_units.where(F.col("violation").isNotNull())
+                .groupBy("batch_id").agg(F.min("violation").alias("reason")))
+    if spec.unique_key and spec.key and dedupe_version is None:
+        good_rows = conformed.join(good_units.select("source_id", "batch_id"),
+                                   ["source_id", "batch_id"], "left_semi")
+        rejected = (rejected.unionByName(duplicate_key_batches(good_rows, spec.key))
+                    .groupBy("batch_id").agg(F.min("reason").alias("reason")))
+    loadable = good_units.join(rejected.select("batch_id"), "batch_id", "left_anti").select(
+        "source_id", "batch_id")
+    if persist:
+        loadable = bounded(loadable, opts.max_broadcast_units)
+    accepted = conformed.join(loadable, ["source_id", "batch_id"], "left_semi")
     if dedupe_version is not None and spec.key:
         accepted = replacing_merge(accepted, list(spec.key) + ["batch_id"], dedupe_version)
-    return conformed, accepted, failed, rejected
+    return conformed, units, accepted, failed, rejected
 
 
 def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions | None = None,
@@ -73,55 +128,50 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
     """Load one batch of units into ``target``.
 
     Unit failures (parse, mapping, conversion) quarantine only their unit.
-    A constraint violation rejects the batch: with rollback-on-failure this
+    A constraint violation rejects its batch: with rollback-on-failure this
     raises :class:`BatchRolledBack` before anything is written; otherwise
     the batch's units are routed to ``failure``.  An insert error routes the
-    batch's good units to ``retry`` (transient) or ``failure``."""
+    batch's good units to ``retry`` (transient) or ``failure``.  An empty
+    batch is a no-op."""
     opts = (opts or LoadOptions()).validate()
-    conformed, accepted, failed, rejected = plan_load(records, spec, opts, open_records,
-                                                      batch_id, dedupe_version, persist=True)
+    conformed, units, accepted, failed, rejected = plan_load(
+        records, spec, opts, open_records, batch_id, dedupe_version, persist=True)
     try:
-        # both verdict tables are small (one row per failed unit / batch)
-        failed = failed.persist(StorageLevel.MEMORY_AND_DISK)
-        failed.count()
+        n_units = units.count()                       # verdict pass
         rejected = rejected.persist(StorageLevel.MEMORY_AND_DISK)
-        n_rejected = rejected.count()
+        first_rejection = rejected.select("reason").first() if n_units else None
+        if first_rejection is not None and opts.rollback_on_failure:
+            raise BatchRolledBack(f"batch rejected by the target's constraints: {first_rejection[0]}")
         outcome: BaseException | None = None
-        if n_rejected and opts.rollback_on_failure:
-            reason = rejected.select("reason").first()[0]
-            raise BatchRolledBack(f"batch rejected by the target's constraints: {reason}")
-        # rejected batches are already excluded from ``accepted``
-        try:
-            bulk_insert(accepted.select(*spec.names), target, opts)
-        except Exception as e:  # noqa: BLE001 - routed, not swallowed
-            if opts.rollback_on_failure:
-                raise BatchRolledBack(str(e)) from e
-            outcome = e
-        per_unit = (conformed.groupBy("source_id", "batch_id")
-                    .agg(F.count(F.lit(1)).alias("n_records")))
-        units = _route(per_unit, failed, rejected, outcome)
-        units = units.persist(StorageLevel.MEMORY_AND_DISK)
-        units.count()
+        if n_units:
+            try:                                      # insert pass
+                bulk_insert(accepted.select(*spec.names), target, opts)
+            except Exception as e:  # noqa: BLE001 - routed, not swallowed
+                if opts.rollback_on_failure:
+                    raise BatchRolledBack(str(e)) from e
+                outcome = e
+        routed = _route(units, rejected, outcome).persist(StorageLevel.MEMORY_AND_DISK)
+        routed.count()
+        failed = failed.persist(StorageLevel.MEMORY_AND_DISK)
+        failed.count()
         loaded = accepted if outcome is None else accepted.limit(0)
-        return LoadResult(loaded, units, failed, rejected, outcome)
+        return LoadResult(loaded, routed, failed, rejected, outcome, n_units)
     finally:
+        units.unpersist()
         conformed.unpersist()
 
 
-def _route(per_unit: DataFrame, failed: DataFrame, rejected: DataFrame,
-           outcome: BaseException | None) -> DataFrame:
+def _route(units: DataFrame, rejected: DataFrame, outcome: BaseException | None) -> DataFrame:
     if outcome is None:
         batch_route, batch_err = F.lit("success"), F.lit(None).cast("string")
     else:
         batch_route = F.lit("retry" if is_transient(outcome) else "failure")
         batch_err = F.lit((str(outcome).splitlines() or [UNKNOWN])[0][:1000])
-    j = (per_unit.join(failed.select("source_id", F.col("error").alias("__ue")), "source_id", "left")
-         .join(rejected.select("batch_id", F.col("reason").alias("__be")), "batch_id", "left"))
-    route = (F.when(F.col("__ue").isNotNull(), F.lit("failure"))
+    j = units.join(rejected.select("batch_id", F.col("reason").alias("__be")), "batch_id", "left")
+    route = (F.when(F.col("error").isNotNull(), F.lit("failure"))
              .when(F.col("__be").isNotNull(), F.lit("failure"))
              .otherwise(batch_route))
-    err = F.coalesce(F.col("__ue"), F.col("__be"),
-                     F.when(batch_route != F.lit("success"), batch_err))
+    err = F.coalesce(F.col("error"), F.col("__be"), F.when(batch_route != F.lit("success"), batch_err))
     rows = F.when(route == F.lit("success"), F.col("n_records")).otherwise(F.lit(0)).cast("long")
     return j.select("source_id", "batch_id", route.alias("route"), rows.alias("rows"),
                     err.alias("error"))

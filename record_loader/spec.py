@@ -63,18 +63,20 @@ class TargetSpec:
 
     ``checks`` are SQL boolean expressions over target column names (a row
     breaking one rejects its whole batch, like a CHECK constraint);
-    ``key`` is the primary / ordering key (duplicates inside one batch reject
-    the batch when ``unique_key`` is set, and drive ``replacing_merge``).
+    ``key`` is the primary / ordering key; it drives ``replacing_merge``.
+    With ``unique_key`` a key held twice inside one batch rejects the batch
+    before the insert.  That check shuffles every row by key, so it is
+    opt-in: a relational target enforces its own primary key at insert time.
     """
 
     name: str
     columns: tuple[ColumnSpec, ...]
     key: tuple[str, ...] = ()
     checks: tuple[str, ...] = ()
-    unique_key: bool = True
+    unique_key: bool = False
 
     @staticmethod
-    def of(name: str, columns, key=(), checks=(), unique_key=True) -> "TargetSpec":
+    def of(name: str, columns, key=(), checks=(), unique_key=False) -> "TargetSpec":
         cols = tuple(c if isinstance(c, ColumnSpec) else ColumnSpec.of(*c) for c in columns)
         spec = TargetSpec(name, cols, tuple(key), tuple(checks), unique_key)
         names = [c.name for c in cols]

@@ -13,13 +13,12 @@ checkpoint does not advance and a restart replays the same files.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import CORRUPT
-from ..plans.load import BatchRolledBack, load_batch
+from ..plans.load import load_batch
 from ..sinks.targets import write_routes
 from ..sources.files import OPEN_SCHEMA, parse_records, wrap_single
 from ..spec import LoadOptions, TargetSpec
@@ -60,14 +59,30 @@ def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "
     return df.select(F.col("_metadata.file_path").alias("source_id"), *df.columns)
 
 
+def _receipt_path(receipts_path: str, load_name: str, batch_id: int) -> str:
+    return f"{receipts_path.rstrip('/')}/load_name={load_name}/batch_id={batch_id}"
+
+
 def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, batch_id: int) -> bool:
+    """A micro-batch is committed when its receipt partition exists.  The
+    check resolves one path (no scan of earlier receipts, no job)."""
     if not receipts_path:
         return False
     try:
-        r = spark.read.schema(RECEIPT_SCHEMA).parquet(receipts_path)
-    except Exception:  # noqa: BLE001 - no receipts yet
+        spark.read.schema("source_id string").parquet(_receipt_path(receipts_path, load_name, batch_id))
+        return True
+    except Exception:  # noqa: BLE001 - path does not exist
         return False
-    return r.where((F.col("load_name") == load_name) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
+
+
+def write_receipts(units: DataFrame, receipts_path: str) -> None:
+    """Receipts partitioned by (load_name, batch_id): one folder per
+    committed micro-batch, written by one job (atomic commit)."""
+    units.write.mode("append").partitionBy("load_name", "batch_id").parquet(receipts_path)
+
+
+def read_receipts(spark: SparkSession, receipts_path: str) -> DataFrame:
+    return spark.read.parquet(receipts_path)
 
 
 def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
@@ -83,15 +98,14 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
         spark = batch.sparkSession
         if _committed(spark, receipts_path, load_name, batch_id):
             return                                   # replayed batch, already loaded
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if "pos" not in batch.columns:
+            batch = batch.withColumn("pos", F.monotonically_increasing_id())
+        result = load_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
+                            spec, target, opts, open_records=open_records,
+                            dedupe_version=dedupe_version)
         try:
-            if batch.isEmpty():
+            if not result.n_units:
                 return                               # empty queue: no-op
-            if "pos" not in batch.columns:
-                batch = batch.withColumn("pos", F.monotonically_increasing_id())
-            result = load_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                                spec, target, opts, open_records=open_records,
-                                dedupe_version=dedupe_version)
             units = result.units.select(
                 F.lit(load_name).alias("load_name"), "batch_id", "source_id", "route", "rows",
                 "error", F.lit(target.url).alias("destination"),
@@ -99,12 +113,9 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
             if routes_path:
                 write_routes(units, routes_path)
             if receipts_path:
-                units.write.mode("append").parquet(receipts_path)
-            result.units.unpersist()
-        except BatchRolledBack:
-            raise
+                write_receipts(units, receipts_path)
         finally:
-            batch.unpersist()
+            result.release()
     return run
 
 
@@ -158,5 +169,5 @@ def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, tar
         F.lit(target.url).alias("destination"), F.lit(attempt).cast("int").alias("attempt"))
     write_routes(units, out_routes)
     if receipts_path:
-        units.write.mode("append").parquet(receipts_path)
+        write_receipts(units, receipts_path)
     return result
