@@ -118,13 +118,27 @@ def timestamp_from_seconds(d: Column) -> Column:
     return F.timestamp_micros(micros)
 
 
+# Declared formats that are ISO-8601 shapes: Spark's own string -> timestamp
+# cast parses them without the pattern formatter.
+ISO_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss",
+               "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss")
+
+
 def flexible_timestamp(c: Column, fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS",
                        dt: T.DataType = T.TimestampType()) -> Conv:
     """Text -> timestamp: the declared format, else integral epoch ms / µs,
-    else decimal epoch seconds, else any ISO-8601 form Spark knows."""
+    else decimal epoch seconds, else any ISO-8601 form Spark knows.
+
+    When the declared format is an ISO shape, text shaped like a date
+    (``dddd-``) takes the built-in cast first; it accepts exactly what the
+    formatter and the final ISO fallback accept together, only faster."""
     s = F.trim(c)
+    if fmt in ISO_FORMATS:
+        first = F.when(F.substring(s, 5, 1) == F.lit("-"), s.try_cast("timestamp"))
+    else:
+        first = F.try_to_timestamp(s, F.lit(fmt))
     value = F.coalesce(
-        F.try_to_timestamp(s, F.lit(fmt)),
+        first,
         F.when(s.rlike(INTEGRAL_RX), timestamp_from_epoch(s.try_cast("long"))),
         F.when(s.rlike(DECIMAL_RX), timestamp_from_seconds(s)),
         F.try_to_timestamp(s),
