@@ -175,3 +175,30 @@ def _route(units: DataFrame, rejected: DataFrame, outcome: BaseException | None)
     rows = F.when(route == F.lit("success"), F.col("n_records")).otherwise(F.lit(0)).cast("long")
     return j.select("source_id", "batch_id", route.alias("route"), rows.alias("rows"),
                     err.alias("error"))
+
+
+def load_per_target(records: DataFrame, units: DataFrame, template: str, targets: dict,
+                    opts: LoadOptions | None = None, open_records: bool = False,
+                    max_broadcast_units: int = 1_000_000):
+    """Every unit names its target through ``${attr}`` in
+    ``template``; each known target gets its own load of its units' records.
+
+    ``units`` has one row per unit (``source_id`` + attribute columns);
+    ``targets`` maps a table name to ``(TargetSpec, target)``.  Units whose
+    resolved name is blank or unknown are returned as failure routes.  The
+    loop runs over the caller's list of tables, never over collected data.
+    Returns ``({name: LoadResult}, missing_units)``."""
+    from ..operators.routing import missing_target, resolve_target
+
+    spark = records.sparkSession
+    resolved = resolve_target(units, template).persist(StorageLevel.MEMORY_AND_DISK)
+    known = spark.createDataFrame([(t,) for t in targets], "target string")
+    missing = (missing_target(resolved, known)
+               .select("source_id", "target", F.lit("failure").alias("route"), "error"))
+    results = {}
+    for name, (spec, target) in targets.items():
+        ids = bounded(resolved.where(F.col("target") == F.lit(name)).select("source_id"),
+                      max_broadcast_units)
+        results[name] = load_batch(records.join(ids, "source_id", "left_semi"), spec, target,
+                                   opts, open_records)
+    return results, missing

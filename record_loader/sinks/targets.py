@@ -9,7 +9,7 @@ Targets:
   ``parallel`` plain parallel append (auto-commit; not atomic).
 - ``PathTarget``: files under a path (parquet / orc / json ...), appended
   with Spark's job commit protocol: one job per batch.
-- ``TableTarget``: a catalog table (``writeTo(...).append()``).
+- ``TableTarget``: a catalog table (``insertInto``, columns in the table's order).
 """
 
 from __future__ import annotations
@@ -83,7 +83,9 @@ class TableTarget:
         return f"table:{self.name}"
 
     def append(self, df: DataFrame, opts=None) -> None:
-        df.writeTo(self.name).append()
+        # insertInto is positional: put the columns in the table's own order
+        cols = df.sparkSession.table(self.name).columns
+        df.select(*cols).write.insertInto(self.name)
 
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         return spark.table(self.name)

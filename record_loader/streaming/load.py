@@ -135,6 +135,20 @@ def stream_load(stream: DataFrame, spec: TargetSpec, target, opts: LoadOptions,
     return w.start()
 
 
+def load_directory(spark: SparkSession, path: str, spec: TargetSpec, target, opts: LoadOptions,
+                   checkpoint: str, load_name: str, schema=None, fmt: str = "json",
+                   open_records: bool = False, routes_path: str | None = None,
+                   receipts_path: str | None = None, on_failure: str = "route", **options):
+    """B1 for a folder of record files: drain it in batches of up to
+    ``opts.max_units`` files (0 = one batch), one load per batch, and stop.
+    The same checkpoint makes a rerun pick up only files not loaded yet."""
+    stream = read_record_stream(spark, path, schema, fmt, opts.max_units, open_records, **options)
+    q = stream_load(stream, spec, target, opts, checkpoint, load_name, routes_path, receipts_path,
+                    open_records, on_failure, "availableNow")
+    q.awaitTermination()
+    return q
+
+
 def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, target,
             opts: LoadOptions, load_name: str, receipts_path: str | None = None,
             max_attempts: int = 3, fmt: str = "json", open_records: bool = False,

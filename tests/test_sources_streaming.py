@@ -133,3 +133,45 @@ def test_batch_load_of_files_one_insert(spark, tmp_dir):
                      LoadOptions(max_units=5))
     assert [tuple(r) for r in res.units.select("route", "rows").collect()] == [("success", 11)]
     assert target.read(spark).count() == 11
+
+
+def test_load_directory_batches_by_units(spark, tmp_dir):
+    from record_loader.streaming import load_directory, read_receipts
+    src = _files(tmp_dir, n=5)
+    target = PathTarget(os.path.join(tmp_dir, "out"))
+    receipts = os.path.join(tmp_dir, "receipts")
+    load_directory(spark, src, SPEC, target, LoadOptions(max_units=2), os.path.join(tmp_dir, "ckpt"),
+                   "dir", schema=SCHEMA, receipts_path=receipts)
+    sizes = [r[1] for r in read_receipts(spark, receipts).groupBy("batch_id").count().orderBy("batch_id").collect()]
+    assert sizes == [2, 2, 1]
+    # a rerun with the same checkpoint loads nothing twice
+    load_directory(spark, src, SPEC, target, LoadOptions(max_units=2), os.path.join(tmp_dir, "ckpt"),
+                   "dir", schema=SCHEMA, receipts_path=receipts)
+    assert sorted(r.id for r in target.read(spark).collect()) == list(range(5))
+
+
+def test_one_load_per_target(spark, tmp_dir):
+    from record_loader.plans import load_per_target
+    recs = spark.createDataFrame([("a", 0, 1, "x", 1), ("b", 0, 2, "y", 2), ("c", 0, 3, "z", 3),
+                                  ("d", 0, 4, "w", 4)], "source_id string, pos long, id int, name string, code int")
+    units = spark.createDataFrame([("a", "T1"), ("b", "T2"), ("c", "T9"), ("d", None)],
+                                  "source_id string, table string")
+    t1, t2 = PathTarget(os.path.join(tmp_dir, "t1")), PathTarget(os.path.join(tmp_dir, "t2"))
+    results, missing = load_per_target(recs, units, "${table}", {"T1": (SPEC, t1), "T2": (SPEC, t2)})
+    assert [r.id for r in t1.read(spark).collect()] == [1]
+    assert [r.id for r in t2.read(spark).collect()] == [2]
+    miss = {r.source_id: r.error for r in missing.collect()}
+    assert set(miss) == {"c", "d"} and "T9" in miss["c"]
+
+
+def test_catalog_table_target(spark, tmp_dir):
+    from record_loader.sinks import TableTarget
+    spark.sql(f"CREATE TABLE IF NOT EXISTS persons_tbl (id INT, name STRING, code INT) USING parquet "
+              f"LOCATION '{tmp_dir}/tbl'")
+    try:
+        recs = spark.createDataFrame([("u", 0, 1, "rec1", 101)], "source_id string, pos long, id int, name string, code int")
+        res = load_batch(recs, TargetSpec.from_table(spark, "persons_tbl"), TableTarget("persons_tbl"))
+        assert res.outcome is None
+        assert [tuple(r) for r in spark.table("persons_tbl").collect()] == [(1, "rec1", 101)]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS persons_tbl")
