@@ -61,24 +61,58 @@ def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
     return conform(records, spec, opts)
 
 
-def violation_reason(spec: TargetSpec, opts: LoadOptions) -> Column:
-    """The first constraint a row breaks (CHECK expressions, then NOT NULL
-    of required columns), or NULL."""
+def _constraints(spec: TargetSpec, opts: LoadOptions) -> list[tuple[Column, str]]:
+    """(broken?, message) for every CHECK expression, then NOT NULL of each
+    required column, in that order."""
     conds = [(~F.coalesce(F.expr(c), F.lit(True)), f"CHECK constraint violated: {c}") for c in spec.checks]
     if opts.on_null_required == "keep":
         conds += [(F.col(r).isNull(), f"NOT NULL constraint violated: {r}") for r in spec.required]
+    return conds
+
+
+def violation_reason(spec: TargetSpec, opts: LoadOptions) -> Column:
+    """The first constraint a row breaks, or NULL."""
+    conds = _constraints(spec, opts)
     if not conds:
         return F.lit(None).cast("string")
     return F.coalesce(*[F.when(c, F.lit(m)) for c, m in conds])
 
 
-def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions) -> DataFrame:
-    """One row per (unit, batch): records, first error, first violation."""
+def _violation_code(conds) -> Column:
+    """1-based index of the first constraint a row breaks (an int, so the
+    aggregate over it is hash-based), or NULL."""
+    if not conds:
+        return F.lit(None).cast("int")
+    return F.coalesce(*[F.when(c, F.lit(i + 1)) for i, (c, _) in enumerate(conds)])
+
+
+def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions,
+                  max_broadcast_units: int = 1_000_000) -> DataFrame:
+    """One row per (unit, batch): records, first error, first violation.
+
+    Every aggregate buffer is fixed-width (a count, the first failing
+    position, the first constraint's index), so Spark aggregates by hash,
+    map-side first.  The error *text* is then read only for failed units:
+    their first failing rows, found by a (size-checked) broadcast join."""
+    conds = _constraints(spec, opts)
     bad = F.col(ERROR).isNotNull()
-    return conformed.groupBy("source_id", "batch_id").agg(
+    stats = conformed.groupBy("source_id", "batch_id").agg(
         F.count(F.lit(1)).alias("n_records"),
-        F.min_by(F.coalesce(F.col(ERROR), F.lit(UNKNOWN)), F.when(bad, F.col("pos"))).alias("error"),
-        F.min(violation_reason(spec, opts)).alias("violation"))
+        F.min(F.when(bad, F.col("pos"))).alias("__bad_pos"),
+        F.min(_violation_code(conds)).alias("__vcode"))
+    first_bad = stats.where(F.col("__bad_pos").isNotNull()).select(
+        "source_id", "batch_id", F.col("__bad_pos").alias("pos"))
+    messages = (conformed.where(bad)
+                .join(bounded(first_bad, max_broadcast_units), ["source_id", "batch_id", "pos"], "left_semi")
+                .groupBy("source_id", "batch_id").agg(F.min(ERROR).alias("__msg")))
+    msgs = F.array(*[F.lit(m) for _, m in conds]) if conds else None
+    violation = (F.when(F.col("__vcode").isNotNull(), F.element_at(msgs, F.col("__vcode")))
+                 if conds else F.lit(None).cast("string"))
+    return (stats.join(messages, ["source_id", "batch_id"], "left")
+            .select("source_id", "batch_id", "n_records",
+                    F.when(F.col("__bad_pos").isNotNull(), F.coalesce(F.col("__msg"), F.lit(UNKNOWN)))
+                     .alias("error"),
+                    violation.alias("violation")))
 
 
 def duplicate_key_batches(rows: DataFrame, key) -> DataFrame:
@@ -100,7 +134,7 @@ def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = N
         conformed = conformed.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
     if persist:
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    units = unit_verdicts(conformed, spec, opts)
+    units = unit_verdicts(conformed, spec, opts, opts.max_broadcast_units)
     if persist:
         units = units.persist(StorageLevel.MEMORY_AND_DISK)
     failed = units.where(F.col("error").isNotNull()).select("source_id", "batch_id", "error")

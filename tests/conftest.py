@@ -21,6 +21,7 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", f"{ckpt}/warehouse")
          .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={ckpt}")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
