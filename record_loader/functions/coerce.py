@@ -229,6 +229,22 @@ def null_to_default(c: Column, dt: T.DataType) -> Column:
     return F.coalesce(c, type_default(dt))
 
 
+# Extension point: caller conversions, as Column expressions ------------------------------
+_REGISTRY: dict[tuple[str, str], object] = {}
+
+
+def register_conversion(source_type: str, target_type: str, fn) -> None:
+    """Register ``fn(Column) -> Column`` (or ``-> (value, error)``) for one
+    (source type, column type) pair, named by Spark simple type strings such
+    as ``"string"`` / ``"decimal(10,2)"``.  It takes precedence over the
+    built-in rules; the expression stays JVM-side like every other one."""
+    _REGISTRY[(source_type, target_type)] = fn
+
+
+def unregister_conversion(source_type: str, target_type: str) -> None:
+    _REGISTRY.pop((source_type, target_type), None)
+
+
 # Dispatch on (source type, column type) ---------------------------------------------
 def coerce_value(c: Column, src: T.DataType, col, opts, field: str | None = None) -> Conv:
     """Convert one field to one target column (``col`` is a ColumnSpec).
@@ -247,6 +263,12 @@ def coerce_value(c: Column, src: T.DataType, col, opts, field: str | None = None
 
 def _coerce(c: Column, src: T.DataType, col, opts, field: str) -> Conv:
     dt = col.dtype
+    custom = _REGISTRY.get((type_label(src), type_label(dt)))
+    if custom is not None:
+        out = custom(c)
+        if isinstance(out, tuple):
+            return out
+        return out, failed(c, out, f"Cannot convert field '{field}' for column '{col.name}'")
     if src == dt:
         return c, F.lit(None).cast("string")
     msg = (f"Cannot convert field '{field}' of type {type_label(src)} "

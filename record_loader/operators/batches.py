@@ -2,29 +2,57 @@
 merge (W1).
 
 Batch planning runs over the *unit* table (one row per input file / source
-id), never over records; its window is partitioned by target.
+id), never over records, and numbers units without gathering them in one
+task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 # B1 -----------------------------------------------------------------------------------
 def plan_batches(units: DataFrame, max_units: int, order_cols=("arrival", "source_id"),
-                 partition_cols=("target",), out: str = "batch_id") -> DataFrame:
-    """Number batches of up to ``max_units`` units in arrival order
-    (0 = every queued unit in batch 0).  ``max_units`` counts units, not
-    rows: a unit of a million records is still one unit."""
+                 partition_cols=("target",), out: str = "batch_id",
+                 num_partitions: int | None = None) -> DataFrame:
+    """Number batches of up to ``max_units`` units in arrival order, per
+    target (0 = every queued unit in batch 0).  ``max_units`` counts units,
+    not rows: a unit of a million records is still one unit.
+
+    The numbering is distributed: units are range-partitioned on the
+    arrival order, each range counts its units per target (one small row per
+    range and target reaches the driver), prefix sums give every range its
+    offset, and a window *inside* each range adds the local position.  No
+    task ever holds the whole unit table."""
     order = [c for c in order_cols if c in units.columns]
     parts = [c for c in partition_cols if c in units.columns]
     if max_units <= 0:
         return units.withColumn(out, F.lit(0).cast("long"))
-    w = Window.partitionBy(*parts).orderBy(*order)
-    return units.withColumn(out, F.floor((F.row_number().over(w) - 1) / F.lit(max_units)).cast("long"))
+    spark = units.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = (units.repartitionByRange(n, *parts, *order)
+              .withColumn("__p", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    counts = ranged.groupBy("__p", *parts).agg(F.count(F.lit(1)).alias("__n")).collect()
+    running: dict[tuple, int] = {}
+    rows = []
+    for r in sorted(counts, key=lambda r: r["__p"]):
+        key = tuple(r[c] for c in parts)
+        rows.append((r["__p"], *key, running.get(key, 0)))
+        running[key] = running.get(key, 0) + r["__n"]
+    schema = ", ".join(["__p int"] + [f"`{c}` {units.schema[c].dataType.simpleString()}" for c in parts]
+                       + ["__off long"])
+    offsets = spark.createDataFrame(rows, schema)
+    w = Window.partitionBy("__p", *parts).orderBy(*order)
+    idx = F.col("__off") + F.row_number().over(w) - 1
+    out_df = (ranged.join(F.broadcast(offsets), ["__p", *parts], "inner")  # one row per range and target
+              .withColumn(out, F.floor(idx / F.lit(max_units)).cast("long"))
+              .drop("__p", "__off"))
+    return out_df.select(*units.columns, out)
 
 
 # B2 -----------------------------------------------------------------------------------

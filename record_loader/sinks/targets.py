@@ -28,15 +28,19 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     ``spark.checkpoint.dir``.  Only when it is unset (local runs, tests) a
     fresh temporary folder is set as the checkpoint dir."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        sc = spark.sparkContext
-        base = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-        if base:
-            base = os.path.dirname(base.rstrip("/"))
+    sc = None
+    try:
+        sc = spark.sparkContext          # classic sessions only
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
+    if not base and sc is not None and hasattr(sc, "getCheckpointDir"):
+        ckpt = sc.getCheckpointDir()
+        base = os.path.dirname(ckpt.rstrip("/")) if ckpt else None
     if not base:
         base = tempfile.mkdtemp(prefix="record-loader-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

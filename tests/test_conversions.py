@@ -144,3 +144,15 @@ def test_binary_of_text_opt_in(spark):
     assert conform(df, spec).first()[ERROR] is not None          # default: rejected
     r = conform(df, spec, LoadOptions(binary_from="text")).first()
     assert bytes(r.b) == b"123" and r[ERROR] is None
+
+
+def test_registered_conversion(spark):
+    C.register_conversion("string", "int", lambda c: F.when(c == "one", F.lit(1)).otherwise(c.try_cast("int")))
+    try:
+        spec = TargetSpec.of("t", [("n", "int")])
+        df = spark.createDataFrame([("one",), ("2",), ("x",)], "n string")
+        rows = conform(df, spec).collect()
+        assert [r.n for r in rows] == [1, 2, None]
+        assert [r[ERROR] is None for r in rows] == [True, True, False]
+    finally:
+        C.unregister_conversion("string", "int")

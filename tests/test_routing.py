@@ -69,3 +69,11 @@ def test_replacing_merge_latest_and_idempotent(spark):
     assert sorted(tuple(r) for r in once.collect()) == [(1, 3, "c"), (2, 1, "x")]
     twice = replacing_merge(once, "k", "v")
     assert sorted(tuple(r) for r in twice.collect()) == sorted(tuple(r) for r in once.collect())
+
+
+def test_plan_batches_per_target_distributed(spark):
+    rows = [(f"a{i:03d}", i, "T1") for i in range(25)] + [(f"b{i:03d}", 100 + i, "T2") for i in range(7)]
+    units = spark.createDataFrame(rows, "source_id string, arrival long, target string")
+    got = {r.source_id: r.batch_id for r in plan_batches(units, 4, num_partitions=5).collect()}
+    assert [got[f"a{i:03d}"] for i in range(25)] == [i // 4 for i in range(25)]
+    assert [got[f"b{i:03d}"] for i in range(7)] == [i // 4 for i in range(7)]
