@@ -468,7 +468,7 @@ def binary_utf8(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     spec = TargetSpec.of("blobs", [("doc_id", "bigint"), ("lang", "binary"), ("text", "binary")])
     c = conform(docs, spec, LoadOptions(binary_format="utf-8"))
-    return c.select("doc_id", F.hex("lang").alias("lang_hex"), F.octet_length("text").alias("text_bytes"))
+    return c.select("doc_id", F.hex("lang").alias("lang_hex"), F.octet_length("text").cast("long").alias("text_bytes"))
 
 
 def binary_hex(spark, sf):
