@@ -158,7 +158,7 @@ def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = N
 
 def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions | None = None,
                open_records: bool = False, batch_id: int | None = None,
-               dedupe_version=None) -> LoadResult:
+               dedupe_version=None, token: str | None = None) -> LoadResult:
     """Load one batch of units into ``target``.
 
     Unit failures (parse, mapping, conversion) quarantine only their unit.
@@ -179,7 +179,7 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
         outcome: BaseException | None = None
         if n_units:
             try:                                      # insert pass
-                bulk_insert(accepted.select(*spec.names), target, opts)
+                bulk_insert(accepted.select(*spec.names), target, opts, token)
             except Exception as e:  # noqa: BLE001 - routed, not swallowed
                 if opts.rollback_on_failure:
                     raise BatchRolledBack(str(e)) from e

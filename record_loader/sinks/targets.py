@@ -52,30 +52,43 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+LOAD_BATCH = "load_batch"
+
+
 @dataclass
 class PathTarget:
+    """Files under ``path``.  With ``idempotent`` every load that carries a
+    token (a stream passes ``<load_name>-<batch_id>``) is written, in
+    overwrite mode, to its own ``load_batch=<token>`` folder: replaying a
+    micro-batch rewrites the same folder instead of appending twice."""
+
     path: str
     fmt: str = "parquet"
     partition_by: tuple = ()
     options: dict = field(default_factory=dict)
+    idempotent: bool = False
 
     @property
     def url(self) -> str:
         return f"{self.fmt}:{self.path}"
 
-    def append(self, df: DataFrame, opts=None) -> None:
-        w = df.write.mode("append").format(self.fmt)
+    def append(self, df: DataFrame, opts=None, token: str | None = None) -> None:
+        dest, mode = self.path, "append"
+        if self.idempotent and token is not None:
+            dest, mode = f"{self.path.rstrip('/')}/{LOAD_BATCH}={token}", "overwrite"
+        w = df.write.mode(mode).format(self.fmt)
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         for k, v in self.options.items():
             w = w.option(k, v)
-        w.save(self.path)
+        w.save(dest)
 
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         r = spark.read.format(self.fmt)
         if schema is not None:
             r = r.schema(schema)
-        return r.load(self.path)
+        df = r.load(self.path)
+        return df.drop(LOAD_BATCH) if self.idempotent else df
 
 
 @dataclass
@@ -86,7 +99,7 @@ class TableTarget:
     def url(self) -> str:
         return f"table:{self.name}"
 
-    def append(self, df: DataFrame, opts=None) -> None:
+    def append(self, df: DataFrame, opts=None, token: str | None = None) -> None:
         # insertInto is positional: put the columns in the table's own order
         cols = df.sparkSession.table(self.name).columns
         df.select(*cols).write.insertInto(self.name)
@@ -133,7 +146,7 @@ class JdbcTarget:
         except Exception as e:  # noqa: BLE001
             raise LookupError(f"Table not found: {self.table} ({str(e).splitlines()[0][:300]})") from e
 
-    def append(self, df: DataFrame, opts=None) -> None:
+    def append(self, df: DataFrame, opts=None, token: str | None = None) -> None:
         mode = opts.effective_mode if opts is not None else "single"
         self.check_exists(df.sparkSession)
         if mode == "single":
@@ -189,9 +202,13 @@ def jvm_sql_runner(spark: SparkSession, url: str, properties: dict, timeout_s: i
     return run
 
 
-def bulk_insert(df: DataFrame, target, opts=None) -> None:
-    """K1/K2: append one conformed batch to ``target`` as one insert."""
-    target.append(df, opts)
+def bulk_insert(df: DataFrame, target, opts=None, token: str | None = None) -> None:
+    """K1/K2: append one conformed batch to ``target`` as one insert.
+    ``token`` names the batch for targets that make replays idempotent."""
+    if token is None:
+        target.append(df, opts)
+    else:
+        target.append(df, opts, token=token)
 
 
 def write_routes(units: DataFrame, path: str, fmt: str = "parquet") -> None:

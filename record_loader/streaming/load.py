@@ -102,7 +102,7 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
             batch = batch.withColumn("pos", F.monotonically_increasing_id())
         result = load_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
                             spec, target, opts, open_records=open_records,
-                            dedupe_version=dedupe_version)
+                            dedupe_version=dedupe_version, token=f"{load_name}-{batch_id}")
         try:
             if not result.n_units:
                 return                               # empty queue: no-op

@@ -48,11 +48,11 @@ class FlakyTarget:
     def url(self):
         return self.inner.url
 
-    def append(self, df, opts=None):
+    def append(self, df, opts=None, token=None):
         if self.left > 0:
             self.left -= 1
             raise TransientLoadError("SQLTransientConnectionException: connection reset")
-        self.inner.append(df, opts)
+        self.inner.append(df, opts, token=token)
 
     def read(self, spark, schema=None):
         return self.inner.read(spark, schema)
@@ -69,7 +69,7 @@ def _run(spark, src, target, on_failure="route", ckpt=None, routes=None, receipt
 
 def stream_load_q(spark, sf):
     src = events_to_files(spark, sf)
-    target = PathTarget(fresh_dir(spark, "stream-target"))
+    target = PathTarget(fresh_dir(spark, "stream-target"), idempotent=True)
     _run(spark, src, target, routes=fresh_dir(spark, "routes"), receipts=fresh_dir(spark, "receipts"))
     return target.read(spark).select(*EVENT_COLS)
 
@@ -78,7 +78,7 @@ def stream_rollback_q(spark, sf):
     """The first micro-batch's insert fails; with rollback the query stops
     without advancing its checkpoint, and the restart replays the batch."""
     src = events_to_files(spark, sf)
-    inner = PathTarget(fresh_dir(spark, "rollback-target"))
+    inner = PathTarget(fresh_dir(spark, "rollback-target"), idempotent=True)
     target = FlakyTarget(inner, failures=1)
     ckpt, receipts = fresh_dir(spark, "ckpt"), fresh_dir(spark, "receipts")
     try:

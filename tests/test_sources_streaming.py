@@ -175,3 +175,18 @@ def test_catalog_table_target(spark, tmp_dir):
         assert [tuple(r) for r in spark.table("persons_tbl").collect()] == [(1, "rec1", 101)]
     finally:
         spark.sql("DROP TABLE IF EXISTS persons_tbl")
+
+
+def test_replayed_micro_batch_is_not_appended_twice(spark, tmp_dir):
+    """A crash after the insert but before the receipt replays the batch;
+    an idempotent path target rewrites the batch's folder instead."""
+    from record_loader.streaming import batch_loader
+    recs = spark.createDataFrame([("f1", 1, "rec1", 101), ("f2", 2, "rec2", 102)],
+                                 "source_id string, id int, name string, code int")
+    target = PathTarget(os.path.join(tmp_dir, "out"), idempotent=True)
+    run = batch_loader(SPEC, target, LoadOptions(), "t")
+    run(recs, 7)
+    run(recs, 7)                       # replay of the same micro-batch
+    run(recs.where(F.col("id") == 1), 8)
+    assert sorted(r.id for r in target.read(spark).collect()) == [1, 1, 2]
+    assert target.read(spark).columns == ["id", "name", "code"]
