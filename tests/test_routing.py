@@ -77,3 +77,12 @@ def test_plan_batches_per_target_distributed(spark):
     got = {r.source_id: r.batch_id for r in plan_batches(units, 4, num_partitions=5).collect()}
     assert [got[f"a{i:03d}"] for i in range(25)] == [i // 4 for i in range(25)]
     assert [got[f"b{i:03d}"] for i in range(7)] == [i // 4 for i in range(7)]
+
+
+def test_route_batches_by_outcome(spark):
+    from record_loader.operators import route_batches
+    units = spark.createDataFrame([("u1",), ("u2",)], "source_id string")
+    assert {r.route for r in route_batches(units, None).collect()} == {"success"}
+    r = route_batches(units, TransientLoadError("deadlock")).first()
+    assert r.route == "retry" and "deadlock" in r.error
+    assert route_batches(units, ValueError("bad")).first().route == "failure"
