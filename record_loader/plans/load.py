@@ -46,12 +46,14 @@ class LoadResult:
     rejected: DataFrame     # batches rejected by the target's constraints
     outcome: BaseException | None
     n_units: int = 0
+    verdicts: DataFrame | None = None   # the cached per-unit table the others derive from
 
     def release(self) -> None:
         """Drop the cached per-unit tables (they are small, but a stream
         makes one set per micro-batch)."""
-        for df in (self.units, self.failed, self.rejected):
-            df.unpersist()
+        for df in (self.verdicts, self.rejected):
+            if df is not None:
+                df.unpersist()
 
 
 def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
@@ -86,24 +88,33 @@ def _violation_code(conds) -> Column:
     return F.coalesce(*[F.when(c, F.lit(i + 1)) for i, (c, _) in enumerate(conds)])
 
 
-def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions,
-                  max_broadcast_units: int = 1_000_000) -> DataFrame:
-    """One row per (unit, batch): records, first error, first violation.
-
-    Every aggregate buffer is fixed-width (a count, the first failing
-    position, the first constraint's index), so Spark aggregates by hash,
-    map-side first.  The error *text* is then read only for failed units:
-    their first failing rows, found by a (size-checked) broadcast join."""
+def unit_stats(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions) -> DataFrame:
+    """One row per (unit, batch): records, first failing position, index of
+    the first constraint broken.  Every aggregate buffer is fixed-width, so
+    Spark aggregates by hash, map-side first."""
     conds = _constraints(spec, opts)
     bad = F.col(ERROR).isNotNull()
-    stats = conformed.groupBy("source_id", "batch_id").agg(
+    return conformed.groupBy("source_id", "batch_id").agg(
         F.count(F.lit(1)).alias("n_records"),
         F.min(F.when(bad, F.col("pos"))).alias("__bad_pos"),
         F.min(_violation_code(conds)).alias("__vcode"))
+
+
+def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions,
+                  stats: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    """One row per (unit, batch): records, first error, first violation.
+
+    The error *text* is read only for failed units: their first failing
+    rows, found by a semi-join that is broadcast when ``small`` (the unit
+    count was checked against ``max_broadcast_units``)."""
+    conds = _constraints(spec, opts)
+    stats = unit_stats(conformed, spec, opts) if stats is None else stats
     first_bad = stats.where(F.col("__bad_pos").isNotNull()).select(
         "source_id", "batch_id", F.col("__bad_pos").alias("pos"))
-    messages = (conformed.where(bad)
-                .join(bounded(first_bad, max_broadcast_units), ["source_id", "batch_id", "pos"], "left_semi")
+    if small:
+        first_bad = F.broadcast(first_bad)
+    messages = (conformed.where(F.col(ERROR).isNotNull())
+                .join(first_bad, ["source_id", "batch_id", "pos"], "left_semi")
                 .groupBy("source_id", "batch_id").agg(F.min(ERROR).alias("__msg")))
     msgs = F.array(*[F.lit(m) for _, m in conds]) if conds else None
     violation = (F.when(F.col("__vcode").isNotNull(), F.element_at(msgs, F.col("__vcode")))
@@ -125,16 +136,26 @@ def duplicate_key_batches(rows: DataFrame, key) -> DataFrame:
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
               open_records: bool = False, batch_id: int | None = None,
               dedupe_version=None, persist: bool = False):
-    """The lazy plans of a load: (conformed, units, accepted, failed,
-    rejected).  ``units`` is the per-unit verdict table; ``accepted`` holds
-    the target's columns plus ``source_id`` / ``batch_id``."""
+    """The plans of a load: (conformed, units, accepted, failed, rejected).
+
+    ``units`` is the per-unit verdict table; ``accepted`` holds the target's
+    columns plus ``source_id`` / ``batch_id``.  With ``persist`` the
+    conformed batch and the unit tables are cached and the unit count is
+    taken once (the verdict pass); it bounds both broadcasts, since the
+    failing-row keys and the loadable units are each at most one row per
+    unit.  Without it everything stays lazy and AQE picks the joins."""
     opts = (opts or LoadOptions()).validate()
     conformed = conform_records(records, spec, opts, open_records)
     if "batch_id" not in conformed.columns:
         conformed = conformed.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
+    small = None
     if persist:
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    units = unit_verdicts(conformed, spec, opts, opts.max_broadcast_units)
+    stats = unit_stats(conformed, spec, opts)
+    if persist:
+        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+        small = stats.count() <= opts.max_broadcast_units           # verdict pass
+    units = unit_verdicts(conformed, spec, opts, stats, small)
     if persist:
         units = units.persist(StorageLevel.MEMORY_AND_DISK)
     failed = units.where(F.col("error").isNotNull()).select("source_id", "batch_id", "error")
@@ -148,11 +169,14 @@ def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = N
                     .groupBy("batch_id").agg(F.min("reason").alias("reason")))
     loadable = good_units.join(rejected.select("batch_id"), "batch_id", "left_anti").select(
         "source_id", "batch_id")
-    if persist:
-        loadable = bounded(loadable, opts.max_broadcast_units)
+    if small:
+        loadable = F.broadcast(loadable)
     accepted = conformed.join(loadable, ["source_id", "batch_id"], "left_semi")
     if dedupe_version is not None and spec.key:
         accepted = replacing_merge(accepted, list(spec.key) + ["batch_id"], dedupe_version)
+    if persist:
+        units.count()                                  # error texts of failed units
+        stats.unpersist()
     return conformed, units, accepted, failed, rejected
 
 
@@ -171,10 +195,11 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
     conformed, units, accepted, failed, rejected = plan_load(
         records, spec, opts, open_records, batch_id, dedupe_version, persist=True)
     try:
-        n_units = units.count()                       # verdict pass
+        n_units = units.count()                       # served from the cache
         rejected = rejected.persist(StorageLevel.MEMORY_AND_DISK)
         first_rejection = rejected.select("reason").first() if n_units else None
         if first_rejection is not None and opts.rollback_on_failure:
+            units.unpersist()
             raise BatchRolledBack(f"batch rejected by the target's constraints: {first_rejection[0]}")
         outcome: BaseException | None = None
         if n_units:
@@ -182,16 +207,14 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
                 bulk_insert(accepted.select(*spec.names), target, opts, token)
             except Exception as e:  # noqa: BLE001 - routed, not swallowed
                 if opts.rollback_on_failure:
+                    units.unpersist()
                     raise BatchRolledBack(str(e)) from e
                 outcome = e
-        routed = _route(units, rejected, outcome).persist(StorageLevel.MEMORY_AND_DISK)
-        routed.count()
-        failed = failed.persist(StorageLevel.MEMORY_AND_DISK)
-        failed.count()
+        # routes and failed units stay lazy over the cached unit table
+        routed = _route(units, rejected, outcome)
         loaded = accepted if outcome is None else accepted.limit(0)
-        return LoadResult(loaded, routed, failed, rejected, outcome, n_units)
+        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, units)
     finally:
-        units.unpersist()
         conformed.unpersist()
 
 
