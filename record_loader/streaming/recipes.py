@@ -5,13 +5,15 @@ checkpoint folder."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
 from ..operators.routing import TransientLoadError
 from ..plans.recipes import EVENT_COLS, TS_FMT, events_spec, table
-from ..sinks.targets import PathTarget, fresh_dir
+from ..sinks.targets import PathTarget, fresh_dir, shared_dir
 from ..spec import LoadOptions
 from .load import read_record_stream, redrive, stream_load
 
@@ -21,10 +23,19 @@ EVENT_SCHEMA = ("event_id long, ts string, user_id long, event_type string, valu
                 "props string")
 
 
+_FILE_SETS: dict[tuple, str] = {}
+
+
 def events_to_files(spark: SparkSession, sf: str, bad_errors: bool = False) -> str:
     """Write ``events`` as JSON-lines files of at most ``FILE_ROWS`` records.
     With ``bad_errors`` the error events go to files of their own whose
-    ``value`` is not a number (so those units fail conversion)."""
+    ``value`` is not a number (so those units fail conversion).
+
+    The file set is a pure function of the table, so one written earlier in
+    this session (and still present) is reused; loads only read it."""
+    key = (sf, bad_errors, shared_dir(spark))
+    if key in _FILE_SETS and os.path.isdir(_FILE_SETS[key].replace("file:", "")):
+        return _FILE_SETS[key]
     path = fresh_dir(spark, "events-in")
     ev = table(spark, sf, "events").select(
         "event_id", F.date_format("ts", TS_FMT).alias("ts"), "user_id", "event_type",
@@ -35,6 +46,7 @@ def events_to_files(spark: SparkSession, sf: str, bad_errors: bool = False) -> s
         w(ev.where(F.col("event_type") == "error").withColumn("value", F.lit("n/a")))
     else:
         w(ev)
+    _FILE_SETS[key] = path
     return path
 
 
