@@ -32,10 +32,9 @@ def read_records(spark: SparkSession, paths, fmt: str = "json", schema=None,
                  **options) -> DataFrame:
     """Read record files: rows + ``source_id`` (file path) + ``pos``.
 
-    ``pos`` is the file offset-ordered position only where the format keeps
-    it (``_metadata.row_index`` for Parquet / ORC); for text formats the
-    split start and a monotonically increasing id give a stable order within
-    the file.  With ``on_malformed='quarantine'`` JSON / CSV keep corrupt
+    ``pos`` is the row's index in its file where the format keeps it
+    (``_metadata.row_index`` for Parquet); elsewhere a monotonically
+    increasing id gives a stable order within the file.  With ``on_malformed='quarantine'`` JSON / CSV keep corrupt
     rows in ``_corrupt_record`` (the unit is later quarantined)."""
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt}")
@@ -67,7 +66,7 @@ def read_records(spark: SparkSession, paths, fmt: str = "json", schema=None,
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load(_paths(paths))
-    if fmt in ("parquet", "orc"):
+    if fmt == "parquet":
         pos = F.col("_metadata.row_index")
     else:
         pos = F.monotonically_increasing_id()

@@ -116,3 +116,12 @@ def test_lob_columns(spark, tmp_dir):
     recs = records(spark, [(3, "rec3", 103, [1, 2, 3])], "id int, name string, code int, content array<int>", unit="u3")
     res = load_batch(recs, spec, target)
     assert res.units.first().route == "failure"
+
+
+def test_spec_from_jdbc(spark, db):
+    url, _ = db
+    spec = TargetSpec.from_jdbc(spark, url, "PERSONS", DRIVER, required=["ID"], key=["ID"],
+                                checks=["CODE >= 0 AND CODE < 1000"])
+    assert spec.names == ["ID", "NAME", "CODE", "DT"]
+    assert spec.required == ["ID"]
+    assert [c.dtype.simpleString() for c in spec.columns] == ["int", "string", "int", "date"]

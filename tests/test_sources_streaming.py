@@ -190,3 +190,43 @@ def test_replayed_micro_batch_is_not_appended_twice(spark, tmp_dir):
     run(recs.where(F.col("id") == 1), 8)
     assert sorted(r.id for r in target.read(spark).collect()) == [1, 1, 2]
     assert target.read(spark).columns == ["id", "name", "code"]
+
+
+def test_open_record_stream_of_single_objects(spark, tmp_dir):
+    """One JSON object per file, fields differing between files (timestamps
+    as epoch ms text, formatted text, decimal seconds; a nested record)."""
+    src = os.path.join(tmp_dir, "in")
+    objs = [{"id": 1, "name": "John Doe", "age": 50, "favorite_color": "blue"},
+            {"id": 2, "name": "John Doe", "age": 50, "dob": "1975-01-01"},
+            {"id": 3, "name": "A", "lastTransactionTime": "1707238288351"},
+            {"id": 4, "name": "B", "lastTransactionTime": "2024-02-06 11:51:28.351567"},
+            {"id": 5, "name": "C", "lastTransactionTime": "1.707238288351567E9",
+             "remarks": {"text": "New York", "lastEditedAt": "NY"}},
+            {"id": 6, "name": "D", "age": "not a number"}]
+    for i, o in enumerate(objs):
+        write(src, f"p{i}.json", json.dumps(o))
+    target = PathTarget(os.path.join(tmp_dir, "out"))
+    routes = os.path.join(tmp_dir, "routes")
+    stream_load(read_record_stream(spark, src, open_records=True, max_units=4), PERSON, target,
+                LoadOptions(), os.path.join(tmp_dir, "ckpt"), "people", routes_path=routes,
+                open_records=True).awaitTermination()
+    rows = {r.id: r for r in target.read(spark).collect()}
+    assert sorted(rows) == [1, 2, 3, 4, 5]
+    assert rows[1].favorite_color == "blue" and str(rows[2].dob) == "1975-01-01"
+    assert str(rows[3].lasttransactiontime) == "2024-02-06 16:51:28.351000"
+    assert str(rows[4].lasttransactiontime) == "2024-02-06 11:51:28.351567"
+    assert str(rows[5].lasttransactiontime) == "2024-02-06 16:51:28.351567"
+    assert rows[5].remarks == '{"text":"New York","lastEditedAt":"NY"}'
+    failed = read_routes(spark, routes, "failure").collect()
+    assert [os.path.basename(r.source_id) for r in failed] == ["p5.json"]
+
+
+def test_multiline_json_and_orc_sources(spark, tmp_dir):
+    write(tmp_dir + "/ml", "a.json", '[\n {"id": 1, "name": "rec1", "code": 101},\n {"id": 2, "name": "rec2", "code": 102}\n]')
+    recs = read_records(spark, tmp_dir + "/ml", "json", SCHEMA, multi_line=True)
+    target = PathTarget(os.path.join(tmp_dir, "ml-out"))
+    assert load_batch(recs, SPEC, target).n_units == 1
+    assert sorted(r.id for r in target.read(spark).collect()) == [1, 2]
+    spark.createDataFrame([(3, "rec3", 103)], SCHEMA).write.orc(tmp_dir + "/orc")
+    recs = read_records(spark, tmp_dir + "/orc", "orc")
+    assert [r.id for r in conform(recs, SPEC).collect()] == [3]
