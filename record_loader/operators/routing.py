@@ -36,14 +36,21 @@ def bounded(small: DataFrame, max_rows: int) -> DataFrame:
 
 # F1 / F2 ------------------------------------------------------------------------
 def unit_failures(df: DataFrame, bad: Column | None = None, error: Column | None = None,
-                  unit: str = "source_id", pos: str = "pos") -> DataFrame:
+                  unit: str = "source_id", pos: str = "pos",
+                  max_broadcast_units: int = 1_000_000) -> DataFrame:
     """One row per failed unit: the unit and the error of its first failing
-    record (by ``pos``); a failure without a message reads ``Unknown``."""
+    record (by ``pos``); a failure without a message reads ``Unknown``.
+
+    The aggregate keeps only the first failing position per unit (a
+    fixed-width buffer: hash aggregation, map-side first); the message is
+    then read from those rows alone."""
     bad = F.col(ERROR).isNotNull() if bad is None else bad
     error = F.col(ERROR) if error is None else error
     flagged = df.where(bad).select(F.col(unit), F.col(pos).alias("__pos"),
                                    F.coalesce(error, F.lit(UNKNOWN)).alias("__err"))
-    return flagged.groupBy(unit).agg(F.min_by("__err", "__pos").alias("error"))
+    first = flagged.groupBy(unit).agg(F.min("__pos").alias("__pos"))
+    return (flagged.join(bounded(first, max_broadcast_units), [unit, "__pos"], "left_semi")
+            .groupBy(unit).agg(F.min("__err").alias("error")))
 
 
 def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | None = None,
@@ -54,7 +61,7 @@ def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | N
     ``bad`` defaults to ``_error IS NOT NULL``.  Good records are those whose
     unit has no bad record: an anti join against the failed-unit table,
     broadcast when its size is checked to be within ``max_broadcast_units``."""
-    failed = unit_failures(df, bad, error, unit, pos)
+    failed = unit_failures(df, bad, error, unit, pos, max_broadcast_units)
     good = df.join(bounded(failed.select(unit), max_broadcast_units), unit, "left_anti")
     return good, failed
 
@@ -68,28 +75,31 @@ def error_annotation(failed: DataFrame) -> DataFrame:
 def constraint_violations(df: DataFrame, checks=(), required=(), key=(),
                           batch: str = "batch_id") -> DataFrame:
     """One row per batch that breaks a CHECK expression, a NOT NULL column
-    or (with ``key``) holds a key twice, with the first reason found."""
+    or (with ``key``) holds a key twice, with the first reason found.
+
+    Rows carry the index of the first constraint they break, so the
+    per-batch aggregate is a hash aggregate over an int."""
+    conds = [(~F.coalesce(F.expr(c), F.lit(True)), f"CHECK constraint violated: {c}") for c in checks]
+    conds += [(F.col(r).isNull(), f"NOT NULL constraint violated: {r}") for r in required]
     parts = []
-    conds = []
-    for chk in checks:
-        conds.append((~F.coalesce(F.expr(chk), F.lit(True)), f"CHECK constraint violated: {chk}"))
-    for r in required:
-        conds.append((F.col(r).isNull(), f"NOT NULL constraint violated: {r}"))
     if conds:
-        reason = F.coalesce(*[F.when(c, F.lit(m)) for c, m in conds])
-        parts.append(df.select(F.col(batch), reason.alias("reason")).where(F.col("reason").isNotNull())
-                     .groupBy(batch).agg(F.min("reason").alias("reason")))
+        code = F.coalesce(*[F.when(c, F.lit(i + 1)) for i, (c, _) in enumerate(conds)])
+        parts.append(df.select(F.col(batch), code.alias("__code")).where(F.col("__code").isNotNull())
+                     .groupBy(batch).agg(F.min("__code").alias("__code")))
     if key:
-        dup = (df.groupBy(batch, *key).agg(F.count(F.lit(1)).alias("__n"))
-               .where(F.col("__n") > 1)
-               .groupBy(batch).agg(F.lit(f"duplicate key ({', '.join(key)})").alias("reason")))
-        parts.append(dup)
+        dup_code = len(conds) + 1
+        parts.append(df.groupBy(batch, *key).agg(F.count(F.lit(1)).alias("__n"))
+                     .where(F.col("__n") > 1)
+                     .groupBy(batch).agg(F.lit(dup_code).alias("__code")))
     if not parts:
         return df.sparkSession.createDataFrame([], f"{batch} long, reason string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy(batch).agg(F.min("reason").alias("reason"))
+    messages = [m for _, m in conds] + ([f"duplicate key ({', '.join(key)})"] if key else [])
+    return (out.groupBy(batch).agg(F.min("__code").alias("__code"))
+            .select(batch, F.element_at(F.array(*[F.lit(m) for m in messages]), F.col("__code"))
+                    .alias("reason")))
 
 
 def enforce_constraints(df: DataFrame, checks=(), required=(), key=(), batch: str = "batch_id",
