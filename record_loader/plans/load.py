@@ -23,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.batches import replacing_merge
@@ -47,6 +47,7 @@ class LoadResult:
     outcome: BaseException | None
     n_units: int = 0
     verdicts: DataFrame | None = None   # the cached per-unit table the others derive from
+    rows_inserted: int = 0               # counted by the insert job (Observation)
 
     def release(self) -> None:
         """Drop the cached per-unit tables (they are small, but a stream
@@ -202,9 +203,14 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
             units.unpersist()
             raise BatchRolledBack(f"batch rejected by the target's constraints: {first_rejection[0]}")
         outcome: BaseException | None = None
+        rows_inserted = 0
         if n_units:
+            # A1: rows bound to the insert, counted by the insert job itself
+            obs = Observation("rows_inserted")
+            to_write = accepted.select(*spec.names).observe(obs, F.count(F.lit(1)).alias("rows"))
             try:                                      # insert pass
-                bulk_insert(accepted.select(*spec.names), target, opts, token)
+                bulk_insert(to_write, target, opts, token)
+                rows_inserted = int(obs.get.get("rows", 0))
             except Exception as e:  # noqa: BLE001 - routed, not swallowed
                 if opts.rollback_on_failure:
                     units.unpersist()
@@ -213,7 +219,7 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
         # routes and failed units stay lazy over the cached unit table
         routed = _route(units, rejected, outcome)
         loaded = accepted if outcome is None else accepted.limit(0)
-        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, units)
+        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, units, rows_inserted)
     finally:
         conformed.unpersist()
 

@@ -43,7 +43,7 @@ def test_insert_modes(spark, db, mode):
     target = JdbcTarget(url, "PERSONS", DRIVER, execute_sql=run)
     recs = records(spark, [(i, f"rec{i}", 100 + i) for i in range(1, 12)]).repartition(4)
     res = load_batch(recs, PERSONS, target, LoadOptions(mode=mode))
-    assert res.outcome is None
+    assert res.outcome is None and res.rows_inserted == 11
     assert persons(spark, url) == [(i, f"rec{i}", 100 + i) for i in range(1, 12)]
     assert [tuple(r) for r in res.units.select("route", "rows").collect()] == [("success", 11)]
 
