@@ -21,20 +21,40 @@ from .conform import ERROR
 UNKNOWN = "Unknown"
 
 
-def bounded(small: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``small`` only when its row count is proven <= ``max_rows``.
-
-    The count runs on the (already aggregated, persisted) side, so the join
-    reuses it; above the bound the caller's join stays a shuffle join, where
-    AQE may still re-plan it and split skewed partitions."""
+def size_checked(small: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """Persist ``small`` and check its row count against ``max_rows``:
+    returns (the persisted frame, whether it may be broadcast).  The count
+    runs on an already aggregated side; the persisted result is what the
+    caller's join then reads."""
     if max_rows <= 0:
-        return small
+        return small, False
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    return small, small.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded(small: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``small`` only when its row count is proven <= ``max_rows``;
+    above the bound the caller's join stays a shuffle join, where AQE may
+    still re-plan it and split skewed partitions."""
+    small, ok = size_checked(small, max_rows)
+    return F.broadcast(small) if ok else small
 
 
 # F1 / F2 ------------------------------------------------------------------------
+def _flag(df: DataFrame, bad: Column | None, error: Column | None, unit: str, pos: str):
+    bad = F.col(ERROR).isNotNull() if bad is None else bad
+    error = F.col(ERROR) if error is None else error
+    flagged = df.where(bad).select(F.col(unit), F.col(pos).alias("__pos"),
+                                   F.coalesce(error, F.lit(UNKNOWN)).alias("__err"))
+    first = flagged.groupBy(unit).agg(F.min("__pos").alias("__pos"))
+    return flagged, first
+
+
+def _messages(flagged: DataFrame, first: DataFrame, unit: str) -> DataFrame:
+    return (flagged.join(first, [unit, "__pos"], "left_semi")
+            .groupBy(unit).agg(F.min("__err").alias("error")))
+
+
 def unit_failures(df: DataFrame, bad: Column | None = None, error: Column | None = None,
                   unit: str = "source_id", pos: str = "pos",
                   max_broadcast_units: int = 1_000_000) -> DataFrame:
@@ -44,13 +64,8 @@ def unit_failures(df: DataFrame, bad: Column | None = None, error: Column | None
     The aggregate keeps only the first failing position per unit (a
     fixed-width buffer: hash aggregation, map-side first); the message is
     then read from those rows alone."""
-    bad = F.col(ERROR).isNotNull() if bad is None else bad
-    error = F.col(ERROR) if error is None else error
-    flagged = df.where(bad).select(F.col(unit), F.col(pos).alias("__pos"),
-                                   F.coalesce(error, F.lit(UNKNOWN)).alias("__err"))
-    first = flagged.groupBy(unit).agg(F.min("__pos").alias("__pos"))
-    return (flagged.join(bounded(first, max_broadcast_units), [unit, "__pos"], "left_semi")
-            .groupBy(unit).agg(F.min("__err").alias("error")))
+    flagged, first = _flag(df, bad, error, unit, pos)
+    return _messages(flagged, bounded(first, max_broadcast_units), unit)
 
 
 def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | None = None,
@@ -58,11 +73,16 @@ def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | N
                      max_broadcast_units: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Split records into (good records, failed units).
 
-    ``bad`` defaults to ``_error IS NOT NULL``.  Good records are those whose
-    unit has no bad record: an anti join against the failed-unit table,
-    broadcast when its size is checked to be within ``max_broadcast_units``."""
-    failed = unit_failures(df, bad, error, unit, pos, max_broadcast_units)
-    good = df.join(bounded(failed.select(unit), max_broadcast_units), unit, "left_anti")
+    ``bad`` defaults to ``_error IS NOT NULL``.  One aggregation finds the
+    failed units (and their first failing position); good records are an
+    anti join against that table, broadcast when its size is checked to be
+    within ``max_broadcast_units``.  The failed units' messages are read
+    lazily, from their first failing rows only."""
+    flagged, first = _flag(df, bad, error, unit, pos)
+    first, small = size_checked(first, max_broadcast_units)
+    ids = first.select(unit)
+    good = df.join(F.broadcast(ids) if small else ids, unit, "left_anti")
+    failed = _messages(flagged, F.broadcast(first) if small else first, unit)
     return good, failed
 
 
