@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.coerce import uuid_to_string
 from ..operators.batches import (batches_executed, coalesce_units, load_receipts, plan_batches,

@@ -7,7 +7,7 @@ table's constraints.  Everything else is a DataFrame.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -165,7 +165,6 @@ class LoadOptions:
     timeout_ms: int = 0
     mode: str = "single"
     max_broadcast_units: int = 1_000_000
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "LoadOptions":
         return replace(self, **kw)

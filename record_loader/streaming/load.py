@@ -23,8 +23,8 @@ from ..sinks.targets import write_routes
 from ..sources.files import OPEN_SCHEMA, parse_records, wrap_single
 from ..spec import LoadOptions, TargetSpec
 
-RECEIPT_SCHEMA = ("load_name string, batch_id long, source_id string, route string, "
-                  "rows long, error string, destination string, attempt int")
+# Receipt columns: load_name, batch_id (partition folders), source_id, route,
+# rows, error, destination, attempt.
 
 
 def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "json",
