@@ -41,31 +41,19 @@ def bounded(small: DataFrame, max_rows: int) -> DataFrame:
 
 
 # F1 / F2 ------------------------------------------------------------------------
-def _flag(df: DataFrame, bad: Column | None, error: Column | None, unit: str, pos: str):
-    bad = F.col(ERROR).isNotNull() if bad is None else bad
-    error = F.col(ERROR) if error is None else error
-    flagged = df.where(bad).select(F.col(unit), F.col(pos).alias("__pos"),
-                                   F.coalesce(error, F.lit(UNKNOWN)).alias("__err"))
-    first = flagged.groupBy(unit).agg(F.min("__pos").alias("__pos"))
-    return flagged, first
-
-
-def _messages(flagged: DataFrame, first: DataFrame, unit: str) -> DataFrame:
-    return (flagged.join(first, [unit, "__pos"], "left_semi")
-            .groupBy(unit).agg(F.min("__err").alias("error")))
-
-
 def unit_failures(df: DataFrame, bad: Column | None = None, error: Column | None = None,
-                  unit: str = "source_id", pos: str = "pos",
-                  max_broadcast_units: int = 1_000_000) -> DataFrame:
+                  unit: str = "source_id", pos: str = "pos") -> DataFrame:
     """One row per failed unit: the unit and the error of its first failing
     record (by ``pos``); a failure without a message reads ``Unknown``.
 
-    The aggregate keeps only the first failing position per unit (a
-    fixed-width buffer: hash aggregation, map-side first); the message is
-    then read from those rows alone."""
-    flagged, first = _flag(df, bad, error, unit, pos)
-    return _messages(flagged, bounded(first, max_broadcast_units), unit)
+    One pass: the filter runs before the aggregate, so ``min_by`` (a
+    sort-based aggregate, its buffer holds text) only sorts failing rows,
+    map-side first."""
+    bad = F.col(ERROR).isNotNull() if bad is None else bad
+    error = F.col(ERROR) if error is None else error
+    flagged = df.where(bad).select(F.col(unit), F.col(pos).alias("__pos"),
+                                   F.coalesce(error, F.lit(UNKNOWN)).alias("__err"))
+    return flagged.groupBy(unit).agg(F.min_by("__err", "__pos").alias("error"))
 
 
 def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | None = None,
@@ -73,17 +61,15 @@ def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | N
                      max_broadcast_units: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Split records into (good records, failed units).
 
-    ``bad`` defaults to ``_error IS NOT NULL``.  One aggregation finds the
-    failed units (and their first failing position); good records are an
-    anti join against that table, broadcast when its size is checked to be
-    within ``max_broadcast_units``.  The failed units' messages are read
-    lazily, from their first failing rows only."""
-    flagged, first = _flag(df, bad, error, unit, pos)
-    first, small = size_checked(first, max_broadcast_units)
-    ids = first.select(unit)
+    ``bad`` defaults to ``_error IS NOT NULL``.  The failed unit ids (a
+    distinct over failing rows: hash aggregation, no buffer) are counted
+    once; good records are an anti join against them, broadcast when that
+    count is within ``max_broadcast_units``.  The failed units' messages
+    (:func:`unit_failures`) are computed only if used."""
+    flag = F.col(ERROR).isNotNull() if bad is None else bad
+    ids, small = size_checked(df.where(flag).select(unit).distinct(), max_broadcast_units)
     good = df.join(F.broadcast(ids) if small else ids, unit, "left_anti")
-    failed = _messages(flagged, F.broadcast(first) if small else first, unit)
-    return good, failed
+    return good, unit_failures(df, bad, error, unit, pos)
 
 
 def error_annotation(failed: DataFrame) -> DataFrame:
