@@ -32,6 +32,26 @@ def _meta(df: DataFrame, keep) -> list[str]:
     return [c for c in df.columns if c in keep]
 
 
+def spread_narrow(records: DataFrame) -> DataFrame:
+    """A batch that arrives in fewer partitions than the cluster has cores
+    (a few large or unsplittable files) is hash-partitioned on its record
+    identity (``source_id``, ``pos``) before the CPU-heavy conversion, so
+    every core converts a share.  The identity is unique per record, so the
+    spread is even whatever the unit sizes, and needs no sort (unlike a
+    round-robin repartition).  Inputs already as wide as the cluster are
+    left alone, which on a cluster is the normal case."""
+    if "source_id" not in records.columns or "pos" not in records.columns:
+        return records
+    try:
+        cores = records.sparkSession.sparkContext.defaultParallelism
+        parts = records.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): leave as is
+        return records
+    if parts >= cores:
+        return records
+    return records.repartition(cores, "source_id", "pos")
+
+
 def join_errors(errs: list[Column]) -> Column:
     """Concatenate the non-null messages; NULL when there are none."""
     if not errs:
@@ -80,6 +100,9 @@ def conform(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
     for f in fields:
         by_norm[normalize_name(f.name, opts.translation, opts.pattern)] = f
     lookup = spec.lookup(opts.translation, opts.pattern)
+    converts = any(n in by_norm and by_norm[n].dataType != c.dtype for n, c in lookup.items())
+    if opts.spread_narrow_input and converts:
+        df = spread_narrow(df)
 
     errors: list[Column] = []
     warnings: list[Column] = []
@@ -132,6 +155,8 @@ def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
     opts = (opts or LoadOptions()).validate()
     meta = [m for m in _meta(df, keep) if m != fields]
     lookup = spec.lookup(opts.translation, opts.pattern)
+    if opts.spread_narrow_input:                 # every open value is converted from text
+        df = spread_narrow(df)
     staged = df.select(*[F.col(x) for x in meta], F.col(fields).alias("__f"),
                        normalized_keys(F.col(fields), opts.translation, opts.pattern).alias("__k"),
                        *([F.col(CORRUPT)] if CORRUPT in df.columns else []))

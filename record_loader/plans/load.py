@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.batches import replacing_merge
-from ..operators.conform import ERROR, conform, conform_open
+from ..operators.conform import ERROR, conform, conform_open, spread_narrow
 from ..operators.routing import UNKNOWN, bounded, is_transient
 from ..sinks.targets import bulk_insert
 from ..spec import LoadOptions, TargetSpec
@@ -134,27 +134,6 @@ def duplicate_key_batches(rows: DataFrame, key) -> DataFrame:
             .groupBy("batch_id").agg(F.lit(f"duplicate key ({', '.join(key)})").alias("reason")))
 
 
-def spread_narrow(records: DataFrame) -> DataFrame:
-    """A batch that arrives in fewer partitions than the cluster has cores
-    (a few large or unsplittable files) is hash-partitioned on its record
-    identity (``source_id``, ``pos``) before the CPU-heavy conversion, so
-    every core converts a share.  The identity is unique per record, so the
-    spread is even whatever the unit sizes, and needs no sort (unlike a
-    round-robin repartition).  Inputs already as wide as the cluster are
-    left alone."""
-    if "source_id" not in records.columns or "pos" not in records.columns:
-        return records
-    spark = records.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        parts = records.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): leave as is
-        return records
-    if parts >= cores:
-        return records
-    return records.repartition(cores, "source_id", "pos")
-
-
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
               open_records: bool = False, batch_id: int | None = None,
               dedupe_version=None, persist: bool = False):

@@ -165,7 +165,7 @@ class LoadOptions:
     timeout_ms: int = 0
     mode: str = "single"
     max_broadcast_units: int = 1_000_000
-    spread_narrow_input: bool = True       # see plans.load.spread_narrow
+    spread_narrow_input: bool = True       # see operators.conform.spread_narrow
 
     def with_(self, **kw) -> "LoadOptions":
         return replace(self, **kw)
