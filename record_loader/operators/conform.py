@@ -39,7 +39,10 @@ def spread_narrow(records: DataFrame) -> DataFrame:
     every core converts a share.  The identity is unique per record, so the
     spread is even whatever the unit sizes, and needs no sort (unlike a
     round-robin repartition).  Inputs already as wide as the cluster are
-    left alone, which on a cluster is the normal case."""
+    left alone, which on a cluster is the normal case.
+
+    Call it on the batch as read (a scan): counting the partitions of a plan
+    that already holds a shuffle would, under AQE, run that shuffle."""
     if "source_id" not in records.columns or "pos" not in records.columns:
         return records
     try:
@@ -89,10 +92,11 @@ def normalize_fields(df: DataFrame, translation: str = "REMOVE_UNDERSCORE",
 
 # P4-P8, T1 (uniform) -----------------------------------------------------------------
 def conform(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
-            keep=None) -> DataFrame:
+            keep=None, spread: bool = False) -> DataFrame:
     """Uniform records -> meta + target columns (table order) + ``_error`` +
     ``_warning``.  Name matching, null-fill and the unmatched-field check are
-    decided at plan time from the DataFrame's schema."""
+    decided at plan time from the DataFrame's schema.  ``spread`` applies
+    :func:`spread_narrow` first when any value needs converting."""
     opts = (opts or LoadOptions()).validate()
     meta = _meta(df, keep)
     fields = [f for f in df.schema.fields if f.name not in meta and f.name != CORRUPT]
@@ -101,7 +105,7 @@ def conform(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
         by_norm[normalize_name(f.name, opts.translation, opts.pattern)] = f
     lookup = spec.lookup(opts.translation, opts.pattern)
     converts = any(n in by_norm and by_norm[n].dataType != c.dtype for n, c in lookup.items())
-    if opts.spread_narrow_input and converts:
+    if spread and converts:
         df = spread_narrow(df)
 
     errors: list[Column] = []
@@ -149,13 +153,13 @@ def normalize_open(df: DataFrame, fields: str = "fields", translation: str = "RE
 
 
 def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
-                 fields: str = "fields", keep=None) -> DataFrame:
+                 fields: str = "fields", keep=None, spread: bool = False) -> DataFrame:
     """Open records -> the same contract as :func:`conform`.  Every value is
     text; each column's value is looked up by normalised name, per row."""
     opts = (opts or LoadOptions()).validate()
     meta = [m for m in _meta(df, keep) if m != fields]
     lookup = spec.lookup(opts.translation, opts.pattern)
-    if opts.spread_narrow_input:                 # every open value is converted from text
+    if spread:                                   # every open value is converted from text
         df = spread_narrow(df)
     staged = df.select(*[F.col(x) for x in meta], F.col(fields).alias("__f"),
                        normalized_keys(F.col(fields), opts.translation, opts.pattern).alias("__k"),

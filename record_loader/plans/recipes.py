@@ -107,7 +107,7 @@ def malformed_units(spark, sf):
     units = staged.select("source_id", "source", truncated.alias("text"))
     recs = parse_open_records(units, "text", keep=["source"])
     spec = TargetSpec.of("docs", [("doc_id", "bigint", True), ("n_chars", "bigint"), ("text", "string")])
-    c = conform_open(recs, spec, keep=["source_id", "pos", "source"])
+    c = conform_open(recs, spec, keep=["source_id", "pos", "source"], spread=True)
     return c.select(F.col("source_id").alias("doc_id"), "source",
                     F.col(ERROR).isNotNull().alias("malformed"))
 
@@ -179,7 +179,7 @@ def normalize_pattern(spark, sf):
     recs = o.select(F.col("o_orderkey").alias("source_id"),
                     *[F.col(c).alias(c.replace("_", "-").replace("order", "order-")) for c in ORDERS_COLS])
     opts = LoadOptions(translation="PATTERN", pattern="[-_]")
-    return conform_open(to_open_records(recs), orders_spec(), opts).select(*ORDERS_COLS)
+    return conform_open(to_open_records(recs), orders_spec(), opts, spread=True).select(*ORDERS_COLS)
 
 
 def match_exact(spark, sf):
@@ -229,13 +229,13 @@ def _flat_events_spec(extra=()):
 
 def unmatched_field_fail(spark, sf):
     recs = _event_open_records(spark, sf)
-    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_field="fail"))
+    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_field="fail"), spread=True)
     return unit_failures(c)
 
 
 def required_column_check(spark, sf):
     recs = _event_open_records(spark, sf, extra_on_error=False, drop_value_on_error=True)
-    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_column="fail"))
+    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_column="fail"), spread=True)
     return unit_failures(c)
 
 
