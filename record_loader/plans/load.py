@@ -3,19 +3,22 @@ insert -> a route and receipt for every unit.
 
 Two passes over the records, whatever the options:
 
-1. **Verdict pass** — one partial aggregation of the conformed records by
-   unit: record count, the first failing record's error (unit quarantine)
-   and the first constraint violation among its rows.  Map-side combine
-   reduces a unit holding a third of all rows inside every task, so only
-   one row per (unit, task) is shuffled.  The result has one row per unit;
-   batch rejection, failed units and every unit's route derive from it
-   without touching the records again.
+1. **Verdict pass** — one aggregation of the conformed records by unit:
+   record count, first failing position, index of the first constraint
+   broken.  Every buffer is fixed-width, so it is a hash aggregation with
+   map-side combine: a unit holding a third of all rows is reduced inside
+   every task and only one row per (unit, task) is shuffled.  The error
+   text is then read for the failed units' first failing rows only.  Batch
+   rejection, failed units and every unit's route derive from this one
+   small table without touching the records again.
 2. **Insert pass** — the conformed records of the loadable units (a
-   semi-join against the unit table, broadcast when its size is checked to
-   be small) appended to the target as one insert.
+   semi-join against the unit table, broadcast when the unit count is
+   checked to be small) appended to the target as one insert; the insert
+   job itself counts the rows it writes (``Observation``).
 
 The conformed batch is persisted between the two passes, so both see the
-same snapshot of the input.
+same snapshot of the input.  A batch narrower than the cluster is spread on
+record identity first (``LoadOptions.spread_narrow_input``).
 """
 
 from __future__ import annotations
