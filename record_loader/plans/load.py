@@ -52,6 +52,13 @@ class LoadResult:
     verdicts: DataFrame | None = None   # the cached per-unit table the others derive from
     rows_inserted: int = 0               # counted by the insert job (Observation)
 
+    def receipts(self, load_name: str, destination: str, attempt: int = 1) -> DataFrame:
+        """A3: one receipt per unit — load, batch, unit, route, rows, error,
+        destination, attempt (the layout streams append per micro-batch)."""
+        return self.units.select(
+            F.lit(load_name).alias("load_name"), "batch_id", "source_id", "route", "rows", "error",
+            F.lit(destination).alias("destination"), F.lit(attempt).cast("int").alias("attempt"))
+
     def release(self) -> None:
         """Drop the cached per-unit tables (they are small, but a stream
         makes one set per micro-batch)."""

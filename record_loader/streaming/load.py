@@ -106,10 +106,7 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
         try:
             if not result.n_units:
                 return                               # empty queue: no-op
-            units = result.units.select(
-                F.lit(load_name).alias("load_name"), "batch_id", "source_id", "route", "rows",
-                "error", F.lit(target.url).alias("destination"),
-                F.lit(attempt).cast("int").alias("attempt"))
+            units = result.receipts(load_name, target.url, attempt)
             if routes_path:
                 write_routes(units, routes_path)
             if receipts_path:
@@ -178,9 +175,7 @@ def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, tar
     records = (read_open_records(spark, paths) if open_records
                else read_records(spark, paths, fmt, schema))
     result = load_batch(records, spec, target, opts, open_records=open_records)
-    units = result.units.select(
-        F.lit(load_name).alias("load_name"), "batch_id", "source_id", "route", "rows", "error",
-        F.lit(target.url).alias("destination"), F.lit(attempt).cast("int").alias("attempt"))
+    units = result.receipts(load_name, target.url, attempt)
     write_routes(units, out_routes)
     if receipts_path:
         write_receipts(units, receipts_path)

@@ -125,3 +125,15 @@ def test_spec_from_jdbc(spark, db):
     assert spec.names == ["ID", "NAME", "CODE", "DT"]
     assert spec.required == ["ID"]
     assert [c.dtype.simpleString() for c in spec.columns] == ["int", "string", "int", "date"]
+
+
+def test_batch_receipts(spark, db):
+    url, run = db
+    ddl = "id string, name string, code string"
+    recs = records(spark, [("1", "rec1", "101")], ddl, unit="good").unionByName(
+        records(spark, [("2", "rec2", "x")], ddl, unit="bad"))
+    res = load_batch(recs, PERSONS, JdbcTarget(url, "PERSONS", DRIVER))
+    got = {r.source_id: (r.route, r.rows, r.destination, r.attempt)
+           for r in res.receipts("persons-load", url).collect()}
+    assert got == {"good": ("success", 1, url, 1), "bad": ("failure", 0, url, 1)}
+    assert res.rows_inserted == 1
