@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, rules
+from . import chat, compression, decontaminate, linededup, mixing, rules, tokens
 
-MODULES = (mixing, rules, decontaminate)
+MODULES = (linededup, tokens, compression, mixing, rules, chat, decontaminate)
 
 
 def queries() -> dict:
