@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
+from .rolling import Rolling
 
 #: Fixed values of the contract.
 END_ID = 2
@@ -130,18 +131,11 @@ class Segment:
 
 # ---- tokens ----
 
-#: Odd multiplier of the piece hash and its inverse modulo 2 ** 64.
-_BASE = 0x9E3779B97F4A7C15
 CHUNK_BYTES = 4_000_000
 
 
-def _byte_classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    every = np.arange(256)
-    punct = np.isin(every, [c for c in range(33, 127) if not chr(c).isalnum()])
-    return every, punct, np.isin(every, [ord(c) for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"])
-
-
-_, _PUNCT, _LETTER = _byte_classes()
+_LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
+_PUNCT = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])
 
 
 def _starts(data: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -228,10 +222,7 @@ class Encoder:
         data, docs = np.frombuffer(raw, np.uint8), (ends - sizes)[sizes > 0]
         starts = _starts(data, docs)
         stops = np.append(starts[1:], len(data))
-        power, back = _powers(len(data) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_TABLE[data] * power[:len(data)])])
-        hashes = (sums[stops] - sums[starts]) * back[starts]
-        codes, _ = pd.factorize(hashes)
+        codes, _ = pd.factorize(Rolling(data).pieces(starts, stops))
         first = np.zeros(codes.max() + 1, np.int64)
         first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
         pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
@@ -273,19 +264,6 @@ class Encoder:
         return out
 
 
-_TABLE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the multiplier and of its inverse."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        steps = np.full((2, n), [[_BASE], [pow(_BASE, -1, 2**64)]], np.uint64)
-        steps[:, 0] = 1
-        _POWERS[:] = list(np.cumprod(steps, axis=1, dtype=np.uint64))
-    return _POWERS[0], _POWERS[1]
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
