@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from record_loader.llm import common, decontaminate, mixing, rules
+from record_loader.llm import common, decontaminate, jaccard, mixing, rules, tokens
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +18,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.score_quality(docs).where("_kept").select(*docs.columns)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return jaccard.one_of_each(docs)
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return decontaminate.decontaminated(docs, common.read(spark, sf_dir, "benchmark"))
@@ -29,10 +33,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files, read back: (doc_id, start, n_tokens, ids_crc32)."""
+    return tokens.token_files(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality),
+    ("ngram_jaccard", distinct),
     ("decontamination", clean),
     ("mixing", mix),
+    ("token_files", token_ids),
 ]
 
 #: The estimate behind the quality rules and the token ids have no SQL form; the pipeline is tested

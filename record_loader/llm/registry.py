@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, compression, decontaminate, jaccard, linededup, mixing, pages, rules, tokens
+from . import chat, compression, decontaminate, jaccard, linededup, mixing, pages, rules, suffixes, tokens
 
-MODULES = (linededup, jaccard, tokens, compression, pages, mixing, rules, chat, decontaminate)
+MODULES = (linededup, jaccard, tokens, compression, pages, mixing, suffixes, rules, chat, decontaminate)
 
 
 def queries() -> dict:
