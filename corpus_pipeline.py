@@ -15,7 +15,7 @@ from record_loader.llm import common, decontaminate, jaccard, mixing, rules, tok
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return rules.score_quality(docs).where("_kept").select(*docs.columns)
+    return rules.kept_documents(docs)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,6 +38,17 @@ def n_words(text: Column) -> Column:
     return F.when(core == "", F.lit(0)).otherwise(F.size(F.split(core, SPACE))).cast("long")
 
 
+def row_of(df: DataFrame) -> Column:
+    """All columns of a frame as one struct ``row``, so that no name of theirs meets one of ours."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def unpacked(df: DataFrame, row: DataFrame, **more: Column) -> DataFrame:
+    """The columns of ``row`` back from the struct, and ``more``, which replace those of their names."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in row.columns if c not in more],
+                     *[c.alias(k) for k, c in more.items()])
+
+
 def text_key(text: Column) -> Column:
     """64-bit hash of a whole text; with doc_id it tells rows apart."""
     return F.xxhash64(text)

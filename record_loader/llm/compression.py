@@ -17,7 +17,7 @@ repeated rows are scored alike; other columns are carried untouched.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -124,28 +124,27 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[b
 
 
 def score_texts(docs: DataFrame, model: tuple[bytes, bytes, list[float]] | None, text: str = "text") -> DataFrame:
-    """``docs`` with its text column replaced by (score, predicted)."""
+    """``docs`` with (quality_score, quality_predicted), which replace columns of their names."""
     if model is None:
-        return docs.drop(text).withColumns({"score": F.lit(0.5), "predicted": F.lit(1)})
-    rest = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text]
+        return docs.withColumns({"quality_score": F.lit(0.5), "quality_predicted": F.lit(1)})
     good, bad, w = model
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         sizes, coef = Sizes(good, bad), np.array(w)
-        for batch in batches:
-            x = np.array([sizes(chunks(t.encode())) for t in batch[text]]).reshape(-1, 3)
-            p = 1 / (1 + np.exp(-np.clip(features(x) @ coef, -30, 30)))
-            yield batch.drop(columns=text).assign(score=p, predicted=(p >= PREDICT_AT).astype(np.int32))
+        for batch in texts:
+            x = np.array([sizes(chunks(t.encode())) for t in batch]).reshape(-1, 3)
+            yield pd.Series(1 / (1 + np.exp(-np.clip(features(x) @ coef, -30, 30))))
 
-    return docs.withColumn(text, C.whole_text(text)).mapInPandas(run, ", ".join([*rest, "score double", "predicted int"]))
+    scored = docs.withColumn("quality_score", score(C.whole_text(text)))
+    return scored.withColumn("quality_predicted", (F.col("quality_score") >= PREDICT_AT).cast("int"))
 
 
 def op4_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     model = learn(docs, C.read(spark, sf_dir, "labels"))
-    keyed = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
-    return score_texts(keyed, model).select(
-        F.col("id").cast("long").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", "predicted")
+    return score_texts(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
+                                           F.col("quality_predicted").alias("predicted"))
 
 
 QUERIES = {"op4_compression_classifier": op4_compression_classifier}

@@ -103,7 +103,8 @@ def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     """Documents that hold no item, with their columns."""
     key = C.text_key(C.whole_text("text"))
     bad = C.small(find_items(docs, items, threshold).select(F.col("doc_id").alias("b_id"), F.col("doc_key").alias("b_key")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("b_id")) & (key == F.col("b_key")), "left_anti")
+    keyed = docs.select(C.row_of(docs), F.col("doc_id").alias("k_id"), key.alias("k_key"))
+    return C.unpacked(keyed.join(bad, F.col("k_id").eqNullSafe(F.col("b_id")) & (F.col("k_key") == F.col("b_key")), "left_anti"), docs)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

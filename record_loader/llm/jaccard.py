@@ -307,10 +307,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = (found.where((F.col("key") == F.col("class_key")) & F.col("id").eqNullSafe(F.col("class_id")))
              .groupBy("id", "key").agg(F.count("*").alias("rows")).withColumnsRenamed({"id": "w_id", "key": "w_key"}))
     body = C.whole_text("text")
-    kept = docs.withColumn("_key", text_hash(body)).join(first, (F.col("_key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
-    kept = C.written(kept, "kept")
+    keyed = docs.select(C.row_of(docs), F.col("doc_id").alias("k_id"), text_hash(body).alias("k_key"))
+    kept = C.written(keyed.join(first, (F.col("k_key") == F.col("w_key")) & F.col("k_id").eqNullSafe(F.col("w_id"))), "kept")
     again = kept.where("rows > 1").dropDuplicates(["w_id", "w_key"])
-    return kept.where("rows = 1").unionByName(again).select(*docs.columns)
+    return C.unpacked(kept.where("rows = 1").unionByName(again), docs)
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,20 +66,20 @@ def repeated_windows(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """All columns of ``docs`` and (line_kept_text, line_count, line_removed, line_runs)."""
     body = C.whole_text(text)
-    keyed = docs.withColumns({"_id": F.col(doc_id), "_key": C.text_key(body)})
+    keyed = docs.select(C.row_of(docs), F.col(doc_id).alias("_id"), C.text_key(body).alias("_key"), body.alias("_t"))
     found = repeated_windows(docs.select(F.col(doc_id).alias("id"), C.text_key(body).alias("key"), body.alias("_t")), min_lines)
     d = (keyed.join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left")
          .withColumn("_starts", F.coalesce("starts", F.array().cast("array<int>")))
-         .withColumn("_lines", F.split(body, "\n")))
+         .withColumn("_lines", F.split("_t", "\n")))
     # places of the lines that are not blank, then the places that go
     full = "filter(transform(_lines, (x, i) -> CASE WHEN btrim(x, _space) != '' THEN i END), i -> i IS NOT NULL)"
     gone = f"array_distinct(flatten(transform(_starts, s -> slice(_full, s + 1, {min_lines}))))"
     d = d.withColumn("_space", F.lit(C.SPACE_CHARS)).withColumn("_full", F.expr(full)).withColumn("_gone", F.expr(gone))
-    kept = F.when(F.size("_gone") == 0, body).otherwise(F.array_join(F.filter(
-        "_lines", lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n"))
+    rest = "transform(array_except(sequence(0, size(_lines) - 1), _gone), i -> _lines[i])"
+    kept = F.when(F.size("_gone") == 0, F.col("_t")).otherwise(F.array_join(F.expr(rest), "\n"))
     runs = f"size(filter(_starts, (s, i) -> i = 0 OR s > _starts[i - 1] + {min_lines}))"
-    return d.select(*[docs[c] for c in docs.columns], kept.alias("line_kept_text"), F.size("_full").cast("long").alias("line_count"),
-                    F.size("_gone").cast("long").alias("line_removed"), F.expr(runs).cast("long").alias("line_runs"))
+    return C.unpacked(d, docs, line_kept_text=kept, line_count=F.size("_full").cast("long"),
+                      line_removed=F.size("_gone").cast("long"), line_runs=F.expr(runs).cast("long"))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,9 +76,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats:
     """All columns of ``docs`` and (mix_size, mix_source_size, mix_target, mix_copies): how often
     the mix takes each document."""
     body = C.whole_text(text)
-    sized = docs.withColumns({"mix_size": C.n_words(body), "mix_key": shuffle_key(F.col(doc_id), body)})
-    items = C.cut(sized.groupBy(F.col(source).alias("source"), F.col("mix_key").alias("key"))
-                  .agg(F.sum("mix_size").alias("size")))
+    sized = docs.select(C.row_of(docs), F.col(source).cast("string").alias("source"), C.n_words(body).alias("size"),
+                        shuffle_key(F.col(doc_id), body).alias("key"))
+    items = C.cut(sized.groupBy("source", "key").agg(F.sum("size").alias("size")))
     targets = C.cut(source_targets(items.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeats))
     t = targets.select(F.col("source").alias("t_source"), "source_size", "rank", "target", "total")
     ran = running(items.where("size > 0"))
@@ -92,11 +92,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats:
     last = (taken.groupBy("rank", "again").agg(F.max("key").alias("last"))
             .groupBy("rank").agg(F.map_from_entries(F.collect_list(F.struct("again", "last"))).alias("lasts")))
     table = targets.join(last, "rank", "left").select(F.col("source").alias("t_source"), "source_size", "target", "lasts")
-    used = sum((F.coalesce((F.col("mix_key") <= F.col("lasts")[F.lit(i)]).cast("int"), F.lit(0)) for i in range(max_repeats)), F.lit(0))
-    return (sized.join(table, F.col(source).eqNullSafe(F.col("t_source")), "left")
-            .select(*[docs[c] for c in docs.columns], "mix_size", F.col("source_size").alias("mix_source_size"),
-                    F.col("target").alias("mix_target"),
-                    F.when(F.col("mix_size") > 0, used).otherwise(0).alias("mix_copies")))
+    used = sum((F.coalesce((F.col("key") <= F.col("lasts")[F.lit(i)]).cast("int"), F.lit(0)) for i in range(max_repeats)), F.lit(0))
+    joined = sized.join(table, F.col("source").eqNullSafe(F.col("t_source")), "left")
+    return C.unpacked(joined, docs, mix_size=F.col("size"), mix_source_size=F.col("source_size"), mix_target=F.col("target"),
+                      mix_copies=F.when(F.col("size") > 0, used).otherwise(0))
 
 
 def taken_prefix(copies: DataFrame) -> DataFrame:
@@ -119,9 +118,8 @@ def taken_prefix(copies: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: documents of the input, each as often as it is taken."""
-    return (mix_sources(docs, **options).where("mix_copies > 0")
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-            .select(*docs.columns))
+    return (mix_sources(docs.select(C.row_of(docs), "doc_id", "source", "text"), **options).where("mix_copies > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select("row.*"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its texts."""
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)

@@ -11,7 +11,7 @@ sorted, equal neighbours are marked, and the words that marked places cover are
 
 Defined cases: null and empty texts have no words and fail the base rule; texts of one or two
 words have no window; an empty table gives no rows (and no estimate is needed); repeated rows
-are judged alike; other columns are carried untouched.
+are judged alike; other columns, whatever their names, are carried untouched.
 """
 
 from __future__ import annotations
@@ -45,19 +45,21 @@ def _repeat_words() -> str:
     return f"CASE WHEN size(_w) < 4 THEN array() ELSE sort_array({windows}) END"
 
 
-_MARKED = ("array_sort(filter(transform(_s, (x, i) -> CASE WHEN (i > 0 AND _s[i - 1].h = x.h) "
+_MARKED = ("sort_array(filter(transform(_s, (x, i) -> CASE WHEN (i > 0 AND _s[i - 1].h = x.h) "
            "OR (i < size(_s) - 1 AND _s[i + 1].h = x.h) THEN x.at END), x -> x IS NOT NULL))")
 _COVERED = ("aggregate(_m, named_struct('last', -3, 'n', 0), (a, p) -> "
             "named_struct('last', p, 'n', a.n + least(3, p - a.last)), a -> a.n)")
 
 
 def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``_base`` (n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_lines, n_capitals, n_marks, n_distinct, base_failed)."""
+    """(row, _base, _failed): the columns of ``docs`` as a struct, and a struct of counts (n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, n_lines, n_capitals, n_marks, n_distinct)."""
     body = C.whole_text(text)
-    lines = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(C.SPACE_CHARS)) != "")
+    lines = F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(C.SPACE_CHARS)) != "")
     long = lambda c: c.cast("long")
-    d = docs.withColumns({"_w": C.words(body), "_l": lines})
+    d = docs.select(C.row_of(docs), body.alias("_t"))
+    body = F.col("_t")
+    d = d.withColumns({"_w": C.words(body), "_l": lines})
     d = d.withColumn("_s", F.expr(_repeat_words())).withColumn("_m", F.expr(_MARKED))
     d = d.withColumn("_base", F.struct(
         long(F.size("_w")).alias("n_words"),
@@ -70,7 +72,7 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
         long(_without(body, "!?")).alias("n_marks"),
         long(F.size(F.array_distinct("_w"))).alias("n_distinct")))
     failed = (F.col("_base.n_words") < MIN_WORDS) | (100 * F.col("_base.n_repeat_words") > MAX_REPEAT_SHARE * F.col("_base.n_words"))
-    return d.withColumn("_failed", failed).drop("_w", "_l", "_s", "_m")
+    return d.select("row", "_base", failed.alias("_failed"))
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -126,7 +128,7 @@ def posterior(vote: tuple[int, ...], share: float, rates: list[dict[int, tuple[f
 
 
 def judged(based: DataFrame) -> DataFrame:
-    """A frame of :func:`base_columns` (read twice, so give one that is stored) with ``_posterior``
+    """A frame with ``_base`` and ``_failed`` (read twice, so give one that is stored) with ``_posterior``
     and ``_kept``."""
     rules = votes()
     counts = (based.where(~F.col("_failed")).groupBy(*[c.alias(f"v_{k}") for k, c in rules.items()])
@@ -141,14 +143,18 @@ def judged(based: DataFrame) -> DataFrame:
 
 
 def score_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Columns of ``docs`` and ``_base``, ``_failed``, ``_posterior``, ``_kept``. The base columns
-    are worked out once and kept in the shared folder, as the estimate and the verdict both read them."""
+    """(row, _base, _failed, _posterior, _kept). The base columns are worked out once and kept in the shared folder, as the estimate and the verdict both read them."""
     return judged(C.written(base_columns(docs, text), "rules"))
 
 
+def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that the rules keep, with their columns."""
+    return C.unpacked(score_quality(docs, text).where("_kept"), docs)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
-    based = C.cut(base_columns(docs).drop("text"))
+    based = C.cut(base_columns(docs).select(F.col("row.doc_id").alias("doc_id"), "_base", "_failed"))
     return judged(based).select("doc_id", *[F.col(f"_base.{c}").alias(c) for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"), F.col("_posterior").alias("posterior"))
