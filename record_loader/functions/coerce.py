@@ -124,6 +124,10 @@ ISO_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM
                "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss")
 
 
+# Fixed value: text that starts with a year and a month.
+DATED_RX = r"^[+-]?\d{4,6}-\d"
+
+
 def flexible_timestamp(c: Column, fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS",
                        dt: T.DataType = T.TimestampType()) -> Conv:
     """Text -> timestamp: the declared format, else integral epoch ms / µs,
@@ -141,7 +145,8 @@ def flexible_timestamp(c: Column, fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS",
         first,
         F.when(s.rlike(INTEGRAL_RX), timestamp_from_epoch(s.try_cast("long"))),
         F.when(s.rlike(DECIMAL_RX), timestamp_from_seconds(s)),
-        F.try_to_timestamp(s),
+        # any other ISO form, but never a time alone: that would mean today
+        F.when(s.rlike(DATED_RX), F.try_to_timestamp(s)),
     )
     if isinstance(dt, T.TimestampNTZType):
         value = value.cast("timestamp_ntz")
@@ -269,6 +274,8 @@ def _coerce(c: Column, src: T.DataType, col, opts, field: str) -> Conv:
         if isinstance(out, tuple):
             return out
         return out, failed(c, out, f"Cannot convert field '{field}' for column '{col.name}'")
+    if col.uuid:
+        return uuid_to_string(c)
     if src == dt:
         return c, F.lit(None).cast("string")
     msg = (f"Cannot convert field '{field}' of type {type_label(src)} "

@@ -9,12 +9,21 @@ Strategies:
 
 from __future__ import annotations
 
-import re
-
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _java_remove(pattern: str, text: str) -> str:
+    """Delete every match of a Java regex, the syntax that expressions use, so
+    column names and open fields follow one engine.  Needs the JVM of the
+    session (one call per column name, on the driver)."""
+    context = SparkContext._active_spark_context
+    if context is None:
+        raise RuntimeError("a name pattern is a Java regex: start a Spark session first")
+    return context._jvm.java.util.regex.Pattern.compile(pattern).matcher(text).replaceAll("")
+
+
 def normalize_name(name: str, translation: str = "REMOVE_UNDERSCORE",
                    pattern: str | None = None) -> str:
     if translation == "NONE":
@@ -23,7 +32,7 @@ def normalize_name(name: str, translation: str = "REMOVE_UNDERSCORE",
     if translation == "REMOVE_UNDERSCORE":
         return up.replace("_", "")
     if translation == "PATTERN":
-        return re.sub(pattern or "", "", up) if pattern else up
+        return _java_remove(pattern, up) if pattern else up
     raise ValueError(f"unknown translation {translation!r}")
 
 
@@ -31,8 +40,7 @@ def normalize_name_col(c: Column, translation: str = "REMOVE_UNDERSCORE",
                        pattern: str | None = None) -> Column:
     """The same rule as :func:`normalize_name`, as a JVM-side expression.
 
-    Java and Python regex agree on the simple classes used for name patterns;
-    the pattern is applied by ``regexp_replace`` (Java syntax)."""
+    The pattern is a Java regex in both."""
     if translation == "NONE":
         return c
     up = F.upper(c)

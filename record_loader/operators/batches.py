@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sinks.targets import shared_dir
+
 
 # B1 -----------------------------------------------------------------------------------
 def plan_batches(units: DataFrame, max_units: int, order_cols=("arrival", "source_id"),
@@ -34,9 +35,9 @@ def plan_batches(units: DataFrame, max_units: int, order_cols=("arrival", "sourc
         return units.withColumn(out, F.lit(0).cast("long"))
     spark = units.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = (units.repartitionByRange(n, *parts, *order)
-              .withColumn("__p", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    shared_dir(spark)
+    # one row per unit; checkpointed, because a range's number must not change between its two uses
+    ranged = units.repartitionByRange(n, *parts, *order).withColumn("__p", F.spark_partition_id()).checkpoint()
     counts = ranged.groupBy("__p", *parts).agg(F.count(F.lit(1)).alias("__n")).collect()
     running: dict[tuple, int] = {}
     rows = []
@@ -83,23 +84,11 @@ def batches_executed(units: DataFrame, by=("target",), batch: str = "batch_id",
         F.count(unit).alias("units"))
 
 
-def load_receipts(units: DataFrame, loaded: DataFrame, failed: DataFrame,
-                  destination: str, unit: str = "source_id") -> DataFrame:
-    """One receipt per unit: destination, route, rows loaded, error.
-
-    ``units`` has one row per unit (with ``batch_id``); ``loaded`` the rows
-    that reached the target (with the unit column); ``failed`` one row per
-    failed unit with ``error`` (and optionally ``route``)."""
-    counts = loaded.groupBy(unit).agg(F.count(F.lit(1)).alias("rows"))
-    if "route" not in failed.columns:
-        failed = failed.withColumn("route", F.lit("failure"))
-    f = failed.select(unit, F.col("route").alias("__route"), F.col("error"))
-    return (units.join(counts, unit, "left").join(f, unit, "left")
-            .select(*units.columns, F.lit(destination).alias("destination"),
-                    F.coalesce(F.col("__route"), F.lit("success")).alias("route"),
-                    F.when(F.col("__route").isNull(), F.coalesce(F.col("rows"), F.lit(0)))
-                     .otherwise(F.lit(0)).cast("long").alias("rows"),
-                    F.col("error")))
+def load_receipts(routed: DataFrame, destination: str) -> DataFrame:
+    """One receipt per unit of a load's routed units (``source_id``,
+    ``batch_id``, ``route``, ``rows``, ``error``): those and the destination."""
+    return routed.select("source_id", "batch_id", F.lit(destination).alias("destination"), "route",
+                         F.col("rows").cast("long").alias("rows"), "error")
 
 
 # W1 ------------------------------------------------------------------------------------

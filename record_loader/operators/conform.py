@@ -21,10 +21,12 @@ from ..functions.names import (last_value_of, normalize_keys_last_wins, normaliz
                                normalized_keys)
 from ..spec import LoadOptions, TargetSpec
 
-META_COLUMNS = ("source_id", "pos", "batch_id", "arrival", "target", "attempt")
+META_COLUMNS = ("source_id", "pos", "batch_id")
 CORRUPT = "_corrupt_record"
 ERROR = "_error"
 WARNING = "_warning"
+#: A record field, or target column, that has the name of a meta column stands under this prefix.
+FIELD = "field:"
 
 
 def _meta(df: DataFrame, keep) -> list[str]:
@@ -32,27 +34,24 @@ def _meta(df: DataFrame, keep) -> list[str]:
     return [c for c in df.columns if c in keep]
 
 
-def spread_narrow(records: DataFrame) -> DataFrame:
-    """A batch that arrives in fewer partitions than the cluster has cores
-    (a few large or unsplittable files) is hash-partitioned on its record
-    identity (``source_id``, ``pos``) before the CPU-heavy conversion, so
-    every core converts a share.  The identity is unique per record, so the
-    spread is even whatever the unit sizes, and needs no sort (unlike a
-    round-robin repartition).  Inputs already as wide as the cluster are
-    left alone, which on a cluster is the normal case.
+def field_name(name: str, meta=META_COLUMNS) -> str:
+    """Where a reader puts the record field ``name`` beside the meta columns."""
+    return FIELD + name if name in meta else name
 
-    Call it on the batch as read (a scan): counting the partitions of a plan
-    that already holds a shuffle would, under AQE, run that shuffle."""
-    if "source_id" not in records.columns or "pos" not in records.columns:
-        return records
-    try:
-        cores = records.sparkSession.sparkContext.defaultParallelism
-        parts = records.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): leave as is
-        return records
-    if parts >= cores:
+
+def output_columns(conformed: DataFrame, spec: TargetSpec) -> list[Column]:
+    """The target's columns of a conformed frame under their own names."""
+    return [F.col(f"`{FIELD + n if FIELD + n in conformed.columns else n}`").alias(n) for n in spec.names]
+
+
+def spread_records(records: DataFrame, partitions: int) -> DataFrame:
+    """Deal records out over ``partitions`` by record identity (``source_id``,
+    ``pos``) before the CPU-heavy conversion, for a batch of a few large or
+    unsplittable files; 0 leaves them as read.  The identity is unique per
+    record, so the spread is even whatever the unit sizes."""
+    if not partitions:
         return records
-    return records.repartition(cores, "source_id", "pos")
+    return records.repartition(partitions, *[c for c in ("source_id", "pos") if c in records.columns])
 
 
 def join_errors(errs: list[Column]) -> Column:
@@ -63,6 +62,7 @@ def join_errors(errs: list[Column]) -> Column:
     return F.when(F.length(joined) > 0, joined)
 
 
+# The texts of the two messages.
 def unmatched_field_message(field: Column | str, spec: TargetSpec, opts: LoadOptions) -> Column:
     cols = ",".join(spec.lookup(opts.translation, opts.pattern).keys())
     prefix = "Normalized " if opts.translation != "NONE" else ""
@@ -92,30 +92,29 @@ def normalize_fields(df: DataFrame, translation: str = "REMOVE_UNDERSCORE",
 
 # P4-P8, T1 (uniform) -----------------------------------------------------------------
 def conform(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
-            keep=None, spread: bool = False) -> DataFrame:
+            keep=None, spread: int = 0) -> DataFrame:
     """Uniform records -> meta + target columns (table order) + ``_error`` +
     ``_warning``.  Name matching, null-fill and the unmatched-field check are
-    decided at plan time from the DataFrame's schema.  ``spread`` applies
-    :func:`spread_narrow` first when any value needs converting."""
+    decided at plan time from the DataFrame's schema.  An ``_error`` or
+    ``_warning`` that the records carry already is kept.  ``spread`` deals
+    the records out first (:func:`spread_records`)."""
     opts = (opts or LoadOptions()).validate()
     meta = _meta(df, keep)
-    fields = [f for f in df.schema.fields if f.name not in meta and f.name != CORRUPT]
+    fields = [f for f in df.schema.fields if f.name not in meta and f.name not in (CORRUPT, ERROR, WARNING)]
     by_norm: dict[str, T.StructField] = {}
     for f in fields:
-        by_norm[normalize_name(f.name, opts.translation, opts.pattern)] = f
+        by_norm[normalize_name(f.name.removeprefix(FIELD), opts.translation, opts.pattern)] = f
     lookup = spec.lookup(opts.translation, opts.pattern)
-    converts = any(n in by_norm and by_norm[n].dataType != c.dtype for n, c in lookup.items())
-    if spread and converts:
-        df = spread_narrow(df)
+    df = spread_records(df, spread)
 
-    errors: list[Column] = []
-    warnings: list[Column] = []
+    errors: list[Column] = [F.col(ERROR)] if ERROR in df.columns else []
+    warnings: list[Column] = [F.col(WARNING)] if WARNING in df.columns else []
     if CORRUPT in df.columns:
         errors.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("Malformed record")))
     if opts.unmatched_field == "fail":
-        for n, f in by_norm.items():
-            if n not in lookup:
-                errors.append(unmatched_field_message(f.name, spec, opts))
+        # the first one, as raised for a record
+        extra = [f.name.removeprefix(FIELD) for n, f in by_norm.items() if n not in lookup]
+        errors += [unmatched_field_message(f, spec, opts) for f in extra[:1]]
 
     out: list[Column] = []
     for norm, col in lookup.items():
@@ -132,7 +131,7 @@ def conform(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
         value, err = _required_null(value, col, opts)
         if err is not None:
             errors.append(err)
-        out.append(value.alias(col.name))
+        out.append(value.alias(field_name(col.name, meta)))
     return df.select(*[F.col(m) for m in meta], *out,
                      join_errors(errors).alias(ERROR), join_errors(warnings).alias(WARNING))
 
@@ -153,28 +152,29 @@ def normalize_open(df: DataFrame, fields: str = "fields", translation: str = "RE
 
 
 def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
-                 fields: str = "fields", keep=None, spread: bool = False) -> DataFrame:
+                 fields: str = "fields", keep=None, spread: int = 0) -> DataFrame:
     """Open records -> the same contract as :func:`conform`.  Every value is
     text; each column's value is looked up by normalised name, per row."""
     opts = (opts or LoadOptions()).validate()
     meta = [m for m in _meta(df, keep) if m != fields]
     lookup = spec.lookup(opts.translation, opts.pattern)
-    if spread:                                   # every open value is converted from text
-        df = spread_narrow(df)
+    df = spread_records(df, spread)
     staged = df.select(*[F.col(x) for x in meta], F.col(fields).alias("__f"),
                        normalized_keys(F.col(fields), opts.translation, opts.pattern).alias("__k"),
-                       *([F.col(CORRUPT)] if CORRUPT in df.columns else []))
+                       *[F.col(c) for c in (CORRUPT, ERROR, WARNING) if c in df.columns])
     m, keys = F.col("__f"), F.col("__k")
     col_names = F.array(*[F.lit(n) for n in lookup])
 
-    errors: list[Column] = [F.when(m.isNull(), F.lit("Malformed record"))]
-    warnings: list[Column] = []
+    errors: list[Column] = [F.col(ERROR)] if ERROR in df.columns else []
+    errors.append(F.when(m.isNull(), F.lit("Malformed record")))
+    warnings: list[Column] = [F.col(WARNING)] if WARNING in df.columns else []
     if CORRUPT in df.columns:
         errors.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("Malformed record")))
     if opts.unmatched_field == "fail":
-        extra = F.array_except(keys, col_names)
-        errors.append(F.when(F.size(extra) > 0,
-                             unmatched_field_message(F.array_join(extra, ","), spec, opts)))
+        # the first field without a column, under its own name, as raised for a record
+        extra = F.array_position(F.transform(keys, lambda k: F.array_contains(col_names, k)), False)
+        name = F.try_element_at(F.map_keys(m), extra.cast("int"))
+        errors.append(F.when(extra > 0, unmatched_field_message(name, spec, opts)))
     required = [(n, c.name) for n, c in lookup.items() if c.required]
     if required and opts.unmatched_column in ("fail", "warn"):
         missing = F.concat_ws("','", *[F.when(~F.array_contains(keys, F.lit(n)), F.lit(name))
@@ -190,7 +190,7 @@ def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
         value, err = _required_null(value, col, opts)
         if err is not None:
             errors.append(err)
-        out.append(value.alias(col.name))
+        out.append(value.alias(field_name(col.name, meta)))
     return staged.select(*[F.col(x) for x in meta], *out,
                          join_errors(errors).alias(ERROR), join_errors(warnings).alias(WARNING))
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,54 +20,34 @@ from .conform import ERROR
 UNKNOWN = "Unknown"
 
 
-def size_checked(small: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Persist ``small`` and check its row count against ``max_rows``:
-    returns (the persisted frame, whether it may be broadcast).  The count
-    runs on an already aggregated side; the persisted result is what the
-    caller's join then reads."""
-    if max_rows <= 0:
-        return small, False
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    return small, small.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded(small: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``small`` only when its row count is proven <= ``max_rows``;
-    above the bound the caller's join stays a shuffle join, where AQE may
-    still re-plan it and split skewed partitions."""
-    small, ok = size_checked(small, max_rows)
-    return F.broadcast(small) if ok else small
-
-
 # F1 / F2 ------------------------------------------------------------------------
 def unit_failures(df: DataFrame, bad: Column | None = None, error: Column | None = None,
                   unit: str = "source_id", pos: str = "pos") -> DataFrame:
     """One row per failed unit: the unit and the error of its first failing
     record (by ``pos``); a failure without a message reads ``Unknown``.
 
-    One pass: the filter runs before the aggregate, so ``min_by`` (a
-    sort-based aggregate, its buffer holds text) only sorts failing rows,
-    map-side first."""
-    bad = F.col(ERROR).isNotNull() if bad is None else bad
+    One pass.  The error of a record is made into an array of none or one
+    message and exploded: a filter on it would be pushed below the projection
+    and work the expression out twice.  ``min_by`` (a sort-based aggregate, its
+    buffer holds text) then sees failing rows only, map-side first."""
     error = F.col(ERROR) if error is None else error
-    flagged = df.where(bad).select(F.col(unit), F.col(pos).alias("__pos"),
-                                   F.coalesce(error, F.lit(UNKNOWN)).alias("__err"))
-    return flagged.groupBy(unit).agg(F.min_by("__err", "__pos").alias("error"))
+    message = error if bad is None else F.when(bad, F.coalesce(error, F.lit(UNKNOWN)))
+    flagged = df.select(F.col(unit), F.col(pos).alias("__pos"),
+                        F.explode(F.array_compact(F.array(message))).alias("__err"))
+    return flagged.groupBy(unit).agg(F.coalesce(F.min_by("__err", "__pos"), F.min("__err")).alias("error"))
 
 
 def quarantine_units(df: DataFrame, bad: Column | None = None, error: Column | None = None,
-                     unit: str = "source_id", pos: str = "pos",
-                     max_broadcast_units: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+                     unit: str = "source_id", pos: str = "pos") -> tuple[DataFrame, DataFrame]:
     """Split records into (good records, failed units).
 
-    ``bad`` defaults to ``_error IS NOT NULL``.  The failed unit ids (a
-    distinct over failing rows: hash aggregation, no buffer) are counted
-    once; good records are an anti join against them, broadcast when that
-    count is within ``max_broadcast_units``.  The failed units' messages
-    (:func:`unit_failures`) are computed only if used."""
+    ``bad`` defaults to ``_error IS NOT NULL``.  Good records are an anti join
+    against the distinct ids of failing rows (a hash aggregation), null-safe:
+    records without a unit are one unit of their own.  Spark picks the join
+    from the sizes it finds; nothing runs until a result is used."""
     flag = F.col(ERROR).isNotNull() if bad is None else bad
-    ids, small = size_checked(df.where(flag).select(unit).distinct(), max_broadcast_units)
-    good = df.join(F.broadcast(ids) if small else ids, unit, "left_anti")
+    ids = df.where(flag).select(F.col(unit).alias("__failed")).distinct()
+    good = df.join(ids, F.col(unit).eqNullSafe(F.col("__failed")), "left_anti")
     return good, unit_failures(df, bad, error, unit, pos)
 
 
@@ -78,6 +57,38 @@ def error_annotation(failed: DataFrame) -> DataFrame:
 
 
 # F3 ---------------------------------------------------------------------------------
+def constraint_list(checks=(), required=()) -> list[tuple[Column, str]]:
+    """(broken?, message) for every CHECK expression, then NOT NULL of each
+    required column, in that order."""
+    conds = [(~F.coalesce(F.expr(c), F.lit(True)), f"CHECK constraint violated: {c}") for c in checks]
+    return conds + [(F.col(f"`{r}`").isNull(), f"NOT NULL constraint violated: {r}") for r in required]
+
+
+def violation_code(conds: list[tuple[Column, str]]) -> Column:
+    """1-based index of the first constraint a row breaks (an int, so the
+    aggregate over it is hash-based), or NULL."""
+    if not conds:
+        return F.lit(None).cast("int")
+    return F.coalesce(*[F.when(c, F.lit(i + 1)) for i, (c, _) in enumerate(conds)])
+
+
+def violation_message(code: Column, messages: list[str]) -> Column:
+    """The message of a constraint's index; NULL for NULL."""
+    if not messages:
+        return F.lit(None).cast("string")
+    return F.when(code.isNotNull(), F.element_at(F.array(*[F.lit(m) for m in messages]), code))
+
+
+def duplicate_key_batches(df: DataFrame, key, batch: str = "batch_id") -> DataFrame:
+    """Batches holding a key twice (shuffles every row by key)."""
+    return (df.groupBy(batch, *key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+            .select(batch).distinct())
+
+
+def duplicate_key_message(key) -> str:
+    return f"duplicate key ({', '.join(key)})"
+
+
 def constraint_violations(df: DataFrame, checks=(), required=(), key=(),
                           batch: str = "batch_id") -> DataFrame:
     """One row per batch that breaks a CHECK expression, a NOT NULL column
@@ -85,73 +96,100 @@ def constraint_violations(df: DataFrame, checks=(), required=(), key=(),
 
     Rows carry the index of the first constraint they break, so the
     per-batch aggregate is a hash aggregate over an int."""
-    conds = [(~F.coalesce(F.expr(c), F.lit(True)), f"CHECK constraint violated: {c}") for c in checks]
-    conds += [(F.col(r).isNull(), f"NOT NULL constraint violated: {r}") for r in required]
+    conds = constraint_list(checks, required)
+    messages = [m for _, m in conds] + ([duplicate_key_message(key)] if key else [])
     parts = []
     if conds:
-        code = F.coalesce(*[F.when(c, F.lit(i + 1)) for i, (c, _) in enumerate(conds)])
-        parts.append(df.select(F.col(batch), code.alias("__code")).where(F.col("__code").isNotNull())
-                     .groupBy(batch).agg(F.min("__code").alias("__code")))
+        parts.append(df.select(F.col(batch), violation_code(conds).alias("__code")).where(F.col("__code").isNotNull()))
     if key:
-        dup_code = len(conds) + 1
-        parts.append(df.groupBy(batch, *key).agg(F.count(F.lit(1)).alias("__n"))
-                     .where(F.col("__n") > 1)
-                     .groupBy(batch).agg(F.lit(dup_code).alias("__code")))
+        parts.append(duplicate_key_batches(df, key, batch).withColumn("__code", F.lit(len(messages))))
     if not parts:
-        return df.sparkSession.createDataFrame([], f"{batch} long, reason string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    messages = [m for _, m in conds] + ([f"duplicate key ({', '.join(key)})"] if key else [])
+        return df.select(batch, F.lit(None).cast("string").alias("reason")).limit(0)
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return (out.groupBy(batch).agg(F.min("__code").alias("__code"))
-            .select(batch, F.element_at(F.array(*[F.lit(m) for m in messages]), F.col("__code"))
-                    .alias("reason")))
+            .select(batch, violation_message(F.col("__code"), messages).alias("reason")))
 
 
-def enforce_constraints(df: DataFrame, checks=(), required=(), key=(), batch: str = "batch_id",
-                        max_broadcast_batches: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def enforce_constraints(df: DataFrame, checks=(), required=(), key=(), batch: str = "batch_id"
+                        ) -> tuple[DataFrame, DataFrame]:
     """Split into (accepted rows, rejected batches): one violating row
-    rejects its whole batch and leaves the target untouched for it."""
+    rejects its whole batch and leaves the target untouched for it.  Rows
+    without a batch are one batch of their own."""
     if batch not in df.columns:
         df = df.withColumn(batch, F.lit(0).cast("long"))
     rejected = constraint_violations(df, checks, required, key, batch)
-    accepted = df.join(bounded(rejected.select(batch), max_broadcast_batches), batch, "left_anti")
-    return accepted, rejected
+    ids = rejected.select(F.col(batch).alias("__rejected"))
+    return df.join(ids, F.col(batch).eqNullSafe(F.col("__rejected")), "left_anti"), rejected
 
 
 # F4 -----------------------------------------------------------------------------------
-_TRANSIENT_NAMES = ("SQLTransientException", "SQLTransientConnectionException",
-                    "SQLTimeoutException", "SQLTransactionRollbackException",
-                    "TransientError")
+#: Fixed value: the SQL error class that says a retry may work.
+TRANSIENT_CLASS = "java.sql.SQLTransientException"
+#: Its standard subclasses, for errors that arrive as text only.
+_TRANSIENT_NAMES = ("java.sql.SQLTransientException", "java.sql.SQLTransientConnectionException",
+                    "java.sql.SQLTimeoutException", "java.sql.SQLTransactionRollbackException")
 
 
 class TransientLoadError(RuntimeError):
     """A failure worth retrying (lost connection, timeout, deadlock)."""
 
 
+def _jvm_error(exc: BaseException):
+    """The JVM exception behind a Python one, or None."""
+    found = getattr(exc, "java_exception", None)
+    origin = getattr(exc, "_origin", None)
+    return found if found is not None else getattr(origin, "java_exception", origin)
+
+
+def _transient_in_jvm(error) -> bool:
+    """Spark's own wrappers (its job and task failures) are passed through;
+    then the error itself or its cause must be of the transient class."""
+    while error is not None and error.getClass().getName().startswith("org.apache.spark."):
+        error = error.getCause()
+    for e in (error, error.getCause() if error is not None else None):
+        kind = e.getClass() if e is not None else None
+        while kind is not None:
+            if kind.getName() == TRANSIENT_CLASS:
+                return True
+            kind = kind.getSuperclass()
+    return False
+
+
 def is_transient(exc: BaseException | None) -> bool:
-    """Transient if the exception (or the one it wraps, one level down) is a
-    transient SQL error.  JVM errors arrive as text, so their class names
-    are matched in the message."""
+    """Transient if the exception, or the one it wraps (one level down), is a
+    transient SQL error by its class.  What an error says is never searched,
+    except that a text which *starts* with the name of a transient class is an
+    error that reached Python as text."""
     for e in (exc, getattr(exc, "__cause__", None) if exc is not None else None):
         if e is None:
             continue
         if isinstance(e, TransientLoadError):
             return True
-        text = f"{type(e).__name__}: {e}"
-        if any(n in text for n in _TRANSIENT_NAMES):
+        jvm = _jvm_error(e)
+        if jvm is not None and hasattr(jvm, "getClass"):
+            if _transient_in_jvm(jvm):
+                return True
+        elif re.split(r"[:\s]", str(e), maxsplit=1)[0] in _TRANSIENT_NAMES:
             return True
     return False
 
 
+def outcome_route(outcome: BaseException | None) -> tuple[str, str | None]:
+    """(route, error) of a batch after its insert was attempted; the whole
+    text of the error is kept."""
+    if outcome is None:
+        return "success", None
+    return ("retry" if is_transient(outcome) else "failure"), (str(outcome) or UNKNOWN)
+
+
 def route_batches(units: DataFrame, outcome: BaseException | None) -> DataFrame:
     """Give every unit of a batch its route after the insert was attempted:
-    success, or retry / failure by the kind of error."""
-    if outcome is None:
-        return units.withColumn("route", F.lit("success")).withColumn("error", F.lit(None).cast("string"))
-    route = "retry" if is_transient(outcome) else "failure"
-    msg = str(outcome).splitlines()[0][:1000] if str(outcome) else UNKNOWN
-    return units.withColumn("route", F.lit(route)).withColumn("error", F.lit(msg))
+    success, or retry / failure by the kind of error.  Units that already
+    carry an error keep it and go to failure."""
+    route, message = outcome_route(outcome)
+    own = F.col("error") if "error" in units.columns else F.lit(None).cast("string")
+    return (units.withColumn("route", F.when(own.isNotNull(), F.lit("failure")).otherwise(F.lit(route)))
+            .withColumn("error", F.coalesce(own, F.lit(message).cast("string"))))
 
 
 # F5 / K4 -------------------------------------------------------------------------------

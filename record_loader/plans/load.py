@@ -4,21 +4,22 @@ insert -> a route and receipt for every unit.
 Two passes over the records, whatever the options:
 
 1. **Verdict pass** — one aggregation of the conformed records by unit:
-   record count, first failing position, index of the first constraint
-   broken.  Every buffer is fixed-width, so it is a hash aggregation with
-   map-side combine: a unit holding a third of all rows is reduced inside
-   every task and only one row per (unit, task) is shuffled.  The error
-   text is then read for the failed units' first failing rows only.  Batch
-   rejection, failed units and every unit's route derive from this one
-   small table without touching the records again.
-2. **Insert pass** — the conformed records of the loadable units (a
-   semi-join against the unit table, broadcast when the unit count is
-   checked to be small) appended to the target as one insert; the insert
-   job itself counts the rows it writes (``Observation``).
-
-The conformed batch is persisted between the two passes, so both see the
-same snapshot of the input.  A batch narrower than the cluster is spread on
-record identity first (``LoadOptions.spread_narrow_input``).
+   record count, failing records, first failing position, index of the first
+   constraint broken.  Every buffer is fixed-width, so it is a hash
+   aggregation with map-side combine: a unit holding a third of all rows is
+   reduced inside every task and only one row per (unit, task) is shuffled.
+   The error text is read for the failed units' first failing rows only.
+   Units that the caller lists but that hold no record get a verdict too.
+   The unit, failure and violation counts come from one action over the small
+   unit table.
+2. **Insert pass** — the conformed records of the loadable units appended to
+   the target as one insert; the insert job itself counts the rows it writes
+   (``Observation``).  When no unit failed and no batch is rejected the
+   records go in as they are, without a join.
+
+``LoadOptions.snapshot`` says what the second pass reads: the converted batch
+kept from the first (``cache``), or the input once more (``rescan``, for input
+that does not change and batches larger than the cluster's disks).
 """
 
 from __future__ import annotations
@@ -26,15 +27,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.batches import replacing_merge
-from ..operators.conform import ERROR, conform, conform_open, spread_narrow
-from ..operators.routing import UNKNOWN, bounded, is_transient
+from ..operators.batches import load_receipts, replacing_merge
+from ..operators.conform import ERROR, conform, conform_open, output_columns, spread_records
+from ..operators.routing import (UNKNOWN, constraint_list, duplicate_key_batches,
+                                 duplicate_key_message, missing_target, resolve_target,
+                                 route_batches, violation_code, violation_message)
 from ..sinks.targets import bulk_insert
 from ..spec import LoadOptions, TargetSpec
 
+NO_UNIT = "Record has no unit (source_id is NULL)"
+
 
 class BatchRolledBack(RuntimeError):
     """Raised with rollback-on-failure: nothing was written, and the batch's
@@ -55,147 +60,135 @@ class LoadResult:
     def receipts(self, load_name: str, destination: str, attempt: int = 1) -> DataFrame:
         """A3: one receipt per unit — load, batch, unit, route, rows, error,
         destination, attempt (the layout streams append per micro-batch)."""
-        return self.units.select(
+        return load_receipts(self.units, destination).select(
             F.lit(load_name).alias("load_name"), "batch_id", "source_id", "route", "rows", "error",
-            F.lit(destination).alias("destination"), F.lit(attempt).cast("int").alias("attempt"))
+            "destination", F.lit(attempt).cast("int").alias("attempt"))
 
     def release(self) -> None:
-        """Drop the cached per-unit tables (they are small, but a stream
-        makes one set per micro-batch)."""
-        for df in (self.verdicts, self.rejected):
-            if df is not None:
-                df.unpersist()
+        """Drop the cached per-unit table (small, but a stream makes one per
+        micro-batch)."""
+        if self.verdicts is not None:
+            self.verdicts.unpersist()
 
 
 def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
                     open_records: bool = False) -> DataFrame:
-    if open_records:
-        return conform_open(records, spec, opts)
-    return conform(records, spec, opts)
-
-
-def _constraints(spec: TargetSpec, opts: LoadOptions) -> list[tuple[Column, str]]:
-    """(broken?, message) for every CHECK expression, then NOT NULL of each
-    required column, in that order."""
-    conds = [(~F.coalesce(F.expr(c), F.lit(True)), f"CHECK constraint violated: {c}") for c in spec.checks]
-    if opts.on_null_required == "keep":
-        conds += [(F.col(r).isNull(), f"NOT NULL constraint violated: {r}") for r in spec.required]
-    return conds
-
-
-def violation_reason(spec: TargetSpec, opts: LoadOptions) -> Column:
-    """The first constraint a row breaks, or NULL."""
-    conds = _constraints(spec, opts)
-    if not conds:
-        return F.lit(None).cast("string")
-    return F.coalesce(*[F.when(c, F.lit(m)) for c, m in conds])
+    if opts.record_path:
+        from ..operators.records import select_records
+        records = select_records(records, opts.record_path)
+    return conform_open(records, spec, opts) if open_records else conform(records, spec, opts)
 
 
-def _violation_code(conds) -> Column:
-    """1-based index of the first constraint a row breaks (an int, so the
-    aggregate over it is hash-based), or NULL."""
-    if not conds:
-        return F.lit(None).cast("int")
-    return F.coalesce(*[F.when(c, F.lit(i + 1)) for i, (c, _) in enumerate(conds)])
+def constraints_of(spec: TargetSpec, opts: LoadOptions):
+    return constraint_list(spec.checks, spec.required if opts.on_null_required == "keep" else ())
 
 
 def unit_stats(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions) -> DataFrame:
-    """One row per (unit, batch): records, first failing position, index of
-    the first constraint broken.  Every aggregate buffer is fixed-width, so
-    Spark aggregates by hash, map-side first."""
-    conds = _constraints(spec, opts)
+    """One row per (unit, batch): records, failing records, first failing
+    position, index of the first constraint broken.  Every aggregate buffer is
+    fixed-width, so Spark aggregates by hash, map-side first."""
     bad = F.col(ERROR).isNotNull()
     return conformed.groupBy("source_id", "batch_id").agg(
-        F.count(F.lit(1)).alias("n_records"),
+        F.count(F.lit(1)).alias("n_records"), F.count_if(bad).alias("__bad"),
         F.min(F.when(bad, F.col("pos"))).alias("__bad_pos"),
-        F.min(_violation_code(conds)).alias("__vcode"))
+        F.min(violation_code(constraints_of(spec, opts))).alias("__vcode"))
 
 
 def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions,
-                  stats: DataFrame | None = None, small: bool | None = None) -> DataFrame:
-    """One row per (unit, batch): records, first error, first violation.
-
-    The error *text* is read only for failed units: their first failing
-    rows, found by a semi-join that is broadcast when ``small`` (the unit
-    count was checked against ``max_broadcast_units``)."""
-    conds = _constraints(spec, opts)
-    stats = unit_stats(conformed, spec, opts) if stats is None else stats
-    first_bad = stats.where(F.col("__bad_pos").isNotNull()).select(
-        "source_id", "batch_id", F.col("__bad_pos").alias("pos"))
-    if small:
-        first_bad = F.broadcast(first_bad)
-    messages = (conformed.where(F.col(ERROR).isNotNull())
-                .join(first_bad, ["source_id", "batch_id", "pos"], "left_semi")
-                .groupBy("source_id", "batch_id").agg(F.min(ERROR).alias("__msg")))
-    msgs = F.array(*[F.lit(m) for _, m in conds]) if conds else None
-    violation = (F.when(F.col("__vcode").isNotNull(), F.element_at(msgs, F.col("__vcode")))
-                 if conds else F.lit(None).cast("string"))
-    return (stats.join(messages, ["source_id", "batch_id"], "left")
-            .select("source_id", "batch_id", "n_records",
-                    F.when(F.col("__bad_pos").isNotNull(), F.coalesce(F.col("__msg"), F.lit(UNKNOWN)))
-                     .alias("error"),
-                    violation.alias("violation")))
-
-
-def duplicate_key_batches(rows: DataFrame, key) -> DataFrame:
-    """Batches holding a key twice (opt-in: shuffles every row by key)."""
-    return (rows.groupBy("batch_id", *key).agg(F.count(F.lit(1)).alias("__n"))
-            .where(F.col("__n") > 1)
-            .groupBy("batch_id").agg(F.lit(f"duplicate key ({', '.join(key)})").alias("reason")))
+                  listed: DataFrame | None = None) -> DataFrame:
+    """One row per (unit, batch): records, first error, first constraint broken.
+
+    A unit fails if any of its records does, whatever their positions; the
+    error *text* is read only for failed units: their first failing rows.
+    ``listed`` names units (``source_id``, ``batch_id``) that may hold none."""
+    same = lambda a, b: a.eqNullSafe(b)
+    stats = unit_stats(conformed, spec, opts)
+    failing = conformed.where(F.col(ERROR).isNotNull()).select("source_id", "batch_id", "pos", ERROR)
+    first = failing.groupBy("source_id", "batch_id").agg(
+        F.coalesce(F.min_by(ERROR, "pos"), F.min(ERROR)).alias("__msg"))
+    m = first.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b"), "__msg")
+    units = (stats.join(m, same(F.col("source_id"), F.col("__u")) & same(F.col("batch_id"), F.col("__b")), "left")
+             .select("source_id", "batch_id", "n_records",
+                     F.when(F.col("__bad") > 0, F.coalesce(F.col("__msg"), F.lit(UNKNOWN))).alias("error"),
+                     F.col("__vcode").alias("vcode")))
+    if listed is not None:
+        empty = (listed.select("source_id", "batch_id").distinct()
+                 .join(stats.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b")),
+                       same(F.col("source_id"), F.col("__u")) & same(F.col("batch_id"), F.col("__b")), "left_anti"))
+        units = units.unionByName(empty.select("source_id", "batch_id", F.lit(0).cast("long").alias("n_records"),
+                                               F.lit(None).cast("string").alias("error"), F.lit(None).cast("int").alias("vcode")))
+    return units
 
 
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
               open_records: bool = False, batch_id: int | None = None,
-              dedupe_version=None, persist: bool = False):
+              dedupe_version=None, units: DataFrame | None = None):
     """The plans of a load: (conformed, units, accepted, failed, rejected).
 
-    ``units`` is the per-unit verdict table; ``accepted`` holds the target's
-    columns plus ``source_id`` / ``batch_id``.  With ``persist`` the
-    conformed batch and the unit tables are cached and the unit count is
-    taken once (the verdict pass); it bounds both broadcasts, since the
-    failing-row keys and the loadable units are each at most one row per
-    unit.  Without it everything stays lazy and AQE picks the joins."""
+    ``units`` (the argument) lists the batch's units, so that those without a
+    record get their verdict; ``units`` (the result) is the per-unit verdict
+    table, and ``accepted`` holds the target's columns plus ``source_id`` /
+    ``batch_id``.  Everything stays lazy."""
+    return _planned(records, spec, opts, open_records, batch_id, dedupe_version, False, units)[:5]
+
+
+def _planned(records, spec, opts, open_records, batch_id, dedupe_version, persist, units):
+    """:func:`plan_load` and the number of units.  With ``persist`` the unit
+    table is cached and counted by one action, and joins that have nothing to
+    remove are left out."""
     opts = (opts or LoadOptions()).validate()
-    if opts.spread_narrow_input:
-        records = spread_narrow(records)
+    records = spread_records(records, opts.spread_partitions)
     conformed = conform_records(records, spec, opts, open_records)
     if "batch_id" not in conformed.columns:
         conformed = conformed.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
-    small = None
-    if persist:
+    conformed = conformed.withColumn(ERROR, F.when(F.col("source_id").isNull(), F.lit(NO_UNIT)).otherwise(F.col(ERROR)))
+    if units is not None and "batch_id" not in units.columns:
+        units = units.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
+    cached = []
+    if persist and opts.snapshot == "cache":
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
-    stats = unit_stats(conformed, spec, opts)
-    if persist:
-        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
-        small = stats.count() <= opts.max_broadcast_units           # verdict pass
-    units = unit_verdicts(conformed, spec, opts, stats, small)
+        cached.append(conformed)
+    try:
+        return _plans(conformed, spec, opts, dedupe_version, persist, units, cached)
+    except BaseException:
+        for df in cached:
+            df.unpersist()
+        raise
+
+
+def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
+    verdicts = unit_verdicts(conformed, spec, opts, listed)
+    n_units = n_failed = n_broken = None
     if persist:
-        units = units.persist(StorageLevel.MEMORY_AND_DISK)
-    failed = units.where(F.col("error").isNotNull()).select("source_id", "batch_id", "error")
-    good_units = units.where(F.col("error").isNull())
-    rejected = (good_units.where(F.col("violation").isNotNull())
-                .groupBy("batch_id").agg(F.min("violation").alias("reason")))
-    if spec.unique_key and spec.key and dedupe_version is None:
-        good_rows = conformed.join(good_units.select("source_id", "batch_id"),
-                                   ["source_id", "batch_id"], "left_semi")
-        rejected = (rejected.unionByName(duplicate_key_batches(good_rows, spec.key))
-                    .groupBy("batch_id").agg(F.min("reason").alias("reason")))
-    loadable = good_units.join(rejected.select("batch_id"), "batch_id", "left_anti").select(
-        "source_id", "batch_id")
-    if small:
-        loadable = F.broadcast(loadable)
-    accepted = conformed.join(loadable, ["source_id", "batch_id"], "left_semi")
+        verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(verdicts)
+        row = verdicts.agg(F.count(F.lit(1)), F.count("error"),
+                           F.count_if(F.col("error").isNull() & F.col("vcode").isNotNull())).first()   # verdict pass
+        n_units, n_failed, n_broken = row
+    failed = verdicts.where(F.col("error").isNotNull()).select("source_id", "batch_id", "error")
+    good = verdicts.where(F.col("error").isNull())
+    messages = [m for _, m in constraints_of(spec, opts)]
+    codes = good.where(F.col("vcode").isNotNull()).select("batch_id", "vcode")
+    unique = spec.unique_key and spec.key and dedupe_version is None
+    if unique:
+        messages = messages + [duplicate_key_message(spec.key)]
+        good_rows = conformed.join(good.select("source_id", "batch_id"), ["source_id", "batch_id"], "left_semi")
+        codes = codes.unionByName(duplicate_key_batches(good_rows, spec.key).select("batch_id", F.lit(len(messages)).alias("vcode")))
+    # the first constraint in the table's order, as for a batch on its own
+    rejected = (codes.groupBy("batch_id").agg(F.min("vcode").alias("vcode"))
+                .select("batch_id", violation_message(F.col("vcode"), messages).alias("reason")))
+    accepted = conformed
+    if n_failed != 0 or n_broken != 0 or unique:
+        loadable = good.join(rejected.select("batch_id"), "batch_id", "left_anti").select("source_id", "batch_id")
+        accepted = conformed.join(loadable, ["source_id", "batch_id"], "left_semi")
     if dedupe_version is not None and spec.key:
         accepted = replacing_merge(accepted, list(spec.key) + ["batch_id"], dedupe_version)
-    if persist:
-        units.count()                                  # error texts of failed units
-        stats.unpersist()
-    return conformed, units, accepted, failed, rejected
+    return conformed, verdicts, accepted, failed, rejected, n_units
 
 
 def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions | None = None,
                open_records: bool = False, batch_id: int | None = None,
-               dedupe_version=None, token: str | None = None) -> LoadResult:
+               dedupe_version=None, token: str | None = None, units: DataFrame | None = None) -> LoadResult:
     """Load one batch of units into ``target``.
 
     Unit failures (parse, mapping, conversion) quarantine only their unit.
@@ -203,77 +196,75 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
     raises :class:`BatchRolledBack` before anything is written; otherwise
     the batch's units are routed to ``failure``.  An insert error routes the
     batch's good units to ``retry`` (transient) or ``failure``.  An empty
-    batch is a no-op."""
+    batch is a no-op; a unit of ``units`` without a record succeeds with no
+    rows."""
     opts = (opts or LoadOptions()).validate()
-    conformed, units, accepted, failed, rejected = plan_load(
-        records, spec, opts, open_records, batch_id, dedupe_version, persist=True)
+    conformed, verdicts, accepted, failed, rejected, n_units = _planned(
+        records, spec, opts, open_records, batch_id, dedupe_version, True, units)
+    done = False
     try:
-        n_units = units.count()                       # served from the cache
-        rejected = rejected.persist(StorageLevel.MEMORY_AND_DISK)
-        first_rejection = rejected.select("reason").first() if n_units else None
-        if first_rejection is not None and opts.rollback_on_failure:
-            units.unpersist()
-            raise BatchRolledBack(f"batch rejected by the target's constraints: {first_rejection[0]}")
+        first = rejected.select("reason").first() if n_units and opts.rollback_on_failure else None
+        if first is not None:
+            raise BatchRolledBack(f"batch rejected by the target's constraints: {first[0]}")
         outcome: BaseException | None = None
         rows_inserted = 0
         if n_units:
             # A1: rows bound to the insert, counted by the insert job itself
             obs = Observation("rows_inserted")
-            to_write = accepted.select(*spec.names).observe(obs, F.count(F.lit(1)).alias("rows"))
+            to_write = accepted.select(*output_columns(accepted, spec)).observe(obs, F.count(F.lit(1)).alias("rows"))
             try:                                      # insert pass
                 bulk_insert(to_write, target, opts, token)
                 rows_inserted = int(obs.get.get("rows", 0))
             except Exception as e:  # noqa: BLE001 - routed, not swallowed
                 if opts.rollback_on_failure:
-                    units.unpersist()
                     raise BatchRolledBack(str(e)) from e
                 outcome = e
         # routes and failed units stay lazy over the cached unit table
-        routed = _route(units, rejected, outcome)
+        routed = _route(verdicts, rejected, outcome)
         loaded = accepted if outcome is None else accepted.limit(0)
-        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, units, rows_inserted)
+        done = True
+        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, verdicts, rows_inserted)
     finally:
         conformed.unpersist()
+        if not done:
+            verdicts.unpersist()
 
 
-def _route(units: DataFrame, rejected: DataFrame, outcome: BaseException | None) -> DataFrame:
-    if outcome is None:
-        batch_route, batch_err = F.lit("success"), F.lit(None).cast("string")
-    else:
-        batch_route = F.lit("retry" if is_transient(outcome) else "failure")
-        batch_err = F.lit((str(outcome).splitlines() or [UNKNOWN])[0][:1000])
-    j = units.join(rejected.select("batch_id", F.col("reason").alias("__be")), "batch_id", "left")
-    route = (F.when(F.col("error").isNotNull(), F.lit("failure"))
-             .when(F.col("__be").isNotNull(), F.lit("failure"))
-             .otherwise(batch_route))
-    err = F.coalesce(F.col("error"), F.col("__be"), F.when(batch_route != F.lit("success"), batch_err))
-    rows = F.when(route == F.lit("success"), F.col("n_records")).otherwise(F.lit(0)).cast("long")
-    return j.select("source_id", "batch_id", route.alias("route"), rows.alias("rows"),
-                    err.alias("error"))
+def _route(verdicts: DataFrame, rejected: DataFrame, outcome: BaseException | None) -> DataFrame:
+    j = (verdicts.join(rejected.select(F.col("batch_id").alias("__b"), "reason"),
+                       F.col("batch_id").eqNullSafe(F.col("__b")), "left")
+         .select("source_id", "batch_id", "n_records", F.coalesce("error", "reason").alias("error")))
+    routed = route_batches(j, outcome)
+    rows = F.when(F.col("route") == "success", F.col("n_records")).otherwise(F.lit(0)).cast("long")
+    return routed.select("source_id", "batch_id", "route", rows.alias("rows"), "error")
 
 
 def load_per_target(records: DataFrame, units: DataFrame, template: str, targets: dict,
-                    opts: LoadOptions | None = None, open_records: bool = False,
-                    max_broadcast_units: int = 1_000_000):
+                    opts: LoadOptions | None = None, open_records: bool = False):
     """Every unit names its target through ``${attr}`` in
     ``template``; each known target gets its own load of its units' records.
 
     ``units`` has one row per unit (``source_id`` + attribute columns);
-    ``targets`` maps a table name to ``(TargetSpec, target)``.  Units whose
-    resolved name is blank or unknown are returned as failure routes.  The
-    loop runs over the caller's list of tables, never over collected data.
+    ``targets`` maps a table name to ``(TargetSpec, target)`` or to
+    ``(TargetSpec, target, LoadOptions)``.  The target is joined to the
+    records once and the joined records are kept, clustered by target, while
+    the loads read their slices.  Units whose resolved name is blank or
+    unknown are returned as failure routes.  The loop runs over the caller's
+    list of tables, never over collected data.
     Returns ``({name: LoadResult}, missing_units)``."""
-    from ..operators.routing import missing_target, resolve_target
-
     spark = records.sparkSession
-    resolved = resolve_target(units, template).persist(StorageLevel.MEMORY_AND_DISK)
+    resolved = resolve_target(units, template)
     known = spark.createDataFrame([(t,) for t in targets], "target string")
     missing = (missing_target(resolved, known)
                .select("source_id", "target", F.lit("failure").alias("route"), "error"))
+    named = resolved.join(known, "target", "left_semi").select("source_id", F.col("target").alias("__target"))
+    dealt = records.join(named, "source_id").persist(StorageLevel.MEMORY_AND_DISK)
     results = {}
-    for name, (spec, target) in targets.items():
-        ids = bounded(resolved.where(F.col("target") == F.lit(name)).select("source_id"),
-                      max_broadcast_units)
-        results[name] = load_batch(records.join(ids, "source_id", "left_semi"), spec, target,
-                                   opts, open_records)
+    try:
+        for name, (spec, target, *own) in targets.items():
+            mine = F.col("__target") == F.lit(name)
+            results[name] = load_batch(dealt.where(mine).drop("__target"), spec, target, own[0] if own else opts, open_records,
+                                       units=named.where(mine).select("source_id"))
+    finally:
+        dealt.unpersist()
     return results, missing

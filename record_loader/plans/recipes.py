@@ -19,9 +19,10 @@ from ..operators.batches import (batches_executed, coalesce_units, load_receipts
 from ..operators.conform import ERROR, conform, conform_open, to_open_records
 from ..operators.records import match_report, select_records
 from ..operators.routing import (error_annotation, enforce_constraints, missing_target,
-                                 quarantine_units, resolve_target, route_units, unit_failures)
+                                 TransientLoadError, quarantine_units, resolve_target,
+                                 route_batches, route_units, unit_failures)
 from ..sinks.targets import PathTarget, fresh_dir
-from ..sources.files import parse_open_records, read_records
+from ..sources.files import has_record, parse_open_records, parse_records, read_records
 from ..spec import LoadOptions, TargetSpec
 from .load import load_batch
 
@@ -29,6 +30,7 @@ from .load import load_batch
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MAX_UNITS = 6
 LONG_DOC = 20000
+SPREAD = 8                      # the test tables are single files
 PRICE_CHECK = "o_totalprice < 499000"
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                "o_orderpriority"]
@@ -107,7 +109,7 @@ def malformed_units(spark, sf):
     units = staged.select("source_id", "source", truncated.alias("text"))
     recs = parse_open_records(units, "text", keep=["source"])
     spec = TargetSpec.of("docs", [("doc_id", "bigint", True), ("n_chars", "bigint"), ("text", "string")])
-    c = conform_open(recs, spec, keep=["source_id", "pos", "source"], spread=True)
+    c = conform_open(recs, spec, keep=["source_id", "pos", "source"], spread=SPREAD)
     return c.select(F.col("source_id").alias("doc_id"), "source",
                     F.col(ERROR).isNotNull().alias("malformed"))
 
@@ -179,7 +181,7 @@ def normalize_pattern(spark, sf):
     recs = o.select(F.col("o_orderkey").alias("source_id"),
                     *[F.col(c).alias(c.replace("_", "-").replace("order", "order-")) for c in ORDERS_COLS])
     opts = LoadOptions(translation="PATTERN", pattern="[-_]")
-    return conform_open(to_open_records(recs), orders_spec(), opts, spread=True).select(*ORDERS_COLS)
+    return conform_open(to_open_records(recs), orders_spec(), opts, spread=SPREAD).select(*ORDERS_COLS)
 
 
 def match_exact(spark, sf):
@@ -229,13 +231,13 @@ def _flat_events_spec(extra=()):
 
 def unmatched_field_fail(spark, sf):
     recs = _event_open_records(spark, sf)
-    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_field="fail"), spread=True)
+    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_field="fail"), spread=SPREAD)
     return unit_failures(c)
 
 
 def required_column_check(spark, sf):
     recs = _event_open_records(spark, sf, extra_on_error=False, drop_value_on_error=True)
-    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_column="fail"), spread=True)
+    c = conform_open(recs, _flat_events_spec(), LoadOptions(unmatched_column="fail"), spread=SPREAD)
     return unit_failures(c)
 
 
@@ -276,7 +278,7 @@ SQL_PROJECTIONS = {
                  + ", CAST(NULL AS VARCHAR) AS o_comment, CAST(NULL AS INTEGER) AS o_shippriority FROM orders",
     "unmatched_field_ignore": "SELECT " + ", ".join(ORDERS_COLS) + " FROM orders",
     "unmatched_field_fail": """SELECT event_id AS source_id,
-        'Cannot map field ''TRACE'' to any column in the database; Normalized Columns: '
+        'Cannot map field ''trace'' to any column in the database; Normalized Columns: '
         || """ + _EV_COLS + """ AS error FROM events WHERE event_type = 'error'""",
     "required_column_check": """SELECT event_id AS source_id,
         'Record does not have a value for the Required column ''value''' AS error
@@ -339,13 +341,53 @@ def _known_targets(spark):
     return spark.createDataFrame([(t,) for t in KNOWN_DOC_TARGETS], "target string")
 
 
+def load_routes_open(spark, sf):
+    """The route table of a load of open-record units, a document each:
+    good, truncated, empty, without a record, and without a unit."""
+    d = table(spark, sf, "documents").select("doc_id", "n_chars", "text")
+    whole = F.concat(F.lit("["), F.to_json(F.struct("doc_id", "n_chars", "text")), F.lit("]"))
+    text = (F.when(F.col("doc_id") % 11 == 0, "").when(F.col("doc_id") % 7 == 0, "[]")
+            .when(F.col("n_chars") >= LONG_DOC, F.expr("substr(whole, 1, length(whole) - 2)")).otherwise(F.col("whole")))
+    units = d.withColumn("whole", whole).select(F.when(F.col("doc_id") % 13 != 0, F.col("doc_id")).alias("source_id"), text.alias("value"))
+    spec = TargetSpec.of("docs", [("doc_id", "bigint", True), ("n_chars", "bigint"), ("text", "string")])
+    result = load_batch(parse_open_records(units, "value"), spec, PathTarget(fresh_dir(spark, "routes-open")), open_records=True,
+                        units=units.select("source_id").where("source_id IS NOT NULL"))
+    return result.units.select("source_id", "route", "rows", "error")
+
+
+def load_routes_typed(spark, sf):
+    """The route table of a load of JSON-lines units: blank lines, truncated
+    lines, and units of blank lines only."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", F.to_json(F.struct("event_id", "value")).alias("line"))
+    unit = F.floor(F.col("event_id") / 4).cast("long")
+    text = (F.when((F.col("event_id") % 5 == 0) | (unit % 6 == 0), " ")
+            .when((F.col("event_type") == "error") & (F.col("event_id") % 3 == 0), F.expr("substr(line, 1, length(line) - 3)")).otherwise(F.col("line")))
+    lines = ev.select(unit.alias("source_id"), F.col("event_id").alias("pos"), text.alias("text"))
+    recs = parse_records(lines.where(has_record("text")), "text", "event_id long, value double", keep=["source_id", "pos"])
+    spec = TargetSpec.of("kv", [("event_id", "bigint", True), ("value", "double")])
+    result = load_batch(recs, spec, PathTarget(fresh_dir(spark, "routes-typed")), units=lines.select("source_id").distinct())
+    return result.units.select("source_id", "route", "rows", "error")
+
+
+def route_outcomes(spark, sf):
+    """units of batches whose insert was well, failed for good (with a
+    text that mentions a transient error), or failed for now."""
+    units = table(spark, sf, "documents").select(F.col("doc_id").alias("source_id"), "lang")
+    outcomes = {"en": None, "fr": ValueError("disk full, earlier: java.sql.SQLTimeoutException\nsecond line")}
+    other = route_batches(units.where(~F.col("lang").isin(*outcomes)), TransientLoadError("deadlock"))
+    for lang, outcome in outcomes.items():
+        other = other.unionByName(route_batches(units.where(F.col("lang") == lang), outcome))
+    return other.select(F.col("source_id").alias("doc_id"), "route", "error")
+
+
 def resolve_target_q(spark, sf):
     return resolve_target(_doc_units_attrs(spark, sf), "docs_${lang}").select(
         F.col("source_id").alias("doc_id"), "target")
 
 
 def missing_target_q(spark, sf):
-    units = resolve_target(_doc_units_attrs(spark, sf), "docs_${lang}")
+    named = F.when(F.col("source_id") % 9 == 0, " ").otherwise(F.concat(F.lit("docs_"), F.col("lang")))
+    units = resolve_target(_doc_units_attrs(spark, sf).withColumn("table", named), "${table}")
     return missing_target(units, _known_targets(spark)).select(
         F.col("source_id").alias("doc_id"), "target", "error")
 
@@ -370,9 +412,24 @@ SQL_ROUTING = {
         WHERE o_custkey % 50 NOT IN (SELECT o_custkey % 50 FROM orders
                                       WHERE NOT ({PRICE_CHECK}) OR o_custkey IS NULL)""",
     "resolve_target": "SELECT doc_id, 'docs_' || lang AS target FROM documents",
-    "missing_target": """SELECT doc_id, 'docs_' || lang AS target,
-        'Table not found: docs_' || lang AS error FROM documents
-        WHERE 'docs_' || lang NOT IN ('docs_en', 'docs_de', 'docs_es')""",
+    "missing_target": """SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN '' ELSE 'docs_' || lang END AS target,
+        CASE WHEN doc_id % 9 = 0 THEN 'Target table name is blank' ELSE 'Table not found: docs_' || lang END AS error
+        FROM documents WHERE doc_id % 9 = 0 OR 'docs_' || lang NOT IN ('docs_en', 'docs_de', 'docs_es')""",
+    "load_routes_open": f"""WITH u AS (SELECT CASE WHEN doc_id % 13 <> 0 THEN doc_id END AS source_id,
+            doc_id % 11 = 0 OR doc_id % 7 = 0 AS none, n_chars >= {LONG_DOC} AS cut FROM documents)
+        SELECT source_id, CASE WHEN cut AND NOT none THEN 'failure' ELSE 'success' END AS route,
+            CASE WHEN cut OR none THEN 0 ELSE 1 END AS rows,
+            CASE WHEN cut AND NOT none THEN 'Malformed record' END AS error FROM u WHERE source_id IS NOT NULL
+        UNION ALL SELECT NULL, 'failure', 0, 'Record has no unit (source_id is NULL)'
+        WHERE EXISTS (SELECT 1 FROM u WHERE source_id IS NULL AND NOT none)""",
+    "load_routes_typed": """WITH l AS (SELECT event_id // 4 AS source_id, event_id % 5 = 0 OR (event_id // 4) % 6 = 0 AS blank,
+            event_type = 'error' AND event_id % 3 = 0 AS cut FROM events)
+        SELECT source_id, CASE WHEN bool_or(cut AND NOT blank) THEN 'failure' ELSE 'success' END AS route,
+            CASE WHEN bool_or(cut AND NOT blank) THEN 0 ELSE count(*) FILTER (NOT blank) END AS rows,
+            CASE WHEN bool_or(cut AND NOT blank) THEN 'Malformed record' END AS error FROM l GROUP BY source_id""",
+    "route_outcomes": """SELECT doc_id, CASE lang WHEN 'en' THEN 'success' WHEN 'fr' THEN 'failure' ELSE 'retry' END AS route,
+        CASE lang WHEN 'en' THEN NULL WHEN 'fr' THEN 'disk full, earlier: java.sql.SQLTimeoutException' || chr(10) || 'second line'
+        ELSE 'deadlock' END AS error FROM documents""",
     "route_units": """SELECT doc_id, 'docs_' || lang AS target,
         CASE WHEN lang IN ('en', 'de', 'es') THEN 'success' ELSE 'failure' END AS route,
         CASE WHEN lang IN ('en', 'de', 'es') THEN NULL ELSE 'Table not found: docs_' || lang END AS error
@@ -403,7 +460,9 @@ def batches_executed_q(spark, sf):
 
 def load_receipts_q(spark, sf):
     units, good, failed = _doc_load(spark, sf)
-    return load_receipts(units.select("source_id", "batch_id"), good, failed, "documents")
+    counts = good.groupBy("source_id").agg(F.count(F.lit(1)).alias("rows"))
+    routed = route_batches(units.join(failed, "source_id", "left"), None).join(counts, "source_id", "left")
+    return load_receipts(routed.withColumn("rows", F.coalesce("rows", F.lit(0))), "documents")
 
 
 def replacing_merge_q(spark, sf):
@@ -467,7 +526,7 @@ def binary_utf8(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
     spec = TargetSpec.of("blobs", [("doc_id", "bigint"), ("lang", "binary"), ("text", "binary")])
     c = conform(docs, spec, LoadOptions(binary_format="utf-8"))
-    return c.select("doc_id", F.hex("lang").alias("lang_hex"), F.octet_length("text").cast("long").alias("text_bytes"))
+    return c.select("doc_id", F.hex("lang").alias("lang_hex"), F.sha2("text", 256).alias("text_sha256"))
 
 
 def binary_hex(spark, sf):
@@ -592,7 +651,7 @@ SQL_CONVERSIONS = {
         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 = 0
              THEN 'Cannot convert field ''k'' of type string to int for column ''k''' END AS error
         FROM events""",
-    "binary_utf8": "SELECT doc_id, hex(lang) AS lang_hex, octet_length(encode(text)) AS text_bytes FROM documents",
+    "binary_utf8": "SELECT doc_id, hex(lang) AS lang_hex, sha256(text) AS text_sha256 FROM documents",
     "binary_hex": "SELECT n_nationkey, hex(n_name) AS n_name_hex FROM nation",
     "binary_base64": "SELECT o_orderkey, hex(CAST(o_orderkey AS VARCHAR)) AS payload_hex FROM orders",
     "binary_from_bytes": "SELECT n_nationkey, hex(n_name) AS n_name_hex FROM nation",

@@ -15,6 +15,7 @@ Targets:
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -22,25 +23,29 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..spec import ConfigError
+
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder for lineage cuts and intermediate tables: the cluster's
-    ``spark.checkpoint.dir``.  Only when it is unset (local runs, tests) a
-    fresh temporary folder is set as the checkpoint dir."""
+    ``spark.checkpoint.dir``.  Only a local session without one gets a fresh
+    temporary folder; on a cluster every machine would have its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
     try:
         sc = spark.sparkContext          # classic sessions only
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
         pass
-    if not base and sc is not None and hasattr(sc, "getCheckpointDir"):
-        ckpt = sc.getCheckpointDir()
-        base = os.path.dirname(ckpt.rstrip("/")) if ckpt else None
+    current = sc._jsc.sc().getCheckpointDir() if sc is not None else None
+    if not base and current is not None and current.isDefined():
+        base = os.path.dirname(current.get().rstrip("/"))
     if not base:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ConfigError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="record-loader-")
         spark.conf.set("spark.checkpoint.dir", base)
-        if sc is not None:
-            sc.setCheckpointDir(base)
+    if current is not None and not current.isDefined():
+        sc.setCheckpointDir(base)
     path = base.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"
@@ -144,7 +149,7 @@ class JdbcTarget:
         try:
             r.load().schema
         except Exception as e:  # noqa: BLE001
-            raise LookupError(f"Table not found: {self.table} ({str(e).splitlines()[0][:300]})") from e
+            raise LookupError(f"Table not found: {self.table} ({e})") from e
 
     def append(self, df: DataFrame, opts=None, token: str | None = None) -> None:
         mode = opts.effective_mode if opts is not None else "single"
@@ -164,7 +169,8 @@ class JdbcTarget:
             try:
                 run([f"INSERT INTO {self.table} ({cols}) SELECT {cols} FROM {staging}"])
             finally:
-                run([f"DROP TABLE {staging}"])
+                if not self.staging_table:           # a caller's own table stays
+                    run([f"DROP TABLE {staging}"])
         else:
             raise ValueError(mode)
 
@@ -183,8 +189,7 @@ def jvm_sql_runner(spark: SparkSession, url: str, properties: dict, timeout_s: i
         jvm = spark.sparkContext._jvm
         props = jvm.java.util.Properties()
         for k, v in properties.items():
-            if k in ("user", "password"):
-                props.setProperty(k, v)
+            props.setProperty(k, str(v))
         conn = jvm.java.sql.DriverManager.getConnection(url, props)
         try:
             conn.setAutoCommit(False)
@@ -211,13 +216,21 @@ def bulk_insert(df: DataFrame, target, opts=None, token: str | None = None) -> N
         target.append(df, opts, token=token)
 
 
-def write_routes(units: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K3: append unit routes (success / retry / failure), partitioned by
-    route so each relationship is its own folder."""
-    units.write.mode("append").format(fmt).partitionBy("route").save(path)
+def batch_folder(path: str, load_name: str, batch_id: int) -> str:
+    """The folder of one batch in a route or receipt table."""
+    return f"{path.rstrip('/')}/load_name={load_name}/batch_id={batch_id}"
+
+
+def write_routes(units: DataFrame, path: str, load_name: str, batch_id: int, fmt: str = "parquet") -> None:
+    """K3: the unit routes (success / retry / failure) of one batch, each
+    relationship in its own folder.  The batch's folder is rewritten, so a
+    replay leaves one route per unit."""
+    (units.drop("load_name", "batch_id").write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "static").partitionBy("route").save(batch_folder(path, load_name, batch_id)))
 
 
 def read_routes(spark: SparkSession, path: str, route: str | None = None,
                 fmt: str = "parquet") -> DataFrame:
-    df = spark.read.format(fmt).load(path)
+    df = (spark.read.format(fmt).load(path)
+          .withColumns({"load_name": F.col("load_name").cast("string"), "batch_id": F.col("batch_id").cast("long")}))
     return df.where(F.col("route") == route) if route else df

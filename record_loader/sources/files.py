@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.conform import CORRUPT
+from ..operators.conform import CORRUPT, field_name
 
 FORMATS = ("json", "csv", "parquet", "orc", "avro")
 OPEN_SCHEMA = "array<map<string,string>>"
@@ -44,7 +44,7 @@ def read_records(spark: SparkSession, paths, fmt: str = "json", schema=None,
         # is an ordinary column (no scan-level restrictions on it)
         raw = spark.read.text(_paths(paths))
         raw = raw.select(F.col("_metadata.file_path").alias("source_id"),
-                         F.monotonically_increasing_id().alias("pos"), "value")
+                         F.monotonically_increasing_id().alias("pos"), "value").where(has_record("value"))
         return parse_records(raw, "value", schema, keep=["source_id", "pos"],
                              date_format=date_format, timestamp_format=timestamp_format)
     reader = spark.read.format(fmt)
@@ -71,7 +71,12 @@ def read_records(spark: SparkSession, paths, fmt: str = "json", schema=None,
     else:
         pos = F.monotonically_increasing_id()
     return df.select(F.col("_metadata.file_path").alias("source_id"), pos.cast("long").alias("pos"),
-                     *[F.col(f"`{c}`") for c in df.columns])
+                     *[F.col(f"`{c}`").alias(field_name(c)) for c in df.columns])
+
+
+def has_record(text: str) -> Column:
+    """A line that is not blank; blank lines separate records and are none."""
+    return F.trim(F.col(text)) != ""
 
 
 def wrap_single(text: Column) -> Column:
@@ -81,22 +86,34 @@ def wrap_single(text: Column) -> Column:
     return F.when(F.startswith(t, F.lit("[")), t).otherwise(F.concat(F.lit("["), t, F.lit("]")))
 
 
+def open_rows(text: Column) -> Column:
+    """The generator of a unit's records (``pos``, ``fields``): none for an
+    empty array or text, one with NULL ``fields`` for text that does not parse."""
+    malformed = F.array(F.lit(None).cast("map<string,string>"))
+    return F.posexplode(F.coalesce(F.from_json(wrap_single(text), OPEN_SCHEMA), malformed)).alias("pos", "fields")
+
+
 def parse_open_records(df: DataFrame, text: str, unit: str = "source_id",
                        keep=()) -> DataFrame:
     """S3/S4 over a text column: each value is one unit holding a JSON array
     of objects (or one object).  Output: unit, ``pos``, ``fields`` map; a
     unit that does not parse yields one row with NULL ``fields`` (later
     quarantined as malformed).  Nested values stay JSON text."""
-    parsed = F.from_json(wrap_single(F.col(text)), OPEN_SCHEMA)
-    staged = df.select(F.col(unit).alias("source_id") if unit != "source_id" else F.col("source_id"),
-                       *[F.col(k) for k in keep], parsed.alias("__recs"))
-    return staged.select("source_id", *keep, F.posexplode_outer("__recs").alias("pos", "fields"))
+    return df.select(F.col(unit).alias("source_id"), *[F.col(k) for k in keep], open_rows(F.col(text)))
+
 
+def read_open_records(spark: SparkSession, paths, lines: bool = False) -> DataFrame:
+    """S3: record files as units of open records.
 
-def read_open_records(spark: SparkSession, paths) -> DataFrame:
-    """S3: read whole record files as units of open records.  One file is
-    one task here (the text must be whole to parse), so large inputs are
-    best delivered as many modest files or as JSON lines."""
+    With ``lines`` (JSON lines: one object per line) the files are split
+    and parsed line by line, whatever their size.  Otherwise a file is one
+    JSON array or object, which must be whole to parse, so one row of one
+    task: such files should be modest."""
+    if lines:
+        raw = spark.read.text(_paths(paths)).select(
+            F.col("_metadata.file_path").alias("source_id"), F.monotonically_increasing_id().alias("pos"), "value")
+        return raw.where(has_record("value")).select(
+            "source_id", "pos", F.from_json("value", "map<string,string>").alias("fields"))
     raw = spark.read.option("wholetext", "true").text(_paths(paths))
     raw = raw.select(F.col("_metadata.file_path").alias("source_id"), F.col("value"))
     return parse_open_records(raw, "value")
@@ -120,7 +137,7 @@ def parse_records(df: DataFrame, text: str, schema, keep=(), date_format: str |
     out = df.select(*[F.col(k) for k in keep], parsed.alias("__r"), F.col(text).alias("__t"))
     corrupt = F.when(F.col("__t").isNotNull() & (F.col("__r").isNull() | F.col(f"__r.{CORRUPT}").isNotNull()),
                      F.col("__t"))
-    return out.select(*keep, *[F.col(f"__r.`{f.name}`").alias(f.name) for f in fields],
+    return out.select(*keep, *[F.col(f"__r.`{f.name}`").alias(field_name(f.name, keep)) for f in fields],
                       corrupt.alias(CORRUPT))
 
 

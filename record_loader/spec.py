@@ -49,12 +49,14 @@ class ColumnSpec:
     dtype: T.DataType
     required: bool = False
     enum_values: tuple[str, ...] | None = None
+    uuid: bool = False          # text that must be a UUID (declared type ``uuid``)
 
     @staticmethod
     def of(name: str, dtype: T.DataType | str, required: bool = False,
            enum_values=None) -> "ColumnSpec":
         ev = tuple(enum_values) if enum_values is not None else None
-        return ColumnSpec(name, _as_type(dtype), required, ev)
+        uuid = isinstance(dtype, str) and dtype.strip().lower() == "uuid"
+        return ColumnSpec(name, T.StringType() if uuid else _as_type(dtype), required, ev, uuid)
 
 
 @dataclass(frozen=True)
@@ -164,8 +166,9 @@ class LoadOptions:
     rollback_on_failure: bool = False
     timeout_ms: int = 0
     mode: str = "single"
-    max_broadcast_units: int = 1_000_000
-    spread_narrow_input: bool = True       # see operators.conform.spread_narrow
+    snapshot: str = "cache"                # or 'rescan': what the insert pass reads
+    spread_partitions: int = 0             # see operators.conform.spread_records
+    record_path: str | None = None         # P10: load the records at this path of each record
 
     def with_(self, **kw) -> "LoadOptions":
         return replace(self, **kw)
@@ -198,6 +201,10 @@ class LoadOptions:
             problems.append("binary_from must be 'reject' or 'text'")
         if self.mode not in INSERT_MODES:
             problems.append(f"mode must be one of {INSERT_MODES}")
+        if self.snapshot not in ("cache", "rescan"):
+            problems.append("snapshot must be 'cache' or 'rescan'")
+        if self.spread_partitions < 0:
+            problems.append("spread_partitions must be >= 0")
         if self.max_units < 0:
             problems.append("max_units must be >= 0")
         if self.timeout_ms < 0:

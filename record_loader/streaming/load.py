@@ -5,26 +5,31 @@ A file stream is the queue: each trigger takes up to ``max_units`` new files
 ``availableNow`` drains the queue in bounded batches and stops, which is
 also how a directory is loaded in batch mode.
 
-Replay safety: every committed micro-batch leaves a receipt keyed by
-(``load_name``, ``batch_id``); a replayed batch whose receipt exists is
-skipped.  Rollback-on-failure raises inside ``foreachBatch`` so the
+Replay safety: routes and receipts of a micro-batch stand in folders of
+its own (``load_name``, ``batch_id``), which a replay rewrites; the receipts
+come last, and a replayed batch whose receipts exist is skipped.  Rollback-on-failure raises inside ``foreachBatch`` so the
 checkpoint does not advance and a restart replays the same files.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.conform import CORRUPT
-from ..plans.load import load_batch
-from ..sinks.targets import write_routes
-from ..sources.files import OPEN_SCHEMA, parse_records, wrap_single
+from ..operators.conform import CORRUPT, field_name
+from ..plans.load import LoadResult, load_batch
+from ..sinks.targets import batch_folder, read_routes, write_routes
+from ..sources.files import has_record, open_rows, parse_records
 from ..spec import LoadOptions, TargetSpec
 
-# Receipt columns: load_name, batch_id (partition folders), source_id, route,
-# rows, error, destination, attempt.
+# Receipt columns: load_name, batch_id (folders), source_id, route, rows, error,
+# destination, attempt.
 
 
 def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "json",
@@ -41,48 +46,49 @@ def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "
         r = r.option(k, v)
     if open_records:
         raw = r.format("text").option("wholetext", "true").load(path)
-        parsed = F.from_json(wrap_single(F.col("value")), OPEN_SCHEMA)
-        return raw.select(F.col("_metadata.file_path").alias("source_id"),
-                          F.posexplode_outer(parsed).alias("pos", "fields"))
+        return raw.select(F.col("_metadata.file_path").alias("source_id"), open_rows(F.col("value")))
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     if fmt == "json" and not options.get("multiLine"):
         # JSON lines: parsed in the plan; malformed lines keep _corrupt_record
         raw = r.format("text").load(path)
-        raw = raw.select(F.col("_metadata.file_path").alias("source_id"), "value")
+        raw = raw.select(F.col("_metadata.file_path").alias("source_id"), "value").where(has_record("value"))
         return parse_records(raw, "value", schema, keep=["source_id"])
     if fmt in ("json", "csv") and CORRUPT not in schema.names:
         schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     df = r.format(fmt).schema(schema).load(path)
     # positions are assigned per micro-batch (see batch_loader)
-    return df.select(F.col("_metadata.file_path").alias("source_id"), *df.columns)
-
-
-def _receipt_path(receipts_path: str, load_name: str, batch_id: int) -> str:
-    return f"{receipts_path.rstrip('/')}/load_name={load_name}/batch_id={batch_id}"
+    return df.select(F.col("_metadata.file_path").alias("source_id"),
+                     *[F.col(f"`{c}`").alias(field_name(c)) for c in df.columns])
 
 
 def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, batch_id: int) -> bool:
-    """A micro-batch is committed when its receipt partition exists.  The
-    check resolves one path (no scan of earlier receipts, no job)."""
+    """A micro-batch is committed when its receipt folder exists.  The check
+    resolves one path (no scan of earlier receipts, no job).  Only a path
+    that is not there means "not committed"; a store that cannot be read
+    raises, because loading again could double rows."""
     if not receipts_path:
         return False
     try:
-        spark.read.schema("source_id string").parquet(_receipt_path(receipts_path, load_name, batch_id))
+        spark.read.schema("source_id string").parquet(batch_folder(receipts_path, load_name, batch_id))
         return True
-    except Exception:  # noqa: BLE001 - path does not exist
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
-def write_receipts(units: DataFrame, receipts_path: str) -> None:
-    """Receipts partitioned by (load_name, batch_id): one folder per
-    committed micro-batch, written by one job (atomic commit)."""
-    units.write.mode("append").partitionBy("load_name", "batch_id").parquet(receipts_path)
+def write_receipts(units: DataFrame, receipts_path: str, load_name: str, batch_id: int) -> None:
+    """The receipts of one batch, in its own folder (rewritten by a replay);
+    written last, by one job, so a folder that exists is whole."""
+    (units.drop("load_name", "batch_id").write.mode("overwrite")
+     .parquet(batch_folder(receipts_path, load_name, batch_id)))
 
 
 def read_receipts(spark: SparkSession, receipts_path: str) -> DataFrame:
-    return spark.read.parquet(receipts_path)
+    return spark.read.parquet(receipts_path).withColumns(
+        {"load_name": F.col("load_name").cast("string"), "batch_id": F.col("batch_id").cast("long")})
 
 
 def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
@@ -92,11 +98,7 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
     """The ``foreachBatch`` function of a stream load."""
     if on_failure not in ("route", "rollback"):
         raise ValueError("on_failure must be 'route' or 'rollback'")
-    # A micro-batch is narrow only when it is a few small files: a spread
-    # shuffle costs more than it saves there (measured), and a large
-    # micro-batch of many files is already as wide as the cluster.
-    opts = opts.with_(rollback_on_failure=(on_failure == "rollback"),
-                      spread_narrow_input=False).validate()
+    opts = opts.with_(rollback_on_failure=(on_failure == "rollback")).validate()
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -112,9 +114,9 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
                 return                               # empty queue: no-op
             units = result.receipts(load_name, target.url, attempt)
             if routes_path:
-                write_routes(units, routes_path)
+                write_routes(units, routes_path, load_name, batch_id)
             if receipts_path:
-                write_receipts(units, receipts_path)
+                write_receipts(units, receipts_path, load_name, batch_id)
         finally:
             result.release()
     return run
@@ -150,37 +152,61 @@ def load_directory(spark: SparkSession, path: str, spec: TargetSpec, target, opt
     return q
 
 
+def unit_states(routes: DataFrame) -> DataFrame:
+    """(source_id, route, attempt): the latest route of every unit, by attempt."""
+    return (routes.groupBy("source_id")
+            .agg(F.max(F.struct("attempt", "batch_id", "route")).alias("last"))
+            .select("source_id", "last.route", "last.attempt"))
+
+
+def file_path(source_id: str) -> str:
+    """The path of a unit's file, as a reader takes it: units are named by URL
+    (space as %20), readers take plain paths in which glob characters are escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(source_id))
+
+
 def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, target,
             opts: LoadOptions, load_name: str, receipts_path: str | None = None,
             max_attempts: int = 3, fmt: str = "json", open_records: bool = False,
-            new_routes_path: str | None = None):
-    """Attempt the units routed to ``retry`` again, as one batch load.
-
-    Units past ``max_attempts`` go to ``failure`` instead of being loaded.
-    Returns the :class:`LoadResult` of the retry (or None if nothing to do)."""
+            new_routes_path: str | None = None) -> list[LoadResult]:
+    """Attempt the units whose latest route is ``retry`` again, in batches
+    of ``opts.max_units`` (the file names of one batch reach the driver, for
+    the reader).  Every unit counts its own attempts; units that have used up
+    ``max_attempts`` go to ``failure``.  A unit that has succeeded since is
+    left alone, so a second call has nothing to do.
+
+    A batch's token is made of its units and their attempts: repeated after
+    a crash, it names the same load, which targets that know tokens (and
+    receipts) do once.  Returns the results, one per batch."""
+    from ..operators.batches import plan_batches
     from ..sources.files import read_open_records, read_records
 
-    retry = spark.read.parquet(routes_path).where(F.col("route") == "retry")
-    last = retry.groupBy("source_id").agg(F.max("attempt").alias("attempt"))
-    due = last.where(F.col("attempt") < max_attempts)
-    spent = last.where(F.col("attempt") >= max_attempts)
+    routes = read_routes(spark, routes_path)
+    states = unit_states(routes).where(F.col("route") == "retry")
     out_routes = new_routes_path or routes_path
-    spent_units = spent.select(F.lit(load_name).alias("load_name"), F.lit(-1).cast("long").alias("batch_id"),
-                               "source_id", F.lit("failure").alias("route"), F.lit(0).cast("long").alias("rows"),
-                               F.lit("retry attempts exhausted").alias("error"),
-                               F.lit(target.url).alias("destination"),
-                               F.col("attempt").cast("int").alias("attempt"))
-    paths = [r[0] for r in due.select("source_id").distinct().collect()]  # file names only
-    if not spent_units.isEmpty():
-        write_routes(spent_units, out_routes)
-    if not paths:
-        return None
-    attempt = due.agg(F.max("attempt")).first()[0] + 1
-    records = (read_open_records(spark, paths) if open_records
-               else read_records(spark, paths, fmt, schema))
-    result = load_batch(records, spec, target, opts, open_records=open_records)
-    units = result.receipts(load_name, target.url, attempt)
-    write_routes(units, out_routes)
-    if receipts_path:
-        write_receipts(units, receipts_path)
-    return result
+    last = routes.agg(F.max("batch_id")).first()[0] or 0
+    spent = states.where(F.col("attempt") >= max_attempts).select(
+        "source_id", F.lit("failure").alias("route"), F.lit(0).cast("long").alias("rows"),
+        F.lit("retry attempts exhausted").alias("error"), F.lit(target.url).alias("destination"),
+        (F.col("attempt") + 1).cast("int").alias("attempt")).checkpoint()
+    due = plan_batches(states.where(F.col("attempt") < max_attempts), opts.max_units, ("source_id",), ()).checkpoint()
+    if not spent.isEmpty():
+        write_routes(spent, out_routes, f"{load_name}-spent", last + 1)
+    count = due.agg(F.max("batch_id")).first()[0]
+    results = []
+    for k in range(0 if count is None else count + 1):
+        some = due.where(F.col("batch_id") == k).select("source_id", "attempt")
+        units = sorted((r.source_id, r.attempt) for r in some.collect())     # at most max_units names
+        token = f"{load_name}-{hashlib.md5(repr(units).encode()).hexdigest()[:16]}"
+        number = last + 1 + k
+        paths = [file_path(u) for u, _ in units]
+        records = read_open_records(spark, paths) if open_records else read_records(spark, paths, fmt, schema)
+        result = load_batch(records, spec, target, opts, open_records=open_records, batch_id=number, token=token,
+                            units=some.select("source_id"))
+        attempts = some.select("source_id", (F.col("attempt") + 1).cast("int").alias("attempt"))
+        done = result.receipts(load_name, target.url).drop("attempt").join(attempts, "source_id")
+        write_routes(done, out_routes, token, number)
+        if receipts_path:
+            write_receipts(done, receipts_path, token, number)
+        results.append(result)
+    return results
