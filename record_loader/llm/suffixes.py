@@ -15,7 +15,8 @@ in forty) and the strings around them are compared:
    leading bytes, document and place; each partition is sorted by itself and its strings are
    compared lead by lead. A lead that may go on in the next partition (the first and last of each)
    is compared across the boundary: its strings go by hash to the partition that keeps the
-   earliest. So a lead with any number of suffixes is spread over as many partitions as it fills.
+   earliest, each distinct string once per partition. So a lead with any number of suffixes is
+   spread over as many partitions as it fills.
 4. The repeated strings of each document, as ranges of places, are joined to its text and cut out.
 
 Strings are told apart by 64 bits beside their lead's 64. Shuffled rows are fixed-width but for
@@ -142,15 +143,16 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            pa.array(n), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))],
                                           names=["border", "did", "th", "start", "n", "x", "y"])
 
-    def border(t: pa.Table) -> pa.RecordBatch:
-        row, k, x = strings(t)
-        data, offsets = text_bytes(t.column("first").combine_chunks())
-        lead = mix(Rolling(data).pieces(offsets[:-1], offsets[1:]) + U(7))
-        return rows(t, True, row, k, np.ones(len(row), np.int64), x, lead[row])
-
-    def inside(t: pa.Table) -> pa.RecordBatch:
+    def compared(t: pa.Table, border: bool) -> Iterator[pa.RecordBatch]:
+        """Strings that stand earlier in the same rows, as ranges; of a border lead also each
+        string's first place, which another partition may hold earlier."""
         row, k, x = strings(t)
         again = pd.Series(x).duplicated().to_numpy()  # rows stand in order, so the first is the earliest
+        if border:
+            data, offsets = text_bytes(t.column("first").combine_chunks())
+            lead = mix(Rolling(data).pieces(offsets[:-1], offsets[1:]) + U(7))
+            new = np.flatnonzero(~again)
+            yield rows(t, True, row[new], k[new], np.ones(len(new), np.int64), x[new], lead[row[new]])
         edge = np.ones(len(row) + 1, bool)
         edge[1:-1] = (again[1:] != again[:-1]) | (row[1:] != row[:-1])
         begin = np.flatnonzero(edge)
@@ -158,7 +160,7 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = again[begin] if len(begin) else np.zeros(0, bool)
         begin, size = begin[some], size[some]
         zero = np.zeros(len(begin), np.uint64)
-        return rows(t, False, row[begin], k[begin], size, zero, zero)
+        yield rows(t, False, row[begin], k[begin], size, zero, zero)
 
     for batch in batches:
         if not len(batch):
@@ -166,22 +168,23 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches([batch])
         leads = t.column("first").to_pylist()
         opening = leads[0] if opening is None else opening
-        i = 0
-        if leads[0] == opening:  # the first lead goes out at once, however long it is
-            i = next((j for j, x in enumerate(leads) if x != opening), len(leads))
-            yield border(t.slice(0, i))
-        if i == len(leads):
-            continue
-        last = next(j for j in range(len(leads) - 1, -1, -1) if j == i or leads[j - 1] != leads[-1])
-        if held and leads[i] == held[-1].column("first")[-1].as_py() and last == i:
-            held.append(t.slice(i))  # the lead that is held goes on
+        # from the last lead of what has come on, rows may still follow
+        last = next(j for j in range(len(leads) - 1, -1, -1) if j == 0 or leads[j - 1] != leads[-1])
+        goes_on = bool(held) and held[-1].column("first")[-1].as_py() == leads[0]
+        if goes_on and last == 0:
+            held.append(t)
             continue
-        done = pa.concat_tables([*held, t.slice(i, last - i)])
+        done = pa.concat_tables([*held, t.slice(0, last)])
         if len(done):
-            yield inside(done)
+            first = done.column("first")
+            n = next((j for j in range(len(done)) if first[j].as_py() != opening), len(done)) if first[0].as_py() == opening else 0
+            if n:
+                yield from compared(done.slice(0, n), True)
+            if n < len(done):
+                yield from compared(done.slice(n), False)
         held = [t.slice(last)]
     if held:
-        yield border(pa.concat_tables(held))
+        yield from compared(pa.concat_tables(held), True)
 
 
 def _cut_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
