@@ -137,10 +137,9 @@ def _planned(records, spec, opts, open_records, batch_id, dedupe_version, persis
     table is cached and counted by one action, and joins that have nothing to
     remove are left out."""
     opts = (opts or LoadOptions()).validate()
-    records = spread_records(records, opts.spread_partitions)
-    conformed = conform_records(records, spec, opts, open_records)
-    if "batch_id" not in conformed.columns:
-        conformed = conformed.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
+    if "batch_id" not in records.columns:
+        records = records.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))
+    conformed = conform_records(spread_records(records, opts.spread_partitions), spec, opts, open_records)
     conformed = conformed.withColumn(ERROR, F.when(F.col("source_id").isNull(), F.lit(NO_UNIT)).otherwise(F.col(ERROR)))
     if units is not None and "batch_id" not in units.columns:
         units = units.withColumn("batch_id", F.lit(batch_id or 0).cast("long"))

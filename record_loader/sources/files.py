@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.conform import CORRUPT, field_name
+from ..operators.conform import CORRUPT, META_COLUMNS, field_name
 
 FORMATS = ("json", "csv", "parquet", "orc", "avro")
 OPEN_SCHEMA = "array<map<string,string>>"
@@ -137,16 +137,21 @@ def parse_records(df: DataFrame, text: str, schema, keep=(), date_format: str |
     out = df.select(*[F.col(k) for k in keep], parsed.alias("__r"), F.col(text).alias("__t"))
     corrupt = F.when(F.col("__t").isNotNull() & (F.col("__r").isNull() | F.col(f"__r.{CORRUPT}").isNotNull()),
                      F.col("__t"))
-    return out.select(*keep, *[F.col(f"__r.`{f.name}`").alias(field_name(f.name, keep)) for f in fields],
+    return out.select(*keep, *[F.col(f"__r.`{f.name}`").alias(field_name(f.name, (*META_COLUMNS, *keep))) for f in fields],
                       corrupt.alias(CORRUPT))
 
 
-def list_units(spark: SparkSession, paths, fmt: str = "binaryFile") -> DataFrame:
+def list_units(spark: SparkSession, paths) -> DataFrame:
     """The unit table: one row per input file with its arrival time (the
-    file's modification time) and size; the queue that batches are cut from.
-    Reads file metadata only, not contents."""
-    files = (spark.read.format("binaryFile").load(_paths(paths))
-             .select(F.col("_metadata.file_path").alias("source_id"),
-                     F.col("_metadata.file_modification_time").alias("arrival"),
-                     F.col("_metadata.file_size").alias("size")))
-    return files
+    file's modification time) and size; the queue that batches are cut from,
+    and the ``units`` of a load.  Reads file metadata only, not contents.
+    Scans pass empty files over, so the names come from the reader's own
+    listing; an empty file has size 0 and no arrival time."""
+    files = spark.read.format("binaryFile").load(_paths(paths))
+    known = files.select(F.col("_metadata.file_path").alias("source_id"),
+                         F.col("_metadata.file_modification_time").alias("arrival"),
+                         F.col("_metadata.file_size").alias("size"))
+    names = spark.createDataFrame([(f,) for f in files.inputFiles()], "source_id string")
+    # the listing writes scheme:///path where rows have scheme:/path
+    names = names.select(F.regexp_replace("source_id", "^([A-Za-z0-9+.-]+):///", "$1:/").alias("source_id"))
+    return names.join(known, "source_id", "left").withColumn("size", F.coalesce("size", F.lit(0)))

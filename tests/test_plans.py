@@ -22,8 +22,8 @@ def plan(df, mode="formatted") -> str:
 
 
 def test_no_python_evaluation_anywhere(spark):
-    skip = {"stream_load", "stream_rollback", "stream_route", "redrive", "bulk_insert", "atomic_insert"}
-    for name, q in E.queries().items():
+    skip = {"stream_load", "stream_rollback", "stream_route", "stream_routes", "redrive", "bulk_insert", "atomic_insert"}
+    for name, q in E._QUERIES.items():
         if name in skip:
             continue
         text = plan(q(spark, SF_SMALL))

@@ -11,7 +11,7 @@ from record_loader.operators import conform, conform_open, quarantine_units
 from record_loader.plans import load_batch
 from record_loader.sinks import PathTarget, read_routes
 from record_loader.sources import read_open_records, read_records
-from record_loader.streaming import read_record_stream, redrive, stream_load
+from record_loader.streaming import read_record_stream, redrive, stream_load, unit_states
 from record_loader.streaming.recipes import FlakyTarget
 
 PERSON = TargetSpec.of("person", [("id", "int", True), ("name", "string", True), ("age", "int"),
@@ -115,13 +115,22 @@ def test_redrive_retry_units(spark, tmp_dir):
     stream_load(read_record_stream(spark, src, SCHEMA, max_units=3), SPEC, FlakyTarget(inner, 10**6),
                 LoadOptions(), os.path.join(tmp_dir, "ckpt"), "t", routes_path=routes).awaitTermination()
     assert read_routes(spark, routes, "retry").count() == 7
-    redrive(spark, routes, SCHEMA, SPEC, inner, LoadOptions(), "t2")
-    assert sorted(r.id for r in inner.read(spark).collect()) == list(range(7))
-    # attempts are counted; exhausted units go to failure
-    inner2 = PathTarget(os.path.join(tmp_dir, "out2"))
-    res = redrive(spark, routes, SCHEMA, SPEC, FlakyTarget(inner2, 10**6), LoadOptions(), "t3",
-                  max_attempts=1)
-    assert res is None and read_routes(spark, routes, "failure").count() == 7
+    for _ in range(2):                     # the second call finds every unit loaded
+        redrive(spark, routes, SCHEMA, SPEC, inner, LoadOptions(max_units=3), "t2")
+        assert sorted(r.id for r in inner.read(spark).collect()) == list(range(7))
+    assert read_routes(spark, routes, "success").count() == 7 and read_routes(spark, routes, "failure").count() == 0
+
+
+def test_redrive_counts_attempts_of_each_unit(spark, tmp_dir):
+    src = _files(tmp_dir, n=3)
+    target = FlakyTarget(PathTarget(os.path.join(tmp_dir, "out")), 10**6)
+    routes = os.path.join(tmp_dir, "routes")
+    stream_load(read_record_stream(spark, src, SCHEMA), SPEC, target, LoadOptions(),
+                os.path.join(tmp_dir, "ckpt"), "t", routes_path=routes).awaitTermination()
+    assert len(redrive(spark, routes, SCHEMA, SPEC, target, LoadOptions(max_units=2), "t", max_attempts=2)) == 2
+    assert redrive(spark, routes, SCHEMA, SPEC, target, LoadOptions(), "t", max_attempts=2) == []
+    last = {r.source_id: (r.route, r.attempt) for r in unit_states(read_routes(spark, routes)).collect()}
+    assert len(last) == 3 and set(last.values()) == {("failure", 3)}
 
 
 def test_batch_load_of_files_one_insert(spark, tmp_dir):
