@@ -22,8 +22,6 @@ table gives no conversations; extra columns are dropped.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +30,7 @@ from . import common as C
 #: The template's markers and the control strings of common templates
 #: (<|...|>, <s>, </s>, <<SYS>>, <</SYS>>, [INST], [/INST]) from their second character on.
 START, END = "<|im_start|>", "<|im_end|>\n"
-REST = r"(?=(?:\|[a-z_]+\|>|/?s>|</?SYS>>|/?INST\]))"
+REST = r"(?=(?:\|[A-Za-z0-9_]+\|>|/?s>|</?SYS>>|/?INST\]))"
 
 
 def escape(text: Column) -> Column:
@@ -154,9 +152,9 @@ SQL = r"""
 WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
-s AS (SELECT *, len(text) + len(regexp_extract_all(text, '[<\[]\\*(?:\|[a-z_]+\|>|/?s>|</?SYS>>|/?INST\])'))
+s AS (SELECT *, len(text) + len(regexp_extract_all(text, '[<\[]\\*(?:\|[A-Za-z0-9_]+\|>|/?s>|</?SYS>>|/?INST\])'))
     + len(replace(replace(role, '%', '%25'), chr(10), '%0A'))
-    + len(regexp_extract_all(replace(replace(role, '%', '%25'), chr(10), '%0A'), '[<\[]\\*(?:\|[a-z_]+\|>|/?s>|</?SYS>>|/?INST\])')) + 24 AS chars FROM c),
+    + len(regexp_extract_all(replace(replace(role, '%', '%25'), chr(10), '%0A'), '[<\[]\\*(?:\|[A-Za-z0-9_]+\|>|/?s>|</?SYS>>|/?INST\])')) + 24 AS chars FROM c),
 g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
     coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '') AS loss, sum(chars) AS chars FROM s GROUP BY conv_id)
 SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(whole) AS turns_sha256, CAST(len(loss) AS BIGINT) AS loss_chars,

@@ -20,8 +20,6 @@ an empty table on either side gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 

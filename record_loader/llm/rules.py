@@ -53,7 +53,7 @@ _COVERED = ("aggregate(_m, named_struct('last', -3, 'n', 0), (a, p) -> "
 
 def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, _base, _failed): the columns of ``docs`` as a struct, and a struct of counts (n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_lines, n_capitals, n_marks, n_distinct)."""
+    n_repeat_words, n_lines, n_capitals, n_marks)."""
     body = C.whole_text(text)
     lines = F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(C.SPACE_CHARS)) != "")
     long = lambda c: c.cast("long")
@@ -69,8 +69,7 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
         long(F.expr(_COVERED)).alias("n_repeat_words"),
         long(F.size("_l")).alias("n_lines"),
         long(_without(body, CAPITALS)).alias("n_capitals"),
-        long(_without(body, "!?")).alias("n_marks"),
-        long(F.size(F.array_distinct("_w"))).alias("n_distinct")))
+        long(_without(body, "!?")).alias("n_marks")))
     failed = (F.col("_base.n_words") < MIN_WORDS) | (100 * F.col("_base.n_repeat_words") > MAX_REPEAT_SHARE * F.col("_base.n_words"))
     return d.select("row", "_base", failed.alias("_failed"))
 
