@@ -12,8 +12,8 @@ A file segment is one row of a Parquet table: first global id position, the docu
 writers to a store that Spark alone can reach.
 
 Ascending doc_id order comes from range partitions (sampled splitters), each sorted by itself;
-``start`` is the ids of earlier partitions (one number per partition on the driver) plus a running
-count inside the partition. Documents of one doc_id are ordered by text.
+``start`` is the ids of earlier partitions (one number per partition) plus the running count that a
+segment has of its partition. Documents of one doc_id are ordered by text.
 
 Defined cases: null text is empty (only the end id); doc_id null comes first; repeated rows are
 documents of their own; an empty table gives no segment; other columns are dropped.
@@ -30,6 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ TOKENIZER = "byte_bpe_50k.json"
 
 CHUNK_BITS = 8
 RANK_BITS = 512
-SEGMENT_IDS = 1_000_000
-CACHE_PIECES = 1_500_000
+SEGMENT_IDS = 250_000
+CACHE_PIECES = 500_000
 MAGIC = b"DAC1"
 
 
@@ -131,7 +132,7 @@ class Segment:
 
 # ---- tokens ----
 
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 
 _LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
@@ -283,24 +284,24 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 # ---- files ----
 
 #: no_id marks documents whose doc_id is null (0 in doc_ids)
-SEGMENT_SCHEMA = "part int, seq int, n_ids long, doc_ids array<long>, no_id array<boolean>, ends array<long>, payload binary"
+SEGMENT_SCHEMA = "part int, inside long, n_ids long, doc_ids array<long>, no_id array<boolean>, ends array<long>, payload binary"
 
 
 def _segments(path: str, end_id: int):
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        part, seq, held, docs, none, size = TaskContext.get().partitionId(), 0, [], [], [], 0
+        part, inside, held, docs, none, size = TaskContext.get().partitionId(), 0, [], [], [], 0
         encode = encoder(path)
 
         def close():
             ids = np.concatenate(held)
-            return pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [len(ids)], "doc_ids": [docs], "no_id": [none],
+            return pd.DataFrame({"part": [part], "inside": [inside], "n_ids": [len(ids)], "doc_ids": [docs], "no_id": [none],
                                  "ends": [np.cumsum([len(x) for x in held]).tolist()], "payload": [pack(ids)]})
 
         for batch in batches:
-            for lo in range(0, len(batch), 2000):
-                some = batch.iloc[lo:lo + 2000]
+            for lo in range(0, len(batch), 500):
+                some = batch.iloc[lo:lo + 500]
                 for doc_id, no_id, ids in zip(some["id"].tolist(), some["no_id"].tolist(), encode(some["text"].tolist()), strict=True):
                     held.append(np.append(ids, np.uint32(end_id)))
                     docs.append(doc_id)
@@ -308,7 +309,7 @@ def _segments(path: str, end_id: int):
                     size += len(ids) + 1
                     if size >= SEGMENT_IDS:
                         yield close()
-                        held, docs, none, size, seq = [], [], [], 0, seq + 1
+                        held, docs, none, size, inside = [], [], [], 0, inside + size
         if held:
             yield close()
 
@@ -324,32 +325,30 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """Segments with ``first``, the number of ids before each. Offsets come from one number per
-    partition; inside a partition from its segments' sizes."""
+    """Segments with ``first``, the number of ids before each: those of earlier partitions (one row
+    per partition that wrote, so a small table) and those before it in its partition."""
     seg = spark.read.parquet(path)
-    totals = seg.groupBy("part").agg(F.sum("n_ids").alias("ids")).withColumn(
-        "base", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sizes = seg.select("part", "seq", "n_ids").withColumn(
-        "inside", F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    first = sizes.join(totals.select("part", "base"), "part").select("part", "seq", (F.col("base") + F.col("inside")).alias("first"))
-    return seg.join(first, ["part", "seq"])
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = seg.groupBy("part").agg(F.sum("n_ids").alias("ids")).select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    return seg.join(F.broadcast(base), "part").withColumn("first", F.col("base") + F.col("inside"))
 
 
-def _documents(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_ids, no_id, ends, payload, first) -> (id, no_id, start, n_tokens, ids_crc32)."""
     for batch in batches:
-        for row in batch.itertuples(index=False):
-            seg, ends = Segment(bytes(row.payload)), list(row.ends)
-            starts = [0, *ends[:-1]]
-            crc = [zlib.crc32(seg.slice(a, b).astype("<u4").tobytes()) for a, b in zip(starts, ends, strict=True)]
-            yield pd.DataFrame({"id": np.asarray(row.doc_ids, np.int64), "no_id": np.asarray(row.no_id, bool),
-                                "start": np.array(starts, np.int64) + row.first, "n_tokens": np.diff([0, *ends]).astype(np.int64),
-                                "ids_crc32": np.array(crc, np.int64)})
+        for i in range(len(batch)):
+            seg, ends = Segment(batch.column(3)[i].as_buffer()), batch.column(2)[i].values.to_numpy()
+            starts = np.concatenate([[0], ends[:-1]])
+            crc = [zlib.crc32(seg.slice(a, b).astype("<u4").tobytes()) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0)[i].values, batch.column(1)[i].values, pa.array(starts + batch.column(4)[i].as_py()), pa.array(ends - starts), pa.array(crc, pa.int64())],
+                names=["id", "no_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the files."""
     index = read_index(spark, path).select("doc_ids", "no_id", "ends", "payload", "first")
-    back = index.mapInPandas(_documents, "id long, no_id boolean, start long, n_tokens long, ids_crc32 long")
+    back = index.mapInArrow(_documents, "id long, no_id boolean, start long, n_tokens long, ids_crc32 long")
     return back.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
