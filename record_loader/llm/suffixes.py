@@ -35,7 +35,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -223,8 +223,9 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """Of (did, th, text): (did, th, whole, ends): per document the runs that repeat as a whole, and
     those of leads with different runs; arrays of packed places."""
     anchored = docs.mapInArrow(_anchor_rows, "did long, th long, place long, lead long, run long")
-    # one shuffle of the anchors; a window spills where a lead is very common
-    shared = C.written(anchored.withColumn("anchors", F.count("*").over(Window.partitionBy("lead"))).where("anchors > 1").drop("anchors"), "anchors")
+    # counted map-side first, then a plain join that Spark splits where a lead is very common
+    often = C.written(anchored.groupBy("lead").agg(F.count("*").alias("anchors")).where("anchors > 1").select("lead"), "leads")
+    shared = C.written(anchored.join(often, "lead"), "anchors")
     here = F.struct("did", "th", "place")
     runs = shared.groupBy("lead", "run").agg(F.min(here).alias("origin"))
     kinds = runs.groupBy("lead").agg((F.count("*") > 1).alias("differ"))
