@@ -54,7 +54,7 @@ class LoadResult:
     rejected: DataFrame     # batches rejected by the target's constraints
     outcome: BaseException | None
     n_units: int = 0
-    verdicts: DataFrame | None = None   # the cached per-unit table the others derive from
+    tables: list | None = None          # the cached per-unit tables the others derive from
     rows_inserted: int = 0               # counted by the insert job (Observation)
 
     def receipts(self, load_name: str, destination: str, attempt: int = 1) -> DataFrame:
@@ -65,10 +65,10 @@ class LoadResult:
             "destination", F.lit(attempt).cast("int").alias("attempt"))
 
     def release(self) -> None:
-        """Drop the cached per-unit table (small, but a stream makes one per
+        """Drop the cached per-unit tables (small, but a stream makes some per
         micro-batch)."""
-        if self.verdicts is not None:
-            self.verdicts.unpersist()
+        for df in self.tables or ():
+            df.unpersist()
 
 
 def conform_records(records: DataFrame, spec: TargetSpec, opts: LoadOptions,
@@ -95,29 +95,34 @@ def unit_stats(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions) -> Dat
 
 
 def unit_verdicts(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions,
-                  listed: DataFrame | None = None) -> DataFrame:
+                  stats: DataFrame | None = None, failures: bool = True) -> DataFrame:
     """One row per (unit, batch): records, first error, first constraint broken.
 
     A unit fails if any of its records does, whatever their positions; the
-    error *text* is read only for failed units: their first failing rows.
-    ``listed`` names units (``source_id``, ``batch_id``) that may hold none."""
-    same = lambda a, b: a.eqNullSafe(b)
-    stats = unit_stats(conformed, spec, opts)
-    failing = conformed.where(F.col(ERROR).isNotNull()).select("source_id", "batch_id", "pos", ERROR)
-    first = failing.groupBy("source_id", "batch_id").agg(
-        F.coalesce(F.min_by(ERROR, "pos"), F.min(ERROR)).alias("__msg"))
-    m = first.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b"), "__msg")
-    units = (stats.join(m, same(F.col("source_id"), F.col("__u")) & same(F.col("batch_id"), F.col("__b")), "left")
-             .select("source_id", "batch_id", "n_records",
-                     F.when(F.col("__bad") > 0, F.coalesce(F.col("__msg"), F.lit(UNKNOWN))).alias("error"),
-                     F.col("__vcode").alias("vcode")))
-    if listed is not None:
-        empty = (listed.select("source_id", "batch_id").distinct()
-                 .join(stats.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b")),
-                       same(F.col("source_id"), F.col("__u")) & same(F.col("batch_id"), F.col("__b")), "left_anti"))
-        units = units.unionByName(empty.select("source_id", "batch_id", F.lit(0).cast("long").alias("n_records"),
-                                               F.lit(None).cast("string").alias("error"), F.lit(None).cast("int").alias("vcode")))
-    return units
+    error *text* is read only for failed units: their first failing rows
+    (left out when ``failures`` says there are none)."""
+    stats = unit_stats(conformed, spec, opts) if stats is None else stats
+    if failures:
+        failing = conformed.where(F.col(ERROR).isNotNull()).select("source_id", "batch_id", "pos", ERROR)
+        first = failing.groupBy("source_id", "batch_id").agg(
+            F.coalesce(F.min_by(ERROR, "pos"), F.min(ERROR)).alias("__msg"))
+        stats = stats.join(first.withColumnsRenamed({"source_id": "__u", "batch_id": "__b"}), _same_unit(), "left")
+        error = F.when(F.col("__bad") > 0, F.coalesce(F.col("__msg"), F.lit(UNKNOWN)))
+    else:
+        error = F.lit(None).cast("string")
+    return stats.select("source_id", "batch_id", "n_records", error.alias("error"), F.col("__vcode").alias("vcode"))
+
+
+def _same_unit():
+    return F.col("source_id").eqNullSafe(F.col("__u")) & F.col("batch_id").eqNullSafe(F.col("__b"))
+
+
+def with_empty_units(stats: DataFrame, listed: DataFrame) -> DataFrame:
+    """The unit table and the listed units (``source_id``, ``batch_id``) that hold no record."""
+    known = stats.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b"))
+    empty = listed.select("source_id", "batch_id").distinct().join(known, _same_unit(), "left_anti")
+    none = {"n_records": 0, "__bad": 0, "__bad_pos": None, "__vcode": None}
+    return stats.unionByName(empty.select("source_id", "batch_id", *[F.lit(v).cast(stats.schema[k].dataType).alias(k) for k, v in none.items()]))
 
 
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
@@ -156,14 +161,20 @@ def _planned(records, spec, opts, open_records, batch_id, dedupe_version, persis
 
 
 def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
-    verdicts = unit_verdicts(conformed, spec, opts, listed)
+    stats = unit_stats(conformed, spec, opts)
+    if listed is not None:
+        stats = with_empty_units(stats, listed)
     n_units = n_failed = n_broken = None
     if persist:
+        stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(stats)
+        n_units, n_failed, n_broken = stats.agg(                                   # verdict pass
+            F.count(F.lit(1)), F.count_if(F.col("__bad") > 0), F.count("__vcode")).first()
+    verdicts = unit_verdicts(conformed, spec, opts, stats, n_failed != 0)
+    if n_failed:
         verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(verdicts)
-        row = verdicts.agg(F.count(F.lit(1)), F.count("error"),
-                           F.count_if(F.col("error").isNull() & F.col("vcode").isNotNull())).first()   # verdict pass
-        n_units, n_failed, n_broken = row
+        verdicts.count()                                                            # error texts of failed units
     failed = verdicts.where(F.col("error").isNotNull()).select("source_id", "batch_id", "error")
     good = verdicts.where(F.col("error").isNull())
     messages = [m for _, m in constraints_of(spec, opts)]
@@ -174,15 +185,16 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
         good_rows = conformed.join(good.select("source_id", "batch_id"), ["source_id", "batch_id"], "left_semi")
         codes = codes.unionByName(duplicate_key_batches(good_rows, spec.key).select("batch_id", F.lit(len(messages)).alias("vcode")))
     # the first constraint in the table's order, as for a batch on its own
+    clean = n_broken == 0 and not unique
     rejected = (codes.groupBy("batch_id").agg(F.min("vcode").alias("vcode"))
                 .select("batch_id", violation_message(F.col("vcode"), messages).alias("reason")))
     accepted = conformed
-    if n_failed != 0 or n_broken != 0 or unique:
+    if n_failed != 0 or not clean:
         loadable = good.join(rejected.select("batch_id"), "batch_id", "left_anti").select("source_id", "batch_id")
         accepted = conformed.join(loadable, ["source_id", "batch_id"], "left_semi")
     if dedupe_version is not None and spec.key:
         accepted = replacing_merge(accepted, list(spec.key) + ["batch_id"], dedupe_version)
-    return conformed, verdicts, accepted, failed, rejected, n_units
+    return conformed, verdicts, accepted, failed, rejected, n_units, clean, cached
 
 
 def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions | None = None,
@@ -198,11 +210,11 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
     batch is a no-op; a unit of ``units`` without a record succeeds with no
     rows."""
     opts = (opts or LoadOptions()).validate()
-    conformed, verdicts, accepted, failed, rejected, n_units = _planned(
+    conformed, verdicts, accepted, failed, rejected, n_units, clean, cached = _planned(
         records, spec, opts, open_records, batch_id, dedupe_version, True, units)
     done = False
     try:
-        first = rejected.select("reason").first() if n_units and opts.rollback_on_failure else None
+        first = rejected.select("reason").first() if not clean and opts.rollback_on_failure else None
         if first is not None:
             raise BatchRolledBack(f"batch rejected by the target's constraints: {first[0]}")
         outcome: BaseException | None = None
@@ -219,20 +231,21 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
                     raise BatchRolledBack(str(e)) from e
                 outcome = e
         # routes and failed units stay lazy over the cached unit table
-        routed = _route(verdicts, rejected, outcome)
+        routed = _route(verdicts, None if clean else rejected, outcome)
         loaded = accepted if outcome is None else accepted.limit(0)
         done = True
-        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, verdicts, rows_inserted)
+        tables = [df for df in cached if df is not conformed]
+        return LoadResult(loaded, routed, failed, rejected, outcome, n_units, tables, rows_inserted)
     finally:
-        conformed.unpersist()
-        if not done:
-            verdicts.unpersist()
+        for df in ([conformed] if done else cached):
+            df.unpersist()
 
 
-def _route(verdicts: DataFrame, rejected: DataFrame, outcome: BaseException | None) -> DataFrame:
-    j = (verdicts.join(rejected.select(F.col("batch_id").alias("__b"), "reason"),
-                       F.col("batch_id").eqNullSafe(F.col("__b")), "left")
-         .select("source_id", "batch_id", "n_records", F.coalesce("error", "reason").alias("error")))
+def _route(verdicts: DataFrame, rejected: DataFrame | None, outcome: BaseException | None) -> DataFrame:
+    j = verdicts.select("source_id", "batch_id", "n_records", "error")
+    if rejected is not None:
+        j = (j.join(rejected.select(F.col("batch_id").alias("__b"), "reason"), F.col("batch_id").eqNullSafe(F.col("__b")), "left")
+             .select("source_id", "batch_id", "n_records", F.coalesce("error", "reason").alias("error")))
     routed = route_batches(j, outcome)
     rows = F.when(F.col("route") == "success", F.col("n_records")).otherwise(F.lit(0)).cast("long")
     return routed.select("source_id", "batch_id", "route", rows.alias("rows"), "error")
