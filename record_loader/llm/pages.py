@@ -16,7 +16,9 @@ tokens, reduced inside every task first (smallest and largest page hash), so a h
 all pages is spread over its distinct substrings, and a footer on all of them is one row per task.
 Main blocks need no streams: a passage that an article shares with other pages is still its text.
 
-Markup is read in tasks, page by page; parsed pages are stored once and read by both steps.
+Markup is read in tasks, page by page, once for the streams and once for the text: the streams are
+a small part of the pages, so that stores less than keeping the parsed pages would. Pages are
+shuffled only where many places are covered (a counted bound decides).
 
 Defined cases: null html is empty and has the empty text; unclosed elements end with their
 container; character references are decoded; white space inside a block is one space; blocks are
@@ -27,6 +29,7 @@ extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterable, Iterator
@@ -151,43 +154,50 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
-def _parse(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        parsed = [blocks(h) for h in batch["html"]]
-        yield batch.drop(columns="html").assign(zones=[[z for z, _ in b] for b in parsed], blocks=[[t for _, t in b] for b in parsed])
-
-
-def parse_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(id, url, key, host, zones, blocks) per page."""
+def keyed_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """(id, url, x_key, y_key, html): id is page_id as text; the keys are 128 bits that stand for the row."""
     d = pages.select(F.col(page_id).cast("string").alias("id"), F.col(url).cast("string").alias("url"), C.whole_text(html).alias("html"))
-    d = d.select("id", "url", F.xxhash64("html").alias("key"), F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")).alias("host"), "html")
-    return d.mapInPandas(_parse, "id string, url string, key long, host string, zones array<int>, blocks array<string>")
+    row = (F.struct("id"), F.struct("url"), "html")  # a struct tells null from nothing
+    return d.select("id", "url", F.xxhash64(F.lit("first"), *row).alias("x_key"), F.xxhash64(F.lit("second"), *row).alias("y_key"), "html")
 
 
-def covered_places(parsed: DataFrame, lead: int = LEAD) -> DataFrame:
-    """(id, url, key, covered array of (block, at, n)): tokens of open blocks that a lead covers
-    which other pages of the host have too."""
-    content = F.xxhash64("blocks")
-    stream = (parsed.select("id", "url", "key", "host", content.alias("content"), F.posexplode(F.arrays_zip("zones", "blocks")).alias("block", "b"))
-              .where(F.col("b.zones") != IN_MAIN).select("id", "url", "key", "host", "content", "block", F.col("b.zones").alias("zone"), F.split("b.blocks", " ").alias("w")))
+def _streams(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The blocks outside the article, and a hash of all blocks."""
+    for batch in batches:
+        parsed = [blocks(h) for h in batch["html"]]
+        content = [hashlib.blake2b("\n".join(t for _, t in b).encode("utf-8", "replace"), digest_size=8).digest() for b in parsed]
+        kept = [[(k, z, t) for k, (z, t) in enumerate(b) if z != IN_MAIN] for b in parsed]
+        yield batch.drop(columns="html").assign(
+            content=[int.from_bytes(c, "little", signed=True) for c in content], block=[[k for k, _, _ in b] for b in kept],
+            zone=[[z for _, z, _ in b] for b in kept], text=[[t for _, _, t in b] for b in kept])
+
+
+def covered_places(keyed: DataFrame, lead: int = LEAD) -> DataFrame:
+    """(x_key, y_key, block, at, n): tokens of open blocks that a lead covers which other pages of
+    the host have too."""
+    host = F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
+    streams = C.cut(keyed.select("x_key", "y_key", host.alias("host"), "html").mapInPandas(
+        _streams, "x_key long, y_key long, host string, content long, block array<int>, zone array<int>, text array<string>"))
+    each = (streams.select("x_key", "y_key", "host", "content", F.explode(F.arrays_zip("block", "zone", "text")).alias("b"))
+            .select("x_key", "y_key", "host", "content", "b.block", "b.zone", F.split("b.text", " ").alias("w")))
     places = F.expr(f"transform(sequence(0, greatest(size(w) - {lead}, 0)), i -> struct(i AS at, least(size(w), {lead}) AS n, "
                     f"xxhash64(size(w) < {lead}, slice(w, i + 1, {lead})) AS x, xxhash64('second', slice(w, i + 1, {lead})) AS y))")
-    suffixes = stream.select("id", "url", "key", "host", "content", "block", "zone", F.explode(places).alias("s")).select("*", "s.*").drop("s")
+    suffixes = each.select("x_key", "y_key", "host", "content", "block", "zone", F.explode(places).alias("s")).select("*", "s.*").drop("s")
     shared = (suffixes.groupBy("host", "x", "y").agg(F.min("content").alias("one"), F.max("content").alias("other"), F.max((F.col("zone") == OPEN).cast("int")).alias("open"))
               .where("one != other AND open = 1").select("host", "x", "y"))
-    return (suffixes.where(F.col("zone") == OPEN).join(shared, ["host", "x", "y"])
-            .groupBy("id", "url", "key").agg(F.collect_set(F.array("block", "at", "n")).alias("covered")))
+    return suffixes.where(F.col("zone") == OPEN).join(shared, ["host", "x", "y"]).select("x_key", "y_key", "block", "at", "n")
 
 
-def _unique_runs(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _main_text(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The article's blocks, and what the host's leads leave of open ones."""
     for batch in batches:
         texts = []
-        for row in batch.itertuples(index=False):
+        for page, covered in zip(batch["html"], batch["covered"], strict=True):
             gone: dict[int, set[int]] = {}
-            for c in row.covered if row.covered is not None else ():
+            for c in covered if covered is not None else ():
                 gone.setdefault(int(c[0]), set()).update(range(c[1], c[1] + c[2]))
             kept = []
-            for k, (z, text) in enumerate(zip(row.zones, row.blocks, strict=True)):
+            for k, (z, text) in enumerate(blocks(page)):
                 if z == IN_MAIN:
                     kept.append(text)
                 elif z == OPEN:
@@ -200,11 +210,13 @@ def _unique_runs(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def main_text(pages: DataFrame, lead: int = LEAD, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(id, url, text) per page; id is page_id as text."""
-    parsed = C.written(parse_pages(pages, page_id, url, html), "pages")
-    covered = covered_places(parsed, lead).withColumnsRenamed({"id": "c_id", "url": "c_url", "key": "c_key"})
-    same = (F.col("key") == F.col("c_key")) & F.col("id").eqNullSafe(F.col("c_id")) & F.col("url").eqNullSafe(F.col("c_url"))
-    return parsed.join(covered, same, "left").select("id", "url", "zones", "blocks", "covered").mapInPandas(
-        _unique_runs, "id string, url string, text string")
+    keyed = keyed_pages(pages, page_id, url, html)
+    places = C.cut(covered_places(keyed, lead))
+    covered = places.groupBy("x_key", "y_key").agg(F.collect_set(F.array("block", "at", "n")).alias("covered"))
+    # a place is five numbers: few are sent to every task, many meet the pages by shuffle
+    covered = F.broadcast(covered) if places.count() <= C.BROADCAST_ROWS // 2 else covered
+    return keyed.join(covered, ["x_key", "y_key"], "left").select("id", "url", "html", "covered").mapInPandas(
+        _main_text, "id string, url string, text string")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
