@@ -14,9 +14,9 @@ in forty) and the strings around them are compared:
    run goes on as a suffix with its bytes. Sampled splitters range-partition these suffixes by
    leading bytes, document and place; each partition is sorted by itself and its strings are
    compared lead by lead. A lead that may go on in the next partition (the first and last of each)
-   is compared across the boundary: its strings go by hash to the partition that keeps the
-   earliest, each distinct string once per partition. So a lead with any number of suffixes is
-   spread over as many partitions as it fills.
+   is compared across the boundary: its strings go out in blocks, blocks whose shared bytes no
+   other has are dropped, and the strings of the rest meet by hash, where the earliest is kept.
+   So a lead with any number of suffixes is spread over as many partitions as it fills.
 4. The repeated strings of each document, as ranges of places, are joined to its text and cut out.
 
 Strings are told apart by 64 bits beside their lead's 64. Shuffled rows are fixed-width but for
@@ -99,7 +99,7 @@ def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _suffix_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(did, th, text, places) -> (did, th, start, n, first, bytes): the runs' bytes; first: its lead."""
+    """(did, th, text, places) -> (did, th, start, n, off, first, bytes): the runs' bytes; first: its lead."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(2))
         places = batch.column(3)
@@ -112,12 +112,16 @@ def _suffix_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         body = [raw[a:b] for a, b in zip(begin.tolist(), (begin + count + LENGTH - 1).tolist(), strict=True)]
         first = [x[o:o + LEAD] for x, o in zip(body, off.tolist(), strict=True)]
         take = pa.array(text)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(start), pa.array(count),
-                                          pa.array(first, pa.binary()), pa.array(body, pa.binary())], names=["did", "th", "start", "n", "first", "bytes"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(start), pa.array(count), pa.array(off),
+                                          pa.array(first, pa.binary()), pa.array(body, pa.binary())], names=["did", "th", "start", "n", "off", "first", "bytes"])
 
 
-#: border: a string whose lead may go on in another partition, by hash; else a range of repeated strings
-COMPARED = "border boolean, did long, th long, start long, n long, x long, y long"
+#: Strings of a border lead go out in blocks of so many places of the anchor.
+BLOCK = 8
+
+#: border: up to BLOCK strings whose lead may go on in another partition, with the hash of the bytes
+#: that all strings of such a block share (x), of the lead (y), and their own; else a range of repeated strings
+COMPARED = "border boolean, did long, th long, start long, n long, x long, y long, strings array<bigint>"
 
 
 def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,42 +129,48 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
     opening: bytes | None = None
 
-    def strings(t: pa.Table) -> tuple[np.ndarray, ...]:
-        """Row, place in the row, and hash of every string."""
+    def rows(t: pa.Table, border: bool, row: np.ndarray, start: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, strings: np.ndarray) -> pa.RecordBatch:
+        take = pa.array(row)
+        did, th = (t.column(name).combine_chunks().take(take) for name in ("did", "th"))
+        ends = np.concatenate([[0], np.cumsum(n if border else np.zeros(len(row), np.int64))]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(row), border)), did, th, pa.array(t.column("start").to_numpy()[row] + start), pa.array(n), pa.array(x.view(np.int64)),
+             pa.array(y.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(strings.view(np.int64)))],
+            names=["border", "did", "th", "start", "n", "x", "y", "strings"])
+
+    def compared(t: pa.Table, border: bool) -> Iterator[pa.RecordBatch]:
+        """Strings that stand earlier in the same rows, as ranges; of a border lead also the blocks
+        with a string's first place, which another partition may hold earlier."""
         data, offsets = text_bytes(t.column("bytes").combine_chunks())
-        n = t.column("n").to_numpy()
+        rolling, n = Rolling(data), t.column("n").to_numpy()
         row = np.repeat(np.arange(len(n)), n)
         k = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         begin = offsets[:-1][row] + k
-        return row, k, mix(Rolling(data).pieces(begin, begin + LENGTH))
-
-    def rows(t: pa.Table, border: bool, row: np.ndarray, start: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
-        take = pa.array(row)
-        def column(name: str) -> pa.Array:
-            return t.column(name).combine_chunks().take(take)
-
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(row), border)), column("did"), column("th"), pa.array(t.column("start").to_numpy()[row] + start),
-                                           pa.array(n), pa.array(x.view(np.int64)), pa.array(y.view(np.int64))],
-                                          names=["border", "did", "th", "start", "n", "x", "y"])
-
-    def compared(t: pa.Table, border: bool) -> Iterator[pa.RecordBatch]:
-        """Strings that stand earlier in the same rows, as ranges; of a border lead also each
-        string's first place, which another partition may hold earlier."""
-        row, k, x = strings(t)
+        x = mix(rolling.pieces(begin, begin + LENGTH))
         again = pd.Series(x).duplicated().to_numpy()  # rows stand in order, so the first is the earliest
-        if border:
-            data, offsets = text_bytes(t.column("first").combine_chunks())
-            lead = mix(Rolling(data).pieces(offsets[:-1], offsets[1:]) + U(7))
-            new = np.flatnonzero(~again)
-            yield rows(t, True, row[new], k[new], np.ones(len(new), np.int64), x[new], lead[row[new]])
+        if border and len(row):
+            off = t.column("off").to_numpy()
+            block = (off[row] - k) // BLOCK           # by the anchor's place in the string
+            edge = np.ones(len(row), bool)
+            edge[1:] = (block[1:] != block[:-1]) | (row[1:] != row[:-1])
+            first = np.flatnonzero(edge)
+            size = np.diff(np.append(first, len(row)))
+            new = np.add.reduceat((~again).astype(np.int64), first) > 0
+            strings = x[np.repeat(new, size)]
+            first, size = first[new], size[new]
+            at = offsets[:-1][row[first]] + off[row[first]] - block[first] * BLOCK  # shared by the block: from its smallest place on
+            core = mix(rolling.pieces(at, at + LENGTH - BLOCK + 1) + block[first].astype(np.uint64))
+            leads, ends = text_bytes(t.column("first").combine_chunks())
+            lead = mix(Rolling(leads).pieces(ends[:-1], ends[1:]) + U(7))
+            yield rows(t, True, row[first], k[first], size, core, lead[row[first]], strings)
         edge = np.ones(len(row) + 1, bool)
         edge[1:-1] = (again[1:] != again[:-1]) | (row[1:] != row[:-1])
-        begin = np.flatnonzero(edge)
-        size, begin = np.diff(begin), begin[:-1]
-        some = again[begin] if len(begin) else np.zeros(0, bool)
-        begin, size = begin[some], size[some]
-        zero = np.zeros(len(begin), np.uint64)
-        yield rows(t, False, row[begin], k[begin], size, zero, zero)
+        first = np.flatnonzero(edge)
+        size, first = np.diff(first), first[:-1]
+        some = again[first] if len(first) else np.zeros(0, bool)
+        first, size = first[some], size[some]
+        zero = np.zeros(len(first), np.uint64)
+        yield rows(t, False, row[first], k[first], size, zero, zero, zero[:0])
 
     for batch in batches:
         if not len(batch):
@@ -241,12 +251,17 @@ def repeated_ends(docs: DataFrame, runs: DataFrame) -> DataFrame:
     ends = runs.where(F.size("ends") > 0).select(F.col("did").alias("r_did"), F.col("th").alias("r_th"), "ends")
     same = (F.col("th") == F.col("r_th")) & F.col("did").eqNullSafe(F.col("r_did"))
     suffixes = docs.join(ends, same).select("did", "th", "text", "ends").mapInArrow(
-        _suffix_rows, "did long, th long, start long, n long, first binary, bytes binary")
+        _suffix_rows, "did long, th long, start long, n long, off long, first binary, bytes binary")
     order = ["first", "did", "th", "start"]
     found = C.cut(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compared, COMPARED))
-    strings = found.where("border")
-    earliest = strings.groupBy("x", "y").agg(F.min(F.struct("did", "th", "start")).alias("origin"), F.count("*").alias("n")).where("n > 1").drop("n")
-    across = strings.join(earliest, ["x", "y"]).where(F.col("origin") < F.struct("did", "th", "start")).select("did", "th", "start", "n")
+    blocks = found.where("border")
+    # a block whose shared bytes no other has holds no repeated string
+    like = blocks.groupBy("x", "y").agg(F.count("*").alias("blocks")).where("blocks > 1").select("x", "y")
+    strings = (blocks.join(like, ["x", "y"]).select("did", "th", "start", "y", F.posexplode("strings").alias("k", "string"))
+               .select("did", "th", (F.col("start") + F.col("k")).alias("start"), F.lit(1).cast("long").alias("n"), "y", "string"))
+    earliest = (strings.groupBy("y", "string").agg(F.min(F.struct("did", "th", "start")).alias("origin"), F.count("*").alias("places"))
+                .where("places > 1").drop("places"))
+    across = strings.join(earliest, ["y", "string"]).where(F.col("origin") < F.struct("did", "th", "start")).select("did", "th", "start", "n")
     return found.where("NOT border").select("did", "th", "start", "n").unionByName(across)
 
 
