@@ -306,11 +306,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     first = (found.where((F.col("key") == F.col("class_key")) & F.col("id").eqNullSafe(F.col("class_id")))
              .groupBy("id", "key").agg(F.count("*").alias("rows")).withColumnsRenamed({"id": "w_id", "key": "w_key"}))
-    body = C.whole_text("text")
-    keyed = docs.select(C.row_of(docs), F.col("doc_id").alias("k_id"), text_hash(body).alias("k_key"))
-    kept = C.written(keyed.join(first, (F.col("k_key") == F.col("w_key")) & F.col("k_id").eqNullSafe(F.col("w_id"))), "kept")
-    again = kept.where("rows > 1").dropDuplicates(["w_id", "w_key"])
-    return C.unpacked(kept.where("rows = 1").unionByName(again), docs)
+    first = C.cut(first)
+    keyed = docs.select(C.row_of(docs), F.col("doc_id").alias("k_id"), text_hash(C.whole_text("text")).alias("k_key"))
+    same = (F.col("k_key") == F.col("w_key")) & F.col("k_id").eqNullSafe(F.col("w_id"))
+    kept = keyed.join(first.where("rows = 1"), same)
+    again = first.where("rows > 1")
+    if not again.isEmpty():  # rows that share doc_id and text
+        kept = kept.unionByName(keyed.join(again, same).dropDuplicates(["w_id", "w_key"]))
+    return C.unpacked(kept, docs)
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,7 +61,8 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.col("_t")
     d = d.withColumns({"_w": C.words(body), "_l": lines})
     d = d.withColumn("_s", F.expr(_repeat_words())).withColumn("_m", F.expr(_MARKED))
-    d = d.withColumn("_base", F.struct(
+    # one element, exploded: what reads the counts is not folded into working them out
+    d = d.withColumn("_base", F.explode(F.array(F.struct(
         long(F.size("_w")).alias("n_words"),
         long(F.length(F.translate(body, C.SPACE_CHARS, ""))).alias("word_chars"),
         long(_without(body, SYMBOLS)).alias("n_symbols"),
@@ -69,7 +70,7 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
         long(F.expr(_COVERED)).alias("n_repeat_words"),
         long(F.size("_l")).alias("n_lines"),
         long(_without(body, CAPITALS)).alias("n_capitals"),
-        long(_without(body, "!?")).alias("n_marks")))
+        long(_without(body, "!?")).alias("n_marks")))))
     failed = (F.col("_base.n_words") < MIN_WORDS) | (100 * F.col("_base.n_repeat_words") > MAX_REPEAT_SHARE * F.col("_base.n_words"))
     return d.select("row", "_base", failed.alias("_failed"))
 
@@ -127,8 +128,7 @@ def posterior(vote: tuple[int, ...], share: float, rates: list[dict[int, tuple[f
 
 
 def judged(based: DataFrame) -> DataFrame:
-    """A frame with ``_base`` and ``_failed`` (read twice, so give one that is stored) with ``_posterior``
-    and ``_kept``."""
+    """A frame with ``_base`` and ``_failed`` (it is read twice) with ``_posterior`` and ``_kept``."""
     rules = votes()
     counts = (based.where(~F.col("_failed")).groupBy(*[c.alias(f"v_{k}") for k, c in rules.items()])
               .count().collect())  # at most 3 ** 7 rows
@@ -142,8 +142,9 @@ def judged(based: DataFrame) -> DataFrame:
 
 
 def score_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, _base, _failed, _posterior, _kept). The base columns are worked out once and kept in the shared folder, as the estimate and the verdict both read them."""
-    return judged(C.written(base_columns(docs, text), "rules"))
+    """(row, _base, _failed, _posterior, _kept). The base columns are worked out twice, for the
+    estimate and for the verdict, rather than stored beside the texts."""
+    return judged(base_columns(docs, text))
 
 
 def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
