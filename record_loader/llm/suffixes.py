@@ -120,7 +120,8 @@ def _suffix_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BLOCK = 8
 
 #: border: up to BLOCK strings whose lead may go on in another partition, with the hash of the bytes
-#: that all strings of such a block share (x), of the lead (y), and their own; else a range of repeated strings
+#: that all strings of such a block share (x), of the lead (y), and their own (null for those that are
+#: repeated as it is); else a range of repeated strings
 COMPARED = "border boolean, did long, th long, start long, n long, x long, y long, strings array<bigint>"
 
 
@@ -129,13 +130,13 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
     opening: bytes | None = None
 
-    def rows(t: pa.Table, border: bool, row: np.ndarray, start: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, strings: np.ndarray) -> pa.RecordBatch:
+    def rows(t: pa.Table, border: bool, row: np.ndarray, start: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, strings: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
         take = pa.array(row)
         did, th = (t.column(name).combine_chunks().take(take) for name in ("did", "th"))
         ends = np.concatenate([[0], np.cumsum(n if border else np.zeros(len(row), np.int64))]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(row), border)), did, th, pa.array(t.column("start").to_numpy()[row] + start), pa.array(n), pa.array(x.view(np.int64)),
-             pa.array(y.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(strings.view(np.int64)))],
+             pa.array(y.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(strings.view(np.int64), mask=known))],
             names=["border", "did", "th", "start", "n", "x", "y", "strings"])
 
     def compared(t: pa.Table, border: bool) -> Iterator[pa.RecordBatch]:
@@ -156,13 +157,14 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.flatnonzero(edge)
             size = np.diff(np.append(first, len(row)))
             new = np.add.reduceat((~again).astype(np.int64), first) > 0
-            strings = x[np.repeat(new, size)]
+            whole = np.repeat(new, size)
+            strings, known = x[whole], again[whole]
             first, size = first[new], size[new]
             at = offsets[:-1][row[first]] + off[row[first]] - block[first] * BLOCK  # shared by the block: from its smallest place on
             core = mix(rolling.pieces(at, at + LENGTH - BLOCK + 1) + block[first].astype(np.uint64))
             leads, ends = text_bytes(t.column("first").combine_chunks())
             lead = mix(Rolling(leads).pieces(ends[:-1], ends[1:]) + U(7))
-            yield rows(t, True, row[first], k[first], size, core, lead[row[first]], strings)
+            yield rows(t, True, row[first], k[first], size, core, lead[row[first]], strings, known)
         edge = np.ones(len(row) + 1, bool)
         edge[1:-1] = (again[1:] != again[:-1]) | (row[1:] != row[:-1])
         first = np.flatnonzero(edge)
@@ -170,7 +172,7 @@ def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = again[first] if len(first) else np.zeros(0, bool)
         first, size = first[some], size[some]
         zero = np.zeros(len(first), np.uint64)
-        yield rows(t, False, row[first], k[first], size, zero, zero, zero[:0])
+        yield rows(t, False, row[first], k[first], size, zero, zero, zero[:0], again[:0])
 
     for batch in batches:
         if not len(batch):
@@ -257,8 +259,9 @@ def repeated_ends(docs: DataFrame, runs: DataFrame) -> DataFrame:
     blocks = found.where("border")
     # a block whose shared bytes no other has holds no repeated string
     like = blocks.groupBy("x", "y").agg(F.count("*").alias("blocks")).where("blocks > 1").select("x", "y")
-    strings = (blocks.join(like, ["x", "y"]).select("did", "th", "start", "y", F.posexplode("strings").alias("k", "string"))
-               .select("did", "th", (F.col("start") + F.col("k")).alias("start"), F.lit(1).cast("long").alias("n"), "y", "string"))
+    new = F.expr("filter(transform(strings, (s, i) -> struct(s AS string, i AS k)), x -> x.string IS NOT NULL)")
+    strings = (blocks.join(like, ["x", "y"]).select("did", "th", "start", "y", F.explode(new).alias("s"))
+               .select("did", "th", (F.col("start") + F.col("s.k")).alias("start"), F.lit(1).cast("long").alias("n"), "y", "s.string"))
     earliest = (strings.groupBy("y", "string").agg(F.min(F.struct("did", "th", "start")).alias("origin"), F.count("*").alias("places"))
                 .where("places > 1").drop("places"))
     across = strings.join(earliest, ["y", "string"]).where(F.col("origin") < F.struct("did", "th", "start")).select("did", "th", "start", "n")
