@@ -250,9 +250,13 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 def repeated_ends(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """(did, th, start, n): ranges of repeated strings among the runs in ``ends``."""
-    ends = runs.where(F.size("ends") > 0).select(F.col("did").alias("r_did"), F.col("th").alias("r_th"), "ends")
-    same = (F.col("th") == F.col("r_th")) & F.col("did").eqNullSafe(F.col("r_did"))
-    suffixes = docs.join(ends, same).select("did", "th", "text", "ends").mapInArrow(
+    # rows that share did and th are one document: its suffixes go out once, or they would repeat each other;
+    # both sides by the same plain keys, so that the texts are shuffled once
+    keys = ["th", "known", "number"]
+    number = [F.col("did").isNotNull().alias("known"), F.coalesce("did", F.lit(0)).alias("number")]
+    ends = runs.where(F.size("ends") > 0).select("th", *number, "ends")
+    once = docs.select("did", "th", *number, "text").groupBy(*keys).agg(F.first("did").alias("did"), F.first("text").alias("text"))
+    suffixes = once.join(ends, keys).select("did", "th", "text", "ends").mapInArrow(
         _suffix_rows, "did long, th long, start long, n long, off long, first binary, bytes binary")
     order = ["first", "did", "th", "start"]
     found = C.cut(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compared, COMPARED))

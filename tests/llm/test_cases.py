@@ -196,6 +196,19 @@ def test_suffixes_across_boundaries(spark, parts):
     assert {r.did: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute.cut_repeats(rows)
 
 
+@pytest.mark.parametrize("first", [0, None])
+def test_suffixes_of_repeated_rows(spark, first):
+    """A repeated row is one document: it loses nothing to itself where another document shares part of it."""
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    rows = [(first, "1" * 20 + base[:400] + "2" * 30), (1, base[150:600] + "3" * 40), (2, "4" * 25 + base[350:])]
+    df = spark.createDataFrame([*rows, rows[0], rows[1], rows[1]], "doc_id long, text string").repartition(3)
+    got = [(r.did, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in suffixes.remove_repeats(df).collect()]
+    want = brute.cut_repeats(rows)
+    assert sorted(got, key=str) == sorted([(i, want[i]) for i in (first, 1, 2, first, 1, 1)], key=str)
+    assert want[first][1] == 0 and want[1][1] and want[2][1]
+
+
 def test_rules(docs, texts, none):
     rows = rules.score_quality(docs).collect()
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
