@@ -45,14 +45,15 @@ def plan_batches(units: DataFrame, max_units: int, order_cols=("arrival", "sourc
         key = tuple(r[c] for c in parts)
         rows.append((r["__p"], *key, running.get(key, 0)))
         running[key] = running.get(key, 0) + r["__n"]
-    schema = ", ".join(["__p int"] + [f"`{c}` {units.schema[c].dataType.simpleString()}" for c in parts]
+    schema = ", ".join(["__q int"] + [f"__k{i} {units.schema[c].dataType.simpleString()}" for i, c in enumerate(parts)]
                        + ["__off long"])
     offsets = spark.createDataFrame(rows, schema)
     w = Window.partitionBy("__p", *parts).orderBy(*order)
     idx = F.col("__off") + F.row_number().over(w) - 1
-    out_df = (ranged.join(F.broadcast(offsets), ["__p", *parts], "inner")  # one row per range and target
-              .withColumn(out, F.floor(idx / F.lit(max_units)).cast("long"))
-              .drop("__p", "__off"))
+    # one row per range and target; units without a target are a target of their own
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(parts)], F.col("__p") == F.col("__q"))
+    out_df = (ranged.join(F.broadcast(offsets), same, "inner")
+              .withColumn(out, F.floor(idx / F.lit(max_units)).cast("long")))
     return out_df.select(*units.columns, out)
 
 

@@ -117,6 +117,11 @@ def _same_unit():
     return F.col("source_id").eqNullSafe(F.col("__u")) & F.col("batch_id").eqNullSafe(F.col("__b"))
 
 
+def _of_units(conformed: DataFrame, units: DataFrame) -> DataFrame:
+    """The records of the units; a null batch is a batch of its own, as in the verdicts and routes."""
+    return conformed.join(units.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b")), _same_unit(), "left_semi")
+
+
 def with_empty_units(stats: DataFrame, listed: DataFrame) -> DataFrame:
     """The unit table and the listed units (``source_id``, ``batch_id``) that hold no record."""
     known = stats.select(F.col("source_id").alias("__u"), F.col("batch_id").alias("__b"))
@@ -182,7 +187,7 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
     unique = spec.unique_key and spec.key and dedupe_version is None
     if unique:
         messages = messages + [duplicate_key_message(spec.key)]
-        good_rows = conformed.join(good.select("source_id", "batch_id"), ["source_id", "batch_id"], "left_semi")
+        good_rows = _of_units(conformed, good)
         codes = codes.unionByName(duplicate_key_batches(good_rows, spec.key).select("batch_id", F.lit(len(messages)).alias("vcode")))
     # the first constraint in the table's order, as for a batch on its own
     clean = n_broken == 0 and not unique
@@ -190,8 +195,9 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
                 .select("batch_id", violation_message(F.col("vcode"), messages).alias("reason")))
     accepted = conformed
     if n_failed != 0 or not clean:
-        loadable = good.join(rejected.select("batch_id"), "batch_id", "left_anti").select("source_id", "batch_id")
-        accepted = conformed.join(loadable, ["source_id", "batch_id"], "left_semi")
+        refused = rejected.select(F.col("batch_id").alias("__b"))
+        loadable = good.join(refused, F.col("batch_id").eqNullSafe(F.col("__b")), "left_anti")
+        accepted = _of_units(conformed, loadable)
     if dedupe_version is not None and spec.key:
         accepted = replacing_merge(accepted, list(spec.key) + ["batch_id"], dedupe_version)
     return conformed, verdicts, accepted, failed, rejected, n_units, clean, cached

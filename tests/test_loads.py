@@ -77,6 +77,28 @@ def test_records_without_a_unit_fail(spark, tmp_dir):
     assert [tuple(r) for r in accepted.collect()] == [(1, 3)] and rejected.count() == 1
 
 
+@pytest.mark.parametrize("snapshot", ["cache", "rescan"])
+def test_units_of_a_null_batch_are_inserted(spark, tmp_dir, snapshot):
+    """What is routed success is in the target, also when another unit fails."""
+    schema = "source_id string, batch_id long, pos long, id string, name string"
+    recs = spark.createDataFrame([("u", None, 0, "1", "a"), ("u", None, 1, "2", "b"), ("v", None, 0, "x", "c"), ("w", 7, 0, "3", "d")], schema)
+    target = PathTarget(f"{tmp_dir}/out")
+    result = load_batch(recs, SPEC, target, LoadOptions(snapshot=snapshot))
+    assert {k: v[:2] for k, v in routes_of(result).items()} == {"u": ("success", 2), "v": ("failure", 0), "w": ("success", 1)}
+    assert sorted(r.id for r in target.read(spark).collect()) == [1, 2, 3] and result.rows_inserted == 3
+
+
+def test_rejected_null_batch_is_not_inserted(spark, tmp_dir):
+    schema = "source_id string, batch_id long, pos long, id int, name string"
+    for n, spec in enumerate((TargetSpec.of("t", [("id", "int"), ("name", "string")], checks=["id < 5"]),
+                              TargetSpec.of("t", [("id", "int"), ("name", "string")], key=("name",), unique_key=True))):
+        recs = spark.createDataFrame([("u", None, 0, 9, "a"), ("v", None, 0, 1, "a"), ("w", 7, 0, 3, "a")], schema)
+        target = PathTarget(f"{tmp_dir}/out{n}")
+        got = routes_of(load_batch(recs, spec, target, LoadOptions(rollback_on_failure=False)))
+        assert {k: v[:2] for k, v in got.items()} == {"u": ("failure", 0), "v": ("failure", 0), "w": ("success", 1)}
+        assert [r.id for r in target.read(spark).collect()] == [3]
+
+
 def test_positions_may_be_null(spark, tmp_dir):
     recs = spark.createDataFrame([("u", None, "x", "a"), ("v", None, "1", "b")], "source_id string, pos long, id string, name string")
     assert {k: v[0] for k, v in routes_of(load_batch(recs, SPEC, PathTarget(f"{tmp_dir}/out"))).items()} == {"u": "failure", "v": "success"}

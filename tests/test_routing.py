@@ -79,6 +79,15 @@ def test_plan_batches_per_target_distributed(spark):
     assert [got[f"b{i:03d}"] for i in range(7)] == [i // 4 for i in range(7)]
 
 
+def test_plan_batches_keeps_units_without_a_target(spark):
+    rows = [(f"a{i}", i, None if i % 2 else "T1", None if i % 3 else "x") for i in range(20)]
+    units = spark.createDataFrame(rows, "source_id string, arrival long, target string, part string")
+    got = {r.source_id: r.batch_id for r in plan_batches(units, 4, num_partitions=3).collect()}
+    assert got == {f"a{i}": i // 2 // 4 for i in range(20)}
+    both = plan_batches(units, 2, partition_cols=("target", "part"), num_partitions=3)
+    assert both.columns == [*units.columns, "batch_id"] and both.count() == 20
+
+
 def test_route_batches_by_outcome(spark):
     from record_loader.operators import route_batches
     units = spark.createDataFrame([("u1",), ("u2",)], "source_id string")
