@@ -2,7 +2,8 @@
 
 Each page is cut into blocks by its markup, and every block gets a zone: *main* inside <article> or
 <main>, *chrome* inside elements that by their kind or name are menus, headers, footers, sidebars,
-notices, adverts, forms or reader comments, and *open* elsewhere. Main blocks are the article and
+notices, adverts, forms or reader comments, and *open* elsewhere. An <article> or <main> wins over the
+name of an open wrapper around it, and a form that holds one or the site's menu is open. Main blocks are the article and
 chrome blocks are not; for open blocks, which the markup leaves undecided, the host decides:
 
 Host suffix array: the token streams of a host's pages outside the article are cut into suffixes
@@ -57,33 +58,62 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 RAW = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAMED_AS = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 HIDDEN_FLAG = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
 NOT_SHOWN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 #: Names that an article's own title may have.
 TITLE_NAMES = {"header", "masthead", "banner"}
+#: Names of what holds articles of others: an <article> in it is not the page's.
+OTHERS_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "disqus", "promo", "related", "replies", "sponsor", "sponsored"}
+#: A name counts as a whole, as the last word of a compound that none of WITHOUT goes before, or in front of PARTS.
+WITHOUT = {"with", "without", "has", "have", "no", "not", "hide", "hides"}
+PARTS = {"area", "bar", "block", "box", "button", "buttons", "container", "inner", "item", "items", "links", "list", "posts", "slot", "unit", "wrap", "wrapper"}
+#: Elements whose id is read inside the article; those of headings, sections and anchors are made from titles.
+WITH_ID = {"div", "ul", "ol"}
 
 OPEN, IN_MAIN, IN_CHROME, UNSEEN = 0, 1, 2, 3
+#: While a page is read: inside an open wrapper that is chrome by name only, the same with a name of OTHERS_NAMES, in an
+#: <article> of a named wrapper, and from FORM on the page's forms one by one.
+NAMED, OTHERS, MAYBE, FORM = 4, 5, 6, 7
+
+
+def named(value: str, names: set[str]) -> set[str]:
+    """The names that a class, id or role says."""
+    found = set()
+    for token in value.lower().split():
+        words = [w for w in re.split(r"[_-]+", token.split("--")[0]) if w]
+        if words and not WITHOUT & set(words[:-1]):
+            found |= names & ({words[-1], words[0]} if words[-1] in PARTS else {words[-1]})
+    return found
 
 
 def zone(name: str, attributes: str, outer: int) -> int:
-    """Zone of an element from its own kind and names and the zone around it."""
-    if outer >= IN_CHROME and not (outer == IN_CHROME and name in HIDDEN):
+    """Zone of an element from its own kind and names and the zone around it; FORM for a form that is open yet."""
+    if outer in (IN_CHROME, UNSEEN) and not (outer == IN_CHROME and name in HIDDEN):
         return outer
     if name in HIDDEN:
         return UNSEEN
+    inside = outer in (IN_MAIN, MAYBE)
+    says: set[str] = set()
     if attributes:
         if NOT_SHOWN.search(attributes) or HIDDEN_FLAG.search(QUOTED.sub("", attributes)):
             return UNSEEN
-        if name not in ("html", "body"):
-            names = NAMES - TITLE_NAMES if outer == IN_MAIN else NAMES
-            for m in NAMED.finditer(attributes):
-                if names & set(re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())):
-                    return IN_CHROME
-    if name in CHROME and not (name == "header" and outer == IN_MAIN):
+        if name not in ("html", "body", "main"):
+            for m in NAMED_AS.finditer(attributes):
+                if not (inside and m[1].lower() == "id" and name not in WITH_ID):
+                    says |= named(m[2] or m[3] or m[4] or "", NAMES - TITLE_NAMES if inside else NAMES)
+    if name == "form" and not inside:
+        return outer if outer in (NAMED, OTHERS) else FORM
+    if name in CHROME and not (name == "header" and inside) or says and (inside or name == "article"):
         return IN_CHROME
-    return IN_MAIN if name in MAIN else outer
+    if says:
+        return OTHERS if outer == OTHERS or says & OTHERS_NAMES else NAMED
+    if name == "main":
+        return outer if inside else IN_MAIN
+    if name == "article" and not inside:
+        return {NAMED: MAYBE, OTHERS: OTHERS}.get(outer, IN_MAIN)
+    return outer
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
@@ -91,6 +121,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
     held: list[str] = []
+    page_forms: list[bool] = []  # whether a form holds an article or the site's menu, as one around a whole page does
     here = OPEN
 
     def close() -> None:
@@ -105,6 +136,17 @@ def blocks(page: str) -> list[tuple[int, str]]:
         del stack[depth:]
         here = stack[-1][1] if stack else OPEN
 
+    def entered(name: str, attributes: str) -> int:
+        own = zone(name, attributes, here)
+        if own == FORM and name == "form":
+            page_forms.append(False)
+            return FORM + len(page_forms) - 1
+        if name in MAIN and own in (IN_MAIN, MAYBE) or name == "nav":
+            for _, around in stack:
+                if around >= FORM:
+                    page_forms[around - FORM] = True
+        return own
+
     at = 0
     while True:
         m = TAG.search(page, at)
@@ -133,13 +175,13 @@ def blocks(page: str) -> list[tuple[int, str]]:
             if not inline:
                 close()
             continue
-        own = zone(name, m[3], here)
+        own = entered(name, m[3])
         if not inline:
             close()
             for depth in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph, a list item the one before
                 if stack[depth][0] == "p" or name == stack[depth][0] == "li":
                     end(depth)
-                    own = zone(name, m[3], here)
+                    own = entered(name, m[3])
                     break
                 if stack[depth][0] not in INLINE:
                     break
@@ -151,7 +193,10 @@ def blocks(page: str) -> list[tuple[int, str]]:
             body_end = RAW[name].search(page, at)
             at = body_end.start() if body_end else len(page)
     close()
-    return out
+    # an <article> in a wrapper that is chrome by name is the page's if there is none elsewhere
+    settled = {NAMED: IN_CHROME, OTHERS: IN_CHROME, MAYBE: IN_CHROME if any(z == IN_MAIN for z, _ in out) else IN_MAIN}
+    settled |= {FORM + k: OPEN if holds else IN_CHROME for k, holds in enumerate(page_forms)}
+    return [(settled.get(z, z), text) for z, text in out]
 
 
 def keyed_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -136,6 +136,24 @@ def test_pages(spark):
     assert pages.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class='layout with-sidebar'><article>text</article></div>", "text"),
+    ("<main class='no-sidebar'>text</main><div class='site-footer'>f</div>", "text"),
+    ("<div id='page-header-fixed'><p>text</p></div>", "text"),
+    ("<div class='sidebar'>menu<article>text</article></div>", "text"),
+    ("<div id='search'><main>text</main></div>", "text"),
+    ("<article>text</article><div class='sidebar'><article>teaser</article></div>", "text"),
+    ("<p>text</p><div id='comments'><article class='body'>reply</article></div>", "text"),
+    ("<p>text</p><div class='ad-slot'>buy</div><div class='site__footer--wide'>f</div>", "text"),
+    ("<form id='aspnet'><input><div>lead</div><article>text</article></form>", "lead\ntext"),
+    ("<form><nav>m</nav><div>text</div></form><form>mail</form>", "text"),
+    ("<article><h2 id='related-work'>A</h2><section id='search'>b</section><h3 id='notice'>c</h3><section id='search-methods'>d</section></article>", "A\nb\nc\nd"),
+    ("<article>text<form>mail</form><div id='related'>other</div><section class='user-comments'>c</section><div data-id='share'>d</div></article>", "text\nd")])
+def test_page_zones_by_name(html, want):
+    kept = [t for z, t in pages.blocks(f"<html><body class='sidebar'>{html}</body></html>") if z in (pages.OPEN, pages.IN_MAIN)]
+    assert "\n".join(kept) == want
+
+
 def test_mixing(docs, texts, none):
     rows = mixing.mix_sources(docs).collect()
     assert len(rows) == len(texts) and set(docs.columns) < set(rows[0].asDict())
