@@ -6,20 +6,26 @@ notices, adverts, forms or reader comments, and *open* elsewhere. An <article> o
 name of an open wrapper around it, and a form that holds one or the site's menu is open. Main blocks are the article and
 chrome blocks are not; for open blocks, which the markup leaves undecided, the host decides:
 
-Host suffix array: the token streams of a host's pages outside the article are cut into suffixes
-(the ``LEAD`` tokens from every place on; a shorter block is one suffix as a whole). Equal leads of
-a host stand together in its suffix array; a lead that occurs on pages of different content is a
-long substring repeated across pages, and the tokens of open blocks that such leads cover are
-boilerplate. What is left of an open block, its unique runs, stays.
-
-A host's streams are never brought together in one task: suffixes are grouped by host and leading
-tokens, reduced inside every task first (smallest and largest page hash), so a host with a third of
-all pages is spread over its distinct substrings, and a footer on all of them is one row per task.
+Repeats on a host: the token streams of a host's pages outside the article are cut into windows of
+``LEAD`` tokens (a shorter block is one window as a whole), told apart by 128-bit hashes. An open
+block goes, as a whole, when every window of it stands in at least ``ARTICLES`` different articles
+of the host and in ``SHARE`` of them; else all of it stays. So a quotation, a phrase or a passage
+that a few articles share takes nothing away.
+
+Articles are told apart by their longest main block; on pages without one by their longest open
+block of ``PROSE`` tokens or more, or that is on less than ``SHARE`` of the host's pages. So copies
+of an article beside another advert, date or comment are one article. Doubt keeps text: a page with
+no such block is no article, and what is on fewer articles stays. Not told apart are copies, of at
+least SHARE of a host's pages, of an article all of whose blocks are shorter than PROSE.
+
+A host's streams are never brought together in one task: windows that only one content has are
+dropped by a minimum and a maximum that every task reduces first, and of the rest one row per
+window and article is counted, so a host with a third of all pages is spread over its windows.
 Main blocks need no streams: a passage that an article shares with other pages is still its text.
 
 Markup is read in tasks, page by page, once for the streams and once for the text: the streams are
 a small part of the pages, so that stores less than keeping the parsed pages would. Pages are
-shuffled only where many places are covered (a counted bound decides).
+shuffled only where many blocks go (a counted bound decides).
 
 Defined cases: null html is empty and has the empty text; unclosed elements end with their
 container; character references are decoded; white space inside a block is one space; blocks are
@@ -42,6 +48,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 LEAD = 8
+ARTICLES = 3
+SHARE = 0.5
+PROSE = 40
 
 #: Kinds of elements.
 HIDDEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head", "title", "select", "button", "textarea", "audio", "video", "map"}
@@ -206,61 +215,76 @@ def keyed_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", ht
     return d.select("id", "url", F.xxhash64(F.lit("first"), *row).alias("x_key"), F.xxhash64(F.lit("second"), *row).alias("y_key"), "html")
 
 
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
 def _streams(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The blocks outside the article, and a hash of all blocks."""
+    """The blocks outside the article, a hash of all blocks, and one of the longest main block."""
     for batch in batches:
         parsed = [blocks(h) for h in batch["html"]]
-        content = [hashlib.blake2b("\n".join(t for _, t in b).encode("utf-8", "replace"), digest_size=8).digest() for b in parsed]
         kept = [[(k, z, t) for k, (z, t) in enumerate(b) if z != IN_MAIN] for b in parsed]
+        longest = [max((t for z, t in b if z == IN_MAIN), key=lambda t: (len(t), t), default=None) for b in parsed]
         yield batch.drop(columns="html").assign(
-            content=[int.from_bytes(c, "little", signed=True) for c in content], block=[[k for k, _, _ in b] for b in kept],
+            content=[_digest("\n".join(t for _, t in b)) for b in parsed],
+            article=pd.array([None if t is None else _digest(t) for t in longest], "Int64"), block=[[k for k, _, _ in b] for b in kept],
             zone=[[z for _, z, _ in b] for b in kept], text=[[t for _, _, t in b] for b in kept])
 
 
-def covered_places(keyed: DataFrame, lead: int = LEAD) -> DataFrame:
-    """(x_key, y_key, block, at, n): tokens of open blocks that a lead covers which other pages of
-    the host have too."""
+def host_articles(streams: DataFrame, each: DataFrame) -> DataFrame:
+    """(host, content, article): the article of each content that has one."""
+    contents = streams.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("contents"))
+    open_blocks = (each.where((F.col("zone") == OPEN) & F.col("article").isNull())
+                   .select("host", "content", F.size("w").alias("size"), F.xxhash64("w").alias("b")).distinct())
+    often = open_blocks.groupBy("host", "size", "b").agg(F.count("*").alias("n"))
+    own = (open_blocks.join(often, ["host", "size", "b"]).join(contents, "host")
+           .where((F.col("size") >= PROSE) | (F.col("n") < F.col("contents") * SHARE)))
+    return (own.groupBy("host", "content").agg(F.max(F.struct("size", "b")).alias("best")).select("host", "content", F.col("best.b").alias("article"))
+            .unionByName(streams.where("article IS NOT NULL").select("host", "content", "article").distinct()))
+
+
+def repeated_blocks(keyed: DataFrame, lead: int = LEAD) -> DataFrame:
+    """(x_key, y_key, block): open blocks whose windows all stand in many articles of the host."""
     host = F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
     streams = C.cut(keyed.select("x_key", "y_key", host.alias("host"), "html").mapInPandas(
-        _streams, "x_key long, y_key long, host string, content long, block array<int>, zone array<int>, text array<string>"))
-    each = (streams.select("x_key", "y_key", "host", "content", F.explode(F.arrays_zip("block", "zone", "text")).alias("b"))
-            .select("x_key", "y_key", "host", "content", "b.block", "b.zone", F.split("b.text", " ").alias("w")))
-    places = F.expr(f"transform(sequence(0, greatest(size(w) - {lead}, 0)), i -> struct(i AS at, least(size(w), {lead}) AS n, "
+        _streams, "x_key long, y_key long, host string, content long, article long, block array<int>, zone array<int>, text array<string>"))
+    each = (streams.select("x_key", "y_key", "host", "content", "article", F.explode(F.arrays_zip("block", "zone", "text")).alias("b"))
+            .select("x_key", "y_key", "host", "content", "article", "b.block", "b.zone", F.split("b.text", " ").alias("w")))
+    places = F.expr(f"transform(sequence(0, greatest(size(w) - {lead}, 0)), i -> struct("
                     f"xxhash64(size(w) < {lead}, slice(w, i + 1, {lead})) AS x, xxhash64('second', slice(w, i + 1, {lead})) AS y))")
-    suffixes = each.select("x_key", "y_key", "host", "content", "block", "zone", F.explode(places).alias("s")).select("*", "s.*").drop("s")
-    shared = (suffixes.groupBy("host", "x", "y").agg(F.min("content").alias("one"), F.max("content").alias("other"), F.max((F.col("zone") == OPEN).cast("int")).alias("open"))
-              .where("one != other AND open = 1").select("host", "x", "y"))
-    return suffixes.where(F.col("zone") == OPEN).join(shared, ["host", "x", "y"]).select("x_key", "y_key", "block", "at", "n")
+    windows = (each.select("x_key", "y_key", "host", "content", "block", "zone", F.size("w").alias("size"), F.posexplode(places).alias("at", "s"))
+               .select("*", "s.*").drop("s"))
+    shared = C.cut(windows.groupBy("host", "x", "y").agg(F.min("content").alias("one"), F.max("content").alias("other"), F.max((F.col("zone") == OPEN).cast("int")).alias("open"))
+                   .where("one != other AND open = 1").select("host", "x", "y"))
+    articles = host_articles(streams, each)
+    total = articles.select("host", "article").distinct().groupBy("host").agg(F.count("*").alias("articles"))
+    common = (windows.select("host", "content", "x", "y").distinct().join(shared, ["host", "x", "y"]).join(articles, ["host", "content"])
+              .select("host", "x", "y", "article").distinct().groupBy("host", "x", "y").agg(F.count("*").alias("n"))
+              .join(total, "host").where((F.col("n") >= ARTICLES) & (F.col("n") >= F.col("articles") * SHARE)).select("host", "x", "y"))
+    # repeated rows are one page, so places are counted once
+    return (windows.where(F.col("zone") == OPEN).join(common, ["host", "x", "y"]).select("x_key", "y_key", "block", "size", "at").distinct()
+            .groupBy("x_key", "y_key", "block", "size").agg(F.count("*").alias("n")).where(f"n = greatest(size - {lead}, 0) + 1")
+            .select("x_key", "y_key", "block"))
 
 
 def _main_text(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The article's blocks, and what the host's leads leave of open ones."""
+    """The article's blocks, and the open ones that the host does not repeat."""
     for batch in batches:
         texts = []
-        for page, covered in zip(batch["html"], batch["covered"], strict=True):
-            gone: dict[int, set[int]] = {}
-            for c in covered if covered is not None else ():
-                gone.setdefault(int(c[0]), set()).update(range(c[1], c[1] + c[2]))
-            kept = []
-            for k, (z, text) in enumerate(blocks(page)):
-                if z == IN_MAIN:
-                    kept.append(text)
-                elif z == OPEN:
-                    left = " ".join(w for i, w in enumerate(text.split(" ")) if i not in gone.get(k, ()))
-                    if left:
-                        kept.append(left)
-            texts.append("\n".join(kept))
+        for page, repeated in zip(batch["html"], batch["repeated"], strict=True):
+            gone = set(repeated) if repeated is not None else ()
+            texts.append("\n".join(text for k, (z, text) in enumerate(blocks(page)) if z == IN_MAIN or z == OPEN and k not in gone))
         yield pd.DataFrame({"id": batch["id"], "url": batch["url"], "text": texts})
 
 
 def main_text(pages: DataFrame, lead: int = LEAD, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(id, url, text) per page; id is page_id as text."""
     keyed = keyed_pages(pages, page_id, url, html)
-    places = C.cut(covered_places(keyed, lead))
-    covered = places.groupBy("x_key", "y_key").agg(F.collect_set(F.array("block", "at", "n")).alias("covered"))
-    # a place is five numbers: few are sent to every task, many meet the pages by shuffle
-    covered = F.broadcast(covered) if places.count() <= C.BROADCAST_ROWS // 2 else covered
-    return keyed.join(covered, ["x_key", "y_key"], "left").select("id", "url", "html", "covered").mapInPandas(
+    found = C.cut(repeated_blocks(keyed, lead))
+    repeated = found.groupBy("x_key", "y_key").agg(F.collect_set("block").alias("repeated"))
+    # a block is three numbers: few are sent to every task, many meet the pages by shuffle
+    repeated = F.broadcast(repeated) if found.count() <= C.BROADCAST_ROWS else repeated
+    return keyed.join(repeated, ["x_key", "y_key"], "left").select("id", "url", "html", "repeated").mapInPandas(
         _main_text, "id string, url string, text string")
 
 

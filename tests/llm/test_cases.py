@@ -136,6 +136,24 @@ def test_pages(spark):
     assert pages.main_text(df.limit(0)).count() == 0
 
 
+def test_pages_keep_what_few_articles_share(spark):
+    """A footer on all articles goes; copies beside other adverts, quotations and phrases stay whole."""
+    rng = random.Random(3)
+    foot, phrase, quote = prose(rng, 15), prose(rng, 9), prose(rng, 60)
+    same = [prose(rng, 90), prose(rng, 25)]
+    own = [[prose(rng, 50), prose(rng, 10) + " " + phrase + " " + prose(rng, 10)] for _ in range(8)]
+    bodies = {i: [*same, f"advert number {i} of the day for you"] for i in range(4)}
+    bodies |= {10 + i: [*a, *([quote] if i < 2 else [])] for i, a in enumerate(own)}
+    page = "<div>{}</div>".format
+    rows = [(i, f"http://h/{i}", "".join(map(page, [*b, foot]))) for i, b in bodies.items()]
+    # nothing but copies of one article on the host, and two pages only
+    alone = {20 + i: ["k", [same[0], f"advert number {i} of the day", foot]] for i in range(4)} | {30 + i: ["m", [same[0], f"date {i}"]] for i in range(2)}
+    rows += [(i, f"http://{h}/{i}", "".join(map(page, b))) for i, (h, b) in alone.items()]
+    df = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string").repartition(3)
+    got = {(r.id, r.text) for r in pages.main_text(df).collect()}
+    assert got == {(str(i), "\n".join(b)) for i, b in bodies.items()} | {(str(i), "\n".join(b)) for i, (_, b) in alone.items()}
+
+
 @pytest.mark.parametrize("html, want", [
     ("<div class='layout with-sidebar'><article>text</article></div>", "text"),
     ("<main class='no-sidebar'>text</main><div class='site-footer'>f</div>", "text"),
