@@ -13,7 +13,8 @@ are shuffled, pre-aggregated per document and item. The sketches and the item sh
 broadcast after a count (longs only for the sketches); larger benchmarks join by shuffle.
 
 Defined cases: words are runs without ASCII white space; a text of one to four words has one
-shingle, the whole of it; texts without words (null, empty) hold and match nothing; items that
+shingle, the whole of it, so an item below five words is found only in documents that are that very
+text and is not searched for inside longer ones (the query's SQL has the same rule); texts without words (null, empty) hold and match nothing; items that
 repeat (same id and text) count once; documents that share id and text give one row per item;
 an empty table on either side gives no rows; other columns are ignored.
 """
