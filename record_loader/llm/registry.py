@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, compression, decontaminate, jaccard, linededup, mixing, pages, rules, suffixes, tokens
+from . import alignment, chat, compression, decontaminate, fillmiddle, jaccard, linededup, mixing, pages, rules, simhash, suffixes, tokens
 
-MODULES = (linededup, jaccard, tokens, compression, pages, mixing, suffixes, rules, chat, decontaminate)
+MODULES = (linededup, jaccard, tokens, compression, pages, mixing, suffixes, rules, chat, decontaminate, simhash, fillmiddle, alignment)
 
 
 def queries() -> dict:
