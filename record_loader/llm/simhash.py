@@ -48,6 +48,7 @@ RADIUS = 3
 BITS = 64
 
 BUCKET = 256
+LAST_BITS = 8
 HOT_SHARE = 1000
 BLOCK_HASHES = 1 << 16
 _SPACE = np.frombuffer(b" ", np.uint8)[0]
@@ -101,11 +102,11 @@ def covering_masks(bits: list[int], radius: int = RADIUS) -> list[int]:
     return [sum(1 << b for b in bits if (vector[b] & v).bit_count() % 2) for v in range(1, size + 1)]
 
 
-def mask_levels(radius: int = RADIUS, bucket: int = BUCKET) -> list[list[tuple[int, int, int]]]:
+def mask_levels(radius: int = RADIUS) -> list[list[tuple[int, int, int]]]:
     """Levels of (table of the level above, own table, mask): below a table the masks also hold its
-    mask, and cover the bits that it hides. Levels end where no bucket can exceed ``bucket``."""
+    mask, and cover the bits that it hides. Levels end where a mask hides at most ``LAST_BITS``."""
     levels, above = [], [(0, 0)]
-    while not levels or max(BITS - m.bit_count() for _, m in above) > max(bucket, 2).bit_length() - 1:
+    while not levels or max(BITS - m.bit_count() for _, m in above) > LAST_BITS:
         rows = []
         for parent, mask in above:
             hidden = [b for b in range(BITS) if not mask >> b & 1]
@@ -181,7 +182,7 @@ def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS, bucket: int = BU
     """(a, b): edges between different fingerprints (``fp``) within the radius, enough of them to
     connect all that are linked."""
     spark = nodes.sparkSession
-    levels = mask_levels(radius, bucket)
+    levels = mask_levels(radius)
     rows = nodes.select(F.lit(0).alias("tab"), "fp")
     out = []
     for depth, level in enumerate(levels):
