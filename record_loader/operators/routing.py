@@ -11,6 +11,7 @@ third of all rows never lands whole in one task.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,6 +90,20 @@ def duplicate_key_message(key) -> str:
     return f"duplicate key ({', '.join(key)})"
 
 
+def stored_key_batches(df: DataFrame, stored: DataFrame, key, batch: str = "batch_id") -> DataFrame:
+    """Batches holding a key that the target's stored rows hold too.  The keys
+    of the batch are the small side of a semi-join, so Spark prunes the stored
+    side by them (runtime filters) or broadcasts them by their size."""
+    mine = df.select(F.col(batch), *key)
+    theirs = stored.select(*[F.col(f"`{k}`").alias(f"__s{i}") for i, k in enumerate(key)])
+    same = [F.col(f"`{k}`") == F.col(f"__s{i}") for i, k in enumerate(key)]
+    return mine.join(theirs, reduce(lambda a, b: a & b, same), "left_semi").select(batch).distinct()
+
+
+def stored_key_message(key) -> str:
+    return f"key ({', '.join(key)}) is stored already"
+
+
 def constraint_violations(df: DataFrame, checks=(), required=(), key=(),
                           batch: str = "batch_id") -> DataFrame:
     """One row per batch that breaks a CHECK expression, a NOT NULL column

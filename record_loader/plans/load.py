@@ -34,11 +34,13 @@ from ..operators.batches import load_receipts, replacing_merge
 from ..operators.conform import ERROR, conform, conform_open, output_columns, spread_records
 from ..operators.routing import (UNKNOWN, constraint_list, duplicate_key_batches,
                                  duplicate_key_message, missing_target, resolve_target,
-                                 route_batches, violation_code, violation_message)
+                                 route_batches, stored_key_batches, stored_key_message, violation_code,
+                                 violation_message)
 from ..sinks.targets import bulk_insert
 from ..spec import LoadOptions, TargetSpec
 
 NO_UNIT = "Record has no unit (source_id is NULL)"
+NOT_LISTED = "Unit is not in the unit table"
 
 
 class BatchRolledBack(RuntimeError):
@@ -132,17 +134,30 @@ def with_empty_units(stats: DataFrame, listed: DataFrame) -> DataFrame:
 
 def plan_load(records: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
               open_records: bool = False, batch_id: int | None = None,
-              dedupe_version=None, units: DataFrame | None = None):
+              dedupe_version=None, units: DataFrame | None = None, target=None):
     """The plans of a load: (conformed, units, accepted, failed, rejected).
 
     ``units`` (the argument) lists the batch's units, so that those without a
     record get their verdict; ``units`` (the result) is the per-unit verdict
     table, and ``accepted`` holds the target's columns plus ``source_id`` /
     ``batch_id``.  Everything stays lazy."""
-    return _planned(records, spec, opts, open_records, batch_id, dedupe_version, False, units)[:5]
+    return _planned(records, spec, opts, open_records, batch_id, dedupe_version, False, units,
+                    _stored_keys(records, spec, dedupe_version, target))[:5]
 
 
-def _planned(records, spec, opts, open_records, batch_id, dedupe_version, persist, units):
+def _checks_keys(spec: TargetSpec, dedupe_version) -> bool:
+    return bool(spec.unique_key and spec.key and dedupe_version is None)
+
+
+def _stored_keys(records: DataFrame, spec: TargetSpec, dedupe_version, target, token: str | None = None) -> DataFrame | None:
+    """the keys that the target holds, but for those of this very load
+    (a replay must not meet its own rows); None if there is nothing to ask."""
+    if not _checks_keys(spec, dedupe_version) or not hasattr(target, "stored_keys"):
+        return None
+    return target.stored_keys(records.sparkSession, spec.key, token)
+
+
+def _planned(records, spec, opts, open_records, batch_id, dedupe_version, persist, units, stored=None):
     """:func:`plan_load` and the number of units.  With ``persist`` the unit
     table is cached and counted by one action, and joins that have nothing to
     remove are left out."""
@@ -158,14 +173,14 @@ def _planned(records, spec, opts, open_records, batch_id, dedupe_version, persis
         conformed = conformed.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(conformed)
     try:
-        return _plans(conformed, spec, opts, dedupe_version, persist, units, cached)
+        return _plans(conformed, spec, opts, dedupe_version, persist, units, cached, stored)
     except BaseException:
         for df in cached:
             df.unpersist()
         raise
 
 
-def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
+def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached, stored):
     stats = unit_stats(conformed, spec, opts)
     if listed is not None:
         stats = with_empty_units(stats, listed)
@@ -184,11 +199,14 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached):
     good = verdicts.where(F.col("error").isNull())
     messages = [m for _, m in constraints_of(spec, opts)]
     codes = good.where(F.col("vcode").isNotNull()).select("batch_id", "vcode")
-    unique = spec.unique_key and spec.key and dedupe_version is None
+    unique = _checks_keys(spec, dedupe_version)
     if unique:
         messages = messages + [duplicate_key_message(spec.key)]
         good_rows = _of_units(conformed, good)
         codes = codes.unionByName(duplicate_key_batches(good_rows, spec.key).select("batch_id", F.lit(len(messages)).alias("vcode")))
+        if stored is not None:
+            messages = messages + [stored_key_message(spec.key)]
+            codes = codes.unionByName(stored_key_batches(good_rows, stored, spec.key).select("batch_id", F.lit(len(messages)).alias("vcode")))
     # the first constraint in the table's order, as for a batch on its own
     clean = n_broken == 0 and not unique
     rejected = (codes.groupBy("batch_id").agg(F.min("vcode").alias("vcode"))
@@ -217,7 +235,8 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
     rows."""
     opts = (opts or LoadOptions()).validate()
     conformed, verdicts, accepted, failed, rejected, n_units, clean, cached = _planned(
-        records, spec, opts, open_records, batch_id, dedupe_version, True, units)
+        records, spec, opts, open_records, batch_id, dedupe_version, True, units,
+        _stored_keys(records, spec, dedupe_version, target, token))
     done = False
     try:
         first = rejected.select("reason").first() if not clean and opts.rollback_on_failure else None
@@ -230,8 +249,8 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
             obs = Observation("rows_inserted")
             to_write = accepted.select(*output_columns(accepted, spec)).observe(obs, F.count(F.lit(1)).alias("rows"))
             try:                                      # insert pass
-                bulk_insert(to_write, target, opts, token)
-                rows_inserted = int(obs.get.get("rows", 0))
+                counted = bulk_insert(to_write, target, opts, token)
+                rows_inserted = int(obs.get.get("rows", 0)) if counted is None else counted
             except Exception as e:  # noqa: BLE001 - routed, not swallowed
                 if opts.rollback_on_failure:
                     raise BatchRolledBack(str(e)) from e
@@ -266,17 +285,31 @@ def load_per_target(records: DataFrame, units: DataFrame, template: str, targets
     ``targets`` maps a table name to ``(TargetSpec, target)`` or to
     ``(TargetSpec, target, LoadOptions)``.  The target is joined to the
     records once and the joined records are kept, clustered by target, while
-    the loads read their slices.  Units whose resolved name is blank or
-    unknown are returned as failure routes.  The loop runs over the caller's
-    list of tables, never over collected data.
+    the loads read their slices.  No record is left without a route: units
+    whose resolved name is blank or unknown, units that the unit table lists
+    with different names, and units of records (or records without one) that it
+    does not list are returned as failure routes; a unit listed twice with one
+    name is one unit.  The loop runs over the caller's list of tables, never
+    over collected data.
     Returns ``({name: LoadResult}, missing_units)``."""
     spark = records.sparkSession
-    resolved = resolve_target(units, template)
+    per_unit = (resolve_target(units, template).withColumn("target", F.coalesce("target", F.lit(""))).groupBy("source_id")
+                .agg(F.min("target").alias("target"), F.max("target").alias("__other")))
+    resolved = per_unit.where(F.col("target") == F.col("__other")).select("source_id", "target")
+    torn = per_unit.where(F.col("target") != F.col("__other"))
     known = spark.createDataFrame([(t,) for t in targets], "target string")
     missing = (missing_target(resolved, known)
                .select("source_id", "target", F.lit("failure").alias("route"), "error"))
+    missing = missing.unionByName(torn.select("source_id", "target", F.lit("failure").alias("route"),
+                                              F.concat(F.lit("Unit names two targets: "), "target", F.lit(", "), "__other").alias("error")))
+    listed = per_unit.select(F.col("source_id").alias("__u"))
+    stray = (records.select("source_id").distinct().join(listed, F.col("source_id").eqNullSafe(F.col("__u")), "left_anti")
+             .select("source_id", F.lit(None).cast("string").alias("target"), F.lit("failure").alias("route"),
+                     F.when(F.col("source_id").isNull(), F.lit(NO_UNIT)).otherwise(F.lit(NOT_LISTED)).alias("error")))
+    missing = missing.unionByName(stray)
     named = resolved.join(known, "target", "left_semi").select("source_id", F.col("target").alias("__target"))
-    dealt = records.join(named, "source_id").persist(StorageLevel.MEMORY_AND_DISK)
+    of = named.select(F.col("source_id").alias("__u"), "__target")
+    dealt = records.join(of, F.col("source_id").eqNullSafe(F.col("__u"))).drop("__u").persist(StorageLevel.MEMORY_AND_DISK)
     results = {}
     try:
         for name, (spec, target, *own) in targets.items():

@@ -21,7 +21,8 @@ from ..operators.records import match_report, select_records
 from ..operators.routing import (error_annotation, enforce_constraints, missing_target,
                                  TransientLoadError, quarantine_units, resolve_target,
                                  route_batches, route_units, unit_failures)
-from ..sinks.targets import PathTarget, fresh_dir
+from ..sinks.ledger import LedgerTarget, MergeTarget
+from ..sinks.targets import PathTarget, bulk_insert, fresh_dir
 from ..sources.files import has_record, parse_open_records, parse_records, read_records
 from ..spec import LoadOptions, TargetSpec
 from .load import load_batch
@@ -719,7 +720,42 @@ def atomic_insert_q(spark, sf):
     return target.read(spark).select(*ORDERS_COLS)
 
 
+def merge_into_target_q(spark, sf):
+    """W1 into a stored target: three loads of the events, each replacing the stored rows of its users."""
+    target = MergeTarget(fresh_dir(spark, "merge-target"), key=("user_id",), version=("ts", "event_id"), buckets=16)
+    ev = table(spark, sf, "events")
+    for k in range(3):
+        bulk_insert(ev.where(F.col("event_id") % 3 == k), target, token=f"load-{k}")
+    bulk_insert(ev, target, token="load-1")                       # a replay of a load that was committed
+    return target.read(spark).select(*ev.columns)
+
+
+def stored_key_reject_q(spark, sf):
+    """F3 against the target: orders load; the same orders again break the stored keys as a batch, and
+    other orders of the same table load.  Per order: how often it is stored, and its batch's error."""
+    target = LedgerTarget(fresh_dir(spark, "stored-keys"))
+    spec = _orders_target_spec()
+    spec = TargetSpec.of("orders", spec.columns, key=spec.key, unique_key=True)
+    records = _orders_records(spark, sf)
+    key = [c for c in records.columns if c.replace("_", "").lower() == spec.key[0].replace("_", "").lower()][0]
+    low = F.col(f"`{key}`").cast("long") % 2 == 0
+    errors = []
+    for k, part in enumerate((records.where(low), records, records.where(~low))):
+        res = load_batch(part, spec, target, LoadOptions(), batch_id=k, token=f"orders-{k}")
+        errors.append(res.units.select(F.lit(k).alias("batch_id"), "route", "error").distinct())
+        res.units.unpersist()
+    said = errors[0].unionByName(errors[1]).unionByName(errors[2])
+    said = said.agg(*[F.max(F.when(F.col("batch_id") == k, F.col("route"))).alias(f"route_{k}") for k in range(3)], F.max("error").alias("error"))
+    stored = target.read(spark).groupBy(spec.key[0]).agg(F.count("*").alias("copies"))
+    return stored.join(F.broadcast(said))                                            # one row
+
+
 SQL_SINKS = {
+    "merge_into_target": """SELECT event_id, ts, user_id, event_type, value, props FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events) WHERE rn = 1""",
+    "stored_key_reject": """SELECT o_orderkey, 1 AS copies, 'success' AS route_0, 'failure' AS route_1, 'success' AS route_2,
+        'key (o_orderkey) is stored already' AS error FROM orders""",
     "bulk_insert": "SELECT " + ", ".join(ORDERS_COLS) + " FROM orders",
     "atomic_insert": "SELECT " + ", ".join(ORDERS_COLS) + " FROM orders",
 }

@@ -20,6 +20,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +96,19 @@ class PathTarget:
         df = r.load(self.path)
         return df.drop(LOAD_BATCH) if self.idempotent else df
 
+    def stored_keys(self, spark: SparkSession, key, token: str | None = None) -> DataFrame | None:
+        """The key columns of the stored rows (F3), but for those that the
+        token's own load wrote; None before the first load."""
+        try:
+            df = spark.read.format(self.fmt).load(self.path)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        if self.idempotent and token is not None and LOAD_BATCH in df.columns:
+            df = df.where(F.col(LOAD_BATCH).cast("string") != token)
+        return df.select(*[F.col(f"`{k}`") for k in key])
+
 
 @dataclass
 class TableTarget:
@@ -112,6 +126,10 @@ class TableTarget:
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         return spark.table(self.name)
 
+    def stored_keys(self, spark: SparkSession, key, token: str | None = None) -> DataFrame:
+        """The key columns of the stored rows."""
+        return spark.table(self.name).select(*[F.col(f"`{k}`") for k in key])
+
 
 @dataclass
 class JdbcTarget:
@@ -207,26 +225,28 @@ def jvm_sql_runner(spark: SparkSession, url: str, properties: dict, timeout_s: i
     return run
 
 
-def bulk_insert(df: DataFrame, target, opts=None, token: str | None = None) -> None:
+def bulk_insert(df: DataFrame, target, opts=None, token: str | None = None) -> int | None:
     """K1/K2: append one conformed batch to ``target`` as one insert.
-    ``token`` names the batch for targets that make replays idempotent."""
+    ``token`` names the batch for targets that make replays idempotent.
+    Returns the rows that the target says it holds of the batch, if it counts
+    them itself (it may know the batch already and write nothing)."""
     if token is None:
-        target.append(df, opts)
-    else:
-        target.append(df, opts, token=token)
+        return target.append(df, opts)
+    return target.append(df, opts, token=token)
 
 
-def batch_folder(path: str, load_name: str, batch_id: int) -> str:
-    """The folder of one batch in a route or receipt table."""
-    return f"{path.rstrip('/')}/load_name={load_name}/batch_id={batch_id}"
+def batch_folder(path: str, load_name: str, batch_id: int, run: str = "batch") -> str:
+    """The folder of one batch in a route or receipt table.  ``run`` tells
+    loads of one name apart: a stream's query id, or a re-drive's units."""
+    return f"{path.rstrip('/')}/load_name={load_name}/run=r-{run}/batch_id={batch_id}"
 
 
-def write_routes(units: DataFrame, path: str, load_name: str, batch_id: int, fmt: str = "parquet") -> None:
+def write_routes(units: DataFrame, path: str, load_name: str, batch_id: int, fmt: str = "parquet", run: str = "batch") -> None:
     """K3: the unit routes (success / retry / failure) of one batch, each
     relationship in its own folder.  The batch's folder is rewritten, so a
     replay leaves one route per unit."""
-    (units.drop("load_name", "batch_id").write.mode("overwrite").format(fmt)
-     .option("partitionOverwriteMode", "static").partitionBy("route").save(batch_folder(path, load_name, batch_id)))
+    (units.drop("load_name", "run", "batch_id").write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "static").partitionBy("route").save(batch_folder(path, load_name, batch_id, run)))
 
 
 def read_routes(spark: SparkSession, path: str, route: str | None = None,

@@ -5,10 +5,14 @@ A file stream is the queue: each trigger takes up to ``max_units`` new files
 ``availableNow`` drains the queue in bounded batches and stops, which is
 also how a directory is loaded in batch mode.
 
-Replay safety: routes and receipts of a micro-batch stand in folders of
-its own (``load_name``, ``batch_id``), which a replay rewrites; the receipts
-come last, and a replayed batch whose receipts exist is skipped.  Rollback-on-failure raises inside ``foreachBatch`` so the
-checkpoint does not advance and a restart replays the same files.
+Replay safety: a micro-batch is known by (load name, query id, batch id).
+The query id belongs to the checkpoint: a restart keeps it, and a new
+checkpoint under a used load name is another stream, whose batches are never
+taken for earlier ones.  Routes and receipts of a micro-batch stand in folders
+of its own, which a replay rewrites; the receipts come last, and a replayed
+batch whose receipts exist is skipped.  Rollback-on-failure raises inside
+``foreachBatch`` so the checkpoint does not advance and a restart replays the
+same files.
 """
 
 from __future__ import annotations
@@ -28,22 +32,30 @@ from ..sinks.targets import batch_folder, read_routes, write_routes
 from ..sources.files import has_record, open_rows, parse_records
 from ..spec import LoadOptions, TargetSpec
 
-# Receipt columns: load_name, batch_id (folders), source_id, route, rows, error,
-# destination, attempt.
+# Receipt columns: load_name, run, batch_id (folders), source_id, route, rows,
+# error, destination, attempt.
+
+#: Fixed value: the local property in which Spark names the running query.
+QUERY_ID = "sql.streaming.queryId"
 
 
 def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "json",
                        max_units: int = 1000, open_records: bool = False,
-                       **options) -> DataFrame:
+                       lines: bool = False, **options) -> DataFrame:
     """A stream of record files; ``max_units`` = 0 takes every new file.
 
     Typed records get ``source_id`` (the file) and ``pos``; with
-    ``open_records`` each file is one unit of ``map<string,string>`` records."""
+    ``open_records`` each file is one unit of ``map<string,string>`` records:
+    one JSON array or object, or with ``lines`` an object per line, split and
+    parsed line by line."""
     r = spark.readStream
     if max_units:
         r = r.option("maxFilesPerTrigger", int(max_units))
     for k, v in options.items():
         r = r.option(k, v)
+    if open_records and lines:
+        raw = r.format("text").load(path).where(has_record("value"))
+        return raw.select(F.col("_metadata.file_path").alias("source_id"), F.from_json("value", "map<string,string>").alias("fields"))
     if open_records:
         raw = r.format("text").option("wholetext", "true").load(path)
         return raw.select(F.col("_metadata.file_path").alias("source_id"), open_rows(F.col("value")))
@@ -63,7 +75,7 @@ def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "
                      *[F.col(f"`{c}`").alias(field_name(c)) for c in df.columns])
 
 
-def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, batch_id: int) -> bool:
+def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, batch_id: int, run: str = "batch") -> bool:
     """A micro-batch is committed when its receipt folder exists.  The check
     resolves one path (no scan of earlier receipts, no job).  Only a path
     that is not there means "not committed"; a store that cannot be read
@@ -71,7 +83,7 @@ def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, b
     if not receipts_path:
         return False
     try:
-        spark.read.schema("source_id string").parquet(batch_folder(receipts_path, load_name, batch_id))
+        spark.read.schema("source_id string").parquet(batch_folder(receipts_path, load_name, batch_id, run))
         return True
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
@@ -79,11 +91,11 @@ def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, b
         raise
 
 
-def write_receipts(units: DataFrame, receipts_path: str, load_name: str, batch_id: int) -> None:
+def write_receipts(units: DataFrame, receipts_path: str, load_name: str, batch_id: int, run: str = "batch") -> None:
     """The receipts of one batch, in its own folder (rewritten by a replay);
     written last, by one job, so a folder that exists is whole."""
-    (units.drop("load_name", "batch_id").write.mode("overwrite")
-     .parquet(batch_folder(receipts_path, load_name, batch_id)))
+    (units.drop("load_name", "run", "batch_id").write.mode("overwrite")
+     .parquet(batch_folder(receipts_path, load_name, batch_id, run)))
 
 
 def read_receipts(spark: SparkSession, receipts_path: str) -> DataFrame:
@@ -94,29 +106,31 @@ def read_receipts(spark: SparkSession, receipts_path: str) -> DataFrame:
 def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
                  routes_path: str | None = None, receipts_path: str | None = None,
                  open_records: bool = False, on_failure: str = "route",
-                 dedupe_version=None, attempt: int = 1):
-    """The ``foreachBatch`` function of a stream load."""
+                 dedupe_version=None, attempt: int = 1, run_id: str | None = None):
+    """The ``foreachBatch`` function of a stream load (X1-X3).  ``run_id``
+    stands for the query id where no stream runs the function."""
     if on_failure not in ("route", "rollback"):
         raise ValueError("on_failure must be 'route' or 'rollback'")
     opts = opts.with_(rollback_on_failure=(on_failure == "rollback")).validate()
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if _committed(spark, receipts_path, load_name, batch_id):
+        stream = run_id or spark.sparkContext.getLocalProperty(QUERY_ID) or "batch"
+        if _committed(spark, receipts_path, load_name, batch_id, stream):
             return                                   # replayed batch, already loaded
         if "pos" not in batch.columns:
             batch = batch.withColumn("pos", F.monotonically_increasing_id())
         result = load_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
                             spec, target, opts, open_records=open_records,
-                            dedupe_version=dedupe_version, token=f"{load_name}-{batch_id}")
+                            dedupe_version=dedupe_version, token=f"{load_name}-{stream}-{batch_id}")
         try:
             if not result.n_units:
                 return                               # empty queue: no-op
             units = result.receipts(load_name, target.url, attempt)
             if routes_path:
-                write_routes(units, routes_path, load_name, batch_id)
+                write_routes(units, routes_path, load_name, batch_id, run=stream)
             if receipts_path:
-                write_receipts(units, receipts_path, load_name, batch_id)
+                write_receipts(units, receipts_path, load_name, batch_id, stream)
         finally:
             result.release()
     return run
@@ -165,10 +179,32 @@ def file_path(source_id: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(source_id))
 
 
+def _routes_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return read_routes(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _run_committed(spark: SparkSession, receipts_path: str | None, load_name: str, run: str) -> bool:
+    """Receipts of a re-drive's run exist, whatever number its batch had."""
+    if not receipts_path:
+        return False
+    try:
+        spark.read.schema("source_id string").parquet(f"{receipts_path.rstrip('/')}/load_name={load_name}/run=r-{run}")
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, target,
             opts: LoadOptions, load_name: str, receipts_path: str | None = None,
             max_attempts: int = 3, fmt: str = "json", open_records: bool = False,
-            new_routes_path: str | None = None) -> list[LoadResult]:
+            new_routes_path: str | None = None, **reader) -> list[LoadResult]:
     """Attempt the units whose latest route is ``retry`` again, in batches
     of ``opts.max_units`` (the file names of one batch reach the driver, for
     the reader).  Every unit counts its own attempts; units that have used up
@@ -176,12 +212,18 @@ def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, tar
     left alone, so a second call has nothing to do.
 
     A batch's token is made of its units and their attempts: repeated after
-    a crash, it names the same load, which targets that know tokens (and
-    receipts) do once.  Returns the results, one per batch."""
+    a crash, it names the same load, which targets that know tokens do once,
+    and which is skipped if its receipts exist.  With ``new_routes_path`` the
+    routes of both tables count, so a second call finds nothing to do either.
+    ``reader`` holds the reader's options (CSV header, ``multiLine``, formats),
+    the same as in the first attempt.  Returns the results, one per batch."""
     from ..operators.batches import plan_batches
     from ..sources.files import read_open_records, read_records
 
     routes = read_routes(spark, routes_path)
+    if new_routes_path:
+        later = _routes_if_any(spark, new_routes_path)
+        routes = routes if later is None else routes.unionByName(later, allowMissingColumns=True)
     states = unit_states(routes).where(F.col("route") == "retry")
     out_routes = new_routes_path or routes_path
     last = routes.agg(F.max("batch_id")).first()[0] or 0
@@ -191,22 +233,25 @@ def redrive(spark: SparkSession, routes_path: str, schema, spec: TargetSpec, tar
         (F.col("attempt") + 1).cast("int").alias("attempt")).checkpoint()
     due = plan_batches(states.where(F.col("attempt") < max_attempts), opts.max_units, ("source_id",), ()).checkpoint()
     if not spent.isEmpty():
-        write_routes(spent, out_routes, f"{load_name}-spent", last + 1)
+        write_routes(spent, out_routes, load_name, last + 1, run="spent")
     count = due.agg(F.max("batch_id")).first()[0]
     results = []
     for k in range(0 if count is None else count + 1):
         some = due.where(F.col("batch_id") == k).select("source_id", "attempt")
         units = sorted((r.source_id, r.attempt) for r in some.collect())     # at most max_units names
-        token = f"{load_name}-{hashlib.md5(repr(units).encode()).hexdigest()[:16]}"
+        run = f"again-{hashlib.md5(repr(units).encode()).hexdigest()[:16]}"
+        token = f"{load_name}-{run}"
         number = last + 1 + k
+        if _run_committed(spark, receipts_path, load_name, run):
+            continue                                 # loaded before a crash took its routes
         paths = [file_path(u) for u, _ in units]
-        records = read_open_records(spark, paths) if open_records else read_records(spark, paths, fmt, schema)
+        records = read_open_records(spark, paths, **reader) if open_records else read_records(spark, paths, fmt, schema, **reader)
         result = load_batch(records, spec, target, opts, open_records=open_records, batch_id=number, token=token,
                             units=some.select("source_id"))
         attempts = some.select("source_id", (F.col("attempt") + 1).cast("int").alias("attempt"))
         done = result.receipts(load_name, target.url).drop("attempt").join(attempts, "source_id")
-        write_routes(done, out_routes, token, number)
+        write_routes(done, out_routes, load_name, number, run=run)
         if receipts_path:
-            write_receipts(done, receipts_path, token, number)
+            write_receipts(done, receipts_path, load_name, number, run)
         results.append(result)
     return results

@@ -11,12 +11,13 @@ from pyspark.sql.utils import StreamingQueryException
 
 from ..operators.routing import TransientLoadError
 from ..plans.recipes import EVENT_COLS, TS_FMT, events_spec, table
+from ..sinks.ledger import LedgerTarget
 from ..sinks.targets import PathTarget, fresh_dir, read_routes, shared_dir
 from ..spec import LoadOptions
 from .load import read_receipts, read_record_stream, redrive, stream_load
 
-FILE_ROWS = 2000
-MAX_UNITS = 25
+FILES = 50
+MAX_UNITS = 10
 EVENT_SCHEMA = ("event_id long, ts string, user_id long, event_type string, value string, "
                 "props string")
 
@@ -25,7 +26,7 @@ _FILE_SETS: dict[tuple, str] = {}
 
 
 def events_to_files(spark: SparkSession, sf: str, bad_errors: bool = False) -> str:
-    """Write ``events`` as JSON-lines files of at most ``FILE_ROWS`` records.
+    """Write ``events`` as ``FILES`` JSON-lines files, dealt by their id, at any size.
     With ``bad_errors`` the error events go to files of their own whose
     ``value`` is not a number (so those units fail conversion).
 
@@ -38,12 +39,12 @@ def events_to_files(spark: SparkSession, sf: str, bad_errors: bool = False) -> s
     ev = table(spark, sf, "events").select(
         "event_id", F.date_format("ts", TS_FMT).alias("ts"), "user_id", "event_type",
         F.col("value").cast("string").alias("value"), "props")
-    w = lambda df: df.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).json(path)
+    w = lambda df, files: df.repartition(files, "event_id").write.mode("append").json(path)
     if bad_errors:
-        w(ev.where(F.col("event_type") != "error"))
-        w(ev.where(F.col("event_type") == "error").withColumn("value", F.lit("n/a")))
+        w(ev.where(F.col("event_type") != "error"), FILES - 10)
+        w(ev.where(F.col("event_type") == "error").withColumn("value", F.lit("n/a")), 10)
     else:
-        w(ev)
+        w(ev, FILES)
     _FILE_SETS[key] = path
     return path
 
@@ -138,6 +139,70 @@ def redrive_q(spark, sf):
     return inner.read(spark).select(*EVENT_COLS)
 
 
+def stream_reload_q(spark, sf):
+    """Two streams under one load name, each with a checkpoint of its own: the
+    second one's batches are neither skipped nor put in place of the first one's."""
+    ev = table(spark, sf, "events").select("event_id", F.date_format("ts", TS_FMT).alias("ts"), "user_id", "event_type",
+                                           F.col("value").cast("string").alias("value"), "props")
+    target, receipts = LedgerTarget(fresh_dir(spark, "reload-target")), fresh_dir(spark, "receipts")
+    errors = F.col("event_type") == "error"
+    for part in (ev.where(~errors), ev.where(errors)):
+        src = fresh_dir(spark, "reload-in")
+        part.repartition(FILES // 2, "event_id").write.json(src)
+        _run(spark, src, target, routes=fresh_dir(spark, "routes"), receipts=receipts, name="again")
+    said = read_receipts(spark, receipts).agg(F.sum("rows").alias("receipt_rows"), F.countDistinct("run").alias("streams"))
+    return target.read(spark).select(*EVENT_COLS).join(F.broadcast(said))     # one row
+
+
+class DyingTarget(LedgerTarget):
+    """A ledger target whose driver dies once after each of its two writes."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.deaths = ["staged", "committed"]
+
+    def append(self, df, opts=None, token=None):
+        spark = df.sparkSession
+        if self.committed(spark, token) is None:
+            attempt, rows = self.stage(df, token)
+            if self.deaths[:1] == ["staged"]:
+                raise RuntimeError(self.deaths.pop(0))
+            self.commit(spark, token, attempt, rows)
+            if self.deaths[:1] == ["committed"]:
+                raise RuntimeError(self.deaths.pop(0))
+            return rows
+        return super().append(df, opts, token)
+
+
+def stream_ledger_q(spark, sf):
+    """The driver dies after staging a batch, and again after committing it; the
+    restarts load every event once, whatever was left behind."""
+    src = events_to_files(spark, sf)
+    target = DyingTarget(fresh_dir(spark, "ledger-target"))
+    ckpt, receipts = fresh_dir(spark, "ckpt"), fresh_dir(spark, "receipts")
+    for _ in range(3):
+        try:
+            _run(spark, src, target, "rollback", ckpt, receipts=receipts)
+        except StreamingQueryException:
+            pass
+    removed = target.recover(spark, older_than_seconds=0)
+    rows = read_receipts(spark, receipts).agg(F.sum("rows").alias("receipt_rows"))
+    return target.read(spark).select(*EVENT_COLS, F.lit(removed).cast("long").alias("half_done")).join(F.broadcast(rows))   # one row
+
+
+def redrive_twice_q(spark, sf):
+    """Re-drives whose routes go to a table of their own: the second call finds nothing to do."""
+    src = events_to_files(spark, sf)
+    inner = PathTarget(fresh_dir(spark, "redrive-target"))
+    routes, again, receipts = fresh_dir(spark, "routes"), fresh_dir(spark, "routes-again"), fresh_dir(spark, "receipts")
+    _run(spark, src, FlakyTarget(inner, failures=10**9), routes=routes, receipts=receipts)
+    calls = [len(redrive(spark, routes, EVENT_SCHEMA, events_spec(), inner, LoadOptions(timestamp_format=TS_FMT, max_units=25),
+                         load_name="events-redrive", receipts_path=receipts, new_routes_path=again)) for _ in range(2)]
+    said = read_routes(spark, again).where("route = 'success'").agg(F.sum("rows").alias("route_rows"))
+    return (inner.read(spark).select(*EVENT_COLS, F.lit(calls[0]).cast("long").alias("first_call"), F.lit(calls[1]).cast("long").alias("second_call"))
+            .join(F.broadcast(said)))     # one row
+
+
 _EVENTS_SQL = "SELECT " + ", ".join(EVENT_COLS) + " FROM events"
 SQL_STREAMING = {
     "stream_load": "SELECT " + ", ".join(EVENT_COLS) + ", (SELECT count(*) FROM events) AS receipt_rows FROM events",
@@ -147,4 +212,8 @@ SQL_STREAMING = {
     "stream_rollback": _EVENTS_SQL,
     "stream_route": _EVENTS_SQL + " WHERE event_type <> 'error'",
     "redrive": _EVENTS_SQL,
+    "stream_reload": "SELECT " + ", ".join(EVENT_COLS) + ", (SELECT count(*) FROM events) AS receipt_rows, 2 AS streams FROM events",
+    "stream_ledger": "SELECT " + ", ".join(EVENT_COLS) + ", 1 AS half_done, (SELECT count(*) FROM events) AS receipt_rows FROM events",
+    "redrive_twice": "SELECT " + ", ".join(EVENT_COLS) + """, 2 AS first_call, 0 AS second_call,
+        (SELECT count(*) FROM events) AS route_rows FROM events""",
 }

@@ -15,7 +15,7 @@ PERSONS = TargetSpec.of("PERSONS", [("id", "int", True), ("name", "string"), ("c
                         checks=("code >= 0 AND code < 1000",))
 
 
-def test_normalize_name_rules():
+def test_normalize_name_rules(spark):
     assert normalize_name("binaryData") == "BINARYDATA"
     assert normalize_name("binary_data") == "BINARYDATA"
     assert normalize_name("lastTransactionTime") == normalize_name("lasttransactiontime")
