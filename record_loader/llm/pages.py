@@ -27,8 +27,9 @@ Markup is read in tasks, page by page, once for the streams and once for the tex
 a small part of the pages, so that stores less than keeping the parsed pages would. Pages are
 shuffled only where many blocks go (a counted bound decides).
 
-Defined cases: null html is empty and has the empty text; unclosed elements end with their
-container; character references are decoded; white space inside a block is one space; blocks are
+Defined cases: null html is empty and has the empty text; a page of any length or brokenness is read in
+time in proportion to its length (see :class:`Markup` for quotes that are left open); unclosed elements
+end with their container; character references are decoded; white space inside a block is one space; blocks are
 joined by one line break in page order; copies of a page do not make its text boilerplate;
 repeated rows are handled alike; null url is a host of its own; an empty table gives no rows;
 extra columns are not read.
@@ -65,12 +66,92 @@ NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
          "newsletter", "notice", "popup", "promo", "related", "replies", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored",
          "subscribe", "toolbar", "widget"}
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 RAW = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
-NAMED_AS = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
-HIDDEN_FLAG = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
-NOT_SHOWN = re.compile(r"display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+#: A tag as most are written; possessive, so it never tries a place twice.
+PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:\s++[^\s\"'<>/=]++(?:\s*+=\s*+(?:\"[^\"<>]*+\"|'[^'<>]*+'|[^\s\"'<>=`]++))?+)*+)\s*+(/?)>")
+ATTRIBUTE = re.compile(r"([^\s=/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s]++)))?+")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+NAME = re.compile(r"[\s/]*+([^\s/>=]*+)(\s*+=\s*+)?+")
+VALUE = re.compile(r"[^\s>]*+")
+DISPLAY_NONE = re.compile(r"display\s*:\s*none", re.I)
+
+
+class Markup:
+    """The tags of a page in order, in time in proportion to its length, however broken it is.
+
+    Quotes delimit a value only right after the equals sign, so unquoted values may hold quotes. A
+    quoted value may hold angle brackets, unless it is one whose end was left out: no closing quote follows,
+    what follows it is neither white space nor the tag's end, or the value would hold a tag's end
+    and another tag. Such a value ends with the tag, at the next ``>``."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.next: dict[str, int] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """The next place of a character, or the page's end. Places only grow, so each is looked for once."""
+        known = self.next.get(what, -1)
+        if known < at:
+            known = self.page.find(what, at)
+            self.next[what] = known = len(self.page) if known < 0 else known
+        return known
+
+    def tag(self, at: int) -> tuple[int, bool, str, dict[str, str], bool] | None:
+        """The tag that starts at a ``<``: where it ends, whether it closes, its name, its attributes, whether it
+        is closed by itself; None if none starts there."""
+        m = PLAIN.match(self.page, at)
+        if m:
+            said = {}
+            if m[3]:
+                for a in ATTRIBUTE.finditer(m[3]):
+                    said.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
+            return m.end(), bool(m[1]), m[2].lower(), said, bool(m[4])
+        m = TAG_NAME.match(self.page, at)
+        return self._broken(m) if m else None
+
+    def _broken(self, m: re.Match) -> tuple[int, bool, str, dict[str, str], bool]:
+        page, at, said = self.page, m.end(), {}
+        while at < len(page):
+            if page[at] == "<" and self.find(">", at) >= self.find("<", at + 1):  # the tag's end was left out
+                return at, bool(m[1]), m[2].lower(), said, False
+            a = NAME.match(page, at)
+            name, at = a[1].lower(), a.end()
+            if not a[2]:
+                if at < len(page) and page[at] == ">":
+                    said.setdefault(name, "")
+                    return at + 1, bool(m[1]), m[2].lower(), said, page[at - 1] == "/"
+                at += not name and at == a.start()  # a stray sign
+                said.setdefault(name, "")
+                continue
+            quote = page[at:at + 1]
+            if quote in ("'", '"') and quote:
+                stop = self._value_end(quote, at + 1)
+                if stop < 0:
+                    stop = self.find(">", at)
+                    said.setdefault(name, page[at + 1:stop])
+                    at = stop
+                else:
+                    said.setdefault(name, page[at + 1:stop])
+                    at = stop + 1
+            else:
+                v = VALUE.match(page, at)
+                said.setdefault(name, v[0])
+                at = v.end()
+        return at, bool(m[1]), m[2].lower(), said, False
+
+    def _value_end(self, quote: str, at: int) -> int:
+        """Where the quoted value from ``at`` ends; -1 if its end was left out."""
+        page, stop = self.page, self.find(quote, at)
+        if stop >= len(page) or not (stop + 1 == len(page) or page[stop + 1] in " \t\n\r\f/>"):
+            return -1
+        end, tag = self.find(">", at), self.find("<", at)
+        if end < stop and end < tag:
+            tag = self.find("<", end)
+            if tag < stop and (page[tag + 1:tag + 2].isalpha() or page[tag + 1:tag + 2] == "/"):
+                return -1
+        return stop
+
+
 #: Names that an article's own title may have.
 TITLE_NAMES = {"header", "masthead", "banner"}
 #: Names of what holds articles of others: an <article> in it is not the page's.
@@ -87,31 +168,36 @@ OPEN, IN_MAIN, IN_CHROME, UNSEEN = 0, 1, 2, 3
 NAMED, OTHERS, MAYBE, FORM = 4, 5, 6, 7
 
 
+#: The words before a title's name that make it the article's own.
+OWN_TITLE = {"post", "article", "entry", "story"}
+
+
 def named(value: str, names: set[str]) -> set[str]:
     """The names that a class, id or role says."""
     found = set()
     for token in value.lower().split():
         words = [w for w in re.split(r"[_-]+", token.split("--")[0]) if w]
         if words and not WITHOUT & set(words[:-1]):
-            found |= names & ({words[-1], words[0]} if words[-1] in PARTS else {words[-1]})
+            says = names & ({words[-1], words[0]} if words[-1] in PARTS else {words[-1]})
+            found |= says - TITLE_NAMES if OWN_TITLE & set(words[:-1]) else says
     return found
 
 
-def zone(name: str, attributes: str, outer: int) -> int:
-    """Zone of an element from its own kind and names and the zone around it; FORM for a form that is open yet."""
+def zone(name: str, said: dict[str, str], outer: int) -> int:
+    """Zone of an element from its own kind and attributes and the zone around it; FORM for a form that is open yet."""
     if outer in (IN_CHROME, UNSEEN) and not (outer == IN_CHROME and name in HIDDEN):
         return outer
     if name in HIDDEN:
         return UNSEEN
     inside = outer in (IN_MAIN, MAYBE)
     says: set[str] = set()
-    if attributes:
-        if NOT_SHOWN.search(attributes) or HIDDEN_FLAG.search(QUOTED.sub("", attributes)):
+    if said:
+        if "hidden" in said or said.get("aria-hidden", "").lower() == "true" or DISPLAY_NONE.search(said.get("style", "")):
             return UNSEEN
         if name not in ("html", "body", "main"):
-            for m in NAMED_AS.finditer(attributes):
-                if not (inside and m[1].lower() == "id" and name not in WITH_ID):
-                    says |= named(m[2] or m[3] or m[4] or "", NAMES - TITLE_NAMES if inside else NAMES)
+            for kind in ("class", "id", "role"):
+                if said.get(kind) and not (inside and kind == "id" and name not in WITH_ID):
+                    says |= named(said[kind], NAMES - TITLE_NAMES if inside else NAMES)
     if name == "form" and not inside:
         return outer if outer in (NAMED, OTHERS) else FORM
     if name in CHROME and not (name == "header" and inside) or says and (inside or name == "article"):
@@ -129,8 +215,11 @@ def blocks(page: str) -> list[tuple[int, str]]:
     """(zone, text) of the blocks of a page in order; hidden ones are left out."""
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []
+    depths: dict[str, list[int]] = {}  # where each name is open
+    walls: list[int] = []              # where elements are open that are not inline
     held: list[str] = []
     page_forms: list[bool] = []  # whether a form holds an article or the site's menu, as one around a whole page does
+    unsure: list[tuple[int, int]] = []  # the open forms of which that is not known yet, and their depth
     here = OPEN
 
     def close() -> None:
@@ -142,65 +231,79 @@ def blocks(page: str) -> list[tuple[int, str]]:
 
     def end(depth: int) -> None:
         nonlocal here
-        del stack[depth:]
+        while len(stack) > depth:
+            depths[stack.pop()[0]].pop()
+        while walls and walls[-1] >= depth:
+            walls.pop()
+        while unsure and unsure[-1][1] >= depth:
+            unsure.pop()
         here = stack[-1][1] if stack else OPEN
 
-    def entered(name: str, attributes: str) -> int:
-        own = zone(name, attributes, here)
-        if own == FORM and name == "form":
-            page_forms.append(False)
-            return FORM + len(page_forms) - 1
+    def entered(name: str, said: dict[str, str]) -> int:
+        own = zone(name, said, here)
         if name in MAIN and own in (IN_MAIN, MAYBE) or name == "nav":
-            for _, around in stack:
-                if around >= FORM:
-                    page_forms[around - FORM] = True
+            while unsure:
+                page_forms[unsure.pop()[0]] = True
         return own
 
-    at = 0
+    markup, at, shown = Markup(page), 0, 0
+
+    def text_until(stop: int) -> None:
+        if stop > shown and here != UNSEEN:
+            held.append(entities.unescape(page[shown:stop]))
+
     while True:
-        m = TAG.search(page, at)
-        stop = m.start() if m else len(page)
-        if stop > at and here != UNSEEN:
-            held.append(entities.unescape(page[at:stop]))
-        if not m:
+        at = markup.find("<", at)
+        if at >= len(page):
+            text_until(len(page))
             break
-        at = m.end()
-        if not m[2]:
+        if page[at + 1:at + 2] in ("!", "?") and page[at + 1:at + 2]:
+            text_until(at)
+            stop = page.find("-->", at + 4) + 3 if page.startswith("<!--", at) else markup.find(">", at) + 1
+            at = shown = stop if stop > 2 else len(page)
+            continue
+        found = markup.tag(at)
+        if found is None:
+            at += 1
             continue
-        name = m[2].lower()
+        text_until(at)
+        at, closes, name, said, closed = found
+        shown = at
         if name == "br":
             held.append(" ")
             continue
         inline = name in INLINE
-        if m[1]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    if not inline or stack[depth][1] != here:
-                        close()
-                    end(depth)
-                    break
+        if closes:
+            open_at = depths.get(name)
+            if open_at:
+                if not inline or stack[open_at[-1]][1] != here:
+                    close()
+                end(open_at[-1])
             continue
-        if name in VOID or m[3].endswith("/") and inline:
+        if name in VOID or closed and inline:
             if not inline:
                 close()
             continue
-        own = entered(name, m[3])
+        own = entered(name, said)
         if not inline:
             close()
-            for depth in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph, a list item the one before
-                if stack[depth][0] == "p" or name == stack[depth][0] == "li":
-                    end(depth)
-                    own = entered(name, m[3])
-                    break
-                if stack[depth][0] not in INLINE:
-                    break
+            # a block ends an open paragraph, a list item the one before
+            if walls and (stack[walls[-1]][0] == "p" or name == stack[walls[-1]][0] == "li"):
+                end(walls[-1])
+                own = entered(name, said)
+            walls.append(len(stack))
         elif own != here:
             close()
+        if own == FORM and name == "form":
+            page_forms.append(False)
+            unsure.append((len(page_forms) - 1, len(stack)))
+            own = FORM + len(page_forms) - 1
+        depths.setdefault(name, []).append(len(stack))
         stack.append((name, own))
         here = own
         if name in RAW:
             body_end = RAW[name].search(page, at)
-            at = body_end.start() if body_end else len(page)
+            at = shown = body_end.start() if body_end else len(page)
     close()
     # an <article> in a wrapper that is chrome by name is the page's if there is none elsewhere
     settled = {NAMED: IN_CHROME, OTHERS: IN_CHROME, MAYBE: IN_CHROME if any(z == IN_MAIN for z, _ in out) else IN_MAIN}

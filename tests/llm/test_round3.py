@@ -259,3 +259,37 @@ def test_alignment_odd_texts_and_pair_shuffle(spark, hot):
 def test_words_of_fingerprints_are_the_contract_s(docs):
     for _, t in docs[:50]:
         assert len(simhash.shingle_hashes(t or "")) == max(len(brute.words(t)) - 2, 1 if brute.words(t) else 0)
+
+
+# ---- broken markup ----
+
+@pytest.mark.parametrize("html, want", [
+    ("<article><p title=it's>one two</p><p>three's four</p></article>", "one two|three's four"),
+    ('<article><p class="a>one</p><p>two</p></article>', "one|two"),
+    ('<article><p class="a>one</p><p>the 5" pipe</p></article>', 'one|the 5" pipe'),
+    ("<article><p title=\"a > b\">one</p><p data-x='<b>x</b>'>two</p></article>", "one|two"),
+    ('<div class="post-header"><h1>Title</h1></div><article>body</article>', "Title|body"),
+    ('<div class="site-header">Site</div><article>body</article>', "body"),
+    ("<article>a < b <b>bold</b> 3<4</article>", "a < b bold 3<4"),
+    ("<article><p <b>bold</b> x</article>", "bold x"),
+    ("<article>one</p></div></span> two</article>", "one two"),
+    ("<article><div aria-hidden=true>no</div><div style='display : none'>no</div><div hidden>no</div>yes<!-- <p>no --></article>", "yes")])
+def test_broken_markup_keeps_the_article(html, want):
+    from record_loader.llm import pages
+
+    assert "|".join(t for z, t in pages.blocks(html) if z in (pages.OPEN, pages.IN_MAIN)) == want
+
+
+@pytest.mark.parametrize("unit", ['<a x="', "<b c='", '<p class="a>', "<p x='y z>", "</z>", "<div>", "<b>", "<", "<!", "<form><nav>", "<a   ", "<b><p>", "<li><b>"])
+def test_broken_markup_takes_linear_time(unit):
+    import time
+
+    from record_loader.llm import pages
+
+    def seconds(size):
+        page, start = unit * (size // len(unit)), time.process_time()
+        pages.blocks(page)
+        return time.process_time() - start
+
+    small = min(seconds(100_000) for _ in range(2))
+    assert seconds(1_600_000) < 16 * 4 * max(small, 0.02)  # quadratic time would be 256 times
