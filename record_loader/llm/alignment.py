@@ -30,16 +30,19 @@ best; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
+from .rolling import Rolling, chunks, text_bytes
 
 #: Fixed values of the contract.
 TOKENIZER_A = "byte_bpe_50k.json"
@@ -48,6 +51,7 @@ TOKENIZER_B = "piece_bpe_32k.model"
 HOT_SHARE = 65_536
 CACHE_PIECES = 300_000
 FLUSH_PAIRS = 1_000_000
+CHUNK_BYTES = 2_000_000
 #: a pair as one number: A id times this plus B id
 STRIDE = 1 << 16
 
@@ -120,77 +124,156 @@ class Aligner:
         if max(len(self.bytes_a), len(self.bytes_b)) > STRIDE:
             raise ValueError(f"vocabularies of over {STRIDE} ids")
         self.identity = identity_map(self.bytes_a, self.bytes_b)
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in of], np.int64) for of in (self.bytes_a, self.bytes_b))
+        width = len(str(STRIDE)) + 1
+        self.digits = np.array([str(i).rjust(width - 1, "\0") + " " for i in range(max(len(self.bytes_a), len(self.bytes_b)))]).view(np.uint32).reshape(-1, width).astype(np.uint8)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.by_piece = not any(re.search("[^▁]▁", p) or "\n" in p for p in pieces)
         self.space = self.b.piece_to_id("▁")
-        self.known: dict[bytes, tuple] = {}
+        self.forget()
 
-    def pieces(self, text: bytes) -> list[bytes]:
-        """The space and the text, cut where no token of either side crosses."""
-        body = b" " + text
+    def piece_starts(self, data: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """Places in the bytes of texts (that start at ``docs``) that no token of either side crosses."""
         if not self.by_piece:
-            return [body]
-        data = np.frombuffer(body, np.uint8)
+            return docs
         gap = (data == 32) | (data == 10)
         sure = self.GRAPH[data]
         sure[1:] |= (data[1:] >= 0x80) & (data[1:] < 0xC0) & self.TWO[data[:-1]]
-        cuts = [0, *(np.flatnonzero(gap[1:] & sure[:-1]) + 1).tolist(), len(body)]
-        return [body[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        cut = np.zeros(len(data), bool)
+        cut[1:] = gap[1:] & sure[:-1]
+        cut[docs] = True
+        return np.flatnonzero(cut)
 
-    def _ids(self, pieces: list[bytes]) -> Iterator[tuple[list[int], list[int]]]:
-        texts = [p.decode() for p in pieces]
+    def _ends_sure(self, piece: bytes) -> bool:
+        return bool(self.GRAPH[piece[-1]] or len(piece) > 1 and 0x80 <= piece[-1] < 0xC0 and self.TWO[piece[-2]])
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A of all texts, their number in each text, and the same of B."""
         ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         ids_b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
-        for t, a, b in zip(texts, ids_a, ids_b, strict=True):
-            yield a, [self.space] if t == " " else b[1:] if t[0] != " " else b
-
-    def _align(self, piece: bytes, a: list[int], b: list[int]) -> tuple:
-        """(right, n_a, n_b, n_groups, groups, identity ids, irregular pairs) of a piece."""
-        xs, ys = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(xs) != piece or b"".join(ys) != piece:
-            return (False, 0, 0, 0, b"", (), ())
-        groups, same, other = [], [], []
-        i = j = at_a = at_b = first_a = first_b = 0
-        while i < len(a) or j < len(b):
-            if at_a <= at_b:
-                at_a += len(xs[i])
-                i += 1
-            else:
-                at_b += len(ys[j])
-                j += 1
-            if at_a == at_b:  # both end here: a group, and a link of its last tokens
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                if i - first_a == j - first_b == 1 and self.identity[a[i - 1]] == b[j - 1]:
-                    same.append(a[i - 1])
-                else:
-                    other.append(a[i - 1] * STRIDE + b[j - 1])
-                first_a, first_b = i, j
-        return (True, len(a), len(b), len(groups), ";".join(groups).encode(), tuple(same), tuple(other))
-
-    def learn(self, pieces: set[bytes]) -> None:
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        for k in range(0, len(new), 4096):
-            some = new[k:k + 4096]
-            self.known.update((p, self._align(p, a, b)) for p, (a, b) in zip(some, self._ids(some), strict=True))
+        ids_b = [[self.space] if t == " " else b[1:] if t[0] != " " else b for t, b in zip(texts, ids_b, strict=True)]
+        return tuple(x for ids in (ids_a, ids_b) for x in (np.fromiter(itertools.chain.from_iterable(ids), np.int64), np.array([len(i) for i in ids], np.int64)))
+
+    def _right(self, ids: np.ndarray, n: np.ndarray, sizes: np.ndarray, of: list[bytes], wholes: list[bytes]) -> np.ndarray:
+        """The texts whose tokens' bytes are the text."""
+        ends = np.cumsum(n)
+        tokens = b"".join([of[i] for i in ids.tolist()])
+        if tokens == b"".join(wholes) and (np.add.reduceat(sizes[ids], ends - n) == [len(w) for w in wholes]).all():
+            return np.ones(len(wholes), bool)
+        return np.array([b"".join([of[i] for i in ids[e - k:e].tolist()]) == w for e, k, w in zip(ends.tolist(), n.tolist(), wholes, strict=True)])
+
+    def _align(self, bundles: list[list[bytes]]) -> tuple[list[list[bytes]], list[tuple]]:
+        """Aligns texts that are made of pieces: the ones that could not be aligned piece by piece, and of
+        the others' pieces in order (piece, (right, n_a, n_b, n_groups), groups, identity ids, irregular pairs)."""
+        wholes = [b"".join(x) for x in bundles]
+        a, n_a, b, n_b = self._ids([w.decode() for w in wholes])
+        good = self._right(a, n_a, self.sizes_a, self.bytes_a, wholes) & self._right(b, n_b, self.sizes_b, self.bytes_b, wholes)
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        pieces = [p for x, g in zip(bundles, good, strict=True) if g for p in x]
+        bad = [x for x, g in zip(bundles, good, strict=True) if not g]
+        if not pieces:
+            return bad, []
+        # all texts one after the other: places where tokens of both sides end
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        both_a, both_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        cuts = ends_a[both_a]
+        ends = np.cumsum([len(p) for p in pieces])
+        if not np.isin(ends, cuts, assume_unique=True).all():
+            raise ValueError("a token crosses a place between pieces")
+        group_a, group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
+        last_a, last_b = a[both_a], b[both_b]
+        alone = (np.bincount(group_a) == 1) & (np.bincount(group_b) == 1) & (self.identity[last_a] == last_b)
+        owner = np.searchsorted(ends, cuts)  # the piece of each group
+        # decimal ids, A's and then B's of every group, each with the sign that follows it
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        text = self.digits[np.concatenate([a, b])[order]]
+        sign = np.concatenate([np.where(both_a, ord("|"), ord(",")), np.where(both_b, ord(";"), ord(","))])[order]
+        text[:, -1] = sign
+        shown = text != 0
+        flat, upto = text[shown].tobytes(), np.cumsum(shown.sum(1))
+        per_a, per_b = (np.bincount(np.searchsorted(ends, x), minlength=len(pieces)) for x in (ends_a, ends_b))
+        stops = upto[np.cumsum(per_a + per_b) - 1]
+        groups = [flat[i:j - 1] for i, j in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+        counts = np.stack([np.ones(len(pieces), np.int64), per_a, per_b, np.bincount(owner, minlength=len(pieces))], axis=1)
+        parts = [(links, np.bincount(owner[of], minlength=len(pieces))) for links, of in
+                 ((last_a[alone], alone), (last_a[~alone] * STRIDE + last_b[~alone], ~alone))]
+        return bad, [(pieces, counts, groups, parts)]
+
+    def forget(self) -> None:
+        """Empties what is kept by piece: counts (right, n_a, n_b, n_groups), groups, and links with
+        the places where each piece's end."""
+        self.known: dict[bytes, int] = {}
+        self.groups: list[bytes] = []
+        self.counts = np.zeros((0, 4), np.int64)
+        self.links = [(np.zeros(0, np.int64), np.zeros(1, np.int64))] * 2
+
+    def learn(self, pieces: list[bytes]) -> None:
+        """Aligns new pieces, many to a text where a piece's end is as sure as the places between pieces."""
+        tidy = [p for p in pieces if self.by_piece and self._ends_sure(p)]
+        bundles = [tidy[k:k + 64] for k in range(0, len(tidy), 64)] + [[p] for p in pieces if not (self.by_piece and self._ends_sure(p))]
+        bad: list[list[bytes]] = []
+        for k in range(0, len(bundles), 512):
+            wrong, made = self._align(bundles[k:k + 512])
+            bad += wrong
+            self._keep(made)
+        singles = [[p] for x in bad if len(x) > 1 for p in x]
+        wrong = [p for x in bad if len(x) == 1 for p in x]
+        for k in range(0, len(singles), 4096):
+            more, made = self._align(singles[k:k + 4096])
+            wrong += [p for x in more for p in x]
+            self._keep(made)
+        n = len(wrong)
+        none = (np.zeros(0, np.int64), np.zeros(n, np.int64))
+        self._keep([(wrong, np.zeros((n, 4), np.int64), [b""] * n, [none, none])])
+
+    def _keep(self, made: list[tuple]) -> None:
+        for pieces, counts, groups, parts in made:
+            self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+            self.groups += groups
+            self.counts = np.concatenate([self.counts, counts])
+            self.links = [(np.concatenate([flat, more]), np.concatenate([ends, ends[-1] + np.cumsum(n)]))
+                          for (flat, ends), (more, n) in zip(self.links, parts, strict=True)]
 
     def texts(self, texts: list[bytes]) -> list[tuple]:
         """(n_a, n_b, n_groups, groups_sha256, identity ids, irregular pairs) of each text."""
-        cut = [self.pieces(t) if t else [] for t in texts]
-        self.learn({p for c in cut for p in c})
-        out = []
-        for c in cut:
-            found = [self.known[p] for p in c]
-            if not found or not all(f[0] for f in found):
-                out.append((0, 0, 0, "", np.zeros(0, np.uint16), np.zeros(0, np.uint32)))
-                continue
-            same = [i for f in found for i in f[5]]
-            other = [i for f in found for i in f[6]]
-            out.append((sum(f[1] for f in found), sum(f[2] for f in found), sum(f[3] for f in found),
-                        hashlib.sha256(b";".join([f[4] for f in found])).hexdigest(), np.array(same, np.uint16), np.array(other, np.uint32)))
+        none = (0, 0, 0, "", np.zeros(0, np.uint16), np.zeros(0, np.uint32))
+        out = [none] * len(texts)
+        full = [i for i, t in enumerate(texts) if t]
+        if not full:
+            return out
+        raw = b" " + b" ".join([texts[i] for i in full])
+        docs = np.concatenate([[0], np.cumsum([len(texts[i]) + 1 for i in full])])[:-1]
+        data = np.frombuffer(raw, np.uint8)
+        starts = self.piece_starts(data, docs)
+        stops = np.append(starts[1:], len(data))
+        codes, _ = pd.factorize(Rolling(data).pieces(starts, stops))
+        first = np.zeros(codes.max() + 1, np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
+        if len(self.known) > CACHE_PIECES:
+            self.forget()
+        self.learn(list({p for p in pieces if p not in self.known}))
+        place = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))[codes]
+        at = np.searchsorted(starts, docs)
+        ends = np.append(at[1:], len(place)).tolist()
+        right, n_a, n_b, n_groups = np.add.reduceat(self.counts[place], at, axis=0).T.tolist()
+        same, other = (self._flat(k, place, at) for k in (0, 1))
+        places = place.tolist()
+        for k, i in enumerate(full):
+            a, b = int(at[k]), ends[k]
+            if right[k] == b - a:
+                digest = hashlib.sha256(b";".join([self.groups[p] for p in places[a:b]])).hexdigest()
+                out[i] = (n_a[k], n_b[k], n_groups[k], digest, same[k].astype(np.uint16), other[k].astype(np.uint32))
         return out
 
+    def _flat(self, kind: int, place: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        """Links of one kind of the pieces at ``place``, by text."""
+        flat, ends = self.links[kind]
+        n = ends[place + 1] - ends[place]
+        upto = np.cumsum(n)
+        links = flat[np.repeat(ends[place] - (upto - n), n) + np.arange(upto[-1])]
+        return np.split(links, (upto - n)[at][1:])
+
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
@@ -209,8 +292,8 @@ def _encode(path_a: str, path_b: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = aligner(path_a, path_b)
         for batch in batches:
-            for lo in range(0, len(batch), 200):
-                part = batch.slice(lo, 200)
+            for lo, hi in chunks(text_bytes(batch.column(1))[1], CHUNK_BYTES):
+                part = batch.slice(lo, hi - lo)
                 rows = align.texts([t.as_py().encode() for t in part.column(1)])
                 cols = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
                 yield pa.RecordBatch.from_arrays(
