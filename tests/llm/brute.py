@@ -92,9 +92,9 @@ def cut_repeats(rows, length=100):
     return out
 
 
-def line_repeats(rows, run=2):
+def line_repeats(rows, run=2, long_words=10):
     """[(doc_id, text)] of distinct ids -> {doc_id: kept text}"""
-    seen, out = set(), {}
+    seen, alone, out = set(), set(), {}
     for i, t in sorted(rows, key=lambda r: id_key(r[0])):
         lines = (t or "").split("\n")
         full = [k for k, x in enumerate(lines) if words(x)]
@@ -104,5 +104,10 @@ def line_repeats(rows, run=2):
             if key in seen:
                 gone |= set(full[p:p + run])
             seen.add(key)
+        for k in full:
+            if len(words(lines[k])) >= long_words:
+                if ("alone", lines[k]) in alone:
+                    gone.add(k)
+                alone.add(("alone", lines[k]))
         out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
