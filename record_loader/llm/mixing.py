@@ -91,7 +91,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats:
     taken = taken_prefix(copies)
     last = (taken.groupBy("rank", "again").agg(F.max("key").alias("last"))
             .groupBy("rank").agg(F.map_from_entries(F.collect_list(F.struct("again", "last"))).alias("lasts")))
-    table = targets.join(last, "rank", "left").select(F.col("source").alias("t_source"), "source_size", "target", "lasts")
+    # one row per source, counted: texts do not meet it by a shuffle on a few sources
+    table = C.small(targets.join(last, "rank", "left").select(F.col("source").alias("t_source"), "source_size", "target", "lasts"))
     used = sum((F.coalesce((F.col("key") <= F.col("lasts")[F.lit(i)]).cast("int"), F.lit(0)) for i in range(max_repeats)), F.lit(0))
     joined = sized.join(table, F.col("source").eqNullSafe(F.col("t_source")), "left")
     return C.unpacked(joined, docs, mix_size=F.col("size"), mix_source_size=F.col("source_size"), mix_target=F.col("target"),
