@@ -13,7 +13,8 @@ writers to a store that Spark alone can reach.
 
 Ascending doc_id order comes from range partitions (sampled splitters), each sorted by itself;
 ``start`` is the ids of earlier partitions (one number per partition) plus the running count that a
-segment has of its partition. Documents of one doc_id are ordered by text.
+segment has of its partition. Documents of one doc_id are ordered by the hash of their text, in
+ranges and inside them alike.
 
 Defined cases: null text is empty (only the end id); doc_id null comes first; repeated rows are
 documents of their own; an empty table gives no segment; other columns are dropped.
@@ -166,17 +167,19 @@ class Encoder:
     """Whole texts to ids with the tokenizers library. Byte-level BPE never joins across the start
     of a space-led word, a line break, or the end of letters before ASCII punctuation, so the
     library encodes each distinct piece between such places once per worker, and ids are put
-    together by lookup; texts with other white space go to the library whole."""
+    together by lookup; texts with other white space, or with the string of a special token (which the
+    library takes for the token, unless ``plain_specials``), go to the library whole."""
 
     OTHER_SPACE = re.compile(r"[^\S \n]")
     #: bytes that are, or may start, other white space
     ODD = np.isin(np.arange(256), [9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3])
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials  # their strings in a text are then ordinary text
+        self.specials = [] if plain_specials else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line = self._encode(["\n"])[0][0]
         self.forget()
 
@@ -255,9 +258,10 @@ class Encoder:
 
     def _split(self, texts: list[bytes]) -> list[np.ndarray]:
         """Texts with other white space go to the library whole, the rest by pieces."""
-        if not self.ODD[np.frombuffer(b"".join(texts), np.uint8)].any():
+        joined = b"".join(texts)
+        if not self.ODD[np.frombuffer(joined, np.uint8)].any() and not any(s in joined for s in self.specials):
             return self._chunk(texts)
-        whole = [bool(self.OTHER_SPACE.search(t.decode())) for t in texts]
+        whole = [bool(self.OTHER_SPACE.search(t.decode())) or any(s in t for s in self.specials) for t in texts]
         out = self._chunk([b"" if w else t for t, w in zip(texts, whole, strict=True)])
         at = [i for i, w in enumerate(whole) if w]
         for i, ids in zip(at, self._encode([texts[i].decode() for i in at]), strict=True):
@@ -265,14 +269,14 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain_specials: bool = False) -> Encoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, plain_specials) not in _ENCODERS:
+        _ENCODERS[path, plain_specials] = Encoder(path, plain_specials)
+    return _ENCODERS[path, plain_specials]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -287,12 +291,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 SEGMENT_SCHEMA = "part int, inside long, n_ids long, doc_ids array<long>, no_id array<boolean>, ends array<long>, payload binary"
 
 
-def _segments(path: str, end_id: int):
+def _segments(path: str, end_id: int, plain_specials: bool):
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part, inside, held, docs, none, size = TaskContext.get().partitionId(), 0, [], [], [], 0
-        encode = encoder(path)
+        encode = encoder(path, plain_specials)
 
         def close():
             ids = np.concatenate(held)
@@ -316,12 +320,14 @@ def _segments(path: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> None:
-    """The documents' ids as segments under ``path`` in ascending doc_id order."""
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text",
+                 plain_specials: bool = False) -> None:
+    """The documents' ids as segments under ``path`` in ascending doc_id order. With ``plain_specials``
+    the string of a special token in a text is ordinary text, so no text can forge one."""
     ordered = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), C.whole_text(text).alias("text"))
-               .repartitionByRange("doc_id", C.text_key(F.col("text"))).sortWithinPartitions("doc_id", "text"))
+               .withColumn("key", C.text_key(F.col("text"))).repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key"))
     ordered = ordered.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), "text")
-    ordered.mapInPandas(_segments(tokenizer, end_id), SEGMENT_SCHEMA).write.parquet(path)
+    ordered.mapInPandas(_segments(tokenizer, end_id, plain_specials), SEGMENT_SCHEMA).write.parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -352,11 +358,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return back.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
-def token_files(docs: DataFrame, path: str | None = None, tokenizer: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, path: str | None = None, tokenizer: str | None = None, **options) -> DataFrame:
     """Writes the token files (a new folder of the shared one unless named) and reads them back."""
     spark = docs.sparkSession
     path = path or C.new_path(spark, "tokens")
-    write_tokens(docs, path, tokenizer or tokenizer_path())
+    write_tokens(docs, path, tokenizer or tokenizer_path(), **options)
     return read_tokens(spark, path)
 
 

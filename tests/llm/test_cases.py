@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from record_loader.llm import chat, compression, decontaminate, jaccard, linededup, mixing, pages, rules, suffixes, tokens
+from record_loader.llm import chat, common, compression, decontaminate, jaccard, linededup, mixing, pages, rules, suffixes, tokens
 
 from . import brute
 
@@ -56,6 +56,20 @@ def test_line_dedup_longer_runs(spark):
         assert {r.doc_id: r.line_kept_text for r in linededup.dedup_lines(df, run).collect()} == brute.line_repeats(rows, run)
 
 
+def test_line_dedup_long_single_lines(spark):
+    """Copies of one-line documents and long lines between other lines go, short ones stay."""
+    rng = random.Random(2)
+    long, ten, nine = prose(rng, 60), prose(rng, 10), prose(rng, 9)
+    rows = [(0, long), (1, long), (2, f"a\n{long}\nb"), (3, f"c\n{ten}\nd\n{ten}\n{nine}"), (4, f"e\n{nine}\nf"), (5, ten), (6, nine), (7, f"{long}\n{long}\n{ten}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for run, words in ((2, 10), (3, 10), (2, 60), (2, 1)):
+        got = {r.doc_id: r for r in linededup.dedup_lines(df, run, long_words=words).collect()}
+        assert {i: r.line_kept_text for i, r in got.items()} == brute.line_repeats(rows, run, words)
+    got = {r.doc_id: r for r in linededup.dedup_lines(df).collect()}
+    assert (got[1].line_kept_text, got[2].line_kept_text, got[6].line_kept_text) == ("", "a\nb", nine)
+    assert (got[7].line_removed, got[7].line_runs) == (3, 1) and (got[3].line_removed, got[3].line_runs) == (1, 1)
+
+
 def test_jaccard(docs, texts, none):
     got = sorted(((r.id, r.class_id, r.n_links, r.copy_of) for r in jaccard.near_duplicates(docs).collect()), key=str)
     assert got == sorted(((i, *x) for (i, _), x in zip(texts, brute.near_duplicates(texts), strict=True)), key=str)
@@ -88,13 +102,14 @@ def test_one_document_of_each_group(spark, docs, texts):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({x[0] for x in want})
 
 
-def test_tokens(docs, texts, none, spark):
+@pytest.mark.parametrize("plain", [False, True])
+def test_tokens(docs, texts, none, spark, plain):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.tokenizer_path())
-    t.encode_special_tokens = True
+    t.encode_special_tokens = plain
     odd = spark.createDataFrame([(20, "a\tb  c\r\n"), (21, "<|endoftext|> it's 'quoted'"), (22, "日本　語 x  \n y"), (22, "")], "doc_id long, text string")
-    got = sorted(tokens.token_files(docs.select("doc_id", "text").union(odd)).collect(), key=lambda r: r.start)
+    got = sorted(tokens.token_files(docs.select("doc_id", "text").union(odd), plain_specials=plain).collect(), key=lambda r: r.start)
     n = [len(t.encode(x or "", add_special_tokens=False).ids) + 1 for _, x in sorted([*texts, *map(tuple, odd.collect())], key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))]
     assert [r.n_tokens for r in got if r.doc_id != 22] == [k for k, r in zip(n, got, strict=True) if r.doc_id != 22]
     assert sum(r.n_tokens for r in got) == sum(n) and [r.start for r in got] == list(np.cumsum([0] + [r.n_tokens for r in got])[:-1])
@@ -102,6 +117,15 @@ def test_tokens(docs, texts, none, spark):
     assert tokens.token_files(none).count() == 0
 
 
+def test_tokens_of_one_doc_id_over_many_partitions(spark):
+    """Ordered by the hash of their text, across partitions too."""
+    df = spark.createDataFrame([(1, f"text {k} " + "word " * (k % 9)) for k in range(400)], "doc_id long, text string").repartition(8)
+    t = tokens.encoder(tokens.tokenizer_path())
+    got = sorted(tokens.token_files(df).collect(), key=lambda r: r.start)
+    texts_in_order = [r.text for r in df.select("text", common.text_key(df["text"]).alias("k")).orderBy("k").collect()]
+    assert [r.n_tokens for r in got] == [len(x) + 1 for x in t(texts_in_order)]
+
+
 def test_directly_addressable_codes():
     rng = np.random.default_rng(3)
     for ids in (rng.integers(0, 50257, 5000), rng.integers(0, 200, 700), np.array([0, 255, 256, 2**32 - 1, 65536]), np.array([], int)):

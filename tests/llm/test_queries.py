@@ -54,7 +54,6 @@ def test_op3(spark, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.tokenizer_path())
-    t.encode_special_tokens = True
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in E.queries()["op3_token_files"](spark, SF_SMALL).collect()}
     start = 0
     for i, text in sorted(docs):
