@@ -235,13 +235,29 @@ def bulk_insert(df: DataFrame, target, opts=None, token: str | None = None) -> i
     return target.append(df, opts, token=token)
 
 
-def batch_folder(path: str, load_name: str, batch_id: int, run: str = "batch") -> str:
-    """The folder of one batch in a route or receipt table.  ``run`` tells
+#: Between the load name and the run in a folder's name.
+RUN = "@run-"
+
+
+def load_folder(path: str, load_name: str, run: str | None = None) -> str:
+    """The folder of one load in a route or receipt table.  ``run`` tells
     loads of one name apart: a stream's query id, or a re-drive's units."""
-    return f"{path.rstrip('/')}/load_name={load_name}/run=r-{run}/batch_id={batch_id}"
+    return f"{path.rstrip('/')}/load_name={load_name}{RUN + run if run else ''}"
+
+
+def batch_folder(path: str, load_name: str, batch_id: int, run: str | None = None) -> str:
+    """The folder of one batch in a route or receipt table."""
+    return f"{load_folder(path, load_name, run)}/batch_id={batch_id}"
+
+
+def named_loads(df: DataFrame) -> DataFrame:
+    """A route or receipt table with load_name, run (null where there is none) and batch_id told apart."""
+    folder = F.col("load_name").cast("string")
+    return df.withColumns({"load_name": F.regexp_replace(folder, f"{RUN}.*$", ""), "batch_id": F.col("batch_id").cast("long"),
+                           "run": F.when(folder.contains(RUN), F.regexp_extract(folder, f"{RUN}(.*)$", 1))})
 
 
-def write_routes(units: DataFrame, path: str, load_name: str, batch_id: int, fmt: str = "parquet", run: str = "batch") -> None:
+def write_routes(units: DataFrame, path: str, load_name: str, batch_id: int, fmt: str = "parquet", run: str | None = None) -> None:
     """K3: the unit routes (success / retry / failure) of one batch, each
     relationship in its own folder.  The batch's folder is rewritten, so a
     replay leaves one route per unit."""
@@ -251,6 +267,5 @@ def write_routes(units: DataFrame, path: str, load_name: str, batch_id: int, fmt
 
 def read_routes(spark: SparkSession, path: str, route: str | None = None,
                 fmt: str = "parquet") -> DataFrame:
-    df = (spark.read.format(fmt).load(path)
-          .withColumns({"load_name": F.col("load_name").cast("string"), "batch_id": F.col("batch_id").cast("long")}))
+    df = named_loads(spark.read.format(fmt).load(path))
     return df.where(F.col("route") == route) if route else df

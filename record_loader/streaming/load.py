@@ -28,11 +28,11 @@ from pyspark.sql import types as T
 
 from ..operators.conform import CORRUPT, field_name
 from ..plans.load import LoadResult, load_batch
-from ..sinks.targets import batch_folder, read_routes, write_routes
+from ..sinks.targets import batch_folder, load_folder, named_loads, read_routes, write_routes
 from ..sources.files import has_record, open_rows, parse_records
 from ..spec import LoadOptions, TargetSpec
 
-# Receipt columns: load_name, run, batch_id (folders), source_id, route, rows,
+# Receipt columns: load_name, run and batch_id (folders), source_id, route, rows,
 # error, destination, attempt.
 
 #: Fixed value: the local property in which Spark names the running query.
@@ -75,7 +75,7 @@ def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "
                      *[F.col(f"`{c}`").alias(field_name(c)) for c in df.columns])
 
 
-def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, batch_id: int, run: str = "batch") -> bool:
+def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, batch_id: int, run: str | None = None) -> bool:
     """A micro-batch is committed when its receipt folder exists.  The check
     resolves one path (no scan of earlier receipts, no job).  Only a path
     that is not there means "not committed"; a store that cannot be read
@@ -91,7 +91,7 @@ def _committed(spark: SparkSession, receipts_path: str | None, load_name: str, b
         raise
 
 
-def write_receipts(units: DataFrame, receipts_path: str, load_name: str, batch_id: int, run: str = "batch") -> None:
+def write_receipts(units: DataFrame, receipts_path: str, load_name: str, batch_id: int, run: str | None = None) -> None:
     """The receipts of one batch, in its own folder (rewritten by a replay);
     written last, by one job, so a folder that exists is whole."""
     (units.drop("load_name", "run", "batch_id").write.mode("overwrite")
@@ -99,8 +99,7 @@ def write_receipts(units: DataFrame, receipts_path: str, load_name: str, batch_i
 
 
 def read_receipts(spark: SparkSession, receipts_path: str) -> DataFrame:
-    return spark.read.parquet(receipts_path).withColumns(
-        {"load_name": F.col("load_name").cast("string"), "batch_id": F.col("batch_id").cast("long")})
+    return named_loads(spark.read.parquet(receipts_path))
 
 
 def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
@@ -115,14 +114,14 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stream = run_id or spark.sparkContext.getLocalProperty(QUERY_ID) or "batch"
+        stream = run_id or spark.sparkContext.getLocalProperty(QUERY_ID)
         if _committed(spark, receipts_path, load_name, batch_id, stream):
             return                                   # replayed batch, already loaded
         if "pos" not in batch.columns:
             batch = batch.withColumn("pos", F.monotonically_increasing_id())
         result = load_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
                             spec, target, opts, open_records=open_records,
-                            dedupe_version=dedupe_version, token=f"{load_name}-{stream}-{batch_id}")
+                            dedupe_version=dedupe_version, token=f"{load_name}-{stream}-{batch_id}" if stream else f"{load_name}-{batch_id}")
         try:
             if not result.n_units:
                 return                               # empty queue: no-op
@@ -193,7 +192,7 @@ def _run_committed(spark: SparkSession, receipts_path: str | None, load_name: st
     if not receipts_path:
         return False
     try:
-        spark.read.schema("source_id string").parquet(f"{receipts_path.rstrip('/')}/load_name={load_name}/run=r-{run}")
+        spark.read.schema("source_id string").parquet(load_folder(receipts_path, load_name, run))
         return True
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
