@@ -88,6 +88,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table that this run wrote and nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A checkpointed frame of fixed-width rows, to be broadcast if it holds at most ``rows``
     (counted); otherwise joins with it shuffle."""

@@ -293,3 +293,32 @@ def test_broken_markup_takes_linear_time(unit):
 
     small = min(seconds(100_000) for _ in range(2))
     assert seconds(1_600_000) < 16 * 4 * max(small, 0.02)  # quadratic time would be 256 times
+
+
+# ---- compression classifier, against a plain loop ----
+
+def test_op4_scores(spark, docs):
+    """The query's scores from the same dictionaries and coefficients, text by text."""
+    import math
+    import zlib
+
+    import zstandard
+
+    from record_loader.llm import compression
+
+    frame_ = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    good, bad, w = compression.learn(frame_, spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    got = {r.doc_id: r for r in E.queries()["op4_compression_classifier"](spark, SF_SMALL).collect()}
+
+    def size(piece, data):
+        c = zstandard.ZstdCompressor(level=compression.LEVEL, dict_data=zstandard.ZstdCompressionDict(data), write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(c.compress(piece)) - len(c.compress(b""))
+
+    for i, t in docs[::4]:
+        raw = (t or "").encode()
+        parts = [raw[k:k + compression.CHUNK] for k in range(0, len(raw), compression.CHUNK)]
+        g, b = (sum(size(p, data) for p in parts) for data in (good, bad))
+        d, per, n = ((b - g) / max(g, b, 1), g / len(raw), math.log1p(len(raw))) if raw else (0.0, 0.0, 0.0)
+        score = 1 / (1 + math.exp(-max(-30, min(30, sum(x * y for x, y in zip(w, (1, d, per, per * per, n, d * n), strict=True))))))
+        r = got[i]
+        assert abs(r.score - score) < 1e-9 and r.predicted == int(score >= 0.3) and r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
