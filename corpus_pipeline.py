@@ -1,7 +1,14 @@
 """A training corpus from ``documents``: quality rules, near-duplicates, benchmark passages, mixing, token files.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and read
-again as the next stage's documents. All but the last return the columns of ``documents``.
+again as the next stage's documents. All but the last return the columns of ``documents``. A stage's
+input is removed once its output is stored, so the corpus stands on disk twice at most.
+
+Defined cases: a document with a null or empty text, or of fewer than 50 words, fails the base rule of the
+first stage and goes; very long texts are one row throughout; ties and rows that share doc_id and text are
+one document to the second stage, which keeps one; a null doc_id is kept like others, last among near-duplicates
+and first in the token files; a null source is a source of its own; empty tables give empty stages; extra
+columns are carried to the mixing stage, whatever their names, and are not in the token files.
 """
 
 from __future__ import annotations
@@ -53,9 +60,14 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = common.read(spark, sf_dir, "documents")
+    docs, last = common.read(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = common.written(docs, f"pipeline-{name}")
+            path = common.new_path(spark, f"pipeline-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if last:
+                common.removed(spark, last)
+            last = path
     return docs
