@@ -12,7 +12,9 @@ the good dictionary and the log of the text's size, weighted so both classes cou
 
 Defined cases: null text is empty; the empty text has sizes 0 and is scored like others; without
 labels of both classes every score is the constant 0.5; null doc_id is held out (never learnt);
-repeated rows are scored alike; other columns are carried untouched.
+repeated rows are scored alike; other columns are carried untouched, but
+for quality_score and quality_predicted, which are replaced. Beside the difference, the calibration reads the good
+size a byte, the log size and its product with the difference.
 """
 
 from __future__ import annotations
