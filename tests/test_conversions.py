@@ -10,6 +10,9 @@ from record_loader.functions import coerce as C
 from record_loader.operators.conform import ERROR, conform
 
 
+# The literals below are the inputs and results that conversions must match.
+
+
 def one(spark, value, ddl):
     return spark.createDataFrame([(value,)], ddl)
 

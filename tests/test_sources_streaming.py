@@ -14,6 +14,7 @@ from record_loader.sources import read_open_records, read_records
 from record_loader.streaming import read_record_stream, redrive, stream_load, unit_states
 from record_loader.streaming.recipes import FlakyTarget
 
+# Columns, records and names of the fixtures below must match.
 PERSON = TargetSpec.of("person", [("id", "int", True), ("name", "string", True), ("age", "int"),
                                   ("favorite_color", "string"), ("dob", "date"),
                                   ("lasttransactiontime", "timestamp"), ("remarks", "string")])
