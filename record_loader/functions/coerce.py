@@ -84,7 +84,8 @@ def binary_from_bytes(c: Column) -> Conv:
     """array<tinyint> (signed bytes, as Java holds them) -> the same bytes."""
     hexed = F.concat_ws("", F.transform(
         c, lambda b: F.lpad(F.hex(b.cast("int").bitwiseAND(F.lit(255))), 2, "0")))
-    value = F.when(F.exists(c, lambda b: b.isNull()), _null(T.BinaryType())).otherwise(F.unhex(hexed))
+    # no array, or one that holds nulls, has no bytes (the text of no array would be empty)
+    value = F.when(~F.exists(c, lambda b: b.isNull()), F.unhex(hexed))
     return value, failed(c, value, "Cannot convert a byte array holding nulls to binary")
 
 
@@ -203,6 +204,71 @@ def uuid_to_string(c: Column, check_shape: bool = True) -> Conv:
     return value, failed(c, value, "Value is not a UUID")
 
 
+# Open values with their types (VARIANT) ---------------------------------------------------
+def variant_as(value: Column, ddl: str, path: str = "$") -> Column:
+    """``value`` as the type ``ddl``; NULL if it is no such value."""
+    return F.try_variant_get(value, path, ddl)
+
+
+def _byte_array(elements: Column) -> Column:
+    """An array of whole numbers in the range of a signed byte; NULL for any other array."""
+    byte = lambda x: F.when(F.schema_of_variant(x) == "BIGINT", variant_as(x, "tinyint"))
+    return F.when(F.forall(elements, lambda x: F.coalesce(byte(x).isNotNull(), F.lit(False))),
+                  F.transform(elements, byte))
+
+
+def value_of_variant(c: Column, col, opts, field: str) -> Conv:
+    """A value that brings its own type -> the column's type, by the rules for that type.
+
+    Text goes by the rules of text, whole numbers by those of ``bigint``, and so on; an array is binary
+    if it holds nothing but bytes (T6) and is rejected otherwise (T7), and a collection never becomes a
+    scalar (T16) but for text, which gets its JSON.  JSON null is NULL."""
+    dt = col.dtype
+    v = F.when(~F.is_variant_null(c), c)
+    elements = variant_as(v, "array<variant>")
+    is_record = variant_as(v, "map<string,variant>").isNotNull()
+    scalar = elements.isNull() & ~is_record
+    # a collection's type would be worked out from all its elements
+    kind = F.when(scalar, F.schema_of_variant(v))
+    name = F.when(elements.isNotNull(), F.lit("array")).when(is_record, F.lit("record")).otherwise(F.lower(kind))
+    message = F.concat(F.lit(f"Cannot convert field '{field}' of type "), name,
+                       F.lit(f" to {type_label(dt)} for column '{col.name}'"))
+    if isinstance(dt, T.StringType):
+        text = F.when(scalar, variant_as(v, "string")).otherwise(F.to_json(v))
+        return uuid_to_string(text) if col.uuid else (text, failed(v, text, message))
+    if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
+        value = variant_as(v, type_label(dt))
+        if isinstance(dt, T.ArrayType):
+            # an element that does not convert is no NULL of the source's
+            lost = F.size(F.filter(value, lambda x: x.isNull())) != F.size(F.filter(elements, F.is_variant_null))
+            value = F.when(~lost, value)
+        return value, failed(v, value, message)
+
+    def of(source: T.DataType) -> Conv:
+        return _coerce(variant_as(v, type_label(source)), source, col, opts, field)
+
+    text, text_error = of(T.StringType())
+    if isinstance(dt, T.BinaryType):
+        as_bytes, bytes_error = binary_from_bytes(_byte_array(elements))
+        other = variant_as(v, "string")
+        other = F.encode(other, "UTF-8") if opts.binary_from == "text" else _null(dt)
+        value = F.when(kind == "STRING", text).when(elements.isNotNull(), as_bytes).when(scalar, other)
+        reject = F.concat(F.lit("Cannot convert value of type "), name, F.lit(" to binary"))
+        error = F.when(kind == "STRING", text_error).otherwise(F.coalesce(bytes_error, failed(v, value, reject)))
+        return value, error
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        numbers = [(kind == "BIGINT", of(T.LongType()))]
+        if not isinstance(dt, T.DateType):
+            numbers.append(((kind == "DOUBLE") | kind.startswith("DECIMAL"), of(T.DecimalType(38, 9))))
+        value, error = F.when(kind == "STRING", text), F.when(kind == "STRING", text_error)
+        for holds, (number, number_error) in numbers:
+            value, error = value.when(holds, number), error.when(holds, number_error)
+    else:
+        value = F.when(kind == "STRING", text).when(scalar, variant_as(v, type_label(dt)))
+        error = F.when(kind == "STRING", text_error)
+    return value, F.coalesce(error, failed(v, value, message))
+
+
 # Enum ---------------------------------------------------------------------------
 def enum_check(c: Column, values, column: str = "") -> Conv:
     s = c.cast("string")
@@ -274,6 +340,8 @@ def _coerce(c: Column, src: T.DataType, col, opts, field: str) -> Conv:
         if isinstance(out, tuple):
             return out
         return out, failed(c, out, f"Cannot convert field '{field}' for column '{col.name}'")
+    if isinstance(src, T.VariantType) and src != dt:
+        return value_of_variant(c, col, opts, field)
     if col.uuid:
         return uuid_to_string(c)
     if src == dt:

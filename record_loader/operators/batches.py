@@ -25,10 +25,11 @@ def plan_batches(units: DataFrame, max_units: int, order_cols=("arrival", "sourc
     not rows: a unit of a million records is still one unit.
 
     The numbering is distributed: units are range-partitioned on the
-    arrival order, each range counts its units per target (one small row per
-    range and target reaches the driver), prefix sums give every range its
-    offset, and a window *inside* each range adds the local position.  No
-    task ever holds the whole unit table."""
+    arrival order, each range counts its units per target, prefix sums over
+    a target's ranges (at most ``num_partitions`` rows each) give every
+    range its offset, and a window *inside* each range adds the local
+    position.  No task ever holds the whole unit table, and nothing reaches
+    the driver, however many targets there are."""
     order = [c for c in order_cols if c in units.columns]
     parts = [c for c in partition_cols if c in units.columns]
     if max_units <= 0:
@@ -38,22 +39,15 @@ def plan_batches(units: DataFrame, max_units: int, order_cols=("arrival", "sourc
     shared_dir(spark)
     # one row per unit; checkpointed, because a range's number must not change between its two uses
     ranged = units.repartitionByRange(n, *parts, *order).withColumn("__p", F.spark_partition_id()).checkpoint()
-    counts = ranged.groupBy("__p", *parts).agg(F.count(F.lit(1)).alias("__n")).collect()
-    running: dict[tuple, int] = {}
-    rows = []
-    for r in sorted(counts, key=lambda r: r["__p"]):
-        key = tuple(r[c] for c in parts)
-        rows.append((r["__p"], *key, running.get(key, 0)))
-        running[key] = running.get(key, 0) + r["__n"]
-    schema = ", ".join(["__q int"] + [f"__k{i} {units.schema[c].dataType.simpleString()}" for i, c in enumerate(parts)]
-                       + ["__off long"])
-    offsets = spark.createDataFrame(rows, schema)
-    w = Window.partitionBy("__p", *parts).orderBy(*order)
-    idx = F.col("__off") + F.row_number().over(w) - 1
+    counts = ranged.groupBy("__p", *parts).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*parts).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     # one row per range and target; units without a target are a target of their own
+    offsets = counts.select(F.col("__p").alias("__q"), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(parts)],
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(parts)], F.col("__p") == F.col("__q"))
-    out_df = (ranged.join(F.broadcast(offsets), same, "inner")
-              .withColumn(out, F.floor(idx / F.lit(max_units)).cast("long")))
+    w = Window.partitionBy("__p", *parts).orderBy(*order)
+    idx = F.col("__off") + F.row_number().over(w) - 1
+    out_df = ranged.join(offsets, same).withColumn(out, F.floor(idx / F.lit(max_units)).cast("long"))
     return out_df.select(*units.columns, out)
 
 

@@ -6,8 +6,9 @@ Two record shapes share one contract (meta columns, target columns,
 ``_error``, ``_warning``):
 
 - *uniform*: a typed DataFrame; names are resolved once, at plan time;
-- *open*: a ``fields map<string,string>`` column; names are resolved per
-  row, for units whose records carry different fields.
+- *open*: a ``fields`` column, ``map<string,string>`` or, with the values'
+  types, ``map<string,variant>``; names are resolved per row, for units whose
+  records carry different fields.
 """
 
 from __future__ import annotations
@@ -153,8 +154,9 @@ def normalize_open(df: DataFrame, fields: str = "fields", translation: str = "RE
 
 def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,
                  fields: str = "fields", keep=None, spread: int = 0) -> DataFrame:
-    """Open records -> the same contract as :func:`conform`.  Every value is
-    text; each column's value is looked up by normalised name, per row."""
+    """Open records -> the same contract as :func:`conform`.  Values are text,
+    or carry their types; each column's value is looked up by normalised name,
+    per row."""
     opts = (opts or LoadOptions()).validate()
     meta = [m for m in _meta(df, keep) if m != fields]
     lookup = spec.lookup(opts.translation, opts.pattern)
@@ -163,6 +165,7 @@ def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
                        normalized_keys(F.col(fields), opts.translation, opts.pattern).alias("__k"),
                        *[F.col(c) for c in (CORRUPT, ERROR, WARNING) if c in df.columns])
     m, keys = F.col("__f"), F.col("__k")
+    value_type = df.schema[fields].dataType.valueType
     col_names = F.array(*[F.lit(n) for n in lookup])
 
     errors: list[Column] = [F.col(ERROR)] if ERROR in df.columns else []
@@ -185,7 +188,7 @@ def conform_open(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = Non
     out = []
     for n, col in lookup.items():
         raw = last_value_of(m, keys, n)
-        value, err = coerce_value(raw, T.StringType(), col, opts, n)
+        value, err = coerce_value(raw, value_type, col, opts, n)
         errors.append(err)
         value, err = _required_null(value, col, opts)
         if err is not None:

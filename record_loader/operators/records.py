@@ -2,43 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import normalized_keys
 from ..spec import LoadOptions, TargetSpec
-from .conform import ERROR, META_COLUMNS
+from .conform import CORRUPT, ERROR, FIELD, META_COLUMNS, WARNING, field_name
+from .paths import parse_path, typed_hits, variant_hits
 
 
-def select_records(df: DataFrame, path: str, keep=META_COLUMNS) -> DataFrame:
-    """Pick the record(s) at ``path`` out of each outer record.
+#: Room for the places of one outer record's hits beside its own position.
+PLACES = 1 << 31
 
-    A struct at the path yields one record; an array of structs yields one
-    record per element (``pos`` becomes the element's position, nested under
-    the outer position when there is one).  Anything else is an error at
-    analysis time; an outer record with zero hits carries ``_error``."""
+
+def _position(meta) -> Column:
+    """The place of hit ``__i``: on its own, or after the outer record's ``pos`` (one number for both;
+    a fixed-width decimal, as two longs do not go into one)."""
+    i = F.coalesce(F.col("__i"), F.lit(0))
+    if "pos" not in meta:
+        return i.cast("long")
+    return (F.col("pos").cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + i).cast("decimal(31,0)")
+
+
+def select_records(df: DataFrame, path: str, keep=META_COLUMNS, fields: str = "fields") -> DataFrame:
+    """Pick the records at ``path`` (:mod:`record_loader.operators.paths`) out of each outer record:
+    one row per hit, with its fields, or for open records with types its ``fields`` map.
+
+    ``pos`` becomes the hit's place inside its outer record, after the outer ``pos`` when there is one.
+    An outer record without hits, a hit that is null and a hit that is no record keep one row with
+    ``_error``, so that their unit is quarantined with a reason; a path that no typed record can have a
+    record at (the schema has a scalar there) is an error at once.  The fields of a nested open record
+    are in order of their names, so that is the order in which colliding names win.  Open records of
+    text have no nested records and are an error here."""
     meta = [m for m in df.columns if m in keep]
-    dt = df.select(F.col(path)).schema.fields[0].dataType
-    c = F.col(path)
-    if isinstance(dt, T.StructType):
-        fields = [F.col(f"{path}.`{f.name}`").alias(f.name) for f in dt.fields]
-        return df.select(*meta, *fields,
-                         F.when(c.isNull(), F.lit(f"No record at path {path}")).alias(ERROR))
-    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
-        elem = dt.elementType
-        other = [m for m in meta if m != "pos"]
-        outer_pos = F.col("pos") if "pos" in meta else F.lit(0)
-        # zero hits keep one row so the unit can be quarantined with a reason
-        exploded = df.select(*other, outer_pos.alias("__outer"), F.posexplode_outer(c).alias("__i", "__r"))
-        fields = [F.col(f"__r.`{f.name}`").alias(f.name) for f in elem.fields]
-        return exploded.select(
-            *other,
-            F.struct(F.col("__outer").alias("outer"), F.col("__i").alias("inner")).alias("pos"),
-            *fields,
-            F.when(F.col("__i").isNull(), F.lit(f"No record at path {path}")).alias(ERROR))
-    raise TypeError(f"path {path} does not point at a record or an array of records: "
-                    f"{dt.simpleString()}")
+    steps = parse_path(path)
+    other = [F.col(m) for m in meta if m != "pos"]
+    outer = other + ([F.col("pos")] if "pos" in meta else [])
+    if fields in df.columns and isinstance(df.schema[fields].dataType, T.MapType):
+        if not isinstance(df.schema[fields].dataType.valueType, T.VariantType):
+            raise TypeError(f"path {path}: open records need their types (typed=True) to have records inside")
+        hits = df.select(*outer, F.col(fields).isNull().alias("__bad"),
+                         F.posexplode_outer(variant_hits(F.col(fields), steps)).alias("__i", "__r"))
+        hits = hits.withColumn("__f", F.try_variant_get("__r", "$", "map<string,variant>"))
+        kind = F.concat(F.lit(f"Path {path} holds a value of type "), F.schema_of_variant("__r"), F.lit(", not a record"))
+        error = (F.when(F.col("__bad"), F.lit("Malformed record"))
+                 .when(F.col("__r").isNull() | F.is_variant_null("__r"), F.lit(f"No record at path {path}"))
+                 .when(F.col("__f").isNull(), kind))
+        # a row with an error has no fields of its own, and its error says why
+        none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))
+        return hits.select(*other, _position(meta).alias("pos"), F.coalesce("__f", none).alias(fields), error.alias(ERROR))
+    inside = {f.name.removeprefix(FIELD): (F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields
+              if f.name not in meta and f.name not in (CORRUPT, ERROR, WARNING)}
+    records, dt, others = typed_hits(inside, steps, path)
+    errors = [F.col(ERROR)] if ERROR in df.columns else []
+    if CORRUPT in df.columns:
+        errors.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("Malformed record")))
+    errors += [F.when(v.isNotNull(), F.lit(f"Path {path} holds a value of type {t}, not a record")) for v, t in others]
+    fault = F.coalesce(*errors, F.lit(None).cast("string"))
+    if records is None and others:
+        raise TypeError(f"path {path} does not point at a record or an array of records: {others[0][1]}")
+    if records is None:
+        missed = F.coalesce(fault, F.lit(f"No record at path {path}"))
+        return df.select(*outer, F.lit(0).alias("__i"), missed.alias(ERROR)).select(
+            *other, _position(meta).alias("pos"), ERROR)
+    # zero hits keep one row so the unit can be quarantined with a reason
+    hits = df.select(*outer, fault.alias("__fault"), F.posexplode_outer(records).alias("__i", "__r"))
+    error = F.coalesce("__fault", F.when(F.col("__r").isNull(), F.lit(f"No record at path {path}")))
+    return hits.select(*other, _position(meta).alias("pos"),
+                       *[F.col(f"__r.`{f.name}`").alias(field_name(f.name, (*meta, "pos"))) for f in dt.fields],
+                       error.alias(ERROR))
 
 
 def match_report(df: DataFrame, spec: TargetSpec, opts: LoadOptions | None = None,

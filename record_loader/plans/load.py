@@ -88,8 +88,8 @@ def constraints_of(spec: TargetSpec, opts: LoadOptions):
 def unit_stats(conformed: DataFrame, spec: TargetSpec, opts: LoadOptions) -> DataFrame:
     """One row per (unit, batch): records, failing records, first failing
     position, index of the first constraint broken.  Every aggregate buffer is
-    fixed-width, so Spark aggregates by hash, map-side first (with
-    ``record_path`` a position is a struct, and its minimum is not)."""
+    fixed-width (positions are numbers, with a ``record_path`` too), so Spark
+    aggregates by hash, map-side first."""
     bad = F.col(ERROR).isNotNull()
     return conformed.groupBy("source_id", "batch_id").agg(
         F.count(F.lit(1)).alias("n_records"), F.count_if(bad).alias("__bad"),

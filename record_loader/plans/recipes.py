@@ -115,7 +115,33 @@ def malformed_units(spark, sf):
                     F.col(ERROR).isNotNull().alias("malformed"))
 
 
+def open_typed_records(spark, sf):
+    """Units of mixed types: an array of bytes, an array of numbers, a record, a text or nothing in a
+    binary column, and the event's number, its text or an array of it in a number column."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", F.col("event_id").cast("string").alias("id"))
+    number, text = F.col("id"), F.concat(F.lit('"'), "event_type", F.lit('"'))
+    low, high = (F.col("event_id") % 128).cast("string"), (F.col("event_id") % 128 + 128).cast("string")
+    kind = F.col("event_id") % 6
+    payload = (F.when(kind == 0, F.concat(F.lit("["), low, F.lit(", 0, -1]"))).when(kind == 1, F.concat(F.lit("["), high, F.lit("]")))
+               .when(kind == 3, F.concat(F.lit('{"k": '), number, F.lit("}"))).when(kind == 4, F.lit("null")).otherwise(text))
+    count = F.when(kind == 5, F.concat(F.lit("["), number, F.lit("]"))).when(kind == 4, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number)
+    units = ev.select(F.col("event_id").alias("source_id"),
+                      F.concat(F.lit('{"payload": '), payload, F.lit(', "Event_Id": '), count, F.lit(', "raw": '), payload, F.lit("}")).alias("text"))
+    spec = TargetSpec.of("typed", [("payload", "binary"), ("event_id", "bigint"), ("raw", "string")])
+    c = conform_open(parse_open_records(units, "text", typed=True), spec, spread=SPREAD)
+    return c.select("source_id", F.hex("payload").alias("payload"), "event_id", "raw", F.col(ERROR).alias("error"))
+
+
 SQL_SOURCES = {
+    "open_typed_records": """SELECT event_id AS source_id,
+            CASE WHEN kind = 0 THEN printf('%02X', event_id % 128) || '00FF'
+                 WHEN kind IN (2, 5) THEN hex(event_type) END AS payload,
+            CASE WHEN kind <> 5 THEN event_id END AS event_id,
+            CASE kind WHEN 0 THEN '[' || (event_id % 128) || ',0,-1]' WHEN 1 THEN '[' || (event_id % 128 + 128) || ']'
+                 WHEN 3 THEN '{"k":' || event_id || '}' WHEN 4 THEN NULL ELSE event_type END AS raw,
+            CASE kind WHEN 1 THEN 'Cannot convert value of type array to binary' WHEN 3 THEN 'Cannot convert value of type record to binary'
+                 WHEN 5 THEN $$Cannot convert field 'EVENTID' of type array to bigint for column 'event_id'$$ END AS error
+        FROM (SELECT *, event_id % 6 AS kind FROM events)""",
     "read_records_json": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "parse_formatted_times": "SELECT event_id, ts, CAST(ts AS DATE) AS d FROM events",
     "open_records": """SELECT event_id // 8 AS source_id,
@@ -267,6 +293,40 @@ def select_subrecords(spark, sf):
     return recs.select(F.col("source_id").alias("conv_id"), "turn", "role", "text")
 
 
+# P10: every customer chunk is one JSON unit, orders and their lines nested two levels deep
+PATH = "/chunk/orders[./o_orderstatus = 'F']/lines[./l_quantity > 25]"
+OPEN_PATH = "/chunk/orders[./o_orderstatus = 'F']/lines"
+NO_ORDERS = 10                  # every tenth chunk has a text where lines should be
+
+
+def _order_chunks(spark, sf) -> DataFrame:
+    """Chunks of at most four orders, each with the few lines of an order."""
+    lines = (table(spark, sf, "lineitem").groupBy("l_orderkey")
+             .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity", "l_orderkey"))).alias("lines")))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    whole = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return (whole.groupBy(F.floor(F.col("o_orderkey") / 4).alias("source_id"))
+            .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderstatus", "lines"))).alias("orders")))
+
+
+def record_paths(spark, sf):
+    recs = select_records(_order_chunks(spark, sf).select("source_id", F.struct("orders").alias("chunk")), PATH)
+    return recs.where(F.col(ERROR).isNull()).select("source_id", "pos", "l_linenumber", "l_partkey", "l_quantity")
+
+
+def record_paths_open(spark, sf):
+    chunks = _order_chunks(spark, sf)
+    text = (F.when(F.col("source_id") % NO_ORDERS == 0, F.lit('{"chunk": {"orders": {"o_orderstatus": "F", "lines": "none"}}}'))
+            .otherwise(F.to_json(F.struct(F.struct("orders").alias("chunk")))))
+    recs = parse_open_records(chunks.select("source_id", text.alias("text")), "text", typed=True)
+    spec = TargetSpec.of("lines", [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double")])
+    target = PathTarget(fresh_dir(spark, "record-paths"))
+    units = load_batch(recs, spec, target, LoadOptions(record_path=OPEN_PATH), open_records=True).units
+    stored = target.read(spark).groupBy(F.floor(F.col("l_orderkey") / 4).alias("__u")).agg(F.count(F.lit(1)).alias("stored"))
+    return units.join(stored, F.col("source_id") == F.col("__u"), "left").select(
+        "source_id", "route", "rows", "error", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
 _EV_COLS = "'EVENTID,USERID,EVENTTYPE,VALUE'"
 SQL_PROJECTIONS = {
     "normalize_remove_underscore": "SELECT " + ", ".join(ORDERS_COLS) + " FROM orders",
@@ -294,6 +354,19 @@ SQL_PROJECTIONS = {
         UNION ALL SELECT NULL, 'session_id', 0, 'unmatched_column'""",
     "colliding_fields": "SELECT event_id, user_id AS k FROM events",
     "select_subrecords": "SELECT conv_id, turn, role, text FROM conversations",
+    "record_paths": """SELECT o_orderkey // 4 AS source_id, row_number() OVER (PARTITION BY o_orderkey // 4
+            ORDER BY o_orderkey, l_linenumber, l_partkey, l_quantity) - 1 AS pos, l_linenumber, l_partkey, l_quantity
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' AND l_quantity > 25""",
+    "record_paths_open": f"""SELECT source_id,
+            CASE WHEN n > 0 AND NOT scalar THEN 'success' ELSE 'failure' END AS route,
+            CASE WHEN scalar THEN 0 ELSE n END AS rows,
+            CASE WHEN scalar THEN 'Path ' || path || ' holds a value of type STRING, not a record'
+                 WHEN n = 0 THEN 'No record at path ' || path END AS error,
+            CASE WHEN scalar THEN 0 ELSE n END AS stored
+        FROM (SELECT o_orderkey // 4 AS source_id, (o_orderkey // 4) % {NO_ORDERS} = 0 AS scalar,
+                     $${OPEN_PATH}$$ AS path,
+                     count(l_orderkey) FILTER (WHERE o_orderstatus = 'F') AS n
+              FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)""",
 }
 
 

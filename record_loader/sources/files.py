@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 from ..operators.conform import CORRUPT, META_COLUMNS, field_name
 
 FORMATS = ("json", "csv", "parquet", "orc", "avro")
-OPEN_SCHEMA = "array<map<string,string>>"
+OPEN_RECORD = "map<string,string>"
+#: open records whose values keep their JSON types
+TYPED_RECORD = "map<string,variant>"
 
 
 def _paths(paths) -> list[str]:
@@ -86,37 +88,41 @@ def wrap_single(text: Column) -> Column:
     return F.when(F.startswith(t, F.lit("[")), t).otherwise(F.concat(F.lit("["), t, F.lit("]")))
 
 
-def open_rows(text: Column) -> Column:
+def open_rows(text: Column, typed: bool = False) -> Column:
     """The generator of a unit's records (``pos``, ``fields``): none for an
     empty array or text, one with NULL ``fields`` for text that does not parse."""
-    malformed = F.array(F.lit(None).cast("map<string,string>"))
-    return F.posexplode(F.coalesce(F.from_json(wrap_single(text), OPEN_SCHEMA), malformed)).alias("pos", "fields")
+    record = TYPED_RECORD if typed else OPEN_RECORD
+    malformed = F.array(F.lit(None).cast(record))
+    return F.posexplode(F.coalesce(F.from_json(wrap_single(text), f"array<{record}>"), malformed)).alias("pos", "fields")
 
 
 def parse_open_records(df: DataFrame, text: str, unit: str = "source_id",
-                       keep=()) -> DataFrame:
+                       keep=(), typed: bool = False) -> DataFrame:
     """S3/S4 over a text column: each value is one unit holding a JSON array
     of objects (or one object).  Output: unit, ``pos``, ``fields`` map; a
     unit that does not parse yields one row with NULL ``fields`` (later
-    quarantined as malformed).  Nested values stay JSON text."""
-    return df.select(F.col(unit).alias("source_id"), *[F.col(k) for k in keep], open_rows(F.col(text)))
+    quarantined as malformed).  Nested values stay JSON text; with ``typed``
+    every value keeps its type (VARIANT), so byte arrays, arrays and records
+    are told from text and record paths reach inside."""
+    return df.select(F.col(unit).alias("source_id"), *[F.col(k) for k in keep], open_rows(F.col(text), typed))
 
 
-def read_open_records(spark: SparkSession, paths, lines: bool = False) -> DataFrame:
+def read_open_records(spark: SparkSession, paths, lines: bool = False, typed: bool = False) -> DataFrame:
     """S3: record files as units of open records.
 
     With ``lines`` (JSON lines: one object per line) the files are split
     and parsed line by line, whatever their size.  Otherwise a file is one
     JSON array or object, which must be whole to parse, so one row of one
-    task: such files should be modest."""
+    task: such files should be modest.  ``typed`` as in
+    :func:`parse_open_records`."""
     if lines:
         raw = spark.read.text(_paths(paths)).select(
             F.col("_metadata.file_path").alias("source_id"), F.monotonically_increasing_id().alias("pos"), "value")
         return raw.where(has_record("value")).select(
-            "source_id", "pos", F.from_json("value", "map<string,string>").alias("fields"))
+            "source_id", "pos", F.from_json("value", TYPED_RECORD if typed else OPEN_RECORD).alias("fields"))
     raw = spark.read.option("wholetext", "true").text(_paths(paths))
     raw = raw.select(F.col("_metadata.file_path").alias("source_id"), F.col("value"))
-    return parse_open_records(raw, "value")
+    return parse_open_records(raw, "value", typed=typed)
 
 
 def parse_records(df: DataFrame, text: str, schema, keep=(), date_format: str | None = None,

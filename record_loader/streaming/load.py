@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..operators.conform import CORRUPT, field_name
 from ..plans.load import LoadResult, load_batch
 from ..sinks.targets import batch_folder, load_folder, named_loads, read_routes, write_routes
-from ..sources.files import has_record, open_rows, parse_records
+from ..sources.files import OPEN_RECORD, TYPED_RECORD, has_record, open_rows, parse_records
 from ..spec import LoadOptions, TargetSpec
 
 # Receipt columns: load_name, run and batch_id (folders), source_id, route, rows,
@@ -41,13 +41,13 @@ QUERY_ID = "sql.streaming.queryId"
 
 def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "json",
                        max_units: int = 1000, open_records: bool = False,
-                       lines: bool = False, **options) -> DataFrame:
+                       lines: bool = False, typed: bool = False, **options) -> DataFrame:
     """A stream of record files; ``max_units`` = 0 takes every new file.
 
     Typed records get ``source_id`` (the file) and ``pos``; with
     ``open_records`` each file is one unit of ``map<string,string>`` records:
     one JSON array or object, or with ``lines`` an object per line, split and
-    parsed line by line."""
+    parsed line by line; with ``typed`` their values keep their types."""
     r = spark.readStream
     if max_units:
         r = r.option("maxFilesPerTrigger", int(max_units))
@@ -55,10 +55,10 @@ def read_record_stream(spark: SparkSession, path: str, schema=None, fmt: str = "
         r = r.option(k, v)
     if open_records and lines:
         raw = r.format("text").load(path).where(has_record("value"))
-        return raw.select(F.col("_metadata.file_path").alias("source_id"), F.from_json("value", "map<string,string>").alias("fields"))
+        return raw.select(F.col("_metadata.file_path").alias("source_id"), F.from_json("value", TYPED_RECORD if typed else OPEN_RECORD).alias("fields"))
     if open_records:
         raw = r.format("text").option("wholetext", "true").load(path)
-        return raw.select(F.col("_metadata.file_path").alias("source_id"), open_rows(F.col("value")))
+        return raw.select(F.col("_metadata.file_path").alias("source_id"), open_rows(F.col("value"), typed))
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     if fmt == "json" and not options.get("multiLine"):
