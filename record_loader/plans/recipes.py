@@ -23,7 +23,7 @@ from ..operators.routing import (error_annotation, enforce_constraints, missing_
                                  route_batches, route_units, unit_failures)
 from ..sinks.ledger import LedgerTarget, MergeTarget
 from ..sinks.targets import PathTarget, bulk_insert, fresh_dir
-from ..sources.files import has_record, parse_open_records, parse_records, read_records
+from ..sources.files import has_record, parse_open_records, parse_records, read_open_records, read_records
 from ..spec import LoadOptions, TargetSpec
 from .load import load_batch
 
@@ -132,7 +132,26 @@ def open_typed_records(spark, sf):
     return c.select("source_id", F.hex("payload").alias("payload"), "event_id", "raw", F.col(ERROR).alias("error"))
 
 
+ARRAY_RECORDS = 4000            # records in one of the files that the next query writes
+
+
+def json_array_split(spark, sf):
+    """Events in files of one JSON array each, written out and read back by byte ranges."""
+    unit = F.floor(F.col("event_id") / ARRAY_RECORDS)
+    files = (table(spark, sf, "events").groupBy(unit.alias("unit"))
+             .agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type", "props"))).alias("all")))
+    folder = fresh_dir(spark, "json-arrays")
+    files.select("unit", F.to_json("all").alias("value")).write.partitionBy("unit").text(folder)
+    recs = read_open_records(spark, f"{folder}/*/*", split=True)
+    f = F.col("fields")
+    return recs.select(F.regexp_extract("source_id", r"/unit=(\d+)/", 1).cast("long").alias("unit"), "pos",
+                       f["event_id"].cast("long").alias("event_id"), f["event_type"].alias("event_type"), f["props"].alias("props"))
+
+
 SQL_SOURCES = {
+    "json_array_split": f"""SELECT event_id // {ARRAY_RECORDS} AS unit,
+        row_number() OVER (PARTITION BY event_id // {ARRAY_RECORDS} ORDER BY event_id) - 1 AS pos,
+        event_id, event_type, props FROM events""",
     "open_typed_records": """SELECT event_id AS source_id,
             CASE WHEN kind = 0 THEN printf('%02X', event_id % 128) || '00FF'
                  WHEN kind IN (2, 5) THEN hex(event_type) END AS payload,

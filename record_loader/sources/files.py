@@ -76,15 +76,20 @@ def read_records(spark: SparkSession, paths, fmt: str = "json", schema=None,
                      *[F.col(f"`{c}`").alias(field_name(c)) for c in df.columns])
 
 
+def trimmed(text: Column) -> Column:
+    """Text without the white space that JSON allows around a value."""
+    return F.btrim(text, F.lit(" \t\r\n"))
+
+
 def has_record(text: str) -> Column:
     """A line that is not blank; blank lines separate records and are none."""
-    return F.trim(F.col(text)) != ""
+    return trimmed(F.col(text)) != ""
 
 
 def wrap_single(text: Column) -> Column:
     """A unit holding one JSON object is wrapped in ``[ ]`` so one parse
     shape (an array of records) covers both."""
-    t = F.trim(text)
+    t = trimmed(text)
     return F.when(F.startswith(t, F.lit("[")), t).otherwise(F.concat(F.lit("["), t, F.lit("]")))
 
 
@@ -107,20 +112,24 @@ def parse_open_records(df: DataFrame, text: str, unit: str = "source_id",
     return df.select(F.col(unit).alias("source_id"), *[F.col(k) for k in keep], open_rows(F.col(text), typed))
 
 
-def read_open_records(spark: SparkSession, paths, lines: bool = False, typed: bool = False) -> DataFrame:
+def read_open_records(spark: SparkSession, paths, lines: bool = False, typed: bool = False, split: bool = False) -> DataFrame:
     """S3: record files as units of open records.
 
     With ``lines`` (JSON lines: one object per line) the files are split
     and parsed line by line, whatever their size.  Otherwise a file is one
     JSON array or object, which must be whole to parse, so one row of one
-    task: such files should be modest.  ``typed`` as in
+    task: such files should be modest.  ``split`` reads large ones by all
+    tasks (:mod:`record_loader.sources.arrays`).  ``typed`` as in
     :func:`parse_open_records`."""
+    if split and not lines:
+        from .arrays import read_open_arrays
+        return read_open_arrays(spark, paths, typed)
     if lines:
         raw = spark.read.text(_paths(paths)).select(
             F.col("_metadata.file_path").alias("source_id"), F.monotonically_increasing_id().alias("pos"), "value")
         return raw.where(has_record("value")).select(
             "source_id", "pos", F.from_json("value", TYPED_RECORD if typed else OPEN_RECORD).alias("fields"))
-    raw = spark.read.option("wholetext", "true").text(_paths(paths))
+    raw = spark.read.text(_paths(paths), wholetext=True)
     raw = raw.select(F.col("_metadata.file_path").alias("source_id"), F.col("value"))
     return parse_open_records(raw, "value", typed=typed)
 
