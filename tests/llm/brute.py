@@ -53,13 +53,16 @@ def near_duplicates(rows, threshold=(4, 5)):
     return [(first.get(top(at[t or ""])), links[at[t or ""]], copy[t or ""]) for _, t in rows]
 
 
-def contained(docs, items, threshold=(4, 5)):
-    """[(doc_id, text)], [(item_id, text)] -> {(doc_id, text, item_id, item text): (shared, size)}"""
+def contained(docs, items, threshold=(4, 5), short=True):
+    """[(doc_id, text)], [(item_id, text)] -> {(doc_id, text, item_id, item text): (shared, size)};
+    ``short``: items below five words are looked for as runs of their own length"""
     out = {}
     for item, it in set(items):
         s = shingles(it)
         for doc, t in set(docs):
-            n = len(s & shingles(t))
+            w, m = words(t or ""), len(words(it or ""))
+            runs = {" ".join(w[i:i + m]) for i in range(len(w) - m + 1)} if short and 0 < m < 5 else set()
+            n = len(s & shingles(t)) if not runs else len({" ".join(words(it))} & runs)
             if s and n * threshold[1] >= threshold[0] * len(s):
                 out[doc, t or "", item, it or ""] = (n, len(s))
     return out

@@ -326,7 +326,17 @@ def test_decontamination(spark, docs, texts, none):
     got = sorted((str(r.doc_id), str(r.item_id), r.n_shared, r.n_item) for r in decontaminate.find_items(docs, df).collect())
     want = sorted((str(d), str(i), *n) for (d, _, i, _), n in brute.contained(texts, items).items())
     assert got == want and want
-    bad = {d for d, *_ in want}
+    assert got == sorted((str(r.doc_id), str(r.item_id), r.n_shared, r.n_item) for r in decontaminate.find_items(docs, df, max_sketch=None).collect())
+    # items of a few words are found in long documents, but only those that are that very text are removed for them
+    w = texts[1][1].split()
+    few = [(k, " ".join(w[20:20 + k])) for k in (1, 2, 3, 4)] + [(5, w[3]), (6, "nowhere seen"), (7, "")]
+    some = spark.createDataFrame(few, "item_id long, text string")
+    got = sorted((str(r.doc_id), str(r.item_id), r.n_shared, r.n_item) for r in decontaminate.find_items(docs, some).collect())
+    assert got == sorted((str(d), str(i), *n) for (d, _, i, _), n in brute.contained(texts, few).items())
+    assert {i for d, i, *_ in got if d == str(texts[1][0])} >= {"1", "2", "3", "4", "5"}
+    exact = brute.contained(texts, few, short=False)
+    assert decontaminate.decontaminated(docs, some).count() == len([t for t in texts if not any(d == t[0] for d, *_ in exact)])
+    bad = {str(d) for d, *_ in brute.contained(texts, items, short=False)}
     clean = decontaminate.decontaminated(docs, df)
     assert clean.columns == docs.columns and {str(r.doc_id) for r in clean.collect()} == {str(i) for i, _ in texts} - bad
     assert decontaminate.find_items(none, df).count() == 0 and decontaminate.find_items(docs, df.limit(0)).count() == 0
