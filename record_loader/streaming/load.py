@@ -21,15 +21,18 @@ import hashlib
 import re
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import CORRUPT, field_name
+from ..operators.routing import is_transient
 from ..plans.load import LoadResult, load_batch
 from ..sinks.targets import batch_folder, load_folder, named_loads, read_routes, write_routes
 from ..sources.files import OPEN_RECORD, TYPED_RECORD, has_record, open_rows, parse_records
+from ..sources.queue import unit_stream
 from ..spec import LoadOptions, TargetSpec
 
 # Receipt columns: load_name, run and batch_id (folders), source_id, route, rows,
@@ -105,9 +108,11 @@ def read_receipts(spark: SparkSession, receipts_path: str) -> DataFrame:
 def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
                  routes_path: str | None = None, receipts_path: str | None = None,
                  open_records: bool = False, on_failure: str = "route",
-                 dedupe_version=None, attempt: int = 1, run_id: str | None = None):
+                 dedupe_version=None, attempt: int = 1, run_id: str | None = None, read_units=None):
     """The ``foreachBatch`` function of a stream load (X1-X3).  ``run_id``
-    stands for the query id where no stream runs the function."""
+    stands for the query id where no stream runs the function.  Where the
+    stream's rows are files, ``read_units`` turns them into their records, the
+    table of units, and the failure routes of files that cannot be read."""
     if on_failure not in ("route", "rollback"):
         raise ValueError("on_failure must be 'route' or 'rollback'")
     opts = opts.with_(rollback_on_failure=(on_failure == "rollback")).validate()
@@ -117,15 +122,23 @@ def batch_loader(spec: TargetSpec, target, opts: LoadOptions, load_name: str,
         stream = run_id or spark.sparkContext.getLocalProperty(QUERY_ID)
         if _committed(spark, receipts_path, load_name, batch_id, stream):
             return                                   # replayed batch, already loaded
+        listed = unread = None
+        if read_units is not None:
+            batch, listed, unread = read_units(batch)
         if "pos" not in batch.columns:
             batch = batch.withColumn("pos", F.monotonically_increasing_id())
         result = load_batch(batch.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                            spec, target, opts, open_records=open_records,
+                            spec, target, opts, open_records=open_records, batch_id=batch_id, units=listed,
                             dedupe_version=dedupe_version, token=f"{load_name}-{stream}-{batch_id}" if stream else f"{load_name}-{batch_id}")
         try:
-            if not result.n_units:
+            if not result.n_units and unread is None:
                 return                               # empty queue: no-op
             units = result.receipts(load_name, target.url, attempt)
+            if unread is not None:
+                units = units.unionByName(unread.select(
+                    F.lit(load_name).alias("load_name"), F.lit(batch_id).cast("long").alias("batch_id"), "source_id",
+                    F.lit("failure").alias("route"), F.lit(0).cast("long").alias("rows"), "error",
+                    F.lit(target.url).alias("destination"), F.lit(attempt).cast("int").alias("attempt")))
             if routes_path:
                 write_routes(units, routes_path, load_name, batch_id, run=stream)
             if receipts_path:
@@ -165,6 +178,105 @@ def load_directory(spark: SparkSession, path: str, spec: TargetSpec, target, opt
     return q
 
 
+def unit_reader(spark: SparkSession, schema=None, fmt: str = "json", open_records: bool = False, **reader):
+    """The ``read_units`` of :func:`batch_loader`: the files of a micro-batch, by name.  The names of one batch
+    (``max_units``) reach the driver, for the reader.  A file that went away since it was listed, or whose format
+    cannot be read at all, is a unit that fails; the others load."""
+    from ..sources.files import read_open_records, read_records
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def read(paths):
+        names = [_literal(p) for p in paths]
+        if open_records:
+            return read_open_records(spark, names, **reader)
+        return read_records(spark, names, fmt, schema, **reader)
+
+    def units_of(batch):
+        present, unread, footers = {}, [], {}
+        for (path,) in batch.select("path").collect():
+            p = path_of(path)
+            fs = p.getFileSystem(conf)
+            # as scans name it
+            name = re.sub("^([A-Za-z0-9+.-]+):///", r"\1:/", fs.makeQualified(p).toUri().toString())
+            if not fs.exists(p):
+                unread.append((name, "Unit is not there any more"))
+                continue
+            present[name] = path
+            if fmt in FOOTER_FORMATS and not open_records and fs.getFileStatus(p).getLen():
+                footers[path] = name
+        for path, error in _unreadable(spark, fmt, list(footers)):
+            del present[footers[path]]
+            unread.append((footers[path], error))
+        listed = spark.createDataFrame([(n,) for n in present], "source_id string")
+        failed = spark.createDataFrame(unread, "source_id string, error string") if unread else None
+        records = read(list(present.values())) if present else _no_records(spark, schema, open_records, reader)
+        return records, listed, failed
+    return units_of
+
+
+#: Formats whose files carry their schema, so that a file may not be readable at all.
+FOOTER_FORMATS = ("parquet", "orc")
+
+
+def _unreadable(spark: SparkSession, fmt: str, paths: list) -> list:
+    """(path, error) of the files whose footers cannot be read: one job reads the footers of all files; only where
+    it fails are the files halved until the broken ones stand alone."""
+    if not paths:
+        return []
+    try:
+        spark.read.format(fmt).option("mergeSchema", "true").load([_literal(p) for p in paths])
+        return []
+    except (PySparkException, Py4JJavaError) as e:
+        if is_transient(e):
+            raise                                    # the batch is replayed
+        if len(paths) == 1:
+            return [(paths[0], f"Unit cannot be read: {_condition(e)}")]
+    half = len(paths) // 2
+    return _unreadable(spark, fmt, paths[:half]) + _unreadable(spark, fmt, paths[half:])
+
+
+def _condition(e) -> str:
+    """The innermost error condition that Spark names; else the class of the error."""
+    if isinstance(e, PySparkException):
+        return e.getCondition() or type(e).__name__
+    named, cause = None, e.java_exception
+    while cause is not None:
+        try:
+            named = cause.getCondition() or named
+        except Exception:  # noqa: BLE001 - not one of Spark's
+            pass
+        cause = cause.getCause()
+    return named or e.java_exception.getClass().getSimpleName()
+
+
+def _no_records(spark: SparkSession, schema, open_records: bool, reader: dict) -> DataFrame:
+    if open_records:
+        return spark.createDataFrame([], f"source_id string, pos long, fields {TYPED_RECORD if reader.get('typed') else OPEN_RECORD}")
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema or T.StructType()
+    own = [T.StructField("source_id", T.StringType()), T.StructField("pos", T.LongType())]
+    return spark.createDataFrame([], T.StructType(own + [T.StructField(field_name(f.name), f.dataType) for f in fields.fields]))
+
+
+def load_queue(spark: SparkSession, path: str, spec: TargetSpec, target, opts: LoadOptions, checkpoint: str, load_name: str,
+               schema=None, fmt: str = "json", open_records: bool = False, routes_path: str | None = None,
+               receipts_path: str | None = None, on_failure: str = "route", trigger: str = "drain", **reader):
+    """X1 over :func:`unit_stream`: every file of a folder gets its route and receipt, files without a record and
+    files that cannot be read too.  Batches of up to ``opts.max_units`` files, oldest first.  ``trigger``: ``drain``
+    (load what is there, then stop) or a processing-time interval; returns the query."""
+    fn = batch_loader(spec, target, opts, load_name, routes_path, receipts_path, open_records, on_failure,
+                      read_units=unit_reader(spark, schema, fmt, open_records, **reader))
+    units = unit_stream(spark, path, f"{checkpoint.rstrip('/')}/units-listed", opts.max_units)
+    w = units.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    query = w.trigger(processingTime="0 seconds" if trigger == "drain" else trigger).start()
+    if trigger == "drain":
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    return query
+
+
 def unit_states(routes: DataFrame) -> DataFrame:
     """(source_id, route, attempt): the latest route of every unit, by attempt."""
     return (routes.groupBy("source_id")
@@ -175,7 +287,11 @@ def unit_states(routes: DataFrame) -> DataFrame:
 def file_path(source_id: str) -> str:
     """The path of a unit's file, as a reader takes it: units are named by URL
     (space as %20), readers take plain paths in which glob characters are escaped."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(source_id))
+    return _literal(unquote(source_id))
+
+
+def _literal(path: str) -> str:
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def _routes_if_any(spark: SparkSession, path: str) -> DataFrame | None:

@@ -14,7 +14,7 @@ from ..plans.recipes import EVENT_COLS, TS_FMT, events_spec, table
 from ..sinks.ledger import LedgerTarget
 from ..sinks.targets import PathTarget, fresh_dir, read_routes, shared_dir
 from ..spec import LoadOptions
-from .load import read_receipts, read_record_stream, redrive, stream_load
+from .load import load_queue, read_receipts, read_record_stream, redrive, stream_load
 
 FILES = 50
 MAX_UNITS = 10
@@ -203,6 +203,26 @@ def redrive_twice_q(spark, sf):
             .join(F.broadcast(said)))     # one row
 
 
+def stream_units_q(spark, sf):
+    """A queue with five empty files among its record files: each file has one receipt, and a second run over the
+    same checkpoint finds nothing to do."""
+    src = fresh_dir(spark, "units-in")
+    (table(spark, sf, "events").select("event_id", F.date_format("ts", TS_FMT).alias("ts"), "user_id", "event_type",
+                                       F.col("value").cast("string").alias("value"), "props")
+     .repartition(FILES // 2, "event_id").write.json(src))
+    for k in range(5):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{src}/nothing-{k}.json")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path).close()
+    target, receipts = LedgerTarget(fresh_dir(spark, "units-target")), fresh_dir(spark, "receipts")
+    ckpt, routes = fresh_dir(spark, "ckpt"), fresh_dir(spark, "routes")
+    for _ in range(2):
+        load_queue(spark, src, events_spec(), target, LoadOptions(timestamp_format=TS_FMT, max_units=MAX_UNITS), ckpt, "units",
+                   schema=EVENT_SCHEMA, routes_path=routes, receipts_path=receipts)
+    said = read_receipts(spark, receipts).agg(F.sum("rows").alias("receipt_rows"), F.count(F.lit(1)).alias("units"),
+                                              F.count_if(F.col("rows") == 0).alias("empty_units"), F.countDistinct("batch_id").alias("batches"))
+    return target.read(spark).select(*EVENT_COLS).join(F.broadcast(said))     # one row
+
+
 _EVENTS_SQL = "SELECT " + ", ".join(EVENT_COLS) + " FROM events"
 SQL_STREAMING = {
     "stream_load": "SELECT " + ", ".join(EVENT_COLS) + ", (SELECT count(*) FROM events) AS receipt_rows FROM events",
@@ -214,6 +234,8 @@ SQL_STREAMING = {
     "redrive": _EVENTS_SQL,
     "stream_reload": "SELECT " + ", ".join(EVENT_COLS) + ", (SELECT count(*) FROM events) AS receipt_rows, 2 AS streams FROM events",
     "stream_ledger": "SELECT " + ", ".join(EVENT_COLS) + ", 1 AS half_done, (SELECT count(*) FROM events) AS receipt_rows FROM events",
+    "stream_units": "SELECT " + ", ".join(EVENT_COLS) + """, (SELECT count(*) FROM events) AS receipt_rows, 30 AS units,
+        5 AS empty_units, 3 AS batches FROM events""",
     "redrive_twice": "SELECT " + ", ".join(EVENT_COLS) + """, 2 AS first_call, 0 AS second_call,
         (SELECT count(*) FROM events) AS route_rows FROM events""",
 }
