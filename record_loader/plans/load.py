@@ -224,8 +224,9 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached, store
 
 def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions | None = None,
                open_records: bool = False, batch_id: int | None = None,
-               dedupe_version=None, token: str | None = None, units: DataFrame | None = None) -> LoadResult:
-    """Load one batch of units into ``target``.
+               dedupe_version=None, token: str | None = None, units: DataFrame | None = None, beside: tuple = ()) -> LoadResult:
+    """Load one batch of units into ``target``.  ``beside`` holds columns that
+    are written beside the target's own.
 
     Unit failures (parse, mapping, conversion) quarantine only their unit.
     A constraint violation rejects its batch: with rollback-on-failure this
@@ -248,7 +249,7 @@ def load_batch(records: DataFrame, spec: TargetSpec, target, opts: LoadOptions |
         if n_units:
             # A1: rows bound to the insert, counted by the insert job itself
             obs = Observation("rows_inserted")
-            to_write = accepted.select(*output_columns(accepted, spec)).observe(obs, F.count(F.lit(1)).alias("rows"))
+            to_write = accepted.select(*output_columns(accepted, spec), *beside).observe(obs, F.count(F.lit(1)).alias("rows"))
             try:                                      # insert pass
                 counted = bulk_insert(to_write, target, opts, token)
                 rows_inserted = int(obs.get.get("rows", 0)) if counted is None else counted
@@ -277,6 +278,54 @@ def _route(verdicts: DataFrame, rejected: DataFrame | None, outcome: BaseExcepti
     return routed.select("source_id", "batch_id", "route", rows.alias("rows"), "error")
 
 
+def _named_units(records: DataFrame, units: DataFrame, template: str, names: list):
+    """(units with their known target, failure routes of everything else)."""
+    spark = records.sparkSession
+    per_unit = (resolve_target(units, template).withColumn("target", F.coalesce("target", F.lit(""))).groupBy("source_id")
+                .agg(F.min("target").alias("target"), F.max("target").alias("__other")))
+    resolved = per_unit.where(F.col("target") == F.col("__other")).select("source_id", "target")
+    torn = per_unit.where(F.col("target") != F.col("__other"))
+    known = spark.createDataFrame([(t,) for t in names], "target string")
+    missing = (missing_target(resolved, known)
+               .select("source_id", "target", F.lit("failure").alias("route"), "error"))
+    missing = missing.unionByName(torn.select("source_id", "target", F.lit("failure").alias("route"),
+                                              F.concat(F.lit("Unit names two targets: "), "target", F.lit(", "), "__other").alias("error")))
+    listed = per_unit.select(F.col("source_id").alias("__u"))
+    stray = (records.select("source_id").distinct().join(listed, F.col("source_id").eqNullSafe(F.col("__u")), "left_anti")
+             .select("source_id", F.lit(None).cast("string").alias("target"), F.lit("failure").alias("route"),
+                     F.when(F.col("source_id").isNull(), F.lit(NO_UNIT)).otherwise(F.lit(NOT_LISTED)).alias("error")))
+    missing = missing.unionByName(stray)
+    named = resolved.join(known, "target", "left_semi").select("source_id", F.col("target").alias("__target"))
+    return named, missing
+
+
+def load_fan_out(records: DataFrame, units: DataFrame, template: str, names: list, spec: TargetSpec, target,
+                 opts: LoadOptions | None = None, open_records: bool = False, token: str | None = None):
+    """K4 in one pass: units that name their table through ``${attr}``, tables that share one layout, and a
+    :class:`~record_loader.sinks.ledger.FanOutTarget` that holds them all.  The records are read and converted once
+    and written by one job, whatever the number of tables.
+
+    Every table is a batch of its own in the verdicts: a record that breaks a constraint rejects the units of its
+    table, not those of others.  The insert is one for all tables, so its failure routes the good units of all of
+    them.  Units without a known table come back as failure routes, as in :func:`load_per_target`, which is the way
+    for tables of different layouts or with keys to check.
+    Returns ``(routes, rows)``: one row per unit (source_id, target, route, rows, error), and the rows inserted."""
+    if spec.unique_key:
+        raise ValueError("a load into many tables checks no keys: use load_per_target")
+    if "load_table" in spec.names:
+        raise ValueError("load_table names the table of a row")
+    named, missing = _named_units(records, units, template, names)
+    table_of = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("batch_id") + 1).cast("int"))
+    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("__target")) - 1
+    numbered = named.select("source_id", number.cast("long").alias("batch_id"))
+    of = numbered.withColumnRenamed("source_id", "__u")
+    dealt = records.drop("batch_id").join(of, F.col("source_id").eqNullSafe(F.col("__u"))).drop("__u")
+    result = load_batch(dealt, spec, target, opts, open_records, token=token, units=numbered, beside=(table_of.alias("load_table"),))
+    routes = result.units.select("source_id", table_of.alias("target"), "route", "rows", "error")
+    lost = missing.select("source_id", "target", "route", F.lit(0).cast("long").alias("rows"), "error")
+    return routes.unionByName(lost), result.rows_inserted
+
+
 def load_per_target(records: DataFrame, units: DataFrame, template: str, targets: dict,
                     opts: LoadOptions | None = None, open_records: bool = False):
     """Every unit names its target through ``${attr}`` in
@@ -293,22 +342,7 @@ def load_per_target(records: DataFrame, units: DataFrame, template: str, targets
     name is one unit.  The loop runs over the caller's list of tables, never
     over collected data.
     Returns ``({name: LoadResult}, missing_units)``."""
-    spark = records.sparkSession
-    per_unit = (resolve_target(units, template).withColumn("target", F.coalesce("target", F.lit(""))).groupBy("source_id")
-                .agg(F.min("target").alias("target"), F.max("target").alias("__other")))
-    resolved = per_unit.where(F.col("target") == F.col("__other")).select("source_id", "target")
-    torn = per_unit.where(F.col("target") != F.col("__other"))
-    known = spark.createDataFrame([(t,) for t in targets], "target string")
-    missing = (missing_target(resolved, known)
-               .select("source_id", "target", F.lit("failure").alias("route"), "error"))
-    missing = missing.unionByName(torn.select("source_id", "target", F.lit("failure").alias("route"),
-                                              F.concat(F.lit("Unit names two targets: "), "target", F.lit(", "), "__other").alias("error")))
-    listed = per_unit.select(F.col("source_id").alias("__u"))
-    stray = (records.select("source_id").distinct().join(listed, F.col("source_id").eqNullSafe(F.col("__u")), "left_anti")
-             .select("source_id", F.lit(None).cast("string").alias("target"), F.lit("failure").alias("route"),
-                     F.when(F.col("source_id").isNull(), F.lit(NO_UNIT)).otherwise(F.lit(NOT_LISTED)).alias("error")))
-    missing = missing.unionByName(stray)
-    named = resolved.join(known, "target", "left_semi").select("source_id", F.col("target").alias("__target"))
+    named, missing = _named_units(records, units, template, list(targets))
     of = named.select(F.col("source_id").alias("__u"), "__target")
     dealt = records.join(of, F.col("source_id").eqNullSafe(F.col("__u"))).drop("__u").persist(StorageLevel.MEMORY_AND_DISK)
     results = {}

@@ -21,11 +21,11 @@ from ..operators.records import match_report, select_records
 from ..operators.routing import (error_annotation, enforce_constraints, missing_target,
                                  TransientLoadError, quarantine_units, resolve_target,
                                  route_batches, route_units, unit_failures)
-from ..sinks.ledger import LedgerTarget, MergeTarget
+from ..sinks.ledger import FanOutTarget, LedgerTarget, MergeTarget
 from ..sinks.targets import PathTarget, bulk_insert, fresh_dir
 from ..sources.files import has_record, parse_open_records, parse_records, read_open_records, read_records
 from ..spec import LoadOptions, TargetSpec
-from .load import load_batch
+from .load import load_batch, load_fan_out
 
 # Fixed values used by the recipes -------------------------------------------------
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -491,8 +491,33 @@ def route_units_q(spark, sf):
         F.col("source_id").alias("doc_id"), "target", "route", "error")
 
 
+FAN_TABLES = [f"ev_{k}" for k in range(10)]
+
+
+def fan_out_load(spark, sf):
+    """Users are units that name one of twelve tables, ten of which are known: one load writes all ten; per unit its
+    route and the rows that its table holds."""
+    ev = table(spark, sf, "events")
+    recs = ev.select(F.col("user_id").cast("string").alias("source_id"), F.col("event_id").alias("pos"), "event_id",
+                     F.date_format("ts", TS_FMT).alias("ts"), "user_id", "event_type", "props",
+                     F.when(F.col("event_id") % 97 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("value"))
+    units = ev.select(F.col("user_id").cast("string").alias("source_id"), (F.col("user_id") % 12).alias("kind")).distinct()
+    target = FanOutTarget(fresh_dir(spark, "fan-out"))
+    routes, inserted = load_fan_out(recs, units, "ev_${kind}", FAN_TABLES, events_spec(), target, LoadOptions(timestamp_format=TS_FMT))
+    held = (target.read(spark).groupBy(F.col("user_id").cast("string").alias("source_id"), F.col("load_table").alias("target"))
+            .agg(F.count(F.lit(1)).alias("held"), F.sum("event_id").alias("id_sum")))
+    return (routes.join(held, ["source_id", "target"], "left")
+            .select("source_id", "target", "route", "rows", "held", "id_sum", F.lit(inserted).cast("long").alias("inserted")))
+
+
 _FAILED_SOURCES = f"(SELECT source FROM documents WHERE n_chars >= {LONG_DOC})"
 SQL_ROUTING = {
+    "fan_out_load": """WITH u AS (SELECT user_id, count(*) AS n, sum(event_id) AS ids,
+            user_id % 12 < 10 AND count(*) FILTER (event_id % 97 = 0) = 0 AS good FROM events GROUP BY user_id)
+        SELECT CAST(user_id AS VARCHAR) AS source_id, 'ev_' || (user_id % 12) AS target,
+            CASE WHEN good THEN 'success' ELSE 'failure' END AS route, CASE WHEN good THEN n ELSE 0 END AS rows,
+            CASE WHEN good THEN n END AS held, CASE WHEN good THEN CAST(ids AS BIGINT) END AS id_sum,
+            CAST((SELECT sum(n) FROM u WHERE good) AS BIGINT) AS inserted FROM u""",
     "unit_quarantine": f"SELECT doc_id, source FROM documents WHERE source NOT IN {_FAILED_SOURCES}",
     "unit_failures": f"""SELECT source AS source_id,
         arg_min('document too long: ' || CAST(n_chars AS VARCHAR), doc_id) AS error

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-COMMIT, TRY, BUCKET, VERSION = "load_commit", "load_try", "load_bucket", "load_version"
+COMMIT, TRY, BUCKET, VERSION, TABLE = "load_commit", "load_try", "load_bucket", "load_version", "load_table"
 #: names of the ledger's own columns, which a target's columns may not use
 OWN = (COMMIT, TRY, BUCKET, VERSION)
 
@@ -211,6 +211,64 @@ class MergeTarget(LedgerTarget):
         return _remove(spark, f"{self._data}/{TRY}=*", lambda names: names[-1].split("=", 1)[1] not in kept, older_than_seconds)
 
 
+@dataclass
+class FanOutTarget(LedgerTarget):
+    """Several tables of one layout under ``path`` (K4): one job writes the rows of all of them, dealt by their
+    ``load_table`` column, and one ledger entry of a row per table commits them together, so either every table
+    holds its part of a load or none does.
+
+    Rows are rebalanced by table before the write: small tables take few files, and a table that holds a third of
+    all rows is split over many tasks (by Spark's adaptive execution, from measured sizes)."""
+
+    @property
+    def url(self) -> str:
+        return f"tables:{self.path}"
+
+    def committed(self, spark: SparkSession, token: str) -> int | None:
+        entry = _found(lambda: spark.read.schema(f"{TRY} string, rows long").json(f"{self._ledger}/{COMMIT}={_name(token)}"))
+        if entry is None:
+            return None
+        found = entry.agg(F.count(F.lit(1)), F.sum("rows")).first()
+        return int(found[1]) if found[0] else None
+
+    def stage(self, df: DataFrame, token: str) -> tuple[str, int]:
+        _check_names(df.drop(TABLE))
+        attempt, seen = f"t-{uuid.uuid4().hex}", Observation()
+        named = df.withColumn(TABLE, F.concat(F.lit("t-"), TABLE))             # never a name that reads as a number or date
+        (named.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", F.col(TABLE)).write.partitionBy(TABLE)
+         .parquet(self._folder(token, attempt)))
+        return attempt, int(seen.get["rows"])
+
+    def _folder(self, token: str, attempt: str) -> str:
+        return f"{self._data}/{COMMIT}={_name(token)}/{TRY}={attempt}"
+
+    def commit(self, spark: SparkSession, token: str, attempt: str, rows: int) -> None:
+        """One ledger file with a row per table (one without a table if there are no rows)."""
+        per_table = f"{TRY} string, rows long, {TABLE} string"
+        entries = (spark.read.parquet(self._folder(token, attempt)).groupBy(TABLE).agg(F.count(F.lit(1)).alias("rows"))
+                   .select(F.lit(attempt).alias(TRY), "rows", TABLE) if rows else spark.createDataFrame([(attempt, 0, None)], per_table))
+        entries.coalesce(1).write.mode("overwrite").json(f"{self._ledger}/{COMMIT}={_name(token)}")
+
+    def entries(self, spark: SparkSession) -> DataFrame | None:
+        return _found(lambda: spark.read.schema(f"{TRY} string, rows long, {TABLE} string, {COMMIT} string").json(self._ledger))
+
+    def read(self, spark: SparkSession, schema=None, table: str | None = None) -> DataFrame:
+        """The rows of one table, or those of all with their ``load_table``."""
+        ledger, data = self.entries(spark), _found(lambda: spark.read.parquet(self._data))
+        if ledger is None or data is None:
+            if schema is None:
+                raise LookupError(f"nothing was loaded into {self.path} yet")
+            return spark.createDataFrame([], schema)
+        rows = data.join(ledger.select(COMMIT, TRY).distinct(), [COMMIT, TRY], "left_semi").drop(COMMIT, TRY)
+        if table is not None:
+            return rows.where(F.col(TABLE) == f"t-{table}").drop(TABLE)
+        return rows.withColumn(TABLE, F.substring(TABLE, 3, 2**31 - 1))
+
+    def stored_keys(self, spark: SparkSession, key, token: str | None = None) -> DataFrame | None:
+        """None: a load into many tables checks no keys."""
+        return None
+
+
 def _name(token: str) -> str:
     """A token as a folder name (never one that reads as a number or date)."""
     return "c-" + "".join(c if c.isalnum() and c.isascii() or c in "-_." else f"~{ord(c):x}~" for c in token)
