@@ -11,7 +11,9 @@ Two passes over the records, whatever the options:
    The error text is read for the failed units' first failing rows only.
    Units that the caller lists but that hold no record get a verdict too.
    The unit, failure and violation counts come from one action over the small
-   unit table.
+   unit table.  With ``unique_key`` the keys of the good records are compared
+   with each other and with the stored ones, once: the rejected batches are
+   checkpointed, and insert and routes read these few rows.
 2. **Insert pass** — the conformed records of the loadable units appended to
    the target as one insert; the insert job itself counts the rows it writes
    (``Observation``).  When no unit failed and no batch is rejected the
@@ -36,7 +38,7 @@ from ..operators.routing import (UNKNOWN, constraint_list, duplicate_key_batches
                                  duplicate_key_message, missing_target, resolve_target,
                                  route_batches, stored_key_batches, stored_key_message, violation_code,
                                  violation_message)
-from ..sinks.targets import bulk_insert
+from ..sinks.targets import bulk_insert, shared_dir
 from ..spec import LoadOptions, TargetSpec
 
 NO_UNIT = "Record has no unit (source_id is NULL)"
@@ -203,7 +205,7 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached, store
     unique = _checks_keys(spec, dedupe_version)
     if unique:
         messages = messages + [duplicate_key_message(spec.key)]
-        good_rows = _of_units(conformed, good)
+        good_rows = conformed if n_failed == 0 else _of_units(conformed, good)
         codes = codes.unionByName(duplicate_key_batches(good_rows, spec.key).select("batch_id", F.lit(len(messages)).alias("vcode")))
         if stored is not None:
             messages = messages + [stored_key_message(spec.key)]
@@ -212,11 +214,18 @@ def _plans(conformed, spec, opts, dedupe_version, persist, listed, cached, store
     clean = n_broken == 0 and not unique
     rejected = (codes.groupBy("batch_id").agg(F.min("vcode").alias("vcode"))
                 .select("batch_id", violation_message(F.col("vcode"), messages).alias("reason")))
+    if persist and unique:                                                          # key pass: one row per rejected batch
+        # cut from the target's rows, which hold this load's own once it is inserted
+        shared_dir(conformed.sparkSession)
+        rejected = rejected.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(rejected)
+        clean = rejected.count() == 0
     accepted = conformed
     if n_failed != 0 or not clean:
         refused = rejected.select(F.col("batch_id").alias("__b"))
-        loadable = good.join(refused, F.col("batch_id").eqNullSafe(F.col("__b")), "left_anti")
-        accepted = _of_units(conformed, loadable)
+        kept = lambda df: df.join(refused, F.col("batch_id").eqNullSafe(F.col("__b")), "left_anti")
+        counted = persist and unique and n_failed == 0                              # small, or of many batches: no join by unit
+        accepted = kept(conformed) if counted else _of_units(conformed, kept(good))
     if dedupe_version is not None and spec.key:
         accepted = replacing_merge(accepted, list(spec.key) + ["batch_id"], dedupe_version)
     return conformed, verdicts, accepted, failed, rejected, n_units, clean, cached

@@ -130,6 +130,38 @@ def test_keys_that_the_target_holds(spark, tmp_dir, kind):
         assert ids(target, spark) == [1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("kind", ["ledger", "plain"])
+def test_keys_are_checked_once(spark, tmp_dir, kind):
+    """Every load with a unique key converts its records once, its routes included, and one without a conflict joins nothing."""
+    spec = TargetSpec.of("persons", SPEC.columns, key=("id",), unique_key=True)
+    target = LedgerTarget(f"{tmp_dir}/out") if kind == "ledger" else PathTarget(f"{tmp_dir}/out")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    def load(token, *rows):
+        made = spark.createDataFrame(rows, "source_id string, pos long, id int, name string, batch_id long")
+        before = seen.value
+        result = load_batch(made.mapInArrow(counted, made.schema), spec, target, token=token)
+        routes = {(r.source_id, r.route, r.rows, r.error) for r in result.units.collect()}
+        assert {r.batch_id: r.reason for r in result.rejected.collect()} == {r[4]: e for r in rows for u, _, _, e in routes if u == r[0] and e and "unit" not in e}
+        assert seen.value - before == len(rows)
+        return result, routes
+
+    result, routes = load("t0", ("u", 0, 1, "a", 0), ("u", 1, 2, "b", 0), ("w", 0, 3, "c", None))
+    assert routes == {("u", "success", 2, None), ("w", "success", 1, None)}
+    assert "Join" not in result.loaded._jdf.queryExecution().optimizedPlan().toString()
+    stored, twice, null = "key (id) is stored already", "duplicate key (id)", "NOT NULL constraint violated: id"
+    _, routes = load("t1", ("a", 0, 2, "x", 0), ("b", 0, 4, "x", 0), ("c", 0, 5, "x", 1), ("d", 0, 6, "x", None), ("e", 0, 6, "x", None), ("f", 0, None, "x", 2))
+    assert routes == {("a", "failure", 0, stored), ("b", "failure", 0, stored), ("c", "success", 1, None), ("d", "failure", 0, twice), ("e", "failure", 0, twice), ("f", "failure", 0, null)}
+    _, routes = load("t2", (None, 0, 1, "x", 0), ("k", 0, 7, "x", 0))                 # a failed unit takes its keys with it
+    assert routes == {(None, "failure", 0, "Record has no unit (source_id is NULL)"), ("k", "success", 1, None)}
+    assert ids(target, spark) == [1, 2, 3, 5, 7]
+
+
 def test_every_unit_of_a_per_target_load_is_loaded_or_routed(spark, tmp_dir):
     recs = spark.createDataFrame([("a", 0, 1, "x"), (None, 0, 2, "y"), ("stray", 0, 3, "z"), ("twice", 0, 4, "w"), ("torn", 0, 5, "v"), ("blank", 0, 6, "u")],
                                  "source_id string, pos long, id int, name string")
