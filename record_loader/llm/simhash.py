@@ -198,8 +198,10 @@ def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS, bucket: int = BU
         more = found.where("n > 2").groupBy("n", "lo", "hi", "all").agg(F.min(F.struct("tab", "part")).alias("at")).select("n", "at.tab", "at.part")
         last = depth == len(levels) - 1
         few = more if last else more.where(F.col("n") <= bucket)
+        # by a hash of the keys: Spark drops a repartition by the join's own keys, and adaptive
+        # execution then splits buckets (skewed partitions, local reads under a late broadcast)
         out.append(dealt.join(few.select("tab", "part"), ["tab", "part"])
-                   .repartition("tab", "part").sortWithinPartitions("tab", "part")
+                   .repartition(F.xxhash64("tab", "part")).sortWithinPartitions("tab", "part")
                    .mapInArrow(_edges(radius), "a long, b long"))
         if last:
             break

@@ -131,6 +131,44 @@ def test_simhash_links_of_crowded_fingerprints(spark, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_simhash_buckets_stay_whole_under_adaptive_execution(spark):
+    """Members of a bucket meet in one task where Spark splits the partitions of the join before."""
+    rng = random.Random(11)
+    fps = {rng.getrandbits(64) for _ in range(100)}
+    for _ in range(40):  # groups within the radius of their centre
+        centre = rng.getrandbits(64)
+        fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(4))) for _ in range(12)}
+    signed = [f - (1 << 64) if f >> 63 else f for f in sorted(fps)]
+    rng.shuffle(signed)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1b",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1b"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        edges = simhash.linked_fingerprints(spark.createDataFrame([(f,) for f in signed], "fp long").repartition(8)).collect()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    plain = [f & (2**64 - 1) for f in signed]
+    want = plain_components(list(range(len(signed))), plain)
+    at, top = {f: k for k, f in enumerate(signed)}, list(range(len(signed)))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for e in edges:
+        a, b = sorted((find(at[e.a]), find(at[e.b])))
+        top[b] = a
+    assert [find(k) for k in range(len(signed))] == want
+    assert len(set(want)) < len(want) / 2
+
+
 # ---- fill-in-the-middle ----
 
 def plain_fim(doc_id, text, seed=7, fim=100, spm=50):
